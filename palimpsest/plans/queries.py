@@ -166,3 +166,133 @@ def q_distinct_basenames(spark, sf):
     files = (FX.listing(spark, sf).unionByName(FX.tagged(spark, sf).select("name"))
              .unionByName(FX.engine(spark, sf).select("name")))
     return A.distinct_basenames(files)
+
+
+# ====================================================================== ladder
+
+from ..operators import ladder as L  # noqa: E402
+
+_ARMS_SQL = "(VALUES " + ", ".join(f"('{lab}', {s})" for lab in L.K.ARM_LABELS for s in L.K.ARM_SIZES) + ") AS a(label, size)"
+_LADDER_SQL = f"""
+, ranked AS (SELECT *, row_number() OVER (ORDER BY id) AS rn, count(*) OVER () AS n_all FROM training)
+, ladder AS (
+  SELECT a.label, a.size, a.label || '_' || a.size AS arm, r.rn, least(r.n_all, a.size)::BIGINT AS n_rows,
+         least(r.n_all, a.size) >= a.size AS complete, r.id,
+         CASE a.label WHEN 'gold' THEN r.gold ELSE r.silver END AS target
+  FROM ranked r JOIN {_ARMS_SQL} ON r.rn <= a.size)
+"""
+
+
+def _training_with(select: str) -> str:
+    return S.with_ctes(["training"], "").rstrip("\n") + "\n" + _LADDER_SQL + select
+
+
+def training(spark: SparkSession, sf: str) -> DataFrame:
+    return A.training_table(FX.gold(spark, sf), silver(spark, sf), FX.engine(spark, sf))
+
+
+def ladder(spark: SparkSession, sf: str) -> DataFrame:
+    return L.size_ladder(training(spark, sf), ["id"])
+
+
+@query("size_ladder", _training_with("SELECT arm, label, size, rn, n_rows, complete, id, target FROM ladder"))
+def q_size_ladder(spark, sf):
+    """O-44: nested first-N prefixes per arm (label x size) of the training table."""
+    return ladder(spark, sf).select("arm", "label", "size", "rn", "n_rows", "complete", "id", "target")
+
+
+@query("arm_grid", _training_with("""
+SELECT a.label || '_' || a.size AS arm, a.label, a.size,
+       substr(a.label, 1, 1) || '_' || CASE a.size WHEN 100 THEN '100' WHEN 1000 THEN '1k' WHEN 10000 THEN '10k'
+         ELSE a.size::VARCHAR END || '_l' AS short_name,
+       'work/' || a.label || '_' || a.size AS folder,
+       'work/tuning_results_' || a.label || '_' || a.size AS output_dir,
+       coalesce(l.n_rows, 0)::BIGINT AS n_rows, coalesce(l.n_rows, 0) >= a.size AS complete
+FROM """ + _ARMS_SQL + """
+LEFT JOIN (SELECT arm, count(*) AS n_rows FROM ladder GROUP BY arm) l ON l.arm = a.label || '_' || a.size
+"""))
+def q_arm_grid(spark, sf):
+    """O-28: arm grid with folder / job names and the rows each arm receives."""
+    counts = ladder(spark, sf).groupBy("arm").agg(F.count(F.lit(1)).cast("long").alias("n_rows"))
+    g = L.arm_grid(spark).join(counts, "arm", "left")
+    n = F.coalesce(F.col("n_rows"), F.lit(0)).cast("long")
+    return g.select("arm", "label", "size", "short_name", "folder", "output_dir", n.alias("n_rows"),
+                    (n >= F.col("size")).alias("complete"))
+
+
+@query("arm_splits", _training_with("""
+, r AS (SELECT arm, id, row_number() OVER (PARTITION BY arm ORDER BY md5('42|' || id), id) AS r,
+               count(*) OVER (PARTITION BY arm) AS n FROM ladder)
+, h AS (SELECT *, ceil(0.2::DOUBLE * n)::BIGINT AS held FROM r)
+SELECT arm, id, CASE WHEN r <= n - held THEN 'train'
+                     WHEN r <= n - held + (held - ceil(held / 2)::BIGINT) THEN 'val' ELSE 'test' END AS split
+FROM h
+"""))
+def q_arm_splits(spark, sf):
+    """O-45: seeded exact 80/10/10 split per arm."""
+    return L.split_80_10_10(ladder(spark, sf).select("arm", "id"), key="id", by=["arm"])
+
+
+_ITEMS_CTE = ("SELECT lang || '/' || source || '/d' || doc_id || '.jpg' AS path, lang AS shard, "
+              "octet_length(text::BLOB)::BIGINT AS length FROM documents")
+
+
+def _shard_sql(mode: str, tasks: int) -> str:
+    if mode == "drop":
+        expr = f"(rn - 1) // greatest(1, n // {tasks})"
+        where = f"WHERE (rn - 1) // greatest(1, n // {tasks}) < {tasks}"
+    elif mode == "last":
+        expr = f"CASE WHEN n // {tasks} = 0 THEN {tasks - 1} ELSE least((rn - 1) // (n // {tasks}), {tasks - 1}) END"
+        where = ""
+    else:
+        expr = f"((rn - 1) * {tasks}) // n"
+        where = ""
+    return f"""WITH items AS ({_ITEMS_CTE}),
+r AS (SELECT path, row_number() OVER (ORDER BY path) AS rn, count(*) OVER () AS n FROM items)
+SELECT path, rn, ({expr})::BIGINT AS shard FROM r {where}"""
+
+
+SHARD_TASKS = 64
+
+
+def _shard_query(mode: str):
+    def fn(spark, sf):
+        return L.assign_shards(FX.items(spark, sf).select("path"), ["path"], SHARD_TASKS, mode).select(
+            "path", "rn", "shard")
+
+    fn.__doc__ = f"O-42: contiguous shards over the sorted listing, mode {mode}."
+    return fn
+
+
+for _mode in ("drop", "last", "balanced"):
+    query(f"shards_{_mode}", _shard_sql(_mode, SHARD_TASKS))(_shard_query(_mode))
+
+
+CHUNK_EVERY = 10
+
+
+@query("chunk_ids", f"""
+SELECT user_id AS arm, event_id AS ord, rn, ((rn - 1) // {CHUNK_EVERY})::BIGINT AS chunk,
+       rn % {CHUNK_EVERY} = 0 AS save_point
+FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+""")
+def q_chunk_ids(spark, sf):
+    """O-47: save points per arm in output order."""
+    return L.chunk_id(FX.arm_rows(spark, sf).select("arm", "ord"), ["ord"], CHUNK_EVERY, by=["arm"]).select(
+        "arm", "ord", "rn", "chunk", "save_point")
+
+
+@query("first_n", S.with_ctes(["training"], "SELECT id, gold FROM training ORDER BY id LIMIT 100"))
+def q_first_n(spark, sf):
+    """O-49 (with O-48 order): the first 100 rows of the training table by id."""
+    return L.first_n(training(spark, sf).select("id", "gold"), ["id"], 100)
+
+
+@query("union_outputs", S.with_ctes(["training"], """
+SELECT (row_number() OVER (ORDER BY id) - 1)::BIGINT AS original_index, id FROM training
+"""))
+def q_union_outputs(spark, sf):
+    """O-50: per-worker outputs (4 contiguous shards) concatenated and renumbered."""
+    t = L.assign_shards(training(spark, sf).select("id"), ["id"], 4, "last")
+    parts = [t.filter(F.col("shard") == k).select("id") for k in range(4)]
+    return L.union_outputs(parts, ["id"]).select("original_index", "id")
