@@ -234,7 +234,7 @@ def q_arm_splits(spark, sf):
 
 
 _ITEMS_CTE = ("SELECT lang || '/' || source || '/d' || doc_id || '.jpg' AS path, lang AS shard, "
-              "octet_length(text::BLOB)::BIGINT AS length FROM documents")
+              "strlen(text)::BIGINT AS length FROM documents")
 
 
 def _shard_sql(mode: str, tasks: int) -> str:
@@ -296,3 +296,75 @@ def q_union_outputs(spark, sf):
     t = L.assign_shards(training(spark, sf).select("id"), ["id"], 4, "last")
     parts = [t.filter(F.col("shard") == k).select("id") for k in range(4)]
     return L.union_outputs(parts, ["id"]).select("original_index", "id")
+
+
+# ====================================================================== results
+
+from ..functions import text as TX  # noqa: E402
+from ..operators import results as RS  # noqa: E402
+
+
+@query("result_fields", S.with_ctes(["answer_fields"], """
+SELECT custom_id, line_no, has_choices, ocr_text, summary, date, is_printed, is_legible, method, sidecar_path,
+       CASE WHEN has_choices THEN """ + S.tagged_content("ocr_text", "summary", "date", "is_printed", "is_legible")
+       + """ END AS sidecar
+FROM answer_fields
+"""))
+def q_result_fields(spark, sf):
+    """O-04, O-46, O-60..O-62, O-53, O-56, O-14: last answer per key, its five fields
+    and the tagged sidecar written next to the image."""
+    c = RS.collect_results(FX.responses(spark, sf))
+    return c.select("custom_id", "line_no", "has_choices", "ocr_text", "summary", "date", "is_printed",
+                    "is_legible", "method", "sidecar_path", "sidecar")
+
+
+@query("failed_results", S.with_ctes(["last_answers"], "SELECT custom_id FROM last_answers WHERE NOT has_choices"))
+def q_failed_results(spark, sf):
+    """O-60: keys whose answer has no choices (listed once)."""
+    return RS.failed_keys(RS.collect_results(FX.responses(spark, sf)))
+
+
+@query("clean_fenced", S.with_ctes(["responses"], "SELECT line_no, " + S.clean_fenced("content")
+                                   + " AS cleaned FROM responses WHERE has_choices"))
+def q_clean_fenced(spark, sf):
+    """O-63: fence / preamble removal and backslash escaping of raw answers."""
+    p = RS.parse_result_lines(FX.responses(spark, sf)).filter("has_choices")
+    return p.select("line_no", TX.clean_fenced_text("content").alias("cleaned"))
+
+
+# ====================================================================== packing
+
+from ..operators import packing as PK  # noqa: E402
+
+
+def _pack_sql(budget: int, max_batches: int) -> str:
+    return f"""WITH RECURSIVE items AS (
+  SELECT lang || '/' || source || '/d' || doc_id || '.jpg' AS path, lang AS shard,
+         (4 * ((strlen(text) + 2) // 3))::BIGINT AS size FROM documents),
+pos AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY path) - 1 AS p FROM items),
+walk AS (
+  SELECT shard, p, 0::BIGINT AS batch, size AS fill, size <= {budget} AS alive FROM pos WHERE p = 0
+  UNION ALL
+  SELECT w.shard, n.p,
+         CASE WHEN w.fill + n.size <= {budget} THEN w.batch ELSE w.batch + 1 END,
+         CASE WHEN w.fill + n.size <= {budget} THEN w.fill + n.size ELSE n.size END,
+         (w.fill + n.size <= {budget}) OR (n.size <= {budget} AND w.batch + 1 < {max_batches})
+  FROM walk w JOIN pos n ON n.shard = w.shard AND n.p = w.p + 1
+  WHERE w.alive)
+SELECT i.path, i.shard, i.size, CASE WHEN w.alive THEN w.batch END AS batch
+FROM pos i LEFT JOIN walk w USING (shard, p)"""
+
+
+def _pack_query(budget: int):
+    def fn(spark, sf):
+        from ..functions import text as T
+
+        it = FX.items(spark, sf).select("path", "shard", T.b64_size("length").alias("size"))
+        return PK.pack_batches(it, ["path"], "size", budget=budget, max_batches=PK.K.MAX_BATCHES, shard="shard")
+
+    fn.__doc__ = f"O-40 (+ O-58 size): next-fit batches of base64 size per language, budget {budget}."
+    return fn
+
+
+query("request_batches", _pack_sql(60000, 200))(_pack_query(60000))
+query("request_batches_tight", _pack_sql(20000, 200))(_pack_query(20000))

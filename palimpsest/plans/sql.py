@@ -113,3 +113,78 @@ def with_ctes(names: list[str], body: str) -> str:
     if not order:
         return body
     return "WITH " + ",\n".join(f"{n} AS ({CTE[n]})" for n in order) + "\n" + body
+
+
+# ------------------------------------------------------------------ responses
+
+
+def answer_text(text: str, source: str, lang: str, quality: str, toxic: str) -> str:
+    esc = f"replace(replace({text}, '\"', '\\\"'), {NL}, '\\n')"
+    sep = f"(CASE WHEN {lang} = 'es' THEN ':' ELSE ': ' END)"
+    printed = f"(CASE WHEN {quality} = 1 THEN 'true' ELSE 'false' END)"
+    legible = f"(CASE WHEN {toxic} = 0 THEN 'true' ELSE 'false' END)"
+    body = (f"('{{' || {NL} || '  \"ocr_text\"' || {sep} || '\"' || {esc} || '\",' || {NL} || '  \"summary\"' || {sep}"
+            f" || '\"' || {source} || '\",' || {NL} || '  \"date\"' || {sep} || '\"1919-05-01\",' || {NL}"
+            f" || '  \"is_printed\"' || {sep} || {printed} || ',' || {NL} || '  \"is_legible\"' || {sep} || {legible}"
+            f" || {NL} || '}}')")
+    return f"(CASE WHEN {lang} = 'fr' THEN '```json' || {NL} || {body} || {NL} || '```' ELSE {body} END)"
+
+
+def path_to_key(x: str) -> str:
+    return f"replace(replace({x}, '/', '|'), '\\', '|')"
+
+
+CTE["responses"] = (
+    "SELECT d.doc_id AS line_no, "
+    + path_to_key("d.lang || '/' || d.source || '/' || substr(md5(d.text), 1, 12) || '.jpg'")
+    + " AS custom_id, d.lang <> 'de' AS has_choices, CASE WHEN d.lang <> 'de' THEN "
+    + answer_text("d.text", "d.source", "d.lang", "l.quality", "l.toxic")
+    + " END AS content FROM documents d LEFT JOIN labels l USING (doc_id)"
+)
+
+
+def strip_fence(x: str) -> str:
+    return (f"(CASE WHEN starts_with({x}, '```json') AND ends_with({x}, '```') "
+            f"THEN {strip(f'substr({x}, 8, length({x}) - 10)')} ELSE {x} END)")
+
+
+def answer_field(x: str, name: str) -> str:
+    return f"regexp_extract({x}, {q(K.ANSWER_PATTERNS[name])}, 1)"
+
+
+CTE["last_answers"] = (
+    "SELECT custom_id, max(line_no) AS line_no, arg_max(content, line_no) AS content, "
+    "arg_max(has_choices, line_no) AS has_choices FROM responses GROUP BY custom_id"
+)
+
+_s = strip_fence("content")
+CTE["answer_fields"] = (
+    "SELECT custom_id, line_no, has_choices, "
+    f"CASE WHEN has_choices THEN {answer_field(_s, 'ocr_text')} END AS ocr_text, "
+    f"CASE WHEN has_choices THEN {answer_field(_s, 'summary')} END AS summary, "
+    f"CASE WHEN has_choices THEN coalesce(nullif({answer_field(_s, 'date')}, ''), {q(K.DEFAULT_DATE)}) END AS date, "
+    f"CASE WHEN has_choices THEN {answer_field(_s, 'is_printed')} = 'true' END AS is_printed, "
+    f"CASE WHEN has_choices THEN {answer_field(_s, 'is_legible')} = 'true' END AS is_legible, "
+    f"CASE WHEN has_choices THEN (CASE WHEN json_valid({_s}) THEN {q(K.METHOD_JSON)} ELSE {q(K.METHOD_REGEX)} END) END"
+    " AS method, replace(custom_id, '|', '/') || '.txt' AS sidecar_path FROM last_answers"
+)
+
+DEPENDS["last_answers"] = ["responses"]
+DEPENDS["answer_fields"] = ["responses", "last_answers"]
+
+_BR = r"\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}"
+FIVE_LINES_RE2 = rf"(?s)^((?:[^{_BR}]*(?:\r\n|[{_BR}])){{5}})(.*)$"
+
+
+def clean_fenced(x: str) -> str:
+    """O-63 in DuckDB terms (string lists instead of look-behind)."""
+    fl = f"split_part({x}, {NL}, 1)"
+    c1 = f"(CASE WHEN {strip(fl)} = '```json' THEN substr({x}, length({fl}) + 2) ELSE {x} END)"
+    lst = f"string_split({c1}, {NL})"
+    last = (f"(CASE WHEN ends_with({c1}, {NL}) THEN {lst}[len({lst}) - 1] || {NL} "
+            f"ELSE {lst}[len({lst})] END)")
+    c2 = f"(CASE WHEN {strip(last)} = '```' THEN substr({c1}, 1, length({c1}) - length({last})) ELSE {c1} END)"
+    c3 = f"(CASE WHEN strpos({c2}, '{{') = 0 THEN NULL ELSE substr({c2}, strpos({c2}, '{{')) END)"
+    p = q(FIVE_LINES_RE2)
+    return (f"(CASE WHEN regexp_matches({c3}, {p}) THEN replace(regexp_extract({c3}, {p}, 1), '\\', '|') "
+            f"|| regexp_extract({c3}, {p}, 2) ELSE replace({c3}, '\\', '|') END)")
