@@ -368,3 +368,132 @@ def _pack_query(budget: int):
 
 query("request_batches", _pack_sql(60000, 200))(_pack_query(60000))
 query("request_batches_tight", _pack_sql(20000, 200))(_pack_query(20000))
+
+
+# ====================================================================== streaks / ledger
+
+from ..operators import streaks as SK  # noqa: E402
+
+NOOP_K = 5
+
+
+@query("no_op_guard", f"""
+WITH a AS (SELECT user_id AS arm, event_id AS ord, event_type IN ('view', 'click', 'error') AS same FROM events),
+b AS (SELECT *, sum(same::INT) OVER w AS cs FROM a
+      WINDOW w AS (PARTITION BY arm ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+c AS (SELECT *, CASE WHEN same THEN cs - coalesce(max(CASE WHEN NOT same THEN cs END) OVER w, 0) ELSE 0 END AS streak
+      FROM b WINDOW w AS (PARTITION BY arm ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+d AS (SELECT *, max((same AND streak >= {NOOP_K})::INT) OVER w AS broken FROM c
+      WINDOW w AS (PARTITION BY arm ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT arm, ord, same, streak::BIGINT AS streak, broken = 0 AS written FROM d
+""")
+def q_no_op_guard(spark, sf):
+    """O-41: per arm, stop after five consecutive outputs equal to the untuned one."""
+    return SK.no_op_guard(FX.arm_rows(spark, sf), ["arm"], ["ord"], "same", k=NOOP_K).select(
+        "arm", "ord", "same", "streak", "written")
+
+
+LEDGER_RETRY = 1
+
+
+@query("batch_ledger", f"""
+WITH p AS (SELECT 'batch_' || user_id AS batch_id, ts, event_id,
+                  CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed'
+                                  WHEN 'signup' THEN 'expired' ELSE 'in_progress' END AS status FROM events),
+s AS (SELECT *, status IN ('completed', 'failed', 'expired') AS term,
+             sum((status NOT IN ('completed', 'failed', 'expired'))::INT) OVER w AS nt,
+             row_number() OVER w AS rn
+      FROM p WINDOW w AS (PARTITION BY batch_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+e AS (SELECT batch_id, arg_min(status, (ts, event_id)) AS st, arg_min(nt, (ts, event_id)) AS nt,
+             arg_min(rn, (ts, event_id)) AS rn, arg_min(NOT term, (ts, event_id)) AS gave_up
+      FROM s WHERE term OR nt > {LEDGER_RETRY} GROUP BY batch_id),
+t AS (SELECT batch_id, count(*) AS n, count(*) FILTER (WHERE NOT term) AS ntt FROM s GROUP BY batch_id)
+SELECT t.batch_id,
+       CASE WHEN e.batch_id IS NULL THEN 'pending' WHEN e.gave_up THEN 'given_up' ELSE e.st END AS outcome,
+       (CASE WHEN e.batch_id IS NULL THEN t.ntt WHEN e.gave_up THEN {LEDGER_RETRY} ELSE e.nt END)::BIGINT AS attempts,
+       coalesce(e.rn, t.n)::BIGINT AS polls,
+       coalesce(NOT e.gave_up AND e.st = 'completed', false) AS download
+FROM t LEFT JOIN e USING (batch_id)
+""")
+def q_batch_ledger(spark, sf):
+    """O-79 (batch form) with a retry limit of one, so give-ups occur."""
+    return SK.batch_ledger(FX.status_events(spark, sf), retry_limit=LEDGER_RETRY)
+
+
+# ====================================================================== generation
+
+from ..operators import generate as GN  # noqa: E402
+
+ARMS = ["untuned"] + [f"{lab}_{s}" for lab in GN.K.ARM_LABELS for s in GN.K.ARM_SIZES]
+_ARMS_VALUES = "(VALUES " + ", ".join(f"('{a}')" for a in ARMS) + ") AS arms(arm)"
+_ARM_OUT_SQL = S.with_ctes(["training"], "").rstrip("\n") + f"""
+, o AS (SELECT t.id, arms.arm, 'Correct this OCR:: ' || t.pyte AS prompt FROM training t, {_ARMS_VALUES})
+, r AS (SELECT id, arm, {S.stub_output('prompt', 'arm')} AS raw FROM o)
+, arm_out AS (SELECT id, arm, CASE WHEN {S.strip('raw')} = '' THEN 'ERROR: Blank response generated' ELSE raw END AS output,
+                CASE WHEN {S.strip('raw')} = '' THEN 'blank' ELSE 'ok' END AS status FROM r)
+"""
+
+
+def arm_outputs(spark, sf):
+    return GN.apply_arms(training(spark, sf), ARMS, GN.stub_factory, "id", "pyte")
+
+
+@query("arm_outputs", _ARM_OUT_SQL + "SELECT id, arm, output, status FROM arm_out")
+def q_arm_outputs(spark, sf):
+    """O-80 + O-64 + O-65: every arm over every row of the training table (stub model)."""
+    return arm_outputs(spark, sf)
+
+
+@query("arms_wide", _ARM_OUT_SQL + "SELECT t.id, t.gold AS transcription, t.pyte AS pyte_ocr, "
+       + ", ".join(f"w.\"BART_{a}\"" for a in ARMS) + " FROM training t LEFT JOIN (SELECT id, "
+       + ", ".join(f"max(CASE WHEN arm = '{a}' THEN output END) AS \"BART_{a}\"" for a in ARMS)
+       + " FROM arm_out GROUP BY id) w USING (id)")
+def q_arms_wide(spark, sf):
+    """O-30: comparison table, one column per arm beside truth and input."""
+    base = training(spark, sf).select("id", F.col("gold").alias("transcription"), F.col("pyte").alias("pyte_ocr"))
+    return GN.arms_wide(base, arm_outputs(spark, sf), "id", ARMS, prefix="BART_")
+
+
+@query("blank_by_arm", _ARM_OUT_SQL + """SELECT arm, count(*) FILTER (WHERE status = 'blank')::BIGINT AS n_blank,
+       count(*)::BIGINT AS n_rows FROM arm_out GROUP BY ROLLUP (arm)""")
+def q_blank_by_arm(spark, sf):
+    """O-35: blank generations per arm and in total."""
+    return GN.blank_outputs_by_arm(arm_outputs(spark, sf))
+
+
+@query("latest_checkpoint", """
+SELECT event_type AS arm, arg_max('checkpoint-' || event_id, event_id) AS latest_by_number,
+       arg_max('checkpoint-' || event_id, ts) AS latest_by_mtime, max('checkpoint-' || event_id) AS latest_by_text
+FROM events GROUP BY event_type
+""")
+def q_latest_checkpoint(spark, sf):
+    """O-36: newest checkpoint per arm by number and by time (text order for contrast)."""
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    dirs = e.select(F.col("event_type").alias("arm"), F.concat(F.lit("checkpoint-"), F.col("event_id")).alias("dir"),
+                    F.col("ts").alias("mtime"))
+    return GN.latest_checkpoint(dirs)
+
+
+PART_TOKENS = 64
+BLANK_PART = 3
+
+
+@query("split_parts", f"WITH {S.parts_cte(PART_TOKENS)}\nSELECT doc_id, part, part_text, n_parts FROM parts")
+def q_split_parts(spark, sf):
+    """O-43: whole documents cut into 64-word parts (short ones kept verbatim)."""
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    return GN.split_parts(d, "text", PART_TOKENS).select("doc_id", "part", "part_text", "n_parts")
+
+
+@query("long_text_corrected", f"""WITH {S.parts_cte(PART_TOKENS)},
+g AS (SELECT doc_id, part, CASE WHEN part = {BLANK_PART} THEN '' ELSE translate(part_text, 'aeiou', 'AEIOU') END AS out
+      FROM parts)
+SELECT doc_id, count(*)::BIGINT AS n_parts, string_agg(out, ' ' ORDER BY part) AS model_corrected,
+       string_agg(CASE WHEN {S.strip('out')} = '' THEN 'Model produced empty output'
+                       ELSE 'Model produced valid output' END, ' | ' ORDER BY part) AS notes
+FROM g GROUP BY doc_id""")
+def q_long_text_corrected(spark, sf):
+    """O-82 (O-43 -> generator per part -> O-65 notes -> O-37 reassembly)."""
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    return GN.correct_long_text(d, "doc_id", "text", GN.part_stub_factory, max_tokens=PART_TOKENS,
+                                blank_part=BLANK_PART)

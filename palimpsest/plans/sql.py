@@ -188,3 +188,24 @@ def clean_fenced(x: str) -> str:
     p = q(FIVE_LINES_RE2)
     return (f"(CASE WHEN regexp_matches({c3}, {p}) THEN replace(regexp_extract({c3}, {p}, 1), '\\', '|') "
             f"|| regexp_extract({c3}, {p}, 2) ELSE replace({c3}, '\\', '|') END)")
+
+
+# ------------------------------------------------------------------ generation stubs
+
+
+def stub_output(prompt: str, arm: str) -> str:
+    """SQL mirror of ``generate.stub_factory`` (before the blank guard)."""
+    base = f"translate({prompt}, 'aeiou', 'AEIOU')"
+    tuned = f"(CASE WHEN {arm} = 'untuned' OR length({prompt}) % 3 = 0 THEN {base} ELSE {base} || ' [' || {arm} || ']' END)"
+    return f"(CASE WHEN length({prompt}) % 11 = 0 THEN '' ELSE {tuned} END)"
+
+
+def parts_cte(max_tokens: int) -> str:
+    return f"""w AS (SELECT doc_id, text, {words('text')} AS ws FROM documents),
+n AS (SELECT *, len(ws) AS n FROM w),
+parts AS (
+  SELECT doc_id, 0 AS part, text AS part_text, 1 AS n_parts FROM n WHERE n <= {max_tokens}
+  UNION ALL
+  SELECT doc_id, i::INT AS part, array_to_string(ws[i * {max_tokens} + 1 : (i + 1) * {max_tokens}], ' ') AS part_text,
+         ceil(n / {max_tokens})::INT AS n_parts
+  FROM (SELECT *, unnest(range(0, ceil(n / {max_tokens})::BIGINT)) AS i FROM n WHERE n > {max_tokens}))"""
