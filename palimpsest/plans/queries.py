@@ -497,3 +497,159 @@ def q_long_text_corrected(spark, sf):
     d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     return GN.correct_long_text(d, "doc_id", "text", GN.part_stub_factory, max_tokens=PART_TOKENS,
                                 blank_part=BLANK_PART)
+
+
+# ====================================================================== conversations / SFT
+
+from ..operators import sft as SF  # noqa: E402
+
+
+def prepared_convs(spark, sf):
+    return SF.prepare_turns(SF.gather_turns(FX.turns(spark, sf)))
+
+
+@query("sft_roles", S.with_ctes(["checked"], """
+SELECT conv_id, len(turns)::BIGINT AS n_turns, leading_dropped, system, status,
+       array_to_string(list_transform(dialog, lambda x: """ + S.signal_role("x['from']") + """), ',') AS roles
+FROM checked"""))
+def q_sft_roles(spark, sf):
+    """O-68 / O-69 / O-70: role mapping, leading non-human turn dropped, alternation check."""
+    p = prepared_convs(spark, sf)
+    roles = F.array_join(F.transform("dialog", lambda x: SF.map_role(x["from"], "signal", SF.SIGNAL_ROLES)), ",")
+    return p.select("conv_id", F.size("turns").cast("long").alias("n_turns"), "leading_dropped", "system", "status",
+                    roles.alias("roles"))
+
+
+@query("render_signal", S.with_ctes(["checked"], "SELECT conv_id, " + S.render_signal("dialog", "system")
+                                    + " AS prompt FROM checked WHERE status <> 'empty'"))
+def q_render_signal(spark, sf):
+    """O-71: header (system turn or default) and ``### Role: text`` lines."""
+    p = prepared_convs(spark, sf).filter(F.col("status") != "empty")
+    return p.select("conv_id", SF.render_signal(F.col("dialog"), SF.signal_header(F.col("system"))).alias("prompt"))
+
+
+@query("render_template", S.with_ctes(["checked"], """
+SELECT conv_id, coalesce(system, """ + S.q(S.SFT_DEFAULT_SYSTEM) + """) || ' ' || array_to_string(list_transform(dialog,
+  lambda x, i: CASE WHEN x['value'] IS NULL OR x['value'] = ''
+    THEN (CASE x['from'] WHEN 'human' THEN 'USER' ELSE 'ASSISTANT' END) || ':'
+    ELSE (CASE x['from'] WHEN 'human' THEN 'USER' ELSE 'ASSISTANT' END) || ': ' || x['value'] ||
+         CASE WHEN (i - 1) % 2 = 0 THEN ' ' ELSE '</s>' END END), '') AS prompt
+FROM checked WHERE status = 'ok'"""))
+def q_render_template(spark, sf):
+    """O-72: two-separator template prompt for valid conversations."""
+    p = prepared_convs(spark, sf).filter(F.col("status") == "ok")
+    return p.select("conv_id", SF.render_template(F.col("dialog"), F.col("system")).alias("prompt"))
+
+
+SFT_MAX = 1024
+_LM_IDS, _LM_LABELS = S.label_mask_ids("dialog", "system", SFT_MAX)
+
+
+@query("label_mask", S.with_ctes(["checked"], f"""
+, lm AS (SELECT conv_id, {_LM_IDS} AS ids, {_LM_LABELS} AS labels FROM checked WHERE status = 'ok')
+SELECT conv_id, len(ids)::BIGINT AS n_tokens, len(list_filter(labels, lambda v: v <> -100))::BIGINT AS n_trained,
+       array_to_string(ids, ' ') AS input_ids, array_to_string(labels, ' ') AS labels FROM lm""".replace(
+    "\n, lm", "lm", 0)))
+def q_label_mask(spark, sf):
+    """O-75: signal-format token ids and labels with human text masked."""
+    p = prepared_convs(spark, sf).filter(F.col("status") == "ok")
+    m = p.select("conv_id", SF.label_mask(F.col("dialog"), SF.signal_header(F.col("system")), SFT_MAX).alias("m"))
+    return m.select("conv_id", F.size("m.input_ids").cast("long").alias("n_tokens"),
+                    F.size(F.filter("m.labels", lambda v: v != K_IGNORE)).cast("long").alias("n_trained"),
+                    F.array_join("m.input_ids", " ").alias("input_ids"), F.array_join("m.labels", " ").alias("labels"))
+
+
+K_IGNORE = SF.K.IGNORE_INDEX
+
+
+@query("collated", S.with_ctes(["checked"], f"""
+, lm AS (SELECT conv_id, {_LM_IDS} AS ids, {_LM_LABELS} AS labels FROM checked WHERE status = 'ok')
+, b AS (SELECT *, (row_number() OVER (ORDER BY conv_id) - 1) // 16 AS batch FROM lm)
+, w AS (SELECT *, least(max(len(ids)) OVER (PARTITION BY batch), {SFT_MAX}) AS width FROM b)
+SELECT conv_id, batch::BIGINT AS batch, width AS padded_len,
+       array_to_string(list_concat(ids[1:width], {S.repeat_list('1', 'width - len(ids)')}), ' ') AS input_ids,
+       array_to_string(list_concat(labels[1:width], {S.repeat_list('-100', 'width - len(labels)')}), ' ') AS labels,
+       len(list_filter(list_concat(ids[1:width], {S.repeat_list('1', 'width - len(ids)')}), lambda v: v <> 1))::BIGINT
+         AS n_attended
+FROM w"""))
+def q_collated(spark, sf):
+    """O-77: batches of 16 padded to the batch maximum (cut at 1024), mask = id != pad."""
+    p = prepared_convs(spark, sf).filter(F.col("status") == "ok")
+    m = p.select("conv_id", SF.label_mask(F.col("dialog"), SF.signal_header(F.col("system")), SFT_MAX).alias("m"))
+    m = m.select("conv_id", F.col("m.input_ids").alias("input_ids"), F.col("m.labels").alias("labels"))
+    c = SF.collate(m, ["conv_id"], 16, SFT_MAX)
+    return c.select("conv_id", "batch", "padded_len", F.array_join("input_ids", " ").alias("input_ids"),
+                    F.array_join("labels", " ").alias("labels"),
+                    F.size(F.filter("attention_mask", lambda b: b)).cast("long").alias("n_attended"))
+
+
+@query("tokenised_ladder", _training_with(f"""
+, tk AS (SELECT arm, id, {S.token_ids(S.words("(SELECT pyte FROM training t WHERE t.id = ladder.id)"))} AS ii,
+                {S.token_ids(S.words('target'))} AS tt FROM ladder)
+SELECT arm, id, least(len(ii), {SFT_MAX})::INT AS n_input, least(len(tt), {SFT_MAX})::INT AS n_target,
+       array_to_string(list_concat(ii[1:{SFT_MAX}], {S.repeat_list('1', f'{SFT_MAX} - len(ii)')}), ' ') AS input_ids,
+       array_to_string(list_concat(tt[1:{SFT_MAX}], {S.repeat_list('1', f'{SFT_MAX} - len(tt)')}), ' ') AS labels
+FROM tk"""))
+def q_tokenised_ladder(spark, sf):
+    """O-76 (+ O-13 layout): every ladder arm tokenised and padded to 1024."""
+    lad = ladder(spark, sf)
+    t = lad.select("arm", "id", SF.tokenise_pad(F.col("pyte"), F.col("target"), SFT_MAX).alias("t"))
+    return t.select("arm", "id", F.col("t.n_input").alias("n_input"), F.col("t.n_target").alias("n_target"),
+                    F.array_join("t.input_ids", " ").alias("input_ids"), F.array_join("t.labels", " ").alias("labels"))
+
+
+@query("conversation_lengths", S.with_ctes(["convs"], f"""
+SELECT conv_id, sum(len({S.words('value')}))::BIGINT AS n_words, sum(len({S.words('value')}))::BIGINT AS length,
+       (-sum(len({S.words('value')})))::BIGINT AS modality_length FROM turns GROUP BY conv_id"""))
+def q_conversation_lengths(spark, sf):
+    """O-39: length keys of text-only conversations (negative modality length)."""
+    c = SF.gather_turns(FX.turns(spark, sf))
+    return SF.conversation_lengths(c).select("conv_id", "n_words", "length", "modality_length")
+
+
+_DOCS_SQL = S.with_ctes(["training", "listing"], """
+, docs AS (SELECT id, 'images/' || id || '.jpg' AS image, 'What is the OCR of this image?' AS question,
+                  gold AS answer FROM training WHERE id || '.jpg' IN (SELECT name FROM listing))
+""")
+
+
+@query("conversation_docs", _DOCS_SQL + f"""
+SELECT id, image, 2::INT AS n_turns, question, answer,
+       (len({S.words('question')}) + len({S.words('answer')}) + 128)::BIGINT AS length,
+       (len({S.words('question')}) + len({S.words('answer')}))::BIGINT AS modality_length FROM docs""")
+def q_conversation_docs(spark, sf):
+    """O-67 (+ O-26, O-39): two-turn image conversations for present images."""
+    t = training(spark, sf)
+    present = A.keep_existing(t, FX.listing(spark, sf), F.concat(F.col("id"), F.lit(".jpg")))
+    d = SF.to_conversations(present, "id", F.concat(F.lit("images/"), F.col("id"), F.lit(".jpg")), "gold")
+    lens = SF.conversation_lengths(d, "conversations", has_image=F.col("image").isNotNull())
+    return lens.select("id", "image", F.size("conversations").alias("n_turns"),
+                       F.get("conversations", 0)["value"].alias("question"),
+                       F.get("conversations", 1)["value"].alias("answer"), "length", "modality_length")
+
+
+@query("hoist_image", S.with_ctes(["turns"], f"""
+, mm AS (SELECT conv_id, turn, CASE WHEN "from" = 'human' AND turn <= 1 THEN value || ' <image>' ELSE value END AS v
+         FROM turns)
+SELECT conv_id, turn, CASE WHEN contains(v, '<image>')
+  THEN {S.strip("'<image>' || " + S.NL + " || " + S.strip("replace(v, '<image>', '')"))} ELSE v END AS value FROM mm"""))
+def q_hoist_image(spark, sf):
+    """O-73: image token moved to the front of the first human turn."""
+    t = FX.turns(spark, sf)
+    mm = F.when((F.col("from") == "human") & (F.col("turn") <= 1), F.concat(F.col("value"), F.lit(" <image>"))).otherwise(
+        F.col("value"))
+    return t.select("conv_id", "turn", SF.hoist_image_token(mm).alias("value"))
+
+
+@query("plain_pairs", _DOCS_SQL + """
+SELECT id, true AS ok, '<image>' || answer || chr(10) AS text, 1::INT AS masked_tokens FROM docs""")
+def q_plain_pairs(spark, sf):
+    """O-74: plain image-caption pairs (token + answer + separator), token masked."""
+    t = training(spark, sf)
+    present = A.keep_existing(t, FX.listing(spark, sf), F.concat(F.col("id"), F.lit(".jpg")))
+    d = SF.to_conversations(present, "id", F.lit(None).cast("string"), "gold",
+                            question=SF.K.OCR_QUESTION + " " + SF.K.IMAGE_TOKEN)
+    dialog = F.transform("conversations", lambda x: x.withField("value", SF.hoist_image_token(x["value"])))
+    p = d.select("id", SF.plain_pair(dialog).alias("p"))
+    return p.select("id", F.col("p.ok").alias("ok"), F.col("p.text").alias("text"),
+                    F.col("p.masked_tokens").alias("masked_tokens"))

@@ -209,3 +209,62 @@ parts AS (
   SELECT doc_id, i::INT AS part, array_to_string(ws[i * {max_tokens} + 1 : (i + 1) * {max_tokens}], ' ') AS part_text,
          ceil(n / {max_tokens})::INT AS n_parts
   FROM (SELECT *, unnest(range(0, ceil(n / {max_tokens})::BIGINT)) AS i FROM n WHERE n > {max_tokens}))"""
+
+
+# ------------------------------------------------------------------ conversations
+
+
+def token_ids(toks: str) -> str:
+    return f"list_transform({toks}, lambda t: ((('0x' || substr(md5(t), 1, 6))::BIGINT % 50000) + 4)::INT)"
+
+
+def repeat_list(value: str, n: str) -> str:
+    return f"list_transform(range(greatest({n}, 0)), lambda _x: {value})"
+
+
+def signal_role(f: str) -> str:
+    return f"(CASE lower({f}) WHEN 'human' THEN 'Human' WHEN 'gpt' THEN 'Assistant' ELSE 'unknown' END)"
+
+
+def signal_sentence(x: str) -> str:
+    return f"('### ' || {signal_role(x + chr(91) + chr(39) + 'from' + chr(39) + chr(93))} || ': ' || {x}['value'] || {NL})"
+
+
+CTE["turns"] = ("SELECT conv_id, turn, CASE role WHEN 'user' THEN 'human' WHEN 'assistant' THEN 'gpt' ELSE role END"
+                " AS \"from\", text AS value FROM conversations")
+CTE["convs"] = ("SELECT conv_id, list({'turn': turn, 'from': \"from\", 'value': value} ORDER BY turn) AS turns "
+                "FROM turns GROUP BY conv_id")
+CTE["prepared"] = """SELECT conv_id, turns, turns[1]['from'] <> 'human' AS leading_dropped,
+  CASE WHEN turns[1]['from'] = 'system' THEN turns[1]['value'] END AS system,
+  CASE WHEN turns[1]['from'] <> 'human' THEN turns[2:] ELSE turns END AS dialog FROM convs"""
+CTE["checked"] = """SELECT *, CASE WHEN len(dialog) = 0 THEN 'empty'
+  WHEN len(list_filter(dialog, lambda x: x['from'] NOT IN ('human', 'gpt'))) > 0 THEN 'bad_role'
+  WHEN NOT coalesce(list_bool_and(list_transform(dialog, lambda x, i: x['from'] =
+       CASE WHEN (i - 1) % 2 = 0 THEN 'human' ELSE 'gpt' END)), true) THEN 'bad_alternation'
+  ELSE 'ok' END AS status FROM prepared"""
+DEPENDS["convs"] = ["turns"]
+DEPENDS["prepared"] = ["turns", "convs"]
+DEPENDS["checked"] = ["turns", "convs", "prepared"]
+
+SFT_DEFAULT_SYSTEM = "A chat between a curious human and an artificial intelligence assistant."
+
+
+def signal_header(system: str) -> str:
+    return f"(coalesce({system}, {q(SFT_DEFAULT_SYSTEM)}) || {NL} || {NL})"
+
+
+def render_signal(dialog: str, system: str) -> str:
+    return (f"({signal_header(system)} || array_to_string(list_transform({dialog}, lambda x: "
+            f"{signal_sentence('x')}), '') || '### ')")
+
+
+def label_mask_ids(dialog: str, system: str, max_len: int) -> tuple[str, str]:
+    head = token_ids(words(signal_header(system)))
+    per = f"list_transform({dialog}, lambda x: {{'f': x['from'], 'ids': {token_ids(words(signal_sentence('x')))}}})"
+    closing = token_ids(words("'### '"))
+    ids = f"list_concat(list_concat({head}, flatten(list_transform({per}, lambda p: p['ids']))), {closing})"
+    masked = (f"list_transform({per}, lambda p: CASE WHEN lower(p['f']) = 'human' THEN "
+              f"list_concat(p['ids'][1:2], {repeat_list('-100', 'len(p[' + chr(39) + 'ids' + chr(39) + ']) - 2')}) "
+              f"ELSE p['ids'] END)")
+    labels = f"list_concat(list_concat({repeat_list('-100', 'len(' + head + ')')}, flatten({masked})), {closing})"
+    return f"({ids})[1:{max_len}]", f"({labels})[1:{max_len}]"
