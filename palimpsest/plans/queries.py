@@ -653,3 +653,97 @@ def q_plain_pairs(spark, sf):
     p = d.select("id", SF.plain_pair(dialog).alias("p"))
     return p.select("id", F.col("p.ok").alias("ok"), F.col("p.text").alias("text"),
                     F.col("p.masked_tokens").alias("masked_tokens"))
+
+
+# ====================================================================== drift / requests / fetch
+
+from ..operators import drift as DR  # noqa: E402
+from ..operators import requests as RQ  # noqa: E402
+from . import stubs as ST  # noqa: E402
+
+_SUFFIX = "CASE WHEN label % 2 = 0 THEN '.lora_A' ELSE '.weight' END"
+
+
+@query("vector_drift", f"""
+WITH base AS (SELECT 'layer' || vec_id || {_SUFFIX} AS name, embedding AS vec FROM embeddings),
+tuned AS (SELECT 'layer' || (vec_id + 1) || {_SUFFIX} AS name, embedding AS vec FROM embeddings)
+SELECT t.name, CASE WHEN b.name IS NULL THEN 'new' ELSE 'diff' END AS kind,
+  round(CASE WHEN b.name IS NULL THEN sqrt(list_sum(list_transform(t.vec, lambda x: x::DOUBLE * x::DOUBLE)))
+        ELSE sqrt(list_sum(list_transform(range(1, len(t.vec) + 1),
+             lambda i: (t.vec[i]::DOUBLE - b.vec[i]::DOUBLE) * (t.vec[i]::DOUBLE - b.vec[i]::DOUBLE)))) END, 6) AS l2
+FROM tuned t LEFT JOIN base b USING (name) WHERE contains(lower(t.name), 'lora')""")
+def q_vector_drift(spark, sf):
+    """O-29: L2 drift of adapter vectors between two snapshots."""
+    base, tuned = FX.vectors(spark, sf)
+    return DR.vector_drift(base, tuned, "lora")
+
+
+REQUEST_PROMPT = "Transcribe this letter and answer as JSON with ocr_text, summary, date, is_printed, is_legible.\n"
+
+
+@query("request_lines", f"""
+SELECT replace(lang || '/' || source || '/d' || doc_id || '.jpg', '/', '|') AS custom_id, 'image/jpeg' AS mime,
+       (4 * ((strlen(text) + 2) // 3))::BIGINT AS b64_size, 'gpt-4o' AS model, 4000 AS max_tokens,
+       {S.q(REQUEST_PROMPT.strip())} AS prompt,
+       md5('data:image/jpeg;base64,' || to_base64(encode(text))) AS url_md5, 'POST' AS method
+FROM documents""")
+def q_request_lines(spark, sf):
+    """O-56..O-59: request JSON per image (key, mime, data URL, size), read back."""
+    r = RQ.request_lines(FX.items(spark, sf), REQUEST_PROMPT)
+    p = F.from_json("request", RQ.R.REQUEST_SCHEMA)
+    content = p["body"]["messages"][0]["content"]
+    return r.select("custom_id", "mime", "b64_size", p["body"]["model"].alias("model"),
+                    p["body"]["max_tokens"].alias("max_tokens"), content[0]["text"].alias("prompt"),
+                    F.md5(content[1]["image_url"]["url"]).alias("url_md5"), p["method"].alias("method"))
+
+
+@query("batch_records", """
+SELECT 'batch_' || user_id AS id, 'batch' AS object,
+       CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed'
+                       WHEN 'signup' THEN 'expired' ELSE 'in_progress' END AS status,
+       floor(epoch(ts))::BIGINT AS created_at, floor(value)::INT AS total_requests,
+       floor(floor(value) / 2)::INT AS completed_requests, (floor(value) - floor(floor(value) / 2))::INT AS failed_requests,
+       event_type AS description
+FROM events""")
+def q_batch_records(spark, sf):
+    """O-66: batch metadata records (JSON with nested counts and a map) flattened."""
+    ev = FX.status_events(spark, sf)
+    total = F.floor("value").cast("int")
+    done = F.floor(total / 2).cast("int")
+    rec = F.to_json(F.struct(
+        F.col("batch_id").alias("id"), F.lit("batch").alias("object"), F.lit("/v1/chat/completions").alias("endpoint"),
+        F.col("status"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("created_at"),
+        F.struct(total.alias("total"), done.alias("completed"), (total - done).alias("failed")).alias("request_counts"),
+        F.create_map(F.lit("description"), F.col("event_type")).alias("metadata")))
+    flat = RQ.batch_records(ev.select(rec.alias("record")))
+    return flat.select("id", "object", "status", "created_at", "total_requests", "completed_requests",
+                       "failed_requests", "description")
+
+
+@query("fetch_manifest", """
+WITH m AS (SELECT 'd' || p.page_id AS key, p.url, d.lang <> 'de' AS present
+           FROM pages p JOIN documents d ON d.doc_id = p.page_id)
+SELECT key, CASE WHEN present THEN 'Exists' WHEN length(url) % 7 >= 5 THEN 'Failed after max retries'
+                 ELSE 'Downloaded' END AS status,
+       (CASE WHEN present THEN 0 ELSE least(length(url) % 7 + 1, 5) END)::INT AS attempts,
+       CASE WHEN NOT present AND length(url) % 7 < 5 THEN strlen(url) END::BIGINT AS bytes
+FROM m""")
+def q_fetch_manifest(spark, sf):
+    """O-08: skip present images, fetch the rest with retries (stub fetcher, no sleeping)."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    manifest = pages.select(F.concat(F.lit("d"), F.col("page_id").cast("string")).alias("key"), "url")
+    present = A.sidecar_texts(FX.engine(spark, sf)).select(F.col("id").alias("key"))
+    return RQ.fetch_manifest(manifest, present, ST.stub_fetcher_factory, sleep=ST.no_sleep)
+
+
+@query("transcribe", f"""
+WITH todo AS (SELECT 'd' || doc_id AS id, text FROM documents WHERE lang = 'de')
+SELECT id, CASE WHEN len({S.words('text')}) >= 3 THEN translate(text, 'ilo', '110') END AS text,
+       CASE WHEN len({S.words('text')}) < 3 THEN 'ValueError: unreadable image' END AS error
+FROM todo""")
+def q_transcribe(spark, sf):
+    """O-81: engine over images without an engine sidecar yet (errors captured)."""
+    images = FX.items(spark, sf).select(
+        F.regexp_extract("path", r"/(d[0-9]+)\.jpg$", 1).alias("id"), "content")
+    done = A.sidecar_texts(FX.engine(spark, sf))
+    return RQ.transcribe(images, done, ST.stub_engine_factory)
