@@ -11,11 +11,6 @@ from pyspark.sql import functions as F
 
 from . import constants as K
 
-# Python's str.strip()/str.split() whitespace: Unicode White_Space plus the
-# four information separators 0x1c..0x1f.
-WS_CLASS = r"[\s\x1c-\x1f]"
-_STRIP_RE = rf"(?U)^{WS_CLASS}+|{WS_CLASS}+$"
-_SPLIT_RE = rf"(?U){WS_CLASS}+"
 # Line boundaries of Python's str.splitlines().
 _LINE_BREAK = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 _NOT_BREAK = "[^\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
@@ -25,9 +20,17 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The code points Python's str.isspace() accepts (29 of them), derived by rule: Unicode
+# White_Space plus the information separators 0x1c..0x1f.
+PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+WS_CLASS = "[" + "".join(f"\\u{ord(ch):04x}" for ch in PY_WHITESPACE) + "]"
+_SPLIT_RE = WS_CLASS + "+"
+
+
 def pystrip(c) -> Column:
-    """Python ``str.strip()`` as a column expression."""
-    return F.regexp_replace(_col(c), _STRIP_RE, "")
+    """Python ``str.strip()`` as a column expression (``btrim`` over the 29 Python
+    whitespace code points: no regex)."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 def words(c) -> Column:
@@ -194,15 +197,17 @@ def clean_fenced_text(c, legacy: bool = False) -> Column:
     4. backslash -> ``|`` within the first five lines (``splitlines`` boundaries).
     """
     c = _col(c)
-    first = F.regexp_extract(c, r"^([^\n]*)(\n|\z)", 1)
+    first = F.substring_index(c, "\n", 1)
     after_first = F.when(pystrip(first) == K.JSON_FENCE_OPEN,
                          c.substr(F.length(first) + 2, F.length(c) + 1)).otherwise(c)
     # Last line in readlines() terms: the text after the last newline, or, when the
     # text ends in a newline, the line before it (including that newline).
-    last_re = r"(?s)^(.*?)((?:^|(?<=\n))[^\n]*\n?)\z"
-    head = F.regexp_extract(after_first, last_re, 1)
-    last = F.regexp_extract(after_first, last_re, 2)
-    body = F.when(pystrip(last) == K.JSON_FENCE_CLOSE, head).otherwise(after_first)
+    a = after_first
+    last = F.when(a.endswith("\n"),
+                  F.concat(F.substring_index(a.substr(F.lit(1), F.length(a) - 1), "\n", -1), F.lit("\n"))
+                  ).otherwise(F.substring_index(a, "\n", -1))
+    head = a.substr(F.lit(1), F.length(a) - F.length(last))
+    body = F.when(pystrip(last) == K.JSON_FENCE_CLOSE, head).otherwise(a)
     brace = F.instr(body, "{")
     if legacy:
         from_brace = F.when(brace == 0, F.substring(body, -1, 1)).otherwise(body.substr(brace, F.length(body) + 1))

@@ -132,14 +132,16 @@ def split_parts(df: DataFrame, text_col: str, max_tokens: int, tokens: Column |
     Tokens are whitespace words by default (pluggable ``tokens`` array column); parts
     are re-joined with a single space. Every text is processed whole.
     """
-    toks = tokens if tokens is not None else T.words(text_col)
+    # the token array is projected once per row; the per-part lambda only slices it
+    df = df.withColumn("_toks", tokens if tokens is not None else T.words(text_col))
+    toks = F.col("_toks")
     n = F.size(toks)
     n_parts = F.when(n <= max_tokens, F.lit(1)).otherwise(F.ceil(n / F.lit(max_tokens)).cast("int"))
     parts = F.when(n <= max_tokens, F.array(F.col(text_col))).otherwise(
         F.transform(F.sequence(F.lit(0), n_parts - 1),
                     lambda i: F.array_join(F.slice(toks, i * max_tokens + 1, max_tokens), " ")))
     out = df.select("*", n_parts.alias("n_parts"), F.posexplode(parts).alias("part", "part_text"))
-    return out
+    return out.drop("_toks")
 
 
 def reassemble_parts(parts: DataFrame, key: str, text: str = "part_output", note: str = "note",

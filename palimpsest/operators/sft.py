@@ -176,8 +176,8 @@ def pad_to(arr: Column, length: int | Column, value: int) -> Column:
 def tokenise_pad(input_text: Column, target_text: Column, max_length: int = 1024, pad_id: int = PAD_ID) -> Column:
     """O-76: struct(input_ids, attention_mask, labels), truncated and padded to
     ``max_length``; labels are the padded target ids."""
-    ii = F.slice(token_ids(tokens(input_text)), 1, max_length)
-    tt = F.slice(token_ids(tokens(target_text)), 1, max_length)
+    ii = token_ids(F.slice(tokens(input_text), 1, max_length))
+    tt = token_ids(F.slice(tokens(target_text), 1, max_length))
     attn = pad_to(F.array_repeat(F.lit(1), F.size(ii)), max_length, 0)
     return F.struct(pad_to(ii, max_length, pad_id).alias("input_ids"), attn.alias("attention_mask"),
                     pad_to(tt, max_length, pad_id).alias("labels"), F.size(ii).alias("n_input"),
