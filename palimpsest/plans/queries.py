@@ -747,3 +747,33 @@ def q_transcribe(spark, sf):
         F.regexp_extract("path", r"/(d[0-9]+)\.jpg$", 1).alias("id"), "content")
     done = A.sidecar_texts(FX.engine(spark, sf))
     return RQ.transcribe(images, done, ST.stub_engine_factory)
+
+
+# ====================================================================== sources / sinks round trips
+
+from ..session import scratch_dir  # noqa: E402
+from ..sinks import writers as WR  # noqa: E402
+from ..sources import readers as RD  # noqa: E402
+
+
+@query("csv_roundtrip", S.with_ctes(["training"], "SELECT id, gold, silver, pyte FROM training"))
+def q_csv_roundtrip(spark, sf):
+    """O-10 then O-01: the training table written as CSV (multi-line cells, quotes) and
+    read back with an explicit schema, in a folder under the checkpoint location."""
+    out = scratch_dir(spark, "training_csv")
+    WR.write_csv(training(spark, sf), out)
+    return RD.scan_csv(spark, out, "id string, gold string, silver string, pyte string")
+
+
+@query("splits_roundtrip", _training_with("""
+, r AS (SELECT arm, id, row_number() OVER (PARTITION BY arm ORDER BY md5('42|' || id), id) AS r,
+               count(*) OVER (PARTITION BY arm) AS n FROM ladder)
+, h AS (SELECT *, ceil(0.2::DOUBLE * n)::BIGINT AS held FROM r)
+SELECT arm, id FROM h WHERE r > n - held AND r <= n - held + (held - ceil(held / 2)::BIGINT)
+"""))
+def q_splits_roundtrip(spark, sf):
+    """O-13 then O-07: splits written partitioned by arm / split, the ``val`` split read
+    back through partition pruning."""
+    out = scratch_dir(spark, "splits")
+    WR.write_splits(L.split_80_10_10(ladder(spark, sf).select("arm", "id"), "id", ["arm"]), out)
+    return RD.scan_splits(spark, out, split="val").select("arm", "id")
