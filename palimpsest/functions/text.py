@@ -60,18 +60,35 @@ def extract_field(c, start: str, end: str | None) -> Column:
     s = F.locate(start, c)
     p = s + F.lit(len(start))
     if end is None:
-        body = c.substr(p, F.length(c) + 1)
-        return F.when(s == 0, F.lit("")).otherwise(pystrip(body))
-    e = _locate_from(end, c, p)
+        return F.when(s == 0, F.lit("")).otherwise(pystrip(c.substr(p, F.lit(_MAX_LEN))))
+    # first end marker anywhere; only if it lies before the field start, search the tail
+    e_any = F.locate(end, c)
+    e = F.when((e_any == 0) | (e_any >= p), e_any).otherwise(_locate_from(end, c, p))
     return F.when((s == 0) | (e == 0), F.lit("")).otherwise(pystrip(c.substr(p, e - p)))
 
 
+_MAX_LEN = 2**31 - 1
+
+
 def _locate_from(needle: str, c: Column, pos: Column) -> Column:
     """1-based position of ``needle`` in ``c`` at or after 1-based ``pos`` (0 if none)."""
-    rel = F.instr(c.substr(pos, F.length(c) + 1), needle)
+    rel = F.instr(c.substr(pos, F.lit(_MAX_LEN)), needle)
     return F.when(rel == 0, F.lit(0)).otherwise(rel + pos - 1)
 
 
+def parse_tagged_fields(c) -> dict[str, Column]:
+    """The five fields of :func:`parse_tagged` as separate columns (projecting them as
+    columns lets Catalyst evaluate each field once when several expressions use it)."""
+    c = _col(c)
+    return {
+        "ocr_text": extract_field(c, K.MARKER_OCR, K.MARKER_SUMMARY),
+        "summary": extract_field(c, K.MARKER_SUMMARY, K.MARKER_DATE),
+        "date": extract_field(c, K.MARKER_DATE, K.MARKER_PRINTED),
+        "printed": extract_field(c, K.MARKER_PRINTED, K.MARKER_LEGIBLE).contains(K.TRUE_WORD),
+        "legible": extract_field(c, K.MARKER_LEGIBLE, None).contains(K.TRUE_WORD),
+    }
+
+
 def parse_tagged(c) -> Column:
     """Five fields of a tagged sidecar as a struct (O-52).
 

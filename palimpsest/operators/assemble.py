@@ -21,11 +21,11 @@ from ..functions.nulls import coerce_text
 
 def parse_sidecars(sidecars: DataFrame, name: str = "name", content: str = "content") -> DataFrame:
     """Add the five parsed fields and an ``outcome`` (written / skipped / error)."""
-    p = sidecars.withColumn("_p", T.parse_tagged(content))
-    keep = F.col("_p.printed") & F.col("_p.legible") & (F.col("_p.ocr_text") != "")
+    p = sidecars.withColumns(T.parse_tagged_fields(content))
+    keep = F.col("printed") & F.col("legible") & (F.col("ocr_text") != "")
     outcome = (F.when(F.col(content).isNull(), F.lit("error"))
                .when(keep, F.lit("written")).otherwise(F.lit("skipped")))
-    return p.select("*", F.col("_p.*"), outcome.alias("outcome")).drop("_p")
+    return p.withColumn("outcome", outcome)
 
 
 def clean_silver(sidecars: DataFrame, name: str = "name", content: str = "content") -> DataFrame:
@@ -76,12 +76,21 @@ def join_gold_silver(gold: DataFrame, silver: DataFrame, legacy_null_keys: bool
     counted by :func:`attrition_report` and dropped by :func:`filter_complete`).
     Repeated ids fan out as in any equi-join. ``legacy_null_keys`` lets null keys match.
     """
-    s = silver.select(F.replace(F.col("ID"), F.lit(".jpg"), F.lit("")).alias("_sid"), F.col("ocr").alias("silver"))
+    s = silver.select(F.replace(F.col("ID"), F.lit(".jpg"), F.lit("")).alias("_sid"), F.col("ocr").alias("silver"),
+                      F.lit(True).alias("_matched"))
     g = gold.select("id", coerce_text("gold").alias("gold"))
     cond = g["id"].eqNullSafe(s["_sid"]) if legacy_null_keys else g["id"] == s["_sid"]
     return g.join(s, cond, "left").drop("_sid")
 
 
+def drop_failed_merges(merged: DataFrame) -> DataFrame:
+    """Drop rows whose silver text is missing (no match, or a null text).
+
+    Tested through the match flag and a plain null check on the carried column, so the
+    optimizer does not push a copy of the silver expression into the join."""
+    return merged.filter(F.col("_matched").isNotNull() & F.col("silver").isNotNull()).drop("_matched")
+
+
 def sidecar_texts(sidecars: DataFrame, mode: str = "drop_pyte", out: str = "pyte") -> DataFrame:
     """O-02 result as ``(id, <out>)`` with the key derived from the file name."""
     return sidecars.select(T.doc_key("name", mode).alias("id"), F.col("content").cast("string").alias(out))
@@ -101,7 +110,7 @@ def training_table(gold_manifest: DataFrame, silver: DataFrame, engine_sidecars:
     text as ``'nan'`` as the original did); O-20.
     """
     g = project_rename(gold_manifest, {"Asset": "id", "Transcription": "gold"})
-    merged = join_gold_silver(g, silver).dropna(subset=["silver"])
+    merged = drop_failed_merges(join_gold_silver(g, silver))
     final = join_sidecar_text(merged, sidecar_texts(engine_sidecars))
     final = final.withColumn("pyte", coerce_text("pyte", legacy_nan=True)) if legacy_nan else final.withColumn(
         "pyte", coerce_text("pyte"))
@@ -114,7 +123,7 @@ def attrition_report(gold_manifest: DataFrame, silver: DataFrame, engine_sidecar
     One aggregation over a stage-tagged union of narrow (id only) frames.
     """
     g = project_rename(gold_manifest, {"Asset": "id", "Transcription": "gold"})
-    left = join_gold_silver(g, silver)
+    left = join_gold_silver(g, silver).drop("_matched")
     final = training_table(gold_manifest, silver, engine_sidecars)
     tagged = (
         g.select(F.lit("gold").alias("stage"), F.lit(True).alias("hit"))
