@@ -184,6 +184,22 @@ def tokenise_pad(input_text: Column, target_text: Column, max_length: int = 1024
                     F.size(tt).alias("n_target"))
 
 
+def token_ids_cut(text: Column, max_length: int = 1024) -> Column:
+    """Ids of the first ``max_length`` tokens (tokens are cut before hashing)."""
+    return token_ids(F.slice(tokens(text), 1, max_length))
+
+
+def pad_ids(input_ids: Column, target_ids: Column, max_length: int = 1024, pad_id: int = PAD_ID) -> Column:
+    """O-76 from id arrays: the same struct as :func:`tokenise_pad`. Lets a table be
+    tokenised once per document and then fanned out to every arm that uses it."""
+    ii = F.slice(input_ids, 1, max_length)
+    tt = F.slice(target_ids, 1, max_length)
+    attn = pad_to(F.array_repeat(F.lit(1), F.size(ii)), max_length, 0)
+    return F.struct(pad_to(ii, max_length, pad_id).alias("input_ids"), attn.alias("attention_mask"),
+                    pad_to(tt, max_length, pad_id).alias("labels"), F.size(ii).alias("n_input"),
+                    F.size(tt).alias("n_target"))
+
+
 def collate(df: DataFrame, order: Sequence[str], batch_size: int = 16, model_max: int = 1024,
             pad_id: int = PAD_ID, ids: str = "input_ids", labels: str = "labels") -> DataFrame:
     """O-77: batches of ``batch_size`` rows in ``order``; ids padded with ``pad_id`` and

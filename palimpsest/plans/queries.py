@@ -591,9 +591,15 @@ SELECT arm, id, least(len(ii), {SFT_MAX})::INT AS n_input, least(len(tt), {SFT_M
        array_to_string(list_concat(tt[1:{SFT_MAX}], {S.repeat_list('1', f'{SFT_MAX} - len(tt)')}), ' ') AS labels
 FROM tk"""))
 def q_tokenised_ladder(spark, sf):
-    """O-76 (+ O-13 layout): every ladder arm tokenised and padded to 1024."""
-    lad = ladder(spark, sf)
-    t = lad.select("arm", "id", SF.tokenise_pad(F.col("pyte"), F.col("target"), SFT_MAX).alias("t"))
+    """O-76 (+ O-13 layout): every ladder arm tokenised and padded to 1024.
+
+    Each document is tokenised once (input, gold and silver ids), then the ladder fans
+    the id arrays out to the arms."""
+    tok = training(spark, sf).select("id", SF.token_ids_cut(F.col("pyte"), SFT_MAX).alias("pyte"),
+                                     SF.token_ids_cut(F.col("gold"), SFT_MAX).alias("gold"),
+                                     SF.token_ids_cut(F.col("silver"), SFT_MAX).alias("silver"))
+    lad = L.size_ladder(tok, ["id"])
+    t = lad.select("arm", "id", SF.pad_ids(F.col("pyte"), F.col("target"), SFT_MAX).alias("t"))
     return t.select("arm", "id", F.col("t.n_input").alias("n_input"), F.col("t.n_target").alias("n_target"),
                     F.array_join("t.input_ids", " ").alias("input_ids"), F.array_join("t.labels", " ").alias("labels"))
 
