@@ -19,31 +19,32 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import constants as K
 from ..operators import results as RS
+from ..sources.readers import file_lines
 
 
 def _parsed_stream(spark: SparkSession, directory: str, max_files: int | None) -> DataFrame:
     r = spark.readStream.option("pathGlobFilter", "*.jsonl")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    lines = r.text(directory).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("line"))
-    return RS.parse_result_lines(lines)
+    files = r.text(directory, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+    return RS.parse_result_lines(file_lines(files))
 
 
 def ingest_results_stream(spark: SparkSession, directory: str, table_path: str, checkpoint: str,
                           available_now: bool = True, max_files: int | None = None):
     """O-78: start the ingestion query; returns the ``StreamingQuery``.
 
-    Each micro-batch keeps, per key, its last line (by file name, then position) and
+    Each micro-batch keeps, per key, its last line (by file name, then line number) and
     writes ``(custom_id, epoch, file, content, has_choices)`` to ``table_path/epoch=<n>``;
     malformed lines go to ``table_path/../quarantine``.
     """
     parsed = _parsed_stream(spark, directory, max_files)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        b = batch.withColumn("pos", F.monotonically_increasing_id())
+        b = batch
         good = b.filter(~F.col("malformed"))
-        last = RS.last_per_key(good.select("custom_id", "file", "pos", "content", "has_choices"), "custom_id",
-                               ["file", "pos"])
+        last = RS.last_per_key(good.select("custom_id", "file", "line_no", "content", "has_choices"), "custom_id",
+                               ["file", "line_no"])
         last.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").parquet(f"{table_path}/epoch={epoch}")
         bad = b.filter(F.col("malformed")).select("file", "line")
         bad.write.mode("overwrite").parquet(f"{table_path}_quarantine/epoch={epoch}")
@@ -56,8 +57,8 @@ def ingest_results_stream(spark: SparkSession, directory: str, table_path: str,
 def current_results(spark: SparkSession, table_path: str, mode: str = "regex") -> DataFrame:
     """The ingested answers: last per key across epochs, with fields and sidecar."""
     t = spark.read.parquet(table_path)
-    last = RS.last_per_key(t.select("custom_id", "epoch", "file", "pos", "content", "has_choices"), "custom_id",
-                           ["epoch", "file", "pos"])
+    last = RS.last_per_key(t.select("custom_id", "epoch", "file", "line_no", "content", "has_choices"), "custom_id",
+                           ["epoch", "file", "line_no"])
     return RS.answer_sidecars(last, mode)
 
 

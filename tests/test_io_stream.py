@@ -109,3 +109,16 @@ def test_ledger_stream_equals_batch(spark, scratch):
     exp = SK.batch_ledger(ev, retry_limit=1).filter("outcome <> 'pending'")
     assert rows(got, "batch_id", "outcome", "attempts", "polls") == rows(exp, "batch_id", "outcome", "attempts",
                                                                            "polls")
+
+
+def test_result_jsonl_reader_line_numbers(spark, scratch):
+    d = os.path.join(scratch, "res")
+    os.makedirs(d)
+    with open(os.path.join(d, "batch_x_output.jsonl"), "w") as f:
+        f.write('{"custom_id": "k", "n": 1}\n\n{"custom_id": "k", "n": 2}\n{"custom_id": "j"}\n')
+    with open(os.path.join(d, "other.jsonl"), "w") as f:
+        f.write('{"custom_id": "z"}\n')
+    got = RD.scan_result_jsonl(spark, d, batch_id="x")
+    assert rows(got, "line_no") == [(0,), (2,), (3,)]
+    last = RS.last_per_key(RS.parse_result_lines(got).select("custom_id", "line_no", "line"), "custom_id", "line_no")
+    assert dict(rows(last, "custom_id", "line_no")) == {"k": 2, "j": 3}
