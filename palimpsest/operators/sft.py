@@ -36,11 +36,13 @@ def gather_turns(turns: DataFrame, key: str = "conv_id") -> DataFrame:
 # ------------------------------------------------------------------ O-67
 
 
-def to_conversations(df: DataFrame, key: str, image: Column, label: str, question: str = K.OCR_QUESTION) -> DataFrame:
-    """O-67: ``(id, image, groundtruth)`` -> two-turn conversation document."""
+def to_conversations(df: DataFrame, key: str, image: Column, label: str, question: str = K.OCR_QUESTION,
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """O-67: ``(id, image, groundtruth)`` -> two-turn conversation document (plus ``keep``
+    columns, e.g. the arm used to partition the output)."""
     conv = F.array(F.struct(F.lit("human").alias("from"), F.lit(question).alias("value")),
                    F.struct(F.lit("gpt").alias("from"), F.col(label).cast("string").alias("value")))
-    return df.select(F.col(key).alias("id"), image.alias("image"), conv.alias("conversations"))
+    return df.select(*keep, F.col(key).alias("id"), image.alias("image"), conv.alias("conversations"))
 
 
 # ------------------------------------------------------------------ O-68 / O-69 / O-70

@@ -783,3 +783,117 @@ def q_splits_roundtrip(spark, sf):
     out = scratch_dir(spark, "splits")
     WR.write_splits(L.split_80_10_10(ladder(spark, sf).select("arm", "id"), "id", ["arm"]), out)
     return RD.scan_splits(spark, out, split="val").select("arm", "id")
+
+
+_SIDE_CONTENT = S.tagged_content("ocr_text", "summary", "date", "is_printed", "is_legible")
+
+
+@query("sidecar_table", S.with_ctes(["answer_fields"], f"""
+SELECT custom_id AS key, sidecar_path AS path, {_SIDE_CONTENT} AS content FROM answer_fields WHERE has_choices"""))
+def q_sidecar_table(spark, sf):
+    """O-14: tagged sidecars written as a (key, path, content) table and read back."""
+    out = scratch_dir(spark, "sidecars")
+    WR.write_sidecars(RS.collect_results(FX.responses(spark, sf)), out)
+    return spark.read.parquet(out).select("key", "path", "content")
+
+
+@query("result_lines_roundtrip", S.with_ctes(["responses"], f"""
+SELECT custom_id, has_choices,
+  CASE WHEN has_choices THEN {S.answer_field(S.strip_fence('content'), 'ocr_text')} END AS ocr_text,
+  CASE WHEN has_choices THEN {S.answer_field(S.strip_fence('content'), 'summary')} END AS summary,
+  CASE WHEN has_choices THEN coalesce(nullif({S.answer_field(S.strip_fence('content'), 'date')}, ''),
+                                      {S.q(A.K.DEFAULT_DATE)}) END AS date,
+  CASE WHEN has_choices THEN {S.answer_field(S.strip_fence('content'), 'is_printed')} = 'true' END AS is_printed,
+  CASE WHEN has_choices THEN {S.answer_field(S.strip_fence('content'), 'is_legible')} = 'true' END AS is_legible
+FROM responses"""))
+def q_result_lines_roundtrip(spark, sf):
+    """O-04 reader: result lines written as text files, read back whole with exact line
+    numbers, parsed line by line (O-60..O-62)."""
+    out = scratch_dir(spark, "result_lines")
+    FX.responses(spark, sf).select(F.col("line").alias("value")).write.mode("overwrite").text(out)
+    lines = RD.scan_result_jsonl(spark, out, suffix=".txt")
+    a = RS.answer_sidecars(RS.parse_result_lines(lines).filter(~F.col("malformed")))
+    return a.select("custom_id", "has_choices", "ocr_text", "summary", "date", "is_printed", "is_legible")
+
+
+@query("request_files", _pack_sql(60000, 200).replace("SELECT i.path, i.shard, i.size, CASE WHEN w.alive THEN w.batch END AS batch",
+       "SELECT w.batch AS batch, replace(i.path, '/', '|') AS custom_id") + " WHERE w.alive")
+def q_request_files(spark, sf):
+    """O-11: request JSONL written one folder per batch (O-40 assignment, budget 60000),
+    read back: (batch, custom_id) of every line."""
+    from ..functions import text as T
+
+    it = FX.items(spark, sf)
+    packed = PK.pack_batches(it.select("path", "shard", T.b64_size("length").alias("size")), ["path"], "size",
+                             budget=60000, shard="shard")
+    req = RQ.request_lines(it, REQUEST_PROMPT).join(packed.select("path", "shard", "batch"), "path")
+    req = req.withColumn("batch", F.concat_ws("-", "shard", F.col("batch").cast("string")))
+    out = scratch_dir(spark, "requests")
+    WR.write_request_jsonl(req, out)
+    back = spark.read.text(out)
+    parsed = F.from_json("value", RQ.R.REQUEST_SCHEMA)
+    return back.select(F.substring_index(F.col("batch"), "-", -1).cast("long").alias("batch"),
+                       parsed["custom_id"].alias("custom_id"))
+
+
+@query("conversation_files", _training_with("""
+SELECT arm, id, 'What is the OCR of this image?' AS question, target AS answer FROM ladder WHERE complete"""))
+def q_conversation_files(spark, sf):
+    """O-12 then O-06: conversation documents of every complete arm written one folder per
+    arm (JSON lines) and read back."""
+    lad = L.size_ladder(training(spark, sf), ["id"], complete_only=True)
+    docs = SF.to_conversations(lad, "id", F.concat(F.lit("images/"), F.col("id"), F.lit(".jpg")), "target",
+                               keep=["arm"])
+    out = scratch_dir(spark, "conversations")
+    WR.write_conversations(docs, out)
+    back = spark.read.schema("id string, image string, conversations array<struct<from:string,value:string>>, "
+                             "arm string").json(out)
+    return back.select("arm", "id", F.get("conversations", 0)["value"].alias("question"),
+                       F.get("conversations", 1)["value"].alias("answer"))
+
+
+@query("progress_resume", _ARM_OUT_SQL + "SELECT id, arm, output, status FROM arm_out")
+def q_progress_resume(spark, sf):
+    """O-16 + O-22 / O-27: an interrupted run (untuned arm only) appended by chunk, then
+    the rerun skips what is written and appends the rest; the table holds every output once."""
+    out = scratch_dir(spark, "progress")
+    t = training(spark, sf)
+    first = GN.apply_arms(t, ARMS[:1], GN.stub_factory, "id", "pyte")
+    WR.append_progress(first, out, ["id"], every=100)
+    done = spark.read.parquet(out).select("id", "arm")
+    rest = GN.apply_arms(t, ARMS, GN.stub_factory, "id", "pyte", done=done)
+    WR.append_progress(rest, out, ["id"], every=100)
+    return spark.read.parquet(out).select("id", "arm", "output", "status")
+
+
+@query("csv_null_tokens", _testing_sql("""
+SELECT c AS "column", n_null::BIGINT AS n_null FROM (
+  SELECT 'pyte_ocr' AS c, count(*) FILTER (WHERE pyte_ocr = '') AS n_null FROM testing
+  UNION ALL SELECT 'chatgpt_ocr', count(*) FILTER (WHERE chatgpt_ocr = '') FROM testing
+  UNION ALL SELECT 'is_printed', count(*) FILTER (WHERE is_printed = '') FROM testing
+  UNION ALL SELECT 'BART_untuned', count(*) FROM testing)"""))
+def q_csv_null_tokens(spark, sf):
+    """O-10 / O-01 / O-05: the testing table written as CSV and read back with the
+    pandas null tokens made explicit; blank cells come back as nulls."""
+    out = scratch_dir(spark, "testing_csv")
+    WR.write_csv(testing(spark, sf).drop("_miss_pyte", "_miss_chatgpt"), out)
+    schema = ", ".join(f"{c} string" for c in A.K.TESTING_TEMPLATE)
+    back = RD.scan_csv(spark, out, schema, null_tokens=A.K.PANDAS_NULL_TOKENS)
+    cols = ["pyte_ocr", "chatgpt_ocr", "is_printed", "BART_untuned"]
+    counts = back.agg(*[F.count_if(F.col(c).isNull()).cast("long").alias(c) for c in cols])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_null"))
+                                             for c in cols])).alias("r")).select("r.*")
+
+
+@query("training_log", """
+SELECT event_id AS step, value AS loss, value / 2 AS eval_loss,
+       CASE WHEN event_type = 'purchase' THEN value / 100 END AS eval_accuracy FROM events""")
+def q_training_log(spark, sf):
+    """O-09: a tab-separated training log (derived from events) written and read back."""
+    out = scratch_dir(spark, "training_log")
+    e = spark.read.parquet(f"{sf}/events.parquet")
+    log = e.select(F.col("event_id").alias("step"), F.col("value").alias("loss"),
+                   (F.col("value") / 2).alias("eval_loss"),
+                   F.when(F.col("event_type") == "purchase", F.col("value") / 100).alias("eval_accuracy"))
+    log.write.mode("overwrite").option("header", True).option("sep", "\t").csv(out)
+    return RD.scan_training_log(spark, out)

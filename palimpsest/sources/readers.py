@@ -87,11 +87,11 @@ def file_lines(files: DataFrame, file: str = "file", value: str = "value") -> Da
             .filter(F.btrim(F.col("line")) != "").withColumn("line_no", F.col("line_no").cast("long")))
 
 
-def scan_result_jsonl(spark: SparkSession, path: str, batch_id: str | None = None) -> DataFrame:
+def scan_result_jsonl(spark: SparkSession, path: str, batch_id: str | None = None, suffix: str = ".jsonl") -> DataFrame:
     """O-04: result lines ``(file, line_no, line)``; files chosen by ``.jsonl`` suffix and,
     if given, ``batch_<id>`` in the name. Parse with ``operators.results``; the last line
     per key in ``(file, line_no)`` order wins (O-46)."""
-    df = spark.read.option("pathGlobFilter", "*.jsonl").text(path, wholetext=True)
+    df = spark.read.option("pathGlobFilter", f"*{suffix}").text(path, wholetext=True)
     df = df.select(F.col("_metadata.file_name").alias("file"), "value")
     if batch_id is not None:
         df = df.filter(F.col("file").contains(f"batch_{batch_id}"))
