@@ -27,6 +27,11 @@ def local_session(cpus: int | str = 8, partitions: int | None = None, app: str =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # No broadcast from file-size estimates: compressed parquet sizes hide large text
+        # columns. AQE still broadcasts a side whose measured shuffle size is under its
+        # threshold, and explicit hints are kept for sides with a proven bound.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("PALIMPSEST_DRIVER_MEMORY", "16g"))
