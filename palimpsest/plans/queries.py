@@ -827,7 +827,8 @@ def q_request_files(spark, sf):
     packed = PK.pack_batches(it.select("path", "shard", T.b64_size("length").alias("size")), ["path"], "size",
                              budget=60000, shard="shard")
     req = RQ.request_lines(it, REQUEST_PROMPT).join(packed.select("path", "shard", "batch"), "path")
-    req = req.withColumn("batch", F.concat_ws("-", "shard", F.col("batch").cast("string")))
+    req = req.withColumn("batch", F.when(F.col("batch").isNotNull(),
+                                         F.concat_ws("-", "shard", F.col("batch").cast("string"))))
     out = scratch_dir(spark, "requests")
     WR.write_request_jsonl(req, out)
     back = spark.read.text(out)
