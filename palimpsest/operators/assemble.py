@@ -187,39 +187,38 @@ def missing_report(testing: DataFrame, k: int = 5, key: str = "id") -> DataFrame
     """O-32: missing sidecars over both kinds, with the first ``k`` ids in key order.
 
     An id missing both kinds counts (and may be listed) twice. The examples come from
-    a top-k (TakeOrderedAndProject), never from collecting every missing id.
+    a top-k (TakeOrderedAndProject), never from collecting every missing id; the count
+    row and the ``k`` example rows are combined by one aggregation (no join).
     """
     long = (testing.filter("_miss_pyte").select(F.col(key).alias("id"), F.lit(0).alias("kind"))
             .unionByName(testing.filter("_miss_chatgpt").select(F.col(key).alias("id"), F.lit(1).alias("kind"))))
     counts = long.agg(F.count(F.lit(1)).cast("long").alias("missing_total"),
                       F.count_if(F.col("kind") == 0).cast("long").alias("missing_pyte"),
                       F.count_if(F.col("kind") == 1).cast("long").alias("missing_chatgpt"))
-    top = long.orderBy("id", "kind").limit(k)
-    examples = top.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "kind"))),
-                                                lambda s: s["id"]), ",").alias("examples"))
-    return _single_rows(counts, examples)
+    top = long.orderBy("id", "kind").limit(k).select(F.struct("id", "kind").alias("_ex"))
+    both = counts.withColumn("_ex", F.lit(None).cast("struct<id:string,kind:int>")).unionByName(
+        top, allowMissingColumns=True)
+    return both.agg(
+        F.max("missing_total").alias("missing_total"), F.max("missing_pyte").alias("missing_pyte"),
+        F.max("missing_chatgpt").alias("missing_chatgpt"),
+        F.array_join(F.transform(F.array_sort(F.collect_list("_ex")), lambda x: x["id"]), ",").alias("examples"))
 
 
 def blank_report(testing: DataFrame, cols: Sequence[str] = ("pyte_ocr", "chatgpt_ocr"), k: int = 5,
                  key: str = "id") -> DataFrame:
-    """O-33: per column, rows that are null or ``''`` and the first ``k`` such ids."""
-    out = None
+    """O-33: per column, rows that are null or ``''`` and the first ``k`` such ids
+    (one aggregation over the count row and the top-k rows of each column)."""
+    parts = None
     for c in cols:
         blank = testing.filter(F.col(c).isNull() | (F.col(c) == ""))
-        n = blank.agg(F.count(F.lit(1)).cast("long").alias("n_blank"))
-        ex = blank.select(key).orderBy(key).limit(k).agg(
-            F.array_join(F.array_sort(F.collect_list(key)), ",").alias("examples"))
-        row = _single_rows(n, ex).select(F.lit(c).alias("column"), "n_blank", "examples")
-        out = row if out is None else out.unionByName(row)
-    return out
-
-
-def _single_rows(*frames: DataFrame) -> DataFrame:
-    """Join frames that each hold exactly one row (global aggregates) side by side."""
-    out = frames[0].withColumn("_one", F.lit(1))
-    for f in frames[1:]:
-        out = out.join(F.broadcast(f.withColumn("_one", F.lit(1))), "_one")
-    return out.drop("_one")
+        n = blank.agg(F.count(F.lit(1)).cast("long").alias("n_blank")).select(
+            F.lit(c).alias("column"), "n_blank", F.lit(None).cast("string").alias("_ex"))
+        ex = blank.select(F.col(key).alias("_ex")).orderBy("_ex").limit(k).select(
+            F.lit(c).alias("column"), F.lit(None).cast("long").alias("n_blank"), "_ex")
+        part = n.unionByName(ex)
+        parts = part if parts is None else parts.unionByName(part)
+    return parts.groupBy("column").agg(F.max("n_blank").alias("n_blank"),
+                                       F.array_join(F.array_sort(F.collect_list("_ex")), ",").alias("examples"))
 
 
 # ----------------------------------------------------------------- O-26 / O-27 / O-38
