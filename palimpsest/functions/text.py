@@ -230,12 +230,11 @@ def clean_fenced_text(c, legacy: bool = False) -> Column:
         from_brace = F.when(brace == 0, F.substring(body, -1, 1)).otherwise(body.substr(brace, F.length(body) + 1))
     else:
         from_brace = F.when(brace == 0, F.lit(None).cast("string")).otherwise(body.substr(brace, F.length(body) + 1))
-    five = rf"(?s)^((?:{_NOT_BREAK}*(?:{_LINE_BREAK})){{5}})(.*)\z"
-    has_six = from_brace.rlike(five)
-    lead = F.regexp_extract(from_brace, five, 1)
-    rest = F.regexp_extract(from_brace, five, 2)
+    # the first five lines with their line ends (empty when there are fewer than five)
+    lead = F.regexp_extract(from_brace, rf"^((?:{_NOT_BREAK}*(?:{_LINE_BREAK})){{5}})", 1)
+    rest = from_brace.substr(F.length(lead) + 1, F.lit(_MAX_LEN))
     esc = lambda x: F.replace(x, F.lit("\\"), F.lit("|"))
-    return F.when(has_six, F.concat(esc(lead), rest)).otherwise(esc(from_brace))
+    return F.when(F.length(lead) > 0, F.concat(esc(lead), rest)).otherwise(esc(from_brace))
 
 
 # ---------------------------------------------------------------- O-64 / O-65
