@@ -6,7 +6,7 @@ Arguments named ``c`` accept a Column or a column name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import constants as K
@@ -204,37 +204,64 @@ def strip_fence(c) -> Column:
     return F.when(fenced, pystrip(inner)).otherwise(c)
 
 
-def clean_fenced_text(c, legacy: bool = False) -> Column:
-    """Sidecar clean-up of a fenced answer (O-63).
+_CF_STEPS = ("_cf_a", "_cf_last", "_cf_body", "_cf_fb", "_cf_lead", "_cf_out")
+
+
+def _clean_step(name: str, c: Column, v: dict[str, Column], legacy: bool) -> Column:
+    """One O-63 step; ``v`` maps earlier step names to columns (or expressions)."""
+    esc = lambda x: F.replace(x, F.lit("\\"), F.lit("|"))
+    if name == "_cf_a":
+        first = F.substring_index(c, "\n", 1)
+        return F.when(pystrip(first) == K.JSON_FENCE_OPEN,
+                      c.substr(F.length(first) + 2, F.lit(_MAX_LEN))).otherwise(c)
+    a = v.get("_cf_a")
+    if name == "_cf_last":
+        # last line in readlines() terms: after the last newline, or the line before a
+        # final newline (with that newline)
+        return F.when(a.endswith("\n"), F.concat(F.substring_index(a.substr(F.lit(1), F.length(a) - 1), "\n", -1),
+                                                 F.lit("\n"))).otherwise(F.substring_index(a, "\n", -1))
+    if name == "_cf_body":
+        last = v["_cf_last"]
+        return F.when(pystrip(last) == K.JSON_FENCE_CLOSE,
+                      a.substr(F.lit(1), F.length(a) - F.length(last))).otherwise(a)
+    if name == "_cf_fb":
+        body = v["_cf_body"]
+        brace = F.instr(body, "{")
+        none = F.substring(body, -1, 1) if legacy else F.lit(None).cast("string")
+        return F.when(brace == 0, none).otherwise(body.substr(brace, F.lit(_MAX_LEN)))
+    fb = v["_cf_fb"]
+    if name == "_cf_lead":
+        # the first five lines with their line ends (empty when there are fewer than five)
+        return F.regexp_extract(fb, rf"^((?:{_NOT_BREAK}*(?:{_LINE_BREAK})){{5}})", 1)
+    lead = v["_cf_lead"]
+    return F.when(F.length(lead) > 0, F.concat(esc(lead), fb.substr(F.length(lead) + 1, F.lit(_MAX_LEN)))
+                  ).otherwise(esc(fb))
+
+
+def clean_fenced(df: DataFrame, c: str, out: str, legacy: bool = False) -> DataFrame:
+    """O-63 as projections: each intermediate text is a column computed once.
 
     1. drop the first line if it is exactly the json fence (after strip),
     2. drop the last line if it is exactly the closing fence,
-    3. drop everything before the first ``{`` (none: null; ``legacy``: keep the
-       last character, as a -1 slice does),
+    3. drop everything before the first ``{`` (none: null; ``legacy``: keep the last
+       character, as a -1 slice does),
     4. backslash -> ``|`` within the first five lines (``splitlines`` boundaries).
     """
+    cur = df
+    cols = {n: F.col(n) for n in _CF_STEPS}
+    for name in _CF_STEPS:
+        cur = cur.withColumn(name, _clean_step(name, F.col(c), cols, legacy))
+    return cur.withColumn(out, F.col("_cf_out")).drop(*_CF_STEPS)
+
+
+def clean_fenced_text(c, legacy: bool = False) -> Column:
+    """O-63 as one column expression (same steps as :func:`clean_fenced`; prefer that on
+    large texts, since Spark does not share subexpressions across ``CASE`` branches)."""
     c = _col(c)
-    first = F.substring_index(c, "\n", 1)
-    after_first = F.when(pystrip(first) == K.JSON_FENCE_OPEN,
-                         c.substr(F.length(first) + 2, F.length(c) + 1)).otherwise(c)
-    # Last line in readlines() terms: the text after the last newline, or, when the
-    # text ends in a newline, the line before it (including that newline).
-    a = after_first
-    last = F.when(a.endswith("\n"),
-                  F.concat(F.substring_index(a.substr(F.lit(1), F.length(a) - 1), "\n", -1), F.lit("\n"))
-                  ).otherwise(F.substring_index(a, "\n", -1))
-    head = a.substr(F.lit(1), F.length(a) - F.length(last))
-    body = F.when(pystrip(last) == K.JSON_FENCE_CLOSE, head).otherwise(a)
-    brace = F.instr(body, "{")
-    if legacy:
-        from_brace = F.when(brace == 0, F.substring(body, -1, 1)).otherwise(body.substr(brace, F.length(body) + 1))
-    else:
-        from_brace = F.when(brace == 0, F.lit(None).cast("string")).otherwise(body.substr(brace, F.length(body) + 1))
-    # the first five lines with their line ends (empty when there are fewer than five)
-    lead = F.regexp_extract(from_brace, rf"^((?:{_NOT_BREAK}*(?:{_LINE_BREAK})){{5}})", 1)
-    rest = from_brace.substr(F.length(lead) + 1, F.lit(_MAX_LEN))
-    esc = lambda x: F.replace(x, F.lit("\\"), F.lit("|"))
-    return F.when(F.length(lead) > 0, F.concat(esc(lead), rest)).otherwise(esc(from_brace))
+    env: dict[str, Column] = {}
+    for name in _CF_STEPS:
+        env[name] = _clean_step(name, c, env, legacy)
+    return env["_cf_out"]
 
 
 # ---------------------------------------------------------------- O-64 / O-65

@@ -328,8 +328,8 @@ def q_failed_results(spark, sf):
                                    + " AS cleaned FROM responses WHERE has_choices"))
 def q_clean_fenced(spark, sf):
     """O-63: fence / preamble removal and backslash escaping of raw answers."""
-    p = RS.parse_result_lines(FX.responses(spark, sf)).filter("has_choices")
-    return p.select("line_no", TX.clean_fenced_text("content").alias("cleaned"))
+    p = RS.parse_result_lines(FX.responses(spark, sf)).filter("has_choices").select("line_no", "content")
+    return TX.clean_fenced(p, "content", "cleaned").select("line_no", "cleaned")
 
 
 # ====================================================================== packing
