@@ -1,8 +1,9 @@
 """Arms, size ladders, splits, shards and chunks (O-28, O-42, O-44, O-45, O-47..O-50).
 
 Global ranks use :func:`ordered.row_number` (range-partitioned blocks plus offsets),
-never a window without ``PARTITION BY``. The first-N ladder is a top-k of its largest
-size (``TakeOrderedAndProject``), which is the feature itself.
+never a window without ``PARTITION BY`` over a whole table. The first-N ladder is a top-k
+of its largest size over the narrow order keys (the feature itself), joined back to the
+wide rows.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from .ordered import row_number
 
-# Above this many rows the ladder ranks the whole input instead of taking a top-k.
+# Above this many keys the ladder ranks the whole input distributed instead of taking a
+# top-k of the keys in one task.
 TOP_K_LIMIT = 1_000_000
 
 
@@ -49,10 +51,13 @@ def size_ladder(df: DataFrame, order: Sequence[str], sizes: Sequence[int] = K.AR
     """
     top_n = max(sizes)
     if top_n <= TOP_K_LIMIT:
-        top = df.orderBy(*order).limit(top_n)
-        w = Window.orderBy(*order)  # at most top_n rows: a bounded single task
-        ranked = top.withColumn("rn", F.row_number().over(w)).withColumn(
+        # top-k over the order keys only (narrow rows), ranked in one bounded task, then
+        # joined back: wide text rows never pass through a single task
+        keys = df.select(*order).orderBy(*order).limit(top_n)
+        w = Window.orderBy(*order)  # at most top_n narrow rows
+        ranks = keys.withColumn("rn", F.row_number().over(w)).withColumn(
             "n_rows", F.count(F.lit(1)).over(Window.partitionBy()))
+        ranked = df.join(ranks, list(order), "inner")
     else:
         ranked = row_number(df, order, name="rn", totals=True).withColumnRenamed("rn_total", "n_rows").filter(
             F.col("rn") <= top_n)
