@@ -169,6 +169,61 @@ def label_mask(dialog: Column, header: Column, max_length: int = 1024, roles: Se
     return F.struct(F.slice(ids, 1, max_length).alias("input_ids"), F.slice(labels, 1, max_length).alias("labels"))
 
 
+def template_tokens(prompt: Column, sep2: str = "</s>") -> Column:
+    """Whitespace tokens of a template prompt with ``sep2`` as a token of its own."""
+    return tokens(F.replace(prompt, F.lit(sep2), F.lit(f" {sep2} ")))
+
+
+def label_mask_template(dialog: Column, system: Column, roles: Sequence[str] = TEMPLATE_ROLES, sep: str = " ",
+                        sep2: str = "</s>", max_length: int = 1024, start: int = 0,
+                        instruction_offset: int = 0) -> Column:
+    """O-75 (two-separator template): struct(input_ids, labels).
+
+    The prompt (O-72) is cut into rounds at ``sep2``; each round must split in exactly two
+    at ``sep + roles[1] + ': '`` (else the walk stops, as does an empty round). In each
+    round the instruction part (minus ``instruction_offset`` tokens) is masked; a round
+    advances by its tokens plus the ``sep2`` token. Tokens before ``start`` and after the
+    last complete round are masked, and if the walk does not end exactly at the token
+    count (within ``max_length``) the whole row is masked. With whitespace tokens the
+    offsets of a subword tokeniser (begin-of-text tokens) are 0.
+    """
+    prompt = render_template(dialog, system, roles, sep, sep2)
+    toks = template_tokens(prompt, sep2)
+    n = F.size(toks)
+    ids = token_ids(toks)
+    assist = sep + roles[1] + ": "
+    rounds = F.split(prompt, _re_escape(sep2))
+
+    def n_tok(x):
+        return F.size(template_tokens(x, sep2))
+
+    valid = F.transform(rounds, lambda r: (r != "") & (F.size(F.split(r, _re_escape(assist))) == 2))
+    rlen = F.transform(rounds, lambda r: n_tok(r) + 1)
+    ilen = F.transform(rounds, lambda r: n_tok(F.concat(F.get(F.split(r, _re_escape(assist)), 0), F.lit(assist)))
+                       - instruction_offset)
+    first_bad = F.array_position(valid, False)
+    k = F.when(first_bad == 0, F.size(rounds)).otherwise(first_bad - 1).cast("int")
+    cur = F.lit(start) + F.aggregate(F.slice(rlen, 1, k), F.lit(0), lambda a, b: a + b)
+    total = F.least(n, F.lit(max_length))
+    all_masked = (cur < max_length) & (cur != total)
+    # mask built from the round lengths (no per-token lambda): start, then per complete
+    # round its instruction tokens masked and the rest kept, then everything after
+    per_round = F.zip_with(rlen, ilen, lambda r, i: F.concat(
+        F.array_repeat(F.lit(True), F.greatest(F.least(i, r), F.lit(0))),
+        F.array_repeat(F.lit(False), F.greatest(r - F.greatest(i, F.lit(0)), F.lit(0)))))
+    mask = F.concat(F.array_repeat(F.lit(True), F.lit(start)), F.flatten(F.slice(per_round, 1, k)),
+                    F.array_repeat(F.lit(True), F.greatest(n - cur, F.lit(0))))
+    kept = F.zip_with(ids, mask, lambda t, m: F.when(m | m.isNull(), F.lit(K.IGNORE_INDEX)).otherwise(t))
+    labels = F.when(all_masked, F.array_repeat(F.lit(K.IGNORE_INDEX), n)).otherwise(kept)
+    return F.struct(F.slice(ids, 1, max_length).alias("input_ids"), F.slice(labels, 1, max_length).alias("labels"))
+
+
+def _re_escape(s: str) -> str:
+    import re
+
+    return re.escape(s)
+
+
 def pad_to(arr: Column, length: int | Column, value: int) -> Column:
     n = F.size(arr)
     ln = F.lit(length) if isinstance(length, int) else length

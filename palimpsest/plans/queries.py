@@ -898,3 +898,31 @@ def q_training_log(spark, sf):
                    F.when(F.col("event_type") == "purchase", F.col("value") / 100).alias("eval_accuracy"))
     log.write.mode("overwrite").option("header", True).option("sep", "\t").csv(out)
     return RD.scan_training_log(spark, out)
+
+
+@query("label_mask_template", S.with_ctes(["checked"], f"""
+, t AS (SELECT conv_id, {S.template_prompt('dialog', 'system')} AS prompt FROM checked WHERE status = 'ok')
+, r AS (SELECT conv_id, prompt, {S.template_tokens('prompt')} AS toks, string_split(prompt, '</s>') AS rounds FROM t)
+, f AS (SELECT *, {S.token_ids('toks')} AS ids,
+          list_transform(rounds, lambda x: x <> '' AND len(string_split(x, ' ASSISTANT: ')) = 2) AS valid,
+          list_transform(rounds, lambda x: len({S.template_tokens('x')}) + 1) AS rlen,
+          list_transform(rounds, lambda x: len({S.template_tokens("string_split(x, ' ASSISTANT: ')[1] || ' ASSISTANT: '")}))
+            AS ilen FROM r)
+, g AS (SELECT *, CASE WHEN list_position(valid, false) IS NULL THEN len(rounds)
+                       ELSE list_position(valid, false) - 1 END AS k FROM f)
+, h AS (SELECT *, coalesce(list_sum(rlen[1:k]), 0) AS cur, least(len(toks), {SFT_MAX}) AS total FROM g)
+, m AS (SELECT conv_id, ids[1:{SFT_MAX}] AS ids, list_transform(ids, lambda tk, p:
+          CASE WHEN (cur < {SFT_MAX} AND cur <> total) OR (p - 1) >= cur
+                 OR len(list_filter(range(1, k + 1), lambda i: (p - 1) >= coalesce(list_sum(rlen[1:i - 1]), 0)
+                        AND (p - 1) < coalesce(list_sum(rlen[1:i - 1]), 0) + ilen[i])) > 0
+               THEN -100 ELSE tk END)[1:{SFT_MAX}] AS labels FROM h)
+SELECT conv_id, len(ids)::BIGINT AS n_tokens, len(list_filter(labels, lambda v: v <> -100))::BIGINT AS n_trained,
+       array_to_string(ids, ' ') AS input_ids, array_to_string(labels, ' ') AS labels FROM m"""))
+def q_label_mask_template(spark, sf):
+    """O-75 for the two-separator template: instruction parts masked per round; rows whose
+    walk does not end at the token count (e.g. a last user turn without answer) fully masked."""
+    p = prepared_convs(spark, sf).filter(F.col("status") == "ok")
+    m = p.select("conv_id", SF.label_mask_template(F.col("dialog"), F.col("system"), max_length=SFT_MAX).alias("m"))
+    return m.select("conv_id", F.size("m.input_ids").cast("long").alias("n_tokens"),
+                    F.size(F.filter("m.labels", lambda v: v != K_IGNORE)).cast("long").alias("n_trained"),
+                    F.array_join("m.input_ids", " ").alias("input_ids"), F.array_join("m.labels", " ").alias("labels"))

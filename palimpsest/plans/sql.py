@@ -268,3 +268,15 @@ def label_mask_ids(dialog: str, system: str, max_len: int) -> tuple[str, str]:
               f"ELSE p['ids'] END)")
     labels = f"list_concat(list_concat({repeat_list('-100', 'len(' + head + ')')}, flatten({masked})), {closing})"
     return f"({ids})[1:{max_len}]", f"({labels})[1:{max_len}]"
+
+
+def template_prompt(dialog: str, system: str) -> str:
+    return (f"(coalesce({system}, {q(SFT_DEFAULT_SYSTEM)}) || ' ' || array_to_string(list_transform({dialog}, "
+            "lambda x, i: CASE WHEN x['value'] IS NULL OR x['value'] = '' "
+            "THEN (CASE x['from'] WHEN 'human' THEN 'USER' ELSE 'ASSISTANT' END) || ':' "
+            "ELSE (CASE x['from'] WHEN 'human' THEN 'USER' ELSE 'ASSISTANT' END) || ': ' || x['value'] || "
+            "CASE WHEN (i - 1) % 2 = 0 THEN ' ' ELSE '</s>' END END), ''))")
+
+
+def template_tokens(x: str) -> str:
+    return words(f"replace({x}, '</s>', ' </s> ')")
