@@ -548,8 +548,7 @@ _LM_IDS, _LM_LABELS = S.label_mask_ids("dialog", "system", SFT_MAX)
 @query("label_mask", S.with_ctes(["checked"], f"""
 , lm AS (SELECT conv_id, {_LM_IDS} AS ids, {_LM_LABELS} AS labels FROM checked WHERE status = 'ok')
 SELECT conv_id, len(ids)::BIGINT AS n_tokens, len(list_filter(labels, lambda v: v <> -100))::BIGINT AS n_trained,
-       array_to_string(ids, ' ') AS input_ids, array_to_string(labels, ' ') AS labels FROM lm""".replace(
-    "\n, lm", "lm", 0)))
+       array_to_string(ids, ' ') AS input_ids, array_to_string(labels, ' ') AS labels FROM lm"""))
 def q_label_mask(spark, sf):
     """O-75: signal-format token ids and labels with human text masked."""
     p = prepared_convs(spark, sf).filter(F.col("status") == "ok")

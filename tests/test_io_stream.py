@@ -122,3 +122,29 @@ def test_result_jsonl_reader_line_numbers(spark, scratch):
     assert rows(got, "line_no") == [(0,), (2,), (3,)]
     last = RS.last_per_key(RS.parse_result_lines(got).select("custom_id", "line_no", "line"), "custom_id", "line_no")
     assert dict(rows(last, "custom_id", "line_no")) == {"k": 2, "j": 3}
+
+
+def test_conversation_json_array_reader(spark, scratch):
+    import json
+
+    p = os.path.join(scratch, "convs.json")
+    docs = [{"id": "d1", "image": "d1.jpg", "conversations": [{"from": "human", "value": "q"},
+                                                             {"from": "gpt", "value": "a"}]},
+            {"id": "d2", "conversations": [{"from": "gpt", "value": "x"}]}]
+    with open(p, "w") as f:
+        json.dump(docs, f, indent=4)
+    got = RD.scan_conversation_json(spark, p)
+    assert rows(got, "id", "image") == [("d1", "d1.jpg"), ("d2", None)]
+
+
+def test_first_arrival_dedupe_with_watermark(spark, scratch):
+    src = os.path.join(scratch, "dedupe")
+    os.makedirs(src)
+    lines = [('{"custom_id": "a", "n": %d}' % i) for i in range(3)] + ['{"custom_id": "b"}']
+    with open(os.path.join(src, "batch_1.jsonl"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    parsed = ST._parsed_stream(spark, src, None).withColumn("ts", F.current_timestamp())
+    out = ST.dedupe_first_arrival(parsed, "ts").select("custom_id")
+    q = out.writeStream.format("memory").queryName("dedupe_out").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r.custom_id for r in spark.sql("SELECT * FROM dedupe_out").collect()) == ["a", "b"]
