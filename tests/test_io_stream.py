@@ -148,3 +148,34 @@ def test_first_arrival_dedupe_with_watermark(spark, scratch):
     q = out.writeStream.format("memory").queryName("dedupe_out").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(r.custom_id for r in spark.sql("SELECT * FROM dedupe_out").collect()) == ["a", "b"]
+
+
+def test_path_based_transcription_and_requests(spark, scratch):
+    import json
+
+    from palimpsest.operators import packing as PK
+    from palimpsest.operators import requests as RQ
+    from palimpsest.plans import stubs
+
+    d = os.path.join(scratch, "imgs")
+    os.makedirs(d)
+    texts = {"a": "one two three", "b": "x", "c": "alpha beta gamma delta", "d": "done already here"}
+    for k, t in texts.items():
+        with open(os.path.join(d, f"{k}.jpg"), "wb") as f:
+            f.write(t.encode())
+    listing = RD.scan_listing(spark, d).withColumn("id", F.regexp_extract("name", r"^(.*)\.jpg$", 1))
+    done = spark.createDataFrame([("d",)], "id string")
+    got = {r.id: (r.text, r.error) for r in RQ.transcribe_paths(listing, done, stubs.stub_engine_factory).collect()}
+    assert set(got) == {"a", "b", "c"}
+    assert got["a"] == ("one two three".translate(str.maketrans("ilo", "110")), None)
+    assert got["b"][0] is None and "unreadable" in got["b"][1]
+    sized = listing.withColumn("size", F.expr("4 * ((length + 2) div 3)")).withColumn("shard", F.lit("s"))
+    packed = PK.pack_batches(sized.select("name", "shard", "size"), ["name"], "size", budget=40, shard="shard")
+    packed = packed.join(listing.select("name", "path"), "name")
+    lines = RQ.request_lines_from_paths(packed, "  read it  ").collect()
+    assert {r.name for r in lines} == {"a.jpg", "b.jpg", "c.jpg", "d.jpg"} - {r.name for r in packed.collect()
+                                                                                if r.batch is None}
+    for r in lines:
+        j = json.loads(r.request)
+        assert j["custom_id"] == r.name and j["body"]["messages"][0]["content"][0]["text"] == "read it"
+        assert j["body"]["messages"][0]["content"][1]["image_url"]["url"].startswith("data:image/jpeg;base64,")
