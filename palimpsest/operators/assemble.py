@@ -83,12 +83,17 @@ def join_gold_silver(gold: DataFrame, silver: DataFrame, legacy_null_keys: bool
     return g.join(s, cond, "left").drop("_sid")
 
 
-def drop_failed_merges(merged: DataFrame) -> DataFrame:
+def drop_failed_merges(merged: DataFrame, silver_checked: bool = False) -> DataFrame:
     """Drop rows whose silver text is missing (no match, or a null text).
 
-    Tested through the match flag and a plain null check on the carried column, so the
-    optimizer does not push a copy of the silver expression into the join."""
-    return merged.filter(F.col("_matched").isNotNull() & F.col("silver").isNotNull()).drop("_matched")
+    Tested through the match flag. A predicate on the silver text itself would be pushed
+    by Catalyst below the projection that computes it, copying the whole text parse into
+    the join condition; ``silver_checked`` (silver from :func:`clean_silver`, non-null and
+    non-empty by construction) skips that test."""
+    cond = F.col("_matched").isNotNull()
+    if not silver_checked:
+        cond = cond & F.col("silver").isNotNull()
+    return merged.filter(cond).drop("_matched")
 
 
 def sidecar_texts(sidecars: DataFrame, mode: str = "drop_pyte", out: str = "pyte") -> DataFrame:
@@ -102,29 +107,31 @@ def join_sidecar_text(df: DataFrame, texts: DataFrame, on: str = "id") -> DataFr
 
 
 def training_table(gold_manifest: DataFrame, silver: DataFrame, engine_sidecars: DataFrame,
-                   legacy_nan: bool = False) -> DataFrame:
+                   legacy_nan: bool = False, silver_checked: bool = False) -> DataFrame:
     """Training table ``(id, gold, silver, pyte)`` (entry 1 of the workflow).
 
     gold manifest ``(Asset, Transcription)`` -> O-17 -> O-19; O-23 with silver; drop
     failed merges; O-24 with the engine text; O-19 (``legacy_nan`` keeps a missing engine
-    text as ``'nan'`` as the original did); O-20.
+    text as ``'nan'`` as the original did); O-20. ``silver_checked``: silver comes from
+    :func:`clean_silver`, whose texts are non-empty, so O-20 need not test it again.
     """
     g = project_rename(gold_manifest, {"Asset": "id", "Transcription": "gold"})
-    merged = drop_failed_merges(join_gold_silver(g, silver))
+    merged = drop_failed_merges(join_gold_silver(g, silver), silver_checked)
     final = join_sidecar_text(merged, sidecar_texts(engine_sidecars))
     final = final.withColumn("pyte", coerce_text("pyte", legacy_nan=True)) if legacy_nan else final.withColumn(
         "pyte", coerce_text("pyte"))
-    return filter_complete(final, ["gold", "silver", "pyte"])
+    return filter_complete(final, ["gold", "pyte"] if silver_checked else ["gold", "silver", "pyte"])
 
 
-def attrition_report(gold_manifest: DataFrame, silver: DataFrame, engine_sidecars: DataFrame) -> DataFrame:
+def attrition_report(gold_manifest: DataFrame, silver: DataFrame, engine_sidecars: DataFrame,
+                     silver_checked: bool = False) -> DataFrame:
     """O-31: rows in gold, silver, merged, final, and rows lost in the gold-silver merge.
 
     One aggregation over a stage-tagged union of narrow (id only) frames.
     """
     g = project_rename(gold_manifest, {"Asset": "id", "Transcription": "gold"})
     left = join_gold_silver(g, silver).drop("_matched")
-    final = training_table(gold_manifest, silver, engine_sidecars)
+    final = training_table(gold_manifest, silver, engine_sidecars, silver_checked=silver_checked)
     tagged = (
         g.select(F.lit("gold").alias("stage"), F.lit(True).alias("hit"))
         .unionByName(silver.select(F.lit("silver").alias("stage"), F.lit(True).alias("hit")))

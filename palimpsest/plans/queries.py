@@ -46,7 +46,7 @@ def q_silver_table(spark, sf):
 @query("training_table", S.with_ctes(["training"], "SELECT id, gold, silver, pyte FROM training"))
 def q_training_table(spark, sf):
     """Flagship: O-17, O-19, O-23, O-24, O-20 -> (id, gold, silver, pyte)."""
-    return A.training_table(FX.gold(spark, sf), silver(spark, sf), FX.engine(spark, sf))
+    return A.training_table(FX.gold(spark, sf), silver(spark, sf), FX.engine(spark, sf), silver_checked=True)
 
 
 @query("attrition_report", S.with_ctes(["training"], """
@@ -59,7 +59,7 @@ SELECT (SELECT count(*) FROM gold)::BIGINT AS gold_rows,
 """))
 def q_attrition_report(spark, sf):
     """O-31."""
-    return A.attrition_report(FX.gold(spark, sf), silver(spark, sf), FX.engine(spark, sf))
+    return A.attrition_report(FX.gold(spark, sf), silver(spark, sf), FX.engine(spark, sf), silver_checked=True)
 
 
 @query("parse_report", S.with_ctes(["tagged_parsed"], """
@@ -188,7 +188,7 @@ def _training_with(select: str) -> str:
 
 
 def training(spark: SparkSession, sf: str) -> DataFrame:
-    return A.training_table(FX.gold(spark, sf), silver(spark, sf), FX.engine(spark, sf))
+    return A.training_table(FX.gold(spark, sf), silver(spark, sf), FX.engine(spark, sf), silver_checked=True)
 
 
 def ladder(spark: SparkSession, sf: str) -> DataFrame:
