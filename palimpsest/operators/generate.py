@@ -74,24 +74,50 @@ def _run_generators(factory: GeneratorFactory, key_cols: Sequence[str], arm_col:
     return run
 
 
+def _run_arm_lists(factory: GeneratorFactory, key: str, arms_col: str, input_col: str):
+    """Each row arrives once with its list of arms; one output row per (row, arm)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            long = pdf[[key, input_col, arms_col]].explode(arms_col, ignore_index=True)
+            long = long[long[arms_col].notna()]
+            out = pd.Series([None] * len(long), index=long.index, dtype=object)
+            for arm, idx in long.groupby(arms_col, sort=False).groups.items():
+                inputs = long.loc[idx, input_col]
+                present = inputs.notna()
+                if present.any():
+                    res = _loaded(factory, arm)(inputs[present].astype(str))
+                    out.loc[res.index] = res.values
+            yield pd.DataFrame({key: long[key], "arm": long[arms_col], "has_input": long[input_col].notna(),
+                                "raw_output": out})
+
+    return run
+
+
 def apply_arms(df: DataFrame, arms: Sequence[str], factory: GeneratorFactory, key: str, input_col: str,
                done: DataFrame | None = None, prompt_template: str | None = K.CORRECTION_PROMPT) -> DataFrame:
     """O-80: run every arm over every row; long output ``(key, arm, output, status)``.
 
-    ``done`` (``key, arm``) holds outputs already written: those pairs are skipped
+    Each row crosses into Python once, with the list of arms still to run for it, and
+    the generator of an arm sees all of that arm's rows of a batch at once. ``done``
+    (``key, arm``) holds outputs already written: those arms are removed per key
     (null-only fill, O-22 / resume, O-27). Arms left out of ``arms`` (no checkpoint or a
     load error upstream, see :func:`latest_checkpoint`) are not run. Null input -> null
     output, status ``no_input``; blank output -> error text, status ``blank`` (O-65).
-    The prompt (O-64) travels through the Arrow batch, so status needs no second pass.
     """
     prompt = T.correction_prompt(input_col, prompt_template) if prompt_template else F.col(input_col)
-    long = df.select(F.col(key), prompt.alias("_prompt"),
-                     F.explode(F.array(*[F.lit(a) for a in arms])).alias("arm"))
+    todo = F.array(*[F.lit(a) for a in arms])
+    rows = df.select(F.col(key), prompt.alias("_prompt"))
     if done is not None:
-        long = long.join(done.select(key, "arm"), [key, "arm"], "left_anti")
-    schema = f"{key} {dict(df.dtypes)[key]}, _prompt string, arm string, raw_output string"
-    gen = long.mapInPandas(_run_generators(factory, [key, "_prompt"], "arm", "_prompt"), schema)
-    g = T.blank_guard("raw_output", has_input=F.col("_prompt").isNotNull())
+        finished = done.groupBy(key).agg(F.collect_set("arm").alias("_done"))
+        rows = rows.join(finished, key, "left")
+        pending = F.when(F.col("_done").isNull(), todo).otherwise(F.array_except(todo, F.col("_done")))
+        rows = rows.select(key, "_prompt", pending.alias("_arms")).filter(F.size("_arms") > 0)
+    else:
+        rows = rows.withColumn("_arms", todo)
+    schema = f"{key} {dict(df.dtypes)[key]}, arm string, has_input boolean, raw_output string"
+    gen = rows.mapInPandas(_run_arm_lists(factory, key, "_arms", "_prompt"), schema)
+    g = T.blank_guard("raw_output", has_input=F.col("has_input"))
     return gen.select(key, "arm", g["output"].alias("output"), g["status"].alias("status"))
 
 
