@@ -125,15 +125,18 @@ def training_table(gold_manifest: DataFrame, silver: DataFrame, engine_sidecars:
 
 def attrition_report(gold_manifest: DataFrame, silver: DataFrame, engine_sidecars: DataFrame,
                      silver_checked: bool = False) -> DataFrame:
-    """O-31: rows in gold, silver, merged, final, and rows lost in the gold-silver merge.
+    """O-31: rows in gold, silver, merged, final, rows lost in the gold-silver merge, and
+    gold keys that occur more than once (they fan out in the merge).
 
     One aggregation over a stage-tagged union of narrow (id only) frames.
     """
     g = project_rename(gold_manifest, {"Asset": "id", "Transcription": "gold"})
     left = join_gold_silver(g, silver).drop("_matched")
     final = training_table(gold_manifest, silver, engine_sidecars, silver_checked=silver_checked)
+    dup = g.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
     tagged = (
         g.select(F.lit("gold").alias("stage"), F.lit(True).alias("hit"))
+        .unionByName(dup.select(F.lit("dup").alias("stage"), F.lit(True).alias("hit")))
         .unionByName(silver.select(F.lit("silver").alias("stage"), F.lit(True).alias("hit")))
         .unionByName(left.select(F.lit("merge").alias("stage"), F.col("silver").isNotNull().alias("hit")))
         .unionByName(final.select(F.lit("final").alias("stage"), F.lit(True).alias("hit")))
@@ -145,6 +148,7 @@ def attrition_report(gold_manifest: DataFrame, silver: DataFrame, engine_sidecar
         F.count_if((st == "merge") & F.col("hit")).cast("long").alias("merged_rows"),
         F.count_if(st == "final").cast("long").alias("final_rows"),
         F.count_if((st == "merge") & ~F.col("hit")).cast("long").alias("dropped_failed_merge"),
+        F.count_if(st == "dup").cast("long").alias("duplicate_gold_keys"),
     )
 
 

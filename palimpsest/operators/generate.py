@@ -137,15 +137,21 @@ def blank_outputs_by_arm(long: DataFrame) -> DataFrame:
                                   F.count(F.lit(1)).cast("long").alias("n_rows"))
 
 
-def latest_checkpoint(dirs: DataFrame, arm: str = "arm", name: str = "dir", mtime: str = "mtime") -> DataFrame:
+def latest_checkpoint(dirs: DataFrame, arm: str = "arm", name: str = "dir", mtime: str = "mtime",
+                      arms: Sequence[str] | None = None) -> DataFrame:
     """O-36: per arm, the newest ``checkpoint-N`` by N, by modification time, and (for
-    contrast) by text order; null when an arm has none."""
+    contrast) by text order. With ``arms``, every listed arm gets a row, null when it has
+    no checkpoint (the caller skips that arm)."""
     n = F.regexp_extract(F.col(name), r"([0-9]+)$", 1)
     ok = F.col(name).startswith("checkpoint-") & (n != "")
     d = dirs.filter(ok).withColumn("_n", n.cast("long"))
-    return d.groupBy(arm).agg(F.max_by(name, "_n").alias("latest_by_number"),
-                              F.max_by(name, mtime).alias("latest_by_mtime"),
-                              F.max(name).alias("latest_by_text"))
+    latest = d.groupBy(arm).agg(F.max_by(name, "_n").alias("latest_by_number"),
+                                F.max_by(name, mtime).alias("latest_by_mtime"),
+                                F.max(name).alias("latest_by_text"))
+    if arms is None:
+        return latest
+    listed = dirs.sparkSession.range(1).select(F.explode(F.array(*[F.lit(a) for a in arms])).alias(arm))
+    return listed.join(latest, arm, "left")
 
 
 # ---------------------------------------------------------------- O-43 / O-37 / O-82

@@ -76,15 +76,24 @@ def size_ladder(df: DataFrame, order: Sequence[str], sizes: Sequence[int] = K.AR
 
 
 def split_80_10_10(df: DataFrame, key: str = "id", by: Sequence[str] = ("arm",), seed: int = K.SPLIT_SEED,
-                   test_frac: float = 0.2) -> DataFrame:
-    """O-45: exact seeded train / val / test split per ``by`` group.
-
-    held = ceil(test_frac * n), test = ceil(held / 2), val = held - test. Rows are ranked
-    by ``md5(seed || '|' || key)`` (ties by key); the first ``n - held`` are train, the
-    next ``val`` are val, the rest test. With ``by=()`` the split is computed once on the
-    whole set (the same key gets the same split in every arm).
+                   test_frac: float = 0.2, mode: str = "exact") -> DataFrame:
+    """O-45: seeded train / val / test split per ``by`` group.
+
+    ``exact``: held = ceil(test_frac * n), test = ceil(held / 2), val = held - test. Rows
+    are ranked by ``md5(seed || '|' || key)`` (ties by key) with a distributed row number;
+    the first ``n - held`` are train, the next ``val`` are val, the rest test. With
+    ``by=()`` the split is computed once on the whole set (the same key gets the same
+    split in every arm). ``threshold``: the hash read as a uniform number in [0, 1) picks
+    the split row by row - no shuffle, sizes only approximately 80/10/10.
     """
     h = F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))
+    if mode == "threshold":
+        u = F.conv(F.substring(h, 1, 13), 16, 10).cast("double") / float(16 ** 13)
+        split = (F.when(u < 1 - test_frac, F.lit("train")).when(u < 1 - test_frac / 2, F.lit("val"))
+                 .otherwise(F.lit("test")))
+        return df.withColumn("split", split)
+    if mode != "exact":
+        raise ValueError(f"unknown split mode {mode!r}")
     ranked = row_number(df.withColumn("_h", h), ["_h", key], keys=list(by), name="_r", totals=True)
     n = F.col("_r_total")
     held = F.ceil(n * F.lit(test_frac)).cast("long")

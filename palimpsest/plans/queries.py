@@ -55,7 +55,8 @@ SELECT (SELECT count(*) FROM gold)::BIGINT AS gold_rows,
        (SELECT count(*) FROM gold g JOIN silver s ON g.id = replace(s.ID, '.jpg', ''))::BIGINT AS merged_rows,
        (SELECT count(*) FROM training)::BIGINT AS final_rows,
        (SELECT count(*) FROM gold g WHERE NOT EXISTS
-           (SELECT 1 FROM silver s WHERE g.id = replace(s.ID, '.jpg', '')))::BIGINT AS dropped_failed_merge
+           (SELECT 1 FROM silver s WHERE g.id = replace(s.ID, '.jpg', '')))::BIGINT AS dropped_failed_merge,
+       (SELECT count(*) FROM (SELECT id FROM gold GROUP BY id HAVING count(*) > 1))::BIGINT AS duplicate_gold_keys
 """))
 def q_attrition_report(spark, sf):
     """O-31."""
