@@ -55,7 +55,7 @@ def size_ladder(df: DataFrame, order: Sequence[str], sizes: Sequence[int] = K.AR
         # joined back: wide text rows never pass through a single task
         keys = df.select(*order).orderBy(*order).limit(top_n)
         w = Window.orderBy(*order)  # at most top_n narrow rows
-        ranks = keys.withColumn("rn", F.row_number().over(w)).withColumn(
+        ranks = keys.withColumn("rn", F.row_number().over(w).cast("long")).withColumn(
             "n_rows", F.count(F.lit(1)).over(Window.partitionBy()))
         ranked = df.join(ranks, list(order), "inner")
     else:

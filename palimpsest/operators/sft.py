@@ -269,7 +269,7 @@ def collate(df: DataFrame, order: Sequence[str], batch_size: int = 16, model_max
     pid = pad_to(F.col(ids), F.col("_w"), pad_id)
     return (r.withColumn(ids, pid).withColumn(labels, pad_to(F.col(labels), F.col("_w"), K.IGNORE_INDEX))
             .withColumn("attention_mask", F.transform(ids, lambda x: x != pad_id))
-            .withColumn("padded_len", F.col("_w")).drop("_rn", "_w"))
+            .withColumn("padded_len", F.col("_w").cast("long")).drop("_rn", "_w"))
 
 
 # ------------------------------------------------------------------ O-39
