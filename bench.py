@@ -1,14 +1,16 @@
 """Bench: run every registered query at $BENCH_SF_DIR on local[$BENCH_CPUS] with the
 ``noop`` sink and print one JSON line.
 
-Each query is run once as a warm-up (unless BENCH_WARMUP=0) and then timed; the value
-is the sum of the timed runs.
+Each query is run once as a warm-up (unless BENCH_WARMUP=0) and then timed
+BENCH_REPEATS times (default 3); a query's time is the median of its timed runs and the
+value is the sum of those medians.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -30,9 +32,12 @@ def main() -> None:
             continue
         if warm:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        t0 = time.perf_counter()
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(max(1, int(os.environ.get("BENCH_REPEATS", "3")))):
+            t0 = time.perf_counter()
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(runs), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": sf, "cpus": cpus}))

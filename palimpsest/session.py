@@ -32,7 +32,7 @@ def local_session(cpus: int | str = 8, partitions: int | None = None, app: str =
         # threshold, and explicit hints are kept for sides with a proven bound.
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "10MB")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", os.environ.get("PALIMPSEST_CLEAN_CHECKPOINTS", "true"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("PALIMPSEST_DRIVER_MEMORY", "16g"))
