@@ -57,4 +57,6 @@ def append_progress(outputs: DataFrame, path: str, order: Sequence[str], every:
     """O-16: append outputs partitioned by ``(arm, chunk)``; a rerun anti-joins what is
     there (``operators.assemble.pending``) and only computes the rest."""
     chunked = chunk_id(outputs, order, every, by=by).drop("rn", "save_point")
+    # no extra shuffle: the chunk scan leaves rows clustered by blocks of contiguous order
+    # ranges per arm, so each task writes into few (arm, chunk) folders
     chunked.write.mode("append").partitionBy(*by, "chunk").parquet(path)
