@@ -926,3 +926,29 @@ def q_label_mask_template(spark, sf):
     return m.select("conv_id", F.size("m.input_ids").cast("long").alias("n_tokens"),
                     F.size(F.filter("m.labels", lambda v: v != K_IGNORE)).cast("long").alias("n_trained"),
                     F.array_join("m.input_ids", " ").alias("input_ids"), F.array_join("m.labels", " ").alias("labels"))
+
+
+GLOBAL_BUDGET = 100000
+
+
+@query("request_batches_single", f"""WITH RECURSIVE items AS (
+  SELECT lang || '/' || source || '/d' || doc_id || '.jpg' AS path,
+         (4 * ((strlen(text) + 2) // 3))::BIGINT AS size FROM documents),
+pos AS (SELECT *, row_number() OVER (ORDER BY path) - 1 AS p FROM items),
+walk AS (
+  SELECT p, 0::BIGINT AS batch, size AS fill, size <= {GLOBAL_BUDGET} AS alive FROM pos WHERE p = 0
+  UNION ALL
+  SELECT n.p,
+         CASE WHEN w.fill + n.size <= {GLOBAL_BUDGET} THEN w.batch ELSE w.batch + 1 END,
+         CASE WHEN w.fill + n.size <= {GLOBAL_BUDGET} THEN w.fill + n.size ELSE n.size END,
+         (w.fill + n.size <= {GLOBAL_BUDGET}) OR (n.size <= {GLOBAL_BUDGET} AND w.batch + 1 < 200)
+  FROM walk w JOIN pos n ON n.p = w.p + 1
+  WHERE w.alive)
+SELECT i.path, i.size, CASE WHEN w.alive THEN w.batch END AS batch
+FROM pos i LEFT JOIN walk w USING (p)""")
+def q_request_batches_single(spark, sf):
+    """O-40 in the original's form: one listing, no shards, at most 200 batches."""
+    from ..functions import text as T
+
+    it = FX.items(spark, sf).select("path", T.b64_size("length").alias("size"))
+    return PK.pack_batches(it, ["path"], "size", budget=GLOBAL_BUDGET, max_batches=PK.K.MAX_BATCHES)
