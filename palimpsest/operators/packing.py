@@ -52,6 +52,13 @@ def pack_batches(items: DataFrame, order: Sequence[str], size: str, budget: int
     s = prefix_scan(base, keys, order, {"_pos1": ("sum", F.lit(1).cast("long")), "_E": ("sum", F.col("_size"))})
     s = s.withColumn("_pos", F.col("_pos1") - 1).drop("_pos1")
     s = materialize(s)
+    # Exact pruning under the batch cap: the first ``max_batches`` batches hold at most
+    # ``max_batches * budget`` bytes, so an item whose inclusive prefix sum is larger is
+    # never assigned, and the next-start of every batch below the cap lies at or before
+    # the first such item. Only candidates enter the as-of count and the lifting joins.
+    everything = s
+    if max_batches is not None:
+        s = s.filter(F.col("_E") <= F.lit(max_batches) * F.lit(budget))
 
     # 2. next(i) = #{j : E[j] <= E[i] - size[i] + budget}  (as-of count)
     pts = s.select(*keys, F.col("_E").alias("_val"), F.lit(0).alias("_kind"), F.col("_pos").alias("_p"))
@@ -103,7 +110,8 @@ def pack_batches(items: DataFrame, order: Sequence[str], size: str, budget: int
     assigned = sc.filter(F.col("_kind") == 1).select(
         *keys, F.col("_p").alias("_pos"),
         F.when(F.col("_p") < F.col("_cur._end"), F.col("_cur._batch")).alias("batch"))
-    out = s.join(assigned, [*keys, "_pos"]).select(*keys, *order, F.col("_size").alias(size), "batch")
+    out = everything.join(assigned, [*keys, "_pos"], "left").select(*keys, *order, F.col("_size").alias(size),
+                                                                   "batch")
     return out
 
 
