@@ -179,3 +179,62 @@ def test_path_based_transcription_and_requests(spark, scratch):
         j = json.loads(r.request)
         assert j["custom_id"] == r.name and j["body"]["messages"][0]["content"][0]["text"] == "read it"
         assert j["body"]["messages"][0]["content"][1]["image_url"]["url"].startswith("data:image/jpeg;base64,")
+
+
+class _Flaky:
+    """Fails a URL as many times as its last digit says, then returns bytes."""
+
+    def __init__(self):
+        self.tries = {}
+
+    def __call__(self, url):
+        n = self.tries.get(url, 0)
+        self.tries[url] = n + 1
+        return b"ok" if n >= int(url[-1]) else None
+
+
+def _flaky_factory():
+    return _Flaky()
+
+
+def test_fetch_backoff_and_statuses(spark):
+    from palimpsest.operators import requests as RQ
+
+    waits = []
+    manifest = spark.createDataFrame([("a", "u0"), ("b", "u2"), ("c", "u7"), ("d", "u0")], "key string, url string")
+    present = spark.createDataFrame([("d",)], "key string")
+    got = {r.key: (r.status, r.attempts, r.bytes) for r in RQ.fetch_manifest(
+        manifest.coalesce(1), present, _flaky_factory, sleep=waits.append, threads=1).collect()}
+    assert got == {"a": ("Downloaded", 1, 2), "b": ("Downloaded", 3, 2),
+                   "c": ("Failed after max retries", 5, None), "d": ("Exists", 0, None)}
+
+
+def test_fetch_backoff_sequence():
+    from palimpsest.operators.requests import _fetch_rows
+
+    import pandas as pd
+
+    waits = []
+    run = _fetch_rows(_flaky_factory, 5, waits.append, threads=1)
+    out = list(run(iter([pd.DataFrame({"key": ["c"], "url": ["u9"]})])))[0]
+    assert waits == [1, 2, 4, 8, 16] and out["attempts"].tolist() == [5]
+
+
+def test_request_files_one_per_batch_and_quarantine(spark, scratch):
+    from palimpsest.operators import assemble as A
+
+    req = spark.createDataFrame([("0", '{"a":1}'), ("0", '{"a":2}'), ("1", '{"a":3}'), (None, '{"a":4}')],
+                                "batch string, request string").repartition(3)
+    out = os.path.join(scratch, "req")
+    W.write_request_jsonl(req, out)
+    files = {d: [f for f in os.listdir(os.path.join(out, d)) if f.endswith(".txt")]
+             for d in os.listdir(out) if d.startswith("batch=")}
+    assert sorted(files) == ["batch=0", "batch=1"] and all(len(v) == 1 for v in files.values())
+    side = spark.createDataFrame([("x.jpg.txt", "OCR Text: a\nSummary: s\nDate: d\nPrinted: True\nLegible: True"),
+                                  ("y.jpg.txt", None)],
+                                 "name string, content string")
+    good, bad = A.quarantine(A.parse_sidecars(side))
+    qpath = os.path.join(scratch, "quarantine")
+    W.write_quarantine(bad.select("name", "outcome"), qpath)
+    assert rows(spark.read.parquet(qpath), "name", "outcome") == [("y.jpg.txt", "error")]
+    assert rows(good, "name", "outcome") == [("x.jpg.txt", "written")]
