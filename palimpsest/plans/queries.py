@@ -952,3 +952,53 @@ def q_request_batches_single(spark, sf):
 
     it = FX.items(spark, sf).select("path", T.b64_size("length").alias("size"))
     return PK.pack_batches(it, ["path"], "size", budget=GLOBAL_BUDGET, max_batches=PK.K.MAX_BATCHES)
+
+
+# ====================================================================== streams
+
+from ..streaming import ingest as STR  # noqa: E402
+
+
+@query("result_stream", S.with_ctes(["answer_fields"], """
+SELECT custom_id, has_choices, ocr_text, summary, date, is_printed, is_legible, sidecar_path FROM answer_fields"""))
+def q_result_stream(spark, sf):
+    """O-78: result files ingested by a Structured Streaming query (availableNow, checkpointed,
+    idempotent per-epoch writes) and read back as the current answers (last line per key)."""
+    base = scratch_dir(spark, "result_stream")
+    src = f"{base}/incoming"
+    # result files in line order (range-partitioned by line number, one file per partition)
+    FX.responses(spark, sf).orderBy("line_no").select(F.col("line").alias("value")).write.mode(
+        "overwrite").text(src)
+    q = STR.ingest_results_stream(spark, src, f"{base}/table", f"{base}/checkpoint", suffix=".txt")
+    q.awaitTermination()
+    cur = STR.current_results(spark, f"{base}/table")
+    return cur.select("custom_id", "has_choices", "ocr_text", "summary", "date", "is_printed", "is_legible",
+                      "sidecar_path")
+
+
+@query("ledger_stream", f"""
+WITH p AS (SELECT 'batch_' || user_id AS batch_id, ts, event_id,
+                  CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed'
+                                  WHEN 'signup' THEN 'expired' ELSE 'in_progress' END AS status FROM events),
+s AS (SELECT *, status IN ('completed', 'failed', 'expired') AS term,
+             sum((status NOT IN ('completed', 'failed', 'expired'))::INT) OVER w AS nt,
+             row_number() OVER w AS rn
+      FROM p WINDOW w AS (PARTITION BY batch_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+e AS (SELECT batch_id, arg_min(status, (ts, event_id)) AS st, arg_min(nt, (ts, event_id)) AS nt,
+             arg_min(rn, (ts, event_id)) AS rn, arg_min(NOT term, (ts, event_id)) AS gave_up
+      FROM s WHERE term OR nt > {LEDGER_RETRY} GROUP BY batch_id)
+SELECT batch_id, CASE WHEN gave_up THEN 'given_up' ELSE st END AS outcome,
+       (CASE WHEN gave_up THEN {LEDGER_RETRY} ELSE nt END)::BIGINT AS attempts, rn::BIGINT AS polls FROM e
+""")
+def q_ledger_stream(spark, sf):
+    """O-79 (stream): polls read as a stream, per-batch state with applyInPandasWithState;
+    each batch's outcome is emitted once when it ends (pending batches stay in state)."""
+    base = scratch_dir(spark, "ledger_stream")
+    polls = FX.status_events(spark, sf).select("batch_id", "ts", "event_id", "status")
+    polls.write.mode("overwrite").parquet(f"{base}/polls")
+    stream = spark.readStream.schema(polls.schema).parquet(f"{base}/polls")
+    out = STR.batch_ledger_stream(stream, retry_limit=LEDGER_RETRY)
+    q = (out.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("batch_id", "outcome", "attempts", "polls")

@@ -22,8 +22,8 @@ from ..operators import results as RS
 from ..sources.readers import file_lines
 
 
-def _parsed_stream(spark: SparkSession, directory: str, max_files: int | None) -> DataFrame:
-    r = spark.readStream.option("pathGlobFilter", "*.jsonl")
+def _parsed_stream(spark: SparkSession, directory: str, max_files: int | None, suffix: str = ".jsonl") -> DataFrame:
+    r = spark.readStream.option("pathGlobFilter", f"*{suffix}")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     files = r.text(directory, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
@@ -31,14 +31,14 @@ def _parsed_stream(spark: SparkSession, directory: str, max_files: int | None) -
 
 
 def ingest_results_stream(spark: SparkSession, directory: str, table_path: str, checkpoint: str,
-                          available_now: bool = True, max_files: int | None = None):
+                          available_now: bool = True, max_files: int | None = None, suffix: str = ".jsonl"):
     """O-78: start the ingestion query; returns the ``StreamingQuery``.
 
     Each micro-batch keeps, per key, its last line (by file name, then line number) and
     writes ``(custom_id, epoch, file, content, has_choices)`` to ``table_path/epoch=<n>``;
     malformed lines go to ``table_path/../quarantine``.
     """
-    parsed = _parsed_stream(spark, directory, max_files)
+    parsed = _parsed_stream(spark, directory, max_files, suffix)
 
     def write(batch: DataFrame, epoch: int) -> None:
         b = batch
