@@ -1002,3 +1002,37 @@ def q_ledger_stream(spark, sf):
          .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select("batch_id", "outcome", "attempts", "polls")
+
+
+# ====================================================================== sidecar folders and listings
+
+
+def _image_folder(spark, sf) -> str:
+    """A folder of image files (the document bytes), tagged sidecars and engine sidecars."""
+    base = scratch_dir(spark, "images")
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    images = d.select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("path"),
+                      F.encode("text", "UTF-8").alias("content"))
+    files = images.unionByName(FX.tagged(spark, sf).select(F.col("name").alias("path"),
+                                                           F.encode("content", "UTF-8").alias("content")))
+    files = files.unionByName(FX.engine(spark, sf).select(F.col("name").alias("path"),
+                                                          F.encode("content", "UTF-8").alias("content")))
+    WR.write_files(files, base).write.format("noop").mode("overwrite").save()
+    return base
+
+
+@query("sidecar_files", S.with_ctes(["silver"], "SELECT ID, ocr FROM silver"))
+def q_sidecar_files(spark, sf):
+    """O-14 files, then O-02: tagged sidecars written one file per key next to the images,
+    read back whole from the folder (``*.txt``) and cleaned into the silver table."""
+    folder = _image_folder(spark, sf)
+    return A.clean_silver(RD.scan_text_sidecars(spark, folder, ".txt"))
+
+
+@query("image_listing", """
+SELECT 'd' || doc_id || '.jpg' AS name, strlen(text)::BIGINT AS length FROM documents""")
+def q_image_listing(spark, sf):
+    """O-03: image files of a mixed folder (images and both sidecar kinds) by suffix,
+    metadata only (``content`` is pruned from the binaryFile scan)."""
+    folder = _image_folder(spark, sf)
+    return RD.scan_listing(spark, folder).select("name", "length")

@@ -47,6 +47,33 @@ def write_sidecars(answers: DataFrame, path: str, mode: str = "overwrite") -> No
     sidecar_table(answers).write.mode(mode).parquet(path)
 
 
+def write_files(df: DataFrame, base: str, path: str = "path", content: str = "content") -> DataFrame:
+    """O-14 as real files: every row's ``content`` (text or bytes) written to
+    ``base/<path>`` by the task holding the row (``pyarrow.fs``: local, HDFS, S3).
+
+    Returns ``(path, bytes)`` of what was written; the write happens when that frame is
+    evaluated. Last write wins for a repeated path, as with the original's sidecars
+    (deduplicate first with ``operators.results.last_per_key`` to make it explicit).
+    """
+    import pandas as pd
+
+    from ..sources.files import write_bytes
+
+    root = base.rstrip("/")
+
+    def run(batches):
+        for pdf in batches:
+            sizes = []
+            for p, c in zip(pdf["path"], pdf["content"]):
+                data = c.encode("utf-8") if isinstance(c, str) else bytes(c)
+                write_bytes(f"{root}/{p}", data)
+                sizes.append(len(data))
+            yield pd.DataFrame({"path": pdf["path"], "bytes": sizes})
+
+    return df.select(F.col(path).alias("path"), F.col(content).alias("content")).mapInPandas(
+        run, "path string, bytes long")
+
+
 def write_quarantine(bad: DataFrame, path: str, mode: str = "append") -> None:
     """O-15: rows that failed parsing, kept with their reason."""
     bad.write.mode(mode).parquet(path)

@@ -28,3 +28,16 @@ def read_bytes(path: str) -> bytes:
     target = u.path if scheme in ("", "file") else f"{u.netloc}{u.path}" if scheme == "s3" else u.path
     with fs.open_input_stream(target) as f:
         return f.read()
+
+
+def write_bytes(path: str, data: bytes) -> None:
+    """Write one file (parents created), through the same filesystem layer as ``read_bytes``."""
+    u = urlparse(path)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(u.scheme, u.scheme)
+    fs = _filesystem(scheme, u.netloc)
+    target = u.path if scheme in ("", "file") else f"{u.netloc}{u.path}" if scheme == "s3" else u.path
+    parent = target.rsplit("/", 1)[0]
+    if parent:
+        fs.create_dir(parent, recursive=True)
+    with fs.open_output_stream(target) as f:
+        f.write(data)
