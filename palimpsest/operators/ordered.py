@@ -9,8 +9,9 @@ inclusive running aggregates in three distributed steps:
    blocks (and a global order over all of them);
 2. a local running aggregate and a total per ``(block, key)`` (each window group is at
    most one block);
-3. exclusive prefix of the block totals per key (at most ``blocks`` rows per key),
-   joined back on ``(block, key)`` and combined with the local value.
+3. exclusive prefix of the block totals for the keys that cross a block boundary (at
+   most ``2 * (blocks - 1)`` rows in all), broadcast and joined back on
+   ``(block, key)``, then combined with the local value; the rows are not shuffled again.
 
 The block id comes from ``spark_partition_id()`` right after the range exchange. The
 blocked frame is checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) before
@@ -88,21 +89,23 @@ def prefix_scan(
     w_prev = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("_blk").rowsBetween(
         Window.unboundedPreceding, -1)
     w_key = Window.partitionBy(*keys) if keys else Window.partitionBy()
+    # Only keys that span a block boundary need an offset or a cross-block total. The
+    # order is range-partitioned, so each key occupies a contiguous run of blocks and
+    # each of the ``blocks - 1`` boundaries is crossed by at most one key: the table below
+    # has at most 2 * (blocks - 1) rows, a proven bound, so it is broadcast and the rows
+    # themselves are never shuffled for the join.
+    spans = summary.withColumn("_nb", F.count(F.lit(1)).over(w_key)).filter(F.col("_nb") > 1)
     off_cols = {}
     for name, (op, _) in values.items():
         fn = _AGG[op]
         off_cols[f"_off_{name}"] = fn(f"_tot_{name}").over(w_prev)
         if totals:
             off_cols[f"_all_{name}"] = fn(f"_tot_{name}").over(w_key)
-    offsets = summary.withColumns(off_cols).drop(*[f"_tot_{n_}" for n_ in values])
+    offsets = spans.withColumns(off_cols).drop("_nb", *[f"_tot_{n_}" for n_ in values])
     offsets = offsets.select(*[F.col(c).alias(f"_o{c}") if c in keys else F.col(c) for c in offsets.columns])
-    offsets = offsets.withColumnRenamed("_blk", "_o_blk")
-
-    if not keys:
-        # at most `blocks` rows: a proven bound, so broadcast
-        offsets = F.broadcast(offsets)
+    offsets = F.broadcast(offsets.withColumnRenamed("_blk", "_o_blk"))
     cond = [local["_blk"] == offsets["_o_blk"]] + [local[k].eqNullSafe(offsets[f"_o{k}"]) for k in keys]
-    joined = local.join(offsets, on=cond, how="inner")
+    joined = local.join(offsets, on=cond, how="left")
 
     out = {}
     for name, (op, _) in values.items():
@@ -114,7 +117,8 @@ def prefix_scan(
         else:
             out[name] = F.least(off, loc)
         if totals:
-            out[f"{name}_total"] = F.col(f"_all_{name}")
+            # keys inside one block: their block total is the key total
+            out[f"{name}_total"] = F.coalesce(F.col(f"_all_{name}"), F.col(f"_tot_{name}"))
     result = joined.withColumns(out)
     drop = ["_blk", "_o_blk"] + [f"_o{k}" for k in keys]
     for name in values:

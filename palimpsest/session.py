@@ -63,14 +63,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def _local_path(uri: str) -> str | None:
+    """The local filesystem path of ``uri`` (plain path or ``file:`` URI), else None."""
+    if uri.startswith("file:"):
+        rest = uri[len("file:"):]
+        return "/" + rest.lstrip("/") if rest.startswith("//") else rest
+    return None if "://" in uri or ":" in uri.split("/", 1)[0] else uri
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "tables", name)
-    if "://" not in base:
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        path = tempfile.mkdtemp(prefix=f"{name}-", dir=os.path.dirname(path))
-    return path
+    """A fresh folder under the shared checkpoint location for written tables.
+
+    Local locations (plain paths and ``file:`` URIs) get a new unique folder; on shared
+    storage (``hdfs://``, ``s3a://`` ...) the path under the checkpoint location is used
+    and overwritten by the writer."""
+    base = ensure_checkpoint_dir(spark) or tempfile.gettempdir()
+    local = _local_path(base)
+    if local is None:
+        return f"{base.rstrip('/')}/tables/{name}"
+    parent = os.path.join(local, "tables")
+    os.makedirs(parent, exist_ok=True)
+    return tempfile.mkdtemp(prefix=f"{name}-", dir=parent)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
