@@ -238,3 +238,13 @@ def test_request_files_one_per_batch_and_quarantine(spark, scratch):
     W.write_quarantine(bad.select("name", "outcome"), qpath)
     assert rows(spark.read.parquet(qpath), "name", "outcome") == [("y.jpg.txt", "error")]
     assert rows(good, "name", "outcome") == [("x.jpg.txt", "written")]
+
+
+def test_scratch_dir_is_absolute_under_file_uri_checkpoints(spark):
+    from palimpsest.session import _local_path, scratch_dir
+
+    assert _local_path("file:/tmp/ck/u1") == "/tmp/ck/u1"
+    assert _local_path("file:///tmp/ck/u1") == "/tmp/ck/u1"
+    assert _local_path("hdfs://nn/ck") is None and _local_path("s3a://b/ck") is None
+    d = scratch_dir(spark, "probe")
+    assert os.path.isabs(d) and os.path.isdir(d)
