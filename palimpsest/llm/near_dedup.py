@@ -31,7 +31,7 @@ from .common import plain_columns, steps, stored
 from .components import components
 
 #: Fingerprints in a block of the sorted order, and the most blocks (their list is held by the driver).
-BLOCK_ROWS, MAX_BLOCKS = 16_384, 1_024
+BLOCK_ROWS, MAX_BLOCKS = 131_072, 1_024
 #: Members of a leaf, children of an inner node, node pairs handled at once.
 LEAF, FAN, CHUNK = 16, 4, 1 << 17
 
