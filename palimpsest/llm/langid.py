@@ -138,8 +138,10 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """Each row's ``keep`` columns with lang_pred and score, from the whole text."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # bounded by SIZE and MAX_LANGS
-    frame = plain_columns(docs, *keep, "text")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1])
+    kept = plain_columns(docs, *keep, *([] if "text" in keep else ["text"]))
+    at = kept.columns.index("text")
+    n = len(keep)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:n])
 
     def run(batches):
         m = sent.value
@@ -150,7 +152,7 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
         new: dict[str, np.ndarray] = {}
         for part in steps(batches):
             langs, shares = [], []
-            for text in part.column(part.num_columns - 1).to_pylist():
+            for text in part.column(at).to_pylist():
                 words = words_of(text) if text else []
                 if not words or not k:
                     langs.append("und")
@@ -171,7 +173,7 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
                 langs.append(m.langs[best])
                 shares.append(float(1.0 / np.power(10.0, np.minimum(score[best] - score, 0)).sum()))
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-1], pa.array(langs, pa.string()), pa.array(shares, pa.float64())],
-                names=[*part.schema.names[:-1], "lang_pred", "score"])
+                [*part.columns[:n], pa.array(langs, pa.string()), pa.array(shares, pa.float64())],
+                names=[*part.schema.names[:n], "lang_pred", "score"])
 
-    return frame.mapInArrow(run, f"{schema}{', ' if schema else ''}lang_pred string, score double")
+    return kept.mapInArrow(run, f"{schema}{', ' if schema else ''}lang_pred string, score double")

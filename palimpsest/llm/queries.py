@@ -11,7 +11,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import ctw, fingerprints, html_text, langid, near_dedup, packing, token_files
+from . import ctw, fingerprints, html_text, langid, line_dedup, lsh_forest, near_dedup, packing, sentencepieces, token_files
 from .common import held_out, shared_dir
 
 QUERIES: dict = {}
@@ -28,6 +28,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_lsh_forest")
+def op1(spark, sf):
+    return lsh_forest.search(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 @query("op2_language_id")
 def op2(spark, sf):
     docs = table(spark, sf, "documents")
@@ -37,6 +42,11 @@ def op2(spark, sf):
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+@query("op3_sentencepiece_dropout")
+def op3(spark, sf):
+    return sentencepieces.encode_documents(table(spark, sf, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", rate=0.1, seed=20)
+
+
 @query("op4_simhash_near_dedup")
 def op4(spark, sf):
     return near_dedup.near_duplicates(table(spark, sf, "documents"), width=3, max_bits=3)
@@ -68,3 +78,9 @@ def op8(spark, sf):
 @query("op9_lm_scoring")
 def op9(spark, sf):
     return ctw.score_documents(table(spark, sf, "documents"), held_out(F.col("doc_id"), 7, 2))
+
+
+@query("op10_line_dedup")
+def op10(spark, sf):
+    found = line_dedup.line_classes(table(spark, sf, "documents"))
+    return found.select("doc_id", "line_no", "kept", "first_doc_id", "first_line_no")
