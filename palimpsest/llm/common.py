@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 
 import pyarrow as pa
@@ -53,18 +52,18 @@ def held_out(column, folds: int, fold: int):
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ..: no name can clash with another or with a helper's."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def place_of(df: DataFrame, name: str) -> str:
+    """The numbered name of a column; the first one counts if the name is given twice."""
+    if name not in df.columns:
+        raise ValueError(f"missing column {name}")
+    return f"c{df.columns.index(name)}"
+
+
 def plain_columns(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, also where other columns clash with them but for case or dots."""
-    exact = [c for c in df.columns if c in names]
-    missing = [n for n in names if n not in exact]
-    if missing:
-        raise ValueError(f"missing column {missing}")
-    if len(exact) != len(names):
-        raise ValueError(f"column given twice: {exact}")
-    wanted = {c: i for i, c in enumerate(df.columns) if c in names}
-    renamed = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    return renamed.select(*[F.col(f"c{wanted[n]}").alias(n) for n in names])
-
-
-def word_like(name: str) -> str:
-    return re.sub(r"\W", "_", name)
+    """Only the named columns, also where other columns differ from them but by case."""
+    return numbered(df).select(*[F.col(place_of(df, n)).alias(n) for n in names])

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import plain_columns, steps, stored
+from .common import numbered, place_of, plain_columns, steps, stored
 
 #: Words and n-grams kept per language and length; longest n-gram; most languages learned.
 SIZE, MAX_N, MAX_LANGS = 30_000, 6, 500
@@ -134,14 +134,13 @@ def train(docs: DataFrame, size: int = SIZE, max_n: int = MAX_N) -> Model:
     return Model(langs, tables, max_n)
 
 
-def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """Each row's ``keep`` columns with lang_pred and score, from the whole text."""
+def predict(docs: DataFrame, model: Model, *keep: str, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Each row's ``keep`` columns with two more, named by ``out``, from the whole text."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # bounded by SIZE and MAX_LANGS
-    kept = plain_columns(docs, *keep, *([] if "text" in keep else ["text"]))
-    at = kept.columns.index("text")
-    n = len(keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:n])
+    kept = numbered(docs).select(*[F.col(place_of(docs, c)) for c in keep], F.col(place_of(docs, "text")).alias("text"))
+    at = n = len(keep)
+    schema = ", ".join(f"`{c}` {f.dataType.simpleString()}" for c, f in zip(keep, kept.schema.fields))
 
     def run(batches):
         m = sent.value
@@ -174,6 +173,6 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
                 shares.append(float(1.0 / np.power(10.0, np.minimum(score[best] - score, 0)).sum()))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns[:n], pa.array(langs, pa.string()), pa.array(shares, pa.float64())],
-                names=[*part.schema.names[:n], "lang_pred", "score"])
+                names=[*keep, *out])
 
-    return kept.mapInArrow(run, f"{schema}{', ' if schema else ''}lang_pred string, score double")
+    return kept.mapInArrow(run, f"{schema}{', ' if schema else ''}{out[0]} string, {out[1]} double")

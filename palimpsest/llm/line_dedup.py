@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain_columns, steps, stored
+from .common import numbered, place_of, plain_columns, steps, stored
 from .components import components
 
 #: Characters of a shingle, least similarity, bands and rows of the signature.
@@ -243,12 +243,14 @@ def drop_repeated_lines(docs: DataFrame, least: float = LEAST, bands: int = BAND
     """``docs`` with all columns, each text without the lines that repeat an earlier one, and
     ``n_chars`` (if there is one) counted anew."""
     classes = line_classes(docs, least, bands, rows)
-    gone = classes.where("not kept").groupBy("_doc", "_hash").agg(F.collect_set("line_no").alias("_gone"))
-    columns = docs.columns
-    out = _key(docs).join(gone, ["_doc", "_hash"], "left")
-    left = F.concat_ws("\n", F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_gone"), i)))
-    out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left))
-    if "n_chars" in columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(kind))
-    return out.select(*columns)
+    gone = classes.where("not kept").groupBy("_doc", "_hash").agg(F.collect_set("line_no").alias("gone"))
+    key, text, every = place_of(docs, "doc_id"), place_of(docs, "text"), numbered(docs)
+    keyed = every.withColumn("_doc", F.coalesce(key, F.lit(_LAST))).withColumn("_hash", F.xxhash64(text))
+    out = keyed.join(gone, ["_doc", "_hash"], "left")
+    left = F.concat_ws("\n", F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("gone"), i)))
+    out = out.withColumn(text, F.when(F.col("gone").isNull(), F.col(text)).otherwise(left))
+    if "n_chars" in docs.columns:
+        count = place_of(docs, "n_chars")
+        kind = every.schema[count].dataType
+        out = out.withColumn(count, F.when(F.col("gone").isNull(), F.col(count)).otherwise(F.char_length(text)).cast(kind))
+    return out.select(*every.columns).toDF(*docs.columns)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain_columns, steps, stored
+from .common import numbered, place_of, plain_columns, steps, stored
 from .components import components
 
 #: Fingerprints in a block of the sorted order, and the most blocks (their list is held by the driver).
@@ -233,17 +233,18 @@ def keep_first(docs: DataFrame, width: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: that with the smallest
     doc_id; all columns as they are. Of documents without an id that share a fingerprint which
     no document with an id has, one stays."""
-    found = near_duplicates(docs, width, max_bits)
-    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    out = docs.join(stay, docs["doc_id"] == stay["_kept"], "left_semi")
-    counts = docs.agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d"), F.count("*").alias("a")).first()
+    found = stored(near_duplicates(docs, width, max_bits), "groups")
+    key, text, rows = place_of(docs, "doc_id"), place_of(docs, "text"), numbered(docs)
+    stay = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
+    out = rows.join(stay, F.col(key) == F.col("kept"), "left_semi")
+    counts = rows.agg(F.count(key).alias("n"), F.count_distinct(key).alias("d"), F.count("*").alias("a")).first()
     if counts["n"] != counts["d"]:  # an id given twice: one row of it stays
-        out = out.dropDuplicates(["doc_id"])
+        out = out.dropDuplicates([key])
     if counts["a"] != counts["n"]:
         alone = found.where("doc_id is null and component_id is null").select("fingerprint").distinct()
-        bare = docs.where("doc_id is null").withColumn("_fp", F.lpad(F.lower(F.hex(_fingerprint_udf(width)("text"))), 16, "0"))
-        out = out.unionByName(bare.join(alone, bare["_fp"] == alone["fingerprint"], "left_semi").dropDuplicates(["_fp"]).drop("_fp"))
-    return out
+        bare = rows.where(F.col(key).isNull()).withColumn("print", F.lpad(F.lower(F.hex(_fingerprint_udf(width)(text))), 16, "0"))
+        out = out.union(bare.join(alone, F.col("print") == F.col("fingerprint"), "left_semi").dropDuplicates(["print"]).drop("print"))
+    return out.toDF(*docs.columns)
 
 
 def _fingerprint_udf(width: int):
