@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palimpsest.llm import langid, line_dedup, near_dedup, packing
-from palimpsest.llm.common import stored
+from palimpsest.llm.common import numbered, place_of, stored
 from palimpsest.llm.queries import TOKENIZERS
 from palimpsest.session import table
 
@@ -24,10 +24,10 @@ LEAST_SHARE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = langid.train(docs.select("text", "lang"))
-    others = [c for c in docs.columns if c != "score"]
-    found = langid.predict(docs, model, *others)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*others)
+    model = langid.train(docs)
+    rows = numbered(docs).withColumn("text", F.col(place_of(docs, "text")))
+    found = langid.predict(rows, model, *rows.columns[:-1])
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).drop("lang_pred", "score").toDF(*docs.columns)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
