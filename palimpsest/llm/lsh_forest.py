@@ -113,12 +113,13 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, trees: int = TREES, s
                          F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "embedding")
     asking = queries.select("size", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"),
                             F.expr(f"cast(pmod(xxhash64(vec_id, 1), {blocks}) as int)").alias("block"),
-                            F.col("vec_id").alias("q_id"), F.col("embedding").alias("q_point"))
+                            F.col("vec_id").alias("q_id"), F.xxhash64("embedding").alias("q_key"), F.col("embedding").alias("q_point"))
 
     def meet(rows: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(rows) and len(questions):
             ids, points = rows["vec_id"].to_numpy(), np.stack(rows["embedding"].to_numpy())
+            keys = questions["q_key"].to_numpy()
             q_ids, q_points = questions["q_id"].to_numpy(), np.stack(questions["q_point"].to_numpy())
             forest = Forest(points, trees, seed)
             for q, found in forest.candidates(q_points, min(len(ids), math.ceil(share * len(ids)) + k)):
@@ -130,13 +131,11 @@ def search(vectors: DataFrame, asked: Column, k: int = 10, trees: int = TREES, s
                     near = away <= np.partition(away, k - 1)[k - 1]
                     found, away = found[near], away[near]
                 best = np.lexsort((ids[found], away))[:k]
-                out.append(pd.DataFrame({"query_id": q_ids[q], "h": q, "vec_id": ids[found[best]], "score": away[best],
-                                         "point": [q_points[q]] * len(best)}))
-        return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("query_id", "h", "vec_id", "score", "point")})
+                out.append(pd.DataFrame({"query_id": q_ids[q], "key": keys[q], "vec_id": ids[found[best]], "score": away[best]}))
+        return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "key", "vec_id", "score")})
 
     near = (every.groupBy("size", "shard", "block").cogroup(asking.groupBy("size", "shard", "block"))
-            .applyInPandas(meet, "query_id long, h long, vec_id long, score double, point array<double>"))
-    near = near.select("query_id", F.xxhash64("point").alias("point"), "vec_id", "score")
-    order = Window.partitionBy("query_id", "point").orderBy("score", "vec_id")
+            .applyInPandas(meet, "query_id long, key long, vec_id long, score double"))
+    order = Window.partitionBy("query_id", "key").orderBy("score", "vec_id")
     return (near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
