@@ -19,11 +19,12 @@ ignored. ``score`` is the share of the winner when the word scores' sum is read
 
 from __future__ import annotations
 
+import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -37,12 +38,15 @@ PENALTY, HELD_WORDS = 7.0, 400_000
 #: Longest word looked at whole; longer runs of letters are taken in pieces of this length.
 MAX_WORD = 64
 
-_WORDS = regex.compile(r"\p{L}{1,%d}" % MAX_WORD)
-_PLAIN = regex.compile(r"[^\W\d_]+")
+_WORDS = re.compile(r"[^\W\d_]{1,%d}" % MAX_WORD)
 
 
 def words_of(text: str) -> list[str]:
-    return _WORDS.findall(text.lower())
+    """Runs of letters in lower case; none if the text has no letter."""
+    words = _WORDS.findall(text.lower())
+    if words and not text.isascii() and not any(c.isalpha() for w in words for c in w):
+        return []
+    return words
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -74,6 +78,39 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return known.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def gram_counts(counts: DataFrame, max_n: int) -> DataFrame:
+    """(lang, word, n) -> (lang, k, key, n): the words' character n-grams of length k."""
+
+    def run(batches):
+        held: dict[tuple[str, int], dict[str, int]] = {}
+
+        def flush():
+            for (lang, k), c in held.items():
+                keys = list(c)
+                for i in range(0, len(keys), 50_000):
+                    part = keys[i:i + 50_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part), pa.string()), pa.array([k] * len(part), pa.int32()), pa.array(part, pa.string()),
+                         pa.array([c[x] for x in part], pa.int64())], names=["lang", "k", "key", "n"])
+
+        for batch in batches:
+            for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
+                padded = f" {word} "
+                size = len(padded)
+                for k in range(1, min(max_n, size) + 1):
+                    c = held.setdefault((lang, k), {})
+                    for i in range(size - k + 1):
+                        key = padded[i:i + k]
+                        c[key] = c.get(key, 0) + n
+            if sum(map(len, held.values())) > HELD_WORDS:
+                yield from flush()
+                held = {}
+        yield from flush()
+
+    return (counts.select("lang", "word", "n").mapInArrow(run, "lang string, k int, key string, n long")
+            .groupBy("lang", "k", "key").agg(F.sum("n").alias("n")))
+
+
 class Model:
     """Languages in order, and for n = 0 (words), 1 .. max_n: {key: row} and scores[row, language]."""
 
@@ -82,31 +119,39 @@ class Model:
         self.index = {n: dict(zip(keys, range(len(keys)))) for n, (keys, _) in tables.items()}
         self.scores = {n: s for n, (_, s) in tables.items()}
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Score of a word that no language knows."""
-        padded = f" {word} "
-        for n in range(min(self.max_n, len(padded)), 0, -1):
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """Scores (words, languages) of words that no language knows: the mean over their
+        n-grams of the longest length that any language knows."""
+        out = np.full((len(words), len(self.langs)), PENALTY, np.float32)
+        left = range(len(words))
+        padded = [f" {w} " for w in words]
+        for n in range(self.max_n, 0, -1):
             index = self.index.get(n)
             if not index:
                 continue
-            grams = [padded[i:i + n] for i in range(len(padded) - n + 1)]
-            rows = [r for r in map(index.get, grams) if r is not None]
-            if rows:
-                return self.scores[n][rows].mean(axis=0)
-        return np.full(len(self.langs), PENALTY)
+            rows, starts, whose, still = [], [], [], []
+            for i in left:
+                p = padded[i]
+                found = [r for r in [index.get(p[j:j + n]) for j in range(len(p) - n + 1)] if r is not None]
+                if found:
+                    starts.append(len(rows))
+                    rows += found
+                    whose.append(i)
+                else:
+                    still.append(i)
+            if whose:
+                sums = np.add.reduceat(self.scores[n][rows], starts, axis=0)
+                out[whose] = sums / np.diff([*starts, len(rows)])[:, None]
+            left = still
+        return out
 
 
 def train(docs: DataFrame, size: int = SIZE, max_n: int = MAX_N) -> Model:
     """The models of all labelled rows. What comes to the driver is at most
     ``size`` x (1 + max_n) rows for each of at most ``MAX_LANGS`` languages."""
     counts = stored(word_counts(docs), "words")
-    padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
-    grams = counts.select("lang", F.explode(F.array(*[F.struct(F.lit(n).alias("k"), padded.alias("w")) for n in range(1, max_n + 1)])).alias("g"), "n")
-    grams = grams.where("length(g.w) >= g.k").select(
-        "lang", F.col("g.k").alias("k"), "n",
-        F.explode(F.expr("transform(sequence(1, length(g.w) - g.k + 1), i -> substring(g.w, i, g.k))")).alias("key"))
     every = (counts.select("lang", F.lit(0).alias("k"), F.col("word").alias("key"), "n")
-             .union(grams.groupBy("lang", "k", "key").agg(F.sum("n").alias("n")).select("lang", "k", "key", "n")))
+             .union(gram_counts(counts, max_n).select("lang", "k", "key", "n")))
     every = stored(every, "grams")
     total = every.groupBy("lang", "k").agg(F.sum("n").alias("total"))
     if total.select("lang").distinct().count() > MAX_LANGS:
@@ -145,34 +190,31 @@ def predict(docs: DataFrame, model: Model, *keep: str, out: tuple[str, str] = ("
     def run(batches):
         m = sent.value
         k = len(m.langs)
-        index = m.index.get(0, {}).get
-        table = np.vstack([m.scores[0], np.zeros((1, k), np.float32)]) if 0 in m.index else np.zeros((1, max(k, 1)), np.float32)
-        none = len(table) - 1
-        new: dict[str, np.ndarray] = {}
+        index = dict(m.index.get(0, {}))  # words seen by this task are added, up to a bound
+        table = m.scores.get(0, np.zeros((0, k), np.float32))
+        base, room = len(index), max(50_000, min(400_000, 40_000_000 // max(k, 1)))
         for part in steps(batches):
-            langs, shares = [], []
-            for text in part.column(at).to_pylist():
-                words = words_of(text) if text else []
-                if not words or not k:
-                    langs.append("und")
-                    shares.append(0.0)
-                    continue
-                rows = [index(w, none) for w in words]
-                score = table[rows].sum(axis=0, dtype=np.float64)
-                if none in rows:
-                    for w, r in zip(words, rows):
-                        if r == none:
-                            one = new.get(w)
-                            if one is None:
-                                if len(new) >= 200_000:
-                                    new.clear()
-                                one = new[w] = m.unseen(w)
-                            score += one
-                best = int(score.argmin())
-                langs.append(m.langs[best])
-                shares.append(float(1.0 / np.power(10.0, np.minimum(score[best] - score, 0)).sum()))
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[:n], pa.array(langs, pa.string()), pa.array(shares, pa.float64())],
-                names=[*keep, *out])
+            words = [words_of(t) if t else [] for t in part.column(at).to_pylist()] if k else [[]] * part.num_rows
+            new = list(set().union(*words).difference(index))
+            if new:
+                index.update(zip(new, range(len(table), len(table) + len(new))))
+                table = np.vstack([table, m.unseen(new)])
+            lengths = np.array([len(w) for w in words])
+            some = np.flatnonzero(lengths)
+            langs, shares = ["und"] * part.num_rows, np.zeros(part.num_rows)
+            if len(some):
+                rows = np.fromiter(map(index.__getitem__, chain.from_iterable(words)), np.int64, int(lengths.sum()))
+                starts = (np.cumsum(lengths) - lengths)[some]
+                sums = np.add.reduceat(table[rows], starts, axis=0, dtype=np.float64)
+                best = sums.argmin(axis=1)
+                least = sums[np.arange(len(some)), best][:, None]
+                shares[some] = 1.0 / np.power(10.0, np.minimum(least - sums, 0)).sum(axis=1)
+                for i, x in zip(some.tolist(), best.tolist()):
+                    langs[i] = m.langs[x]
+            yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(langs, pa.string()), pa.array(shares)], names=[*keep, *out])
+            if len(table) > base + room:
+                for w in list(index)[base:]:
+                    del index[w]
+                table = table[:base]
 
     return kept.mapInArrow(run, f"{schema}{', ' if schema else ''}{out[0]} string, {out[1]} double")
