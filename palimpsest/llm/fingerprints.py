@@ -118,9 +118,12 @@ def edited_likeness(docs: DataFrame, radius: int = 3, every: int = 20) -> DataFr
     first = first.join(after, "k")
     wanted = first.select(F.col("k").alias("for"), F.col("next").alias("k"), "need").join(
         first.select("k", "h", F.col("fp").alias("next_fp")), "k")
-    heads = (base.select("k", "h", "text").join(wanted, ["k", "h"])
-             .select(F.col("for").alias("k"), F.expr("substring(text, 1, cast(need as int))").alias("head"), "next_fp"))
-    edited = base.join(heads, "k").select(
+    # both joins read the texts dealt by k, in the same columns, so that they are shuffled once
+    dealt = base.select("k", "h", "n", "text")
+    source = wanted.select("k", F.col("for"), F.col("h").alias("of"), "need", "next_fp")
+    heads = (dealt.join(source, "k").where(F.col("h").bitwiseXOR(F.col("of")) == 0)
+             .select(F.col("for").alias("k"), F.expr("substring(text, 1, cast(least(need, n) as int))").alias("head"), "next_fp"))
+    edited = dealt.join(heads, "k").select(
         "k", "h", "n", "next_fp",
         F.concat(F.expr("substring(text, 1, cast(n - floor(n / 2) as int))"),
                  F.expr("substring(head, 1, cast(floor(n / 2) as int))")).alias("text"))
