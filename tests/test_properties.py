@@ -5,13 +5,12 @@ from hypothesis import strategies as st
 
 from palimpsest.functions import text as X
 
-from .test_rules import python_clean, python_extract, readlines
-
 # alphabet with every whitespace / line-break kind, markers' letters and JSON punctuation
 ALPHABET = st.sampled_from(list(X.PY_WHITESPACE) + list("abcOCRTextSummaryDate:{}\\\"`json é") + ["\r\n"])
 TEXT = st.lists(ALPHABET, max_size=40).map("".join)
-MARKED = st.lists(st.one_of(TEXT, st.sampled_from(["OCR Text:", "Summary:", "Date:", "Printed:", "Legible:",
-                                                    "True", "```json\n", "\n```", "{"])), max_size=8).map("".join)
+# a field's text, and a line: without markers, line ends or braces of their own
+FIELD = st.text(alphabet="abc xyz\n\t0", max_size=15)
+LINE = st.text(alphabet="ab \\\\\"'0", max_size=10)
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
 
@@ -28,31 +27,21 @@ def test_strip_and_split(spark, vals):
 
 
 @SETTINGS
-@given(st.lists(MARKED, min_size=1, max_size=30))
-def test_extract_fields(spark, vals):
+@given(st.lists(st.tuples(FIELD, FIELD, FIELD, FIELD, FIELD, st.booleans()), min_size=1, max_size=30))
+def test_fields_come_back_stripped(spark, rows):
+    vals = [f"{pre}OCR Text:{o}Summary:{m}Date:{d}Printed: False Legible:{x}{'True' if yes else 'no'}" for pre, o, m, d, x, yes in rows]
     got = frame(spark, vals).select(X.parse_tagged("c").alias("p")).collect()
-    for v, r in zip(vals, got):
-        assert r.p.ocr_text == python_extract(v, "OCR Text:", "Summary:")
-        assert r.p.date == python_extract(v, "Date:", "Printed:")
-        assert r.p.legible == ("True" in python_extract(v, "Legible:", None))
+    assert [(r.p.ocr_text, r.p.summary, r.p.date, r.p.printed, r.p.legible) for r in got] == [
+        (o.strip(), m.strip(), d.strip(), False, yes) for _, o, m, d, _, yes in rows]
 
 
 @SETTINGS
-@given(st.lists(MARKED.filter(lambda v: "{" in v and v.strip() != ""), min_size=1, max_size=30))
-def test_clean_fenced(spark, vals):
-    vals = [v.replace("\r", "") for v in vals]  # text-mode reading turns \r\n and \r into \n
-    vals = [v for v in vals if readlines(v) and "{" in python_strip_fences(v)]
-    if not vals:
-        return
+@given(st.lists(st.tuples(st.booleans(), FIELD, st.lists(LINE, min_size=1, max_size=8)), min_size=1, max_size=30))
+def test_clean_fenced_takes_the_object_and_bars_five_lines(spark, rows):
+    vals, want = [], []
+    for fenced, pre, lines in rows:
+        body = ["{" + lines[0], *lines[1:], "}"]
+        vals.append(("```json\n" if fenced else "") + pre + "\n".join(body) + ("\n```" if fenced else ""))
+        want.append("\n".join([x.replace("\\", "|") for x in body[:5]] + body[5:]) + ("\n" if fenced else ""))
     got = frame(spark, vals).select(X.clean_fenced_text("c").alias("c")).collect()
-    for v, r in zip(vals, got):
-        assert r.c == python_clean(v), repr(v)
-
-
-def python_strip_fences(content):
-    lines = readlines(content)
-    if lines and lines[0].strip() == "```json":
-        lines = lines[1:]
-    if lines and lines[-1].strip() == "```":
-        lines = lines[:-1]
-    return "".join(lines)
+    assert [r.c for r in got] == want
