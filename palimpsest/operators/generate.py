@@ -10,6 +10,7 @@ long form, so arms and rows are spread over all tasks together.
 from __future__ import annotations
 
 import functools
+import inspect
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -23,53 +24,33 @@ Generator = Callable[[pd.Series], pd.Series]
 GeneratorFactory = Callable[[str], Generator]
 
 
-# ---------------------------------------------------------------- deterministic stub
-
-_VOWELS = str.maketrans("aeiou", "AEIOU")
-
-
-def stub_factory(arm: str) -> Generator:
-    """Deterministic stand-in for a model, mirrored exactly by the oracle SQL.
-
-    untuned: vowels upper-cased; tuned arms: the untuned output when the input length
-    is a multiple of 3 (a no-op adapter), otherwise the untuned output tagged with the
-    arm. Inputs whose length is a multiple of 11 give a blank answer.
-    """
-
-    def gen(s: pd.Series) -> pd.Series:
-        base = s.str.translate(_VOWELS)
-        n = s.str.len()
-        if arm != "untuned":
-            base = base.where(n % 3 == 0, base + " [" + arm + "]")
-        return base.where(n % 11 != 0, "")
-
-    return gen
-
-
-def part_stub_factory(arm: str) -> Generator:
-    """Stub for long-text parts: vowels upper-cased."""
-    return lambda s: s.str.translate(_VOWELS)
-
-
 # ---------------------------------------------------------------- O-80
 
 
 @functools.lru_cache(maxsize=32)
-def _loaded(factory: GeneratorFactory, arm: str) -> Generator:
-    return factory(arm)
+def _loaded(factory: GeneratorFactory, arm: str) -> Generator | Exception:
+    """The arm's generator, loaded once per worker, or the error that loading it gave."""
+    try:
+        return factory(arm)
+    except Exception as e:  # a checkpoint that cannot be loaded skips its arm, not the job
+        return e
+
 
+def _run_parts(factory: GeneratorFactory, key: str, arm: str):
+    """Each row brings a document's parts; one call for all parts of a batch, regrouped by row."""
 
-def _run_generators(factory: GeneratorFactory, key_cols: Sequence[str], arm_col: str, input_col: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-            for arm, idx in pdf.groupby(arm_col, sort=False).groups.items():
-                inputs = pdf.loc[idx, input_col]
-                present = inputs.notna()
-                if present.any():
-                    res = _loaded(factory, arm)(inputs[present].astype(str))
-                    out.loc[res.index] = res.values
-            yield pdf[[*key_cols, arm_col]].assign(raw_output=out)
+            sizes = pdf["_parts"].map(len)
+            flat = pd.Series([x for parts in pdf["_parts"] for x in parts], dtype=object)
+            number = pd.Series([i for n in sizes for i in range(n)])
+            model = _loaded(factory, arm)
+            if isinstance(model, Exception):
+                raise model
+            given = model(flat, number) if "part" in inspect.signature(model).parameters else model(flat)
+            ends = sizes.cumsum().tolist()
+            out = given.tolist()
+            yield pd.DataFrame({key: pdf[key], "_outputs": [out[b - n:b] for b, n in zip(ends, sizes)]})
 
     return run
 
@@ -82,20 +63,26 @@ def _run_arm_lists(factory: GeneratorFactory, key: str, arms_col: str, input_col
             long = pdf[[key, input_col, arms_col]].explode(arms_col, ignore_index=True)
             long = long[long[arms_col].notna()]
             out = pd.Series([None] * len(long), index=long.index, dtype=object)
+            error = pd.Series([None] * len(long), index=long.index, dtype=object)
             for arm, idx in long.groupby(arms_col, sort=False).groups.items():
+                model = _loaded(factory, arm)
+                if isinstance(model, Exception):
+                    error.loc[idx] = f"{type(model).__name__}: {model}"
+                    continue
                 inputs = long.loc[idx, input_col]
                 present = inputs.notna()
                 if present.any():
-                    res = _loaded(factory, arm)(inputs[present].astype(str))
+                    res = model(inputs[present].astype(str))
                     out.loc[res.index] = res.values
             yield pd.DataFrame({key: long[key], "arm": long[arms_col], "has_input": long[input_col].notna(),
-                                "raw_output": out})
+                                "raw_output": out, "load_error": error})
 
     return run
 
 
 def apply_arms(df: DataFrame, arms: Sequence[str], factory: GeneratorFactory, key: str, input_col: str,
-               done: DataFrame | None = None, prompt_template: str | None = K.CORRECTION_PROMPT) -> DataFrame:
+               done: DataFrame | None = None, prompt_template: str | None = K.CORRECTION_PROMPT,
+               load_errors: bool = False) -> DataFrame:
     """O-80: run every arm over every row; long output ``(key, arm, output, status)``.
 
     Each row crosses into Python once, with the list of arms still to run for it, and
@@ -103,7 +90,9 @@ def apply_arms(df: DataFrame, arms: Sequence[str], factory: GeneratorFactory, ke
     (``key, arm``) holds outputs already written: those arms are removed per key
     (null-only fill, O-22 / resume, O-27). Arms left out of ``arms`` (no checkpoint or a
     load error upstream, see :func:`latest_checkpoint`) are not run. Null input -> null
-    output, status ``no_input``; blank output -> error text, status ``blank`` (O-65).
+    output, status ``no_input``; blank output -> error text, status ``blank`` (O-65). An arm
+    whose loader raises is skipped: its rows are not in the output; ``load_errors=True``
+    returns them too, with null output and status ``load_error: <error>``.
     """
     prompt = T.correction_prompt(input_col, prompt_template) if prompt_template else F.col(input_col)
     todo = F.array(*[F.lit(a) for a in arms])
@@ -115,10 +104,14 @@ def apply_arms(df: DataFrame, arms: Sequence[str], factory: GeneratorFactory, ke
         rows = rows.select(key, "_prompt", pending.alias("_arms")).filter(F.size("_arms") > 0)
     else:
         rows = rows.withColumn("_arms", todo)
-    schema = f"{key} {dict(df.dtypes)[key]}, arm string, has_input boolean, raw_output string"
+    schema = f"{key} {dict(df.dtypes)[key]}, arm string, has_input boolean, raw_output string, load_error string"
     gen = rows.mapInPandas(_run_arm_lists(factory, key, "_arms", "_prompt"), schema)
     g = T.blank_guard("raw_output", has_input=F.col("has_input"))
-    return gen.select(key, "arm", g["output"].alias("output"), g["status"].alias("status"))
+    if not load_errors:
+        gen = gen.filter(F.col("load_error").isNull())
+    failed = F.col("load_error").isNotNull()
+    return gen.select(key, "arm", F.when(~failed, g["output"]).alias("output"),
+                      F.when(failed, F.concat(F.lit("load_error: "), "load_error")).otherwise(g["status"]).alias("status"))
 
 
 # ---------------------------------------------------------------- O-30 / O-35 / O-36
@@ -192,19 +185,21 @@ def reassemble_parts(parts: DataFrame, key: str, text: str = "part_output", note
 
 
 def correct_long_text(df: DataFrame, key: str, text_col: str, factory: GeneratorFactory, arm: str = "long",
-                      max_tokens: int = 1024, blank_part: int | None = None) -> DataFrame:
-    """O-82: split (O-43) -> generate per part (mapInPandas) -> notes (O-65) -> reassemble (O-37).
+                      max_tokens: int = 1024) -> DataFrame:
+    """O-82: split (O-43) -> generate per part -> notes (O-65) -> reassemble (O-37).
 
-    ``blank_part`` forces an empty output for that part number (test hook for the
-    empty-output path).
+    A document's parts stay in its row: they are cut, generated (all parts of an Arrow batch
+    in one call) and joined again in one task, without a shuffle. A generator with a
+    parameter ``part`` also gets the part numbers.
     """
-    parts = split_parts(df.select(key, text_col), text_col, max_tokens).select(key, "part", "part_text")
-    parts = parts.withColumn("arm", F.lit(arm))
-    schema = f"{key} {dict(df.dtypes)[key]}, part int, arm string, raw_output string"
-    gen = parts.mapInPandas(_run_generators(factory, [key, "part"], "arm", "part_text"), schema)
-    out = F.col("raw_output")
-    if blank_part is not None:
-        out = F.when(F.col("part") == blank_part, F.lit("")).otherwise(out)
-    gen = gen.withColumn("part_output", out).withColumn(
-        "note", F.when(T.pystrip(F.col("part_output")) == "", F.lit(K.NOTE_EMPTY)).otherwise(F.lit(K.NOTE_VALID)))
-    return reassemble_parts(gen, key)
+    toks = df.select(key, text_col, T.words(text_col).alias("_toks"))
+    n = F.size("_toks")
+    cut = F.transform(F.sequence(F.lit(0), F.ceil(n / F.lit(max_tokens)).cast("int") - 1),
+                      lambda i: F.array_join(F.slice("_toks", i * max_tokens + 1, max_tokens), " "))
+    rows = toks.select(key, F.when(n <= max_tokens, F.array(F.coalesce(text_col, F.lit("")))).otherwise(cut).alias("_parts"))
+    schema = f"{key} {dict(df.dtypes)[key]}, _outputs array<string>"
+    gen = rows.filter(F.col("_parts").isNotNull()).mapInPandas(_run_parts(factory, key, arm), schema)
+    notes = F.transform("_outputs", lambda x: F.when(T.pystrip(x) == "", F.lit(K.NOTE_EMPTY)).otherwise(F.lit(K.NOTE_VALID)))
+    return gen.select(key, F.size("_outputs").cast("long").alias("n_parts"),
+                      F.array_join(F.transform("_outputs", lambda x: F.coalesce(x, F.lit(""))), " ").alias("model_corrected"),
+                      F.array_join(notes, " | ").alias("notes"))

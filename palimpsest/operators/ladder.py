@@ -1,26 +1,21 @@
 """Arms, size ladders, splits, shards and chunks (O-28, O-42, O-44, O-45, O-47..O-50).
 
 Global ranks use :func:`ordered.row_number` (range-partitioned blocks plus offsets),
-never a window without ``PARTITION BY`` over a whole table. The first-N ladder is a top-k
-of its largest size over the narrow order keys (the feature itself), joined back to the
-wide rows.
+never a window without ``PARTITION BY`` over a whole table. The first-N ladder finds the
+order key of its last row on narrow keys, filters by it and ranks only those rows; repeated
+and null keys (nulls first) are rows like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from .ordered import row_number
 
-# Above this many keys the ladder ranks the whole input distributed instead of taking a
-# top-k of the keys in one task.
-TOP_K_LIMIT = 1_000_000
-
-
 def arm_grid(spark: SparkSession, labels: Sequence[str] = K.ARM_LABELS, sizes: Sequence[int] = K.ARM_SIZES,
              base_dir: str = "work") -> DataFrame:
     """O-28: label x size arms with the arm name, folders and short job name.
@@ -50,17 +45,13 @@ def size_ladder(df: DataFrame, order: Sequence[str], sizes: Sequence[int] = K.AR
     (``complete_only``), the tokeniser takes what there is.
     """
     top_n = max(sizes)
-    if top_n <= TOP_K_LIMIT:
-        # top-k over the order keys only (narrow rows), ranked in one bounded task, then
-        # joined back: wide text rows never pass through a single task
-        keys = df.select(*order).orderBy(*order).limit(top_n)
-        w = Window.orderBy(*order)  # at most top_n narrow rows
-        ranks = keys.withColumn("rn", F.row_number().over(w).cast("long")).withColumn(
-            "n_rows", F.count(F.lit(1)).over(Window.partitionBy()))
-        ranked = df.join(ranks, list(order), "inner")
-    else:
-        ranked = row_number(df, order, name="rn", totals=True).withColumnRenamed("rn_total", "n_rows").filter(
-            F.col("rn") <= top_n)
+    # the order key of row top_n, from the narrow keys; rows beyond it are never ranked
+    keys = row_number(df.select(*order), order, name="_r", totals=True)
+    last = keys.filter(F.col("_r") == F.least(F.col("_r_total"), F.lit(top_n))).first()
+    bound = F.struct(*[F.lit(last[c] if last else None).cast(df.schema[c].dataType).alias(c) for c in order])
+    near = df.filter((F.struct(*order) <= bound) if last else F.lit(False))
+    ranked = row_number(near, order, name="rn").filter(F.col("rn") <= top_n).withColumn(
+        "n_rows", F.lit(min(last["_r_total"], top_n) if last else 0))
     arms = F.array(*[F.struct(F.lit(lab).alias("label"), F.lit(int(s)).alias("size")) for lab in labels for s in sizes])
     out = ranked.withColumn("_arm", F.explode(F.filter(arms, lambda a: a["size"] >= F.col("rn"))))
     out = out.select("*", F.col("_arm.label").alias("label"), F.col("_arm.size").alias("size")).drop("_arm")
@@ -107,8 +98,8 @@ def split_80_10_10(df: DataFrame, key: str = "id", by: Sequence[str] = ("arm",),
 def assign_shards(df: DataFrame, order: Sequence, tasks: int, mode: str = "balanced") -> DataFrame:
     """O-42: contiguous shards over the ordered rows.
 
-    ``drop``: ``max(1, N // tasks)`` rows per shard, shards >= ``tasks`` dropped (the
-    remainder is lost, as in the original job array). ``last``: ``N // tasks`` per shard,
+    ``drop`` (only to reproduce the original job array): ``max(1, N // tasks)`` rows per
+    shard; rows of shards >= ``tasks`` get a null shard, so the remainder can be seen. ``last``: ``N // tasks`` per shard,
     the remainder to the last shard. ``balanced`` (default): ``rn * tasks // N``, nothing
     lost, sizes differ by at most one.
     """
@@ -117,7 +108,8 @@ def assign_shards(df: DataFrame, order: Sequence, tasks: int, mode: str = "balan
     n = F.col("_rn_total")
     if mode == "drop":
         per = F.greatest(F.lit(1), F.floor(n / tasks).cast("long"))
-        out = r.withColumn("shard", F.floor(rn0 / per).cast("long")).filter(F.col("shard") < tasks)
+        shard = F.floor(rn0 / per).cast("long")
+        out = r.withColumn("shard", F.when(shard < tasks, shard))
     elif mode == "last":
         per = F.floor(n / tasks).cast("long")
         shard = F.when(per == 0, F.lit(tasks - 1)).otherwise(F.least(F.floor(rn0 / per), F.lit(tasks - 1)))
@@ -154,7 +146,3 @@ def union_outputs(parts: Sequence[DataFrame], order: Sequence, name: str = "orig
         out = out.unionByName(p, allowMissingColumns=True)
     return row_number(out, order, name="_rn").withColumn(name, F.col("_rn") - 1).drop("_rn")
 
-
-def md5_rank_key(key: str | Column, seed: int = K.SPLIT_SEED) -> Column:
-    k = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}|"), k.cast("string")))

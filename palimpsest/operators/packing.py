@@ -35,17 +35,20 @@ from .ordered import materialize, prefix_scan
 
 
 def pack_batches(items: DataFrame, order: Sequence[str], size: str, budget: int = K.BATCH_BUDGET_BYTES,
-                 max_batches: int | None = K.MAX_BATCHES, shard: str | None = None,
+                 max_batches: int | None = None, shard: str | None = None,
                  oversize: str = "stop") -> DataFrame:
     """Assign ``batch`` (0-based, null = not sent) to every item.
 
-    ``oversize='stop'`` is the reference rule; ``'skip'`` drops items larger than the
-    budget (callers quarantine them) and packs the rest.
-    Output: ``shard`` (if given), ``order`` columns, ``size``, ``batch``.
+    ``oversize='stop'`` is the original rule; ``'skip'`` packs the rest and returns items
+    larger than the budget with a null batch. ``max_batches`` (the original's is
+    ``constants.MAX_BATCHES``) is off unless given; items beyond it have a null batch.
+    Output: ``shard`` (if given), ``order`` columns, ``size``, ``batch``, ``reason`` (null if
+    sent, else ``oversize``, ``after_oversize`` or ``batch_limit``).
     """
     order = list(order)
     keys = [shard] if shard else []
     base = items.select(*keys, *order, F.col(size).cast("long").alias("_size"))
+    too_large = base.filter(F.col("_size") > budget)
     if oversize == "skip":
         base = base.filter(F.col("_size") <= budget)
     elif oversize != "stop":
@@ -113,13 +116,19 @@ def pack_batches(items: DataFrame, order: Sequence[str], size: str, budget: int
     assigned = sc.filter(F.col("_kind") == 1).select(
         *keys, F.col("_p").alias("_pos"),
         F.when(F.col("_p") < F.col("_cur._end"), F.col("_cur._batch")).alias("batch"))
-    out = everything.join(assigned, [*keys, "_pos"], "left").select(*keys, *order, F.col("_size").alias(size),
-                                                                   "batch")
+    # what was not sent, and why: the first too large item of a shard stops it ("stop")
+    first_large = everything.filter(F.col("_size") > budget).groupBy(*keys).agg(F.min("_pos").alias("_stop"))
+    out = everything.join(assigned, [*keys, "_pos"], "left")
+    if keys:
+        out = out.join(first_large, keys, "left")
+    else:
+        found = first_large.first()
+        out = out.withColumn("_stop", F.lit(found["_stop"] if found else None).cast("long"))
+    reason = (F.when(F.col("batch").isNotNull(), F.lit(None)).when(F.col("_size") > budget, F.lit("oversize"))
+              .when(F.col("_pos") > F.col("_stop"), F.lit("after_oversize")).otherwise(F.lit("batch_limit")))
+    out = out.select(*keys, *order, F.col("_size").alias(size), "batch", reason.alias("reason"))
+    if oversize == "skip":
+        out = out.unionByName(too_large.select(*keys, *order, F.col("_size").alias(size),
+                                               F.lit(None).cast("long").alias("batch"), F.lit("oversize").alias("reason")))
     return out
 
-
-def batch_totals(packed: DataFrame, size: str, shard: str | None = None) -> DataFrame:
-    """Items and bytes per batch (unassigned items excluded)."""
-    keys = [shard] if shard else []
-    return (packed.filter(F.col("batch").isNotNull()).groupBy(*keys, "batch")
-            .agg(F.count(F.lit(1)).cast("long").alias("n_items"), F.sum(size).cast("long").alias("bytes")))

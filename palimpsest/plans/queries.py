@@ -258,8 +258,8 @@ SHARD_TASKS = 64
 
 def _shard_query(mode: str):
     def fn(spark, sf):
-        return L.assign_shards(FX.items(spark, sf).select("path"), ["path"], SHARD_TASKS, mode).select(
-            "path", "rn", "shard")
+        out = L.assign_shards(FX.items(spark, sf).select("path"), ["path"], SHARD_TASKS, mode).select("path", "rn", "shard")
+        return out.filter("shard is not null")  # mode drop: the rows that the original's job array runs
 
     fn.__doc__ = f"O-42: contiguous shards over the sorted listing, mode {mode}."
     return fn
@@ -361,7 +361,7 @@ def _pack_query(budget: int):
         from ..functions import text as T
 
         it = FX.items(spark, sf).select("path", "shard", T.b64_size("length").alias("size"))
-        return PK.pack_batches(it, ["path"], "size", budget=budget, max_batches=PK.K.MAX_BATCHES, shard="shard")
+        return PK.pack_batches(it, ["path"], "size", budget=budget, max_batches=PK.K.MAX_BATCHES, shard="shard").drop("reason")
 
     fn.__doc__ = f"O-40 (+ O-58 size): next-fit batches of base64 size per language, budget {budget}."
     return fn
@@ -424,6 +424,7 @@ def q_batch_ledger(spark, sf):
 # ====================================================================== generation
 
 from ..operators import generate as GN  # noqa: E402
+from . import stubs as ST  # noqa: E402
 
 ARMS = ["untuned"] + [f"{lab}_{s}" for lab in GN.K.ARM_LABELS for s in GN.K.ARM_SIZES]
 _ARMS_VALUES = "(VALUES " + ", ".join(f"('{a}')" for a in ARMS) + ") AS arms(arm)"
@@ -436,7 +437,7 @@ _ARM_OUT_SQL = S.with_ctes(["training"], "").rstrip("\n") + f"""
 
 
 def arm_outputs(spark, sf):
-    return GN.apply_arms(training(spark, sf), ARMS, GN.stub_factory, "id", "pyte")
+    return GN.apply_arms(training(spark, sf), ARMS, ST.stub_factory, "id", "pyte")
 
 
 @query("arm_outputs", _ARM_OUT_SQL + "SELECT id, arm, output, status FROM arm_out")
@@ -496,8 +497,7 @@ FROM g GROUP BY doc_id""")
 def q_long_text_corrected(spark, sf):
     """O-82 (O-43 -> generator per part -> O-65 notes -> O-37 reassembly)."""
     d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
-    return GN.correct_long_text(d, "doc_id", "text", GN.part_stub_factory, max_tokens=PART_TOKENS,
-                                blank_part=BLANK_PART)
+    return GN.correct_long_text(d, "doc_id", "text", ST.part_stub_factory(BLANK_PART), max_tokens=PART_TOKENS)
 
 
 # ====================================================================== conversations / SFT
@@ -665,7 +665,6 @@ def q_plain_pairs(spark, sf):
 
 from ..operators import drift as DR  # noqa: E402
 from ..operators import requests as RQ  # noqa: E402
-from . import stubs as ST  # noqa: E402
 
 _SUFFIX = "CASE WHEN label % 2 = 0 THEN '.lora_A' ELSE '.weight' END"
 
@@ -771,18 +770,57 @@ def q_csv_roundtrip(spark, sf):
     return RD.scan_csv(spark, out, "id string, gold string, silver string, pyte string")
 
 
+_REPEATED = """
+WITH k AS (SELECT CASE WHEN doc_id % 10 = 0 THEN NULL WHEN doc_id % 3 = 0 THEN 'hot' ELSE 'd' || doc_id END AS id, text
+           FROM (SELECT doc_id, text FROM documents UNION ALL SELECT doc_id, text FROM documents)),
+r AS (SELECT id, row_number() OVER (ORDER BY id NULLS FIRST, text) AS rn FROM k),
+arms AS (SELECT l.label, s.size FROM (VALUES ('gold'), ('silver')) l(label), (VALUES (150), (100000)) s(size))
+SELECT a.label || '_' || a.size AS arm, r.id, count(*)::BIGINT AS n, min(r.rn)::BIGINT AS first_rn, max(r.rn)::BIGINT AS last_rn
+FROM r JOIN arms a ON r.rn <= a.size GROUP BY ALL"""
+
+
+_SPACED = """CASE doc_id % 7 WHEN 0 THEN '  ' || text WHEN 1 THEN text || '  ' WHEN 2 THEN chr(9) || text || chr(9)
+  WHEN 3 THEN ' ' WHEN 4 THEN '' WHEN 5 THEN NULL ELSE text END"""
+
+
+@query("csv_white_space", f"SELECT doc_id, {_SPACED} AS text FROM documents")
+def q_csv_white_space(spark, sf):
+    """O-10 then O-01: leading, trailing and only white space, empty and null cells survive."""
+    out = scratch_dir(spark, "csv_white_space")
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    k = F.col("doc_id") % 7
+    text = (F.when(k == 0, F.concat(F.lit("  "), "text")).when(k == 1, F.concat("text", F.lit("  ")))
+            .when(k == 2, F.concat(F.lit("\t"), "text", F.lit("\t"))).when(k == 3, F.lit(" ")).when(k == 4, F.lit(""))
+            .when(k == 5, F.lit(None)).otherwise(F.col("text")))
+    WR.write_csv(d.select("doc_id", text.alias("text")), out)
+    return RD.scan_csv(spark, out, "doc_id long, text string")
+
+
+@query("size_ladder_repeated_keys", _REPEATED)
+def q_size_ladder_repeated_keys(spark, sf):
+    """O-44 over keys of which many are null and a third is one and the same."""
+    d = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    key = F.when(F.col("doc_id") % 10 == 0, None).when(F.col("doc_id") % 3 == 0, F.lit("hot")).otherwise(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    rows = d.union(d).select(key.alias("id"), "text", F.col("text").alias("gold"), F.col("text").alias("silver"))
+    lad = L.size_ladder(rows, ["id", "text"], sizes=[150, 100_000], labels=["gold", "silver"])
+    return lad.groupBy("arm", "id").agg(F.count("*").alias("n"), F.min("rn").alias("first_rn"), F.max("rn").alias("last_rn"))
+
+
 @query("splits_roundtrip", _training_with("""
 , r AS (SELECT arm, id, row_number() OVER (PARTITION BY arm ORDER BY md5('42|' || id), id) AS r,
                count(*) OVER (PARTITION BY arm) AS n FROM ladder)
 , h AS (SELECT *, ceil(0.2::DOUBLE * n)::BIGINT AS held FROM r)
-SELECT arm, id FROM h WHERE r > n - held AND r <= n - held + (held - ceil(held / 2)::BIGINT)
+SELECT arm, id, CASE WHEN r <= n - held THEN 'train' WHEN r <= n - held + (held - ceil(held / 2)::BIGINT) THEN 'val' ELSE 'test' END AS split
+FROM h
 """))
 def q_splits_roundtrip(spark, sf):
-    """O-13 then O-07: splits written partitioned by arm / split, the ``val`` split read
-    back through partition pruning."""
+    """O-13 then O-07: splits written partitioned by arm / split, each read back through
+    partition pruning."""
     out = scratch_dir(spark, "splits")
     WR.write_splits(L.split_80_10_10(ladder(spark, sf).select("arm", "id"), "id", ["arm"]), out)
-    return RD.scan_splits(spark, out, split="val").select("arm", "id")
+    parts = [RD.scan_splits(spark, out, split=x).select("arm", "id", F.lit(x).alias("split")) for x in ("train", "val", "test")]
+    return parts[0].union(parts[1]).union(parts[2])
 
 
 _SIDE_CONTENT = S.tagged_content("ocr_text", "summary", "date", "is_printed", "is_legible")
@@ -825,7 +863,7 @@ def q_request_files(spark, sf):
 
     it = FX.items(spark, sf)
     packed = PK.pack_batches(it.select("path", "shard", T.b64_size("length").alias("size")), ["path"], "size",
-                             budget=60000, shard="shard")
+                             budget=60000, max_batches=PK.K.MAX_BATCHES, shard="shard")
     req = RQ.request_lines(it, REQUEST_PROMPT).join(packed.select("path", "shard", "batch"), "path")
     req = req.withColumn("batch", F.when(F.col("batch").isNotNull(),
                                          F.concat_ws("-", "shard", F.col("batch").cast("string"))))
@@ -859,11 +897,8 @@ def q_progress_resume(spark, sf):
     the rerun skips what is written and appends the rest; the table holds every output once."""
     out = scratch_dir(spark, "progress")
     t = training(spark, sf)
-    first = GN.apply_arms(t, ARMS[:1], GN.stub_factory, "id", "pyte")
-    WR.append_progress(first, out, ["id"], every=100)
-    done = spark.read.parquet(out).select("id", "arm")
-    rest = GN.apply_arms(t, ARMS, GN.stub_factory, "id", "pyte", done=done)
-    WR.append_progress(rest, out, ["id"], every=100)
+    WR.append_progress(t, out, lambda rows, done: GN.apply_arms(rows, ARMS[:1], ST.stub_factory, "id", "pyte", done=done), "id", every=100)
+    WR.append_progress(t, out, lambda rows, done: GN.apply_arms(rows, ARMS, ST.stub_factory, "id", "pyte", done=done), "id", every=100)
     return spark.read.parquet(out).select("id", "arm", "output", "status")
 
 
@@ -951,7 +986,7 @@ def q_request_batches_single(spark, sf):
     from ..functions import text as T
 
     it = FX.items(spark, sf).select("path", T.b64_size("length").alias("size"))
-    return PK.pack_batches(it, ["path"], "size", budget=GLOBAL_BUDGET, max_batches=PK.K.MAX_BATCHES)
+    return PK.pack_batches(it, ["path"], "size", budget=GLOBAL_BUDGET, max_batches=PK.K.MAX_BATCHES).drop("reason")
 
 
 # ====================================================================== streams
@@ -976,6 +1011,9 @@ def q_result_stream(spark, sf):
                       "sidecar_path")
 
 
+LEDGER_FILES = 5
+
+
 @query("ledger_stream", f"""
 WITH p AS (SELECT 'batch_' || user_id AS batch_id, ts, event_id,
                   CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed'
@@ -995,8 +1033,15 @@ def q_ledger_stream(spark, sf):
     each batch's outcome is emitted once when it ends (pending batches stay in state)."""
     base = scratch_dir(spark, "ledger_stream")
     polls = FX.status_events(spark, sf).select("batch_id", "ts", "event_id", "status")
-    polls.write.mode("overwrite").parquet(f"{base}/polls")
-    stream = spark.readStream.schema(polls.schema).parquet(f"{base}/polls")
+    # polls in order of time over several files, one file a trigger: a batch's polls are spread
+    # over micro-batches, and some come after its end
+    days = polls.select(F.to_date("ts").alias("day")).distinct().count()
+    step = max(1, -(-days // LEDGER_FILES))
+    first = polls.agg(F.min(F.to_date("ts"))).first()[0]
+    part = F.floor(F.datediff(F.to_date("ts"), F.lit(first)) / step)
+    for k in range(LEDGER_FILES):
+        (polls.filter(part == k if k < LEDGER_FILES - 1 else part >= k).coalesce(1).write.mode("append").parquet(f"{base}/polls"))
+    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/polls")
     out = STR.batch_ledger_stream(stream, retry_limit=LEDGER_RETRY)
     q = (out.writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start())

@@ -39,3 +39,38 @@ def stub_engine_factory():
 
 def no_sleep(_seconds: float) -> None:
     return None
+
+
+_VOWELS = str.maketrans("aeiou", "AEIOU")
+
+
+def stub_factory(arm: str):
+    """Stand-in for a model, mirrored by the oracle SQL.
+
+    untuned: vowels upper-cased; tuned arms: the untuned output when the input length
+    is a multiple of 3 (a no-op adapter), otherwise the untuned output tagged with the
+    arm. Inputs whose length is a multiple of 11 give a blank answer.
+    """
+
+    def gen(s):
+        base = s.str.translate(_VOWELS)
+        n = s.str.len()
+        if arm != "untuned":
+            base = base.where(n % 3 == 0, base + " [" + arm + "]")
+        return base.where(n % 11 != 0, "")
+
+    return gen
+
+
+class _PartStub:
+    """Vowels upper-cased; the text of the part numbered ``blank`` comes back empty."""
+
+    def __init__(self, blank: int | None):
+        self.blank = blank
+
+    def __call__(self, arm: str):
+        return lambda s, part=None: s.str.translate(_VOWELS).where(part != self.blank, "") if part is not None else s.str.translate(_VOWELS)
+
+
+def part_stub_factory(blank: int | None = None):
+    return _PartStub(blank)

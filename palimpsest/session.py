@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is. Only
-    when it is unset (local tests) is a scratch folder created and set.
+    when it is unset and the master is local (tests) is a scratch folder created and set;
+    a cluster without the setting is an error, since executors would not see such a folder.
     """
     try:
         sc = spark.sparkContext
@@ -58,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master or "").startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="palimpsest-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -72,18 +77,37 @@ def _local_path(uri: str) -> str | None:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location for written tables.
-
-    Local locations (plain paths and ``file:`` URIs) get a new unique folder; on shared
-    storage (``hdfs://``, ``s3a://`` ...) the path under the checkpoint location is used
-    and overwritten by the writer."""
-    base = ensure_checkpoint_dir(spark) or tempfile.gettempdir()
+    """A new folder under the shared checkpoint location for written tables: every call has
+    its own, on local and on shared storage (``hdfs://``, ``s3a://`` ...)."""
+    base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    name = f"{name}-{uuid.uuid4().hex}"
     local = _local_path(base)
     if local is None:
         return f"{base.rstrip('/')}/tables/{name}"
-    parent = os.path.join(local, "tables")
-    os.makedirs(parent, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=parent)
+    path = os.path.join(local, "tables", name)
+    os.makedirs(path)
+    return path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, so that they import it from any working
+    folder; once per session. With the package installed on all nodes it does no harm."""
+    sc = spark.sparkContext
+    if getattr(sc, "_palimpsest_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory() as folder:
+        archive = os.path.join(folder, "palimpsest.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for parent, _, names in os.walk(root):
+                for n in names:
+                    if n.endswith(".py"):
+                        path = os.path.join(parent, n)
+                        z.write(path, os.path.relpath(path, os.path.dirname(root)))
+        sc.addPyFile(archive)
+    sc._palimpsest_shipped = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,16 +6,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.ladder import chunk_id
 
+#: Most rows of one written file.
+FILE_ROWS = 1_000_000
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """O-10: header CSV, quotes doubled, multi-line cells quoted."""
-    df.write.mode(mode).option("header", True).option("escape", '"').option("quoteAll", False).csv(path)
+    """O-10: header CSV, quotes doubled, multi-line cells quoted, white space kept; an empty
+    text is a quoted empty cell, a null an empty one."""
+    (df.write.mode(mode).option("header", True).option("escape", '"').option("quoteAll", False)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .option("emptyValue", '""').option("nullValue", None).csv(path))
 
 
 def write_request_jsonl(requests: DataFrame, path: str, line: str = "request", batch: str = "batch",
@@ -26,13 +33,15 @@ def write_request_jsonl(requests: DataFrame, path: str, line: str = "request", b
 
 
 def write_conversations(docs: DataFrame, path: str, arm: str = "arm", mode: str = "overwrite") -> None:
-    """O-12: conversation documents, one JSON document per line, one folder per arm."""
-    docs.repartition(arm).write.mode(mode).partitionBy(arm).json(path)
+    """O-12: conversation documents, one JSON document per line, one folder per arm; the tasks
+    keep the rows they have, so a large arm is many files."""
+    docs.write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy(arm).json(path)
 
 
 def write_splits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """O-13: tokenised rows partitioned by ``arm`` and ``split``."""
-    df.repartition("arm", "split").write.mode(mode).partitionBy("arm", "split").parquet(path)
+    """O-13: tokenised rows partitioned by ``arm`` and ``split``, written by the tasks that
+    hold them."""
+    df.write.mode(mode).option("maxRecordsPerFile", FILE_ROWS).partitionBy("arm", "split").parquet(path)
 
 
 def sidecar_table(answers: DataFrame, key: str = "custom_id", content: str = "sidecar") -> DataFrame:
@@ -79,11 +88,22 @@ def write_quarantine(bad: DataFrame, path: str, mode: str = "append") -> None:
     bad.write.mode(mode).parquet(path)
 
 
-def append_progress(outputs: DataFrame, path: str, order: Sequence[str], every: int = 100,
-                    by: Sequence[str] = ("arm",)) -> None:
-    """O-16: append outputs partitioned by ``(arm, chunk)``; a rerun anti-joins what is
-    there (``operators.assemble.pending``) and only computes the rest."""
-    chunked = chunk_id(outputs, order, every, by=by).drop("rn", "save_point")
-    # no extra shuffle: the chunk scan leaves rows clustered by blocks of contiguous order
-    # ranges per arm, so each task writes into few (arm, chunk) folders
-    chunked.write.mode("append").partitionBy(*by, "chunk").parquet(path)
+def append_progress(inputs: DataFrame, path: str, generate, key: str, every: int = 100, chunks: int = 50) -> None:
+    """O-16: run ``generate(rows, done)`` over the inputs and append its outputs, saving as it goes.
+
+    The inputs are ranked and cut into chunks of ``every`` rows before anything is generated,
+    so no scan ever runs over a generator. ``chunks`` chunks at a time are generated once and
+    written as one append; what a stopped run has written is read as ``done`` (``key, arm``)
+    and not generated again. Chunk numbers come from the inputs: they are the same in
+    every run."""
+    spark = inputs.sparkSession
+    ranked = chunk_id(inputs.select(key), [key], every).select(key, "chunk")
+    last = ranked.agg(F.max("chunk")).first()[0]
+    for low in range(0, 0 if last is None else last + 1, chunks):
+        part = ranked.filter(F.col("chunk").between(low, low + chunks - 1))
+        try:
+            done = spark.read.parquet(path).filter(F.col("chunk").between(low, low + chunks - 1)).select(key, "arm")
+        except AnalysisException:  # nothing written yet
+            done = None
+        outputs = generate(inputs.join(part.select(key), key, "left_semi"), done)
+        outputs.join(part, key).write.mode("append").partitionBy("arm", "chunk").parquet(path)

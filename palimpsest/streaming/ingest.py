@@ -70,40 +70,43 @@ def dedupe_first_arrival(parsed: DataFrame, event_time: str, delay: str = "1 hou
 # ------------------------------------------------------------------ O-79 (stream)
 
 LEDGER_OUT = "batch_id string, outcome string, attempts long, polls long"
-LEDGER_STATE = "attempts long, polls long"
+LEDGER_STATE = "attempts long, polls long, ended boolean"
 
 
-def _ledger_fn(retry_limit: int, terminal: tuple[str, ...]):
+def _ledger_fn(retry_limit: int, terminal: tuple[str, ...], forget_after_ms: int | None):
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        attempts, polls = state.get if state.exists else (0, 0)
-        rows = pd.concat(list(pdfs)).sort_values(["ts", "event_id"])
-        for status in rows["status"]:
-            polls += 1
-            if status in terminal:
-                state.remove()
-                yield pd.DataFrame({"batch_id": [key[0]], "outcome": [status], "attempts": [attempts],
-                                    "polls": [polls]})
-                return
-            if attempts >= retry_limit:
-                state.remove()
-                yield pd.DataFrame({"batch_id": [key[0]], "outcome": ["given_up"], "attempts": [attempts],
-                                    "polls": [polls]})
-                return
-            attempts += 1
-        state.update((attempts, polls))
+        if state.hasTimedOut:
+            state.remove()
+            return
+        attempts, polls, ended = state.get if state.exists else (0, 0, False)
+        if not ended:
+            waiting = sorted((ts, event, status) for pdf in pdfs for ts, event, status in zip(pdf["ts"], pdf["event_id"], pdf["status"]))
+            for _, _, status in waiting:
+                polls += 1
+                outcome = status if status in terminal else "given_up" if attempts >= retry_limit else None
+                if outcome:
+                    ended = True
+                    yield pd.DataFrame({"batch_id": [key[0]], "outcome": [outcome], "attempts": [attempts], "polls": [polls]})
+                    break
+                attempts += 1
+        state.update((attempts, polls, ended))
+        if ended and forget_after_ms is not None:
+            state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + forget_after_ms)
 
     return fn
 
 
 def batch_ledger_stream(polls: DataFrame, retry_limit: int = K.BATCH_RETRY_LIMIT,
-                        terminal: tuple[str, ...] = K.BATCH_TERMINAL) -> DataFrame:
+                        terminal: tuple[str, ...] = K.BATCH_TERMINAL, forget_after_ms: int | None = None) -> DataFrame:
     """O-79 over a stream of polls ``(batch_id, ts, event_id, status)``: per batch,
-    state ``(attempts, polls)``; emits the outcome once when the batch ends (append mode).
+    state ``(attempts, polls, ended)``; emits the outcome once when the batch ends (append
+    mode), however its polls are spread over micro-batches.
 
-    State is one small tuple per open batch and is removed when the batch ends. Polls of
-    a batch are applied in ``(ts, event_id)`` order within a micro-batch and in arrival
-    order across micro-batches. Late polls after the end start a new ledger (bounded by
-    a watermark upstream if needed).
+    The mark of an ended batch (three numbers) stays, so polls that come after the end are
+    ignored; with ``forget_after_ms`` it goes once the watermark of ``ts`` (to be set on
+    ``polls``) has moved on so far. Polls of a batch are applied in ``(ts, event_id)`` order
+    within a micro-batch and in arrival order across them.
     """
+    timeout = GroupStateTimeout.NoTimeout if forget_after_ms is None else GroupStateTimeout.EventTimeTimeout
     return polls.groupBy("batch_id").applyInPandasWithState(
-        _ledger_fn(retry_limit, tuple(terminal)), LEDGER_OUT, LEDGER_STATE, "append", GroupStateTimeout.NoTimeout)
+        _ledger_fn(retry_limit, tuple(terminal), forget_after_ms), LEDGER_OUT, LEDGER_STATE, "append", timeout)
