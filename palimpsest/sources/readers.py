@@ -26,15 +26,19 @@ TRAINING_LOG_SCHEMA = T.StructType([
 ])
 
 
+#: What the parser gives for a cell without anything; it differs from a quoted empty text.
+NO_CELL = "\x00"
+
+
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, null_tokens: Iterable[str] | None = None,
              sep: str = ",") -> DataFrame:
     """O-01 (+ O-05): header CSV with quoted multi-line cells and doubled quotes.
 
-    Spark reads only the empty cell as null; ``null_tokens`` (e.g. the pandas list in
+    Only a cell without anything is null, a quoted empty one is an empty text; ``null_tokens`` (e.g. the pandas list in
     ``constants.PANDAS_NULL_TOKENS``) makes the reference reader's null inference explicit.
     """
     df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-          .option("sep", sep).schema(schema).csv(path))
+          .option("sep", sep).option("nullValue", NO_CELL).schema(schema).csv(path))
     if null_tokens is not None:
         strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
         df = normalise_null_tokens(df, strings, null_tokens)
