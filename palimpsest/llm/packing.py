@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import plain_columns, steps, stored
-from .tokens import STEP_CHARS, Encoder
+from .tokens import STEP_CHARS, encoder
 
+#: Pieces and gaps of a block.
+BLOCK_ROWS = 100_000
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 #: A round opens sequences if fewer than one piece in this many found a gap.
 OPEN_BELOW = 20
@@ -36,12 +38,12 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, blanks_kept: bool, capa
     first piece are full."""
 
     def run(batches):
-        encoder = Encoder(tokenizer, blanks_kept)
+        encode = encoder(tokenizer, blanks_kept).encode
         end = end_id.to_bytes(4, "little")
         uid = TaskContext.get().partitionId() << 40
         for part in steps(batches, limit=STEP_CHARS):
             rows = []
-            for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
+            for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist())):
                 ids += end
                 n = len(ids) // 4
                 first = n % capacity or capacity
@@ -124,6 +126,25 @@ def _carry(blocks: list[dict]) -> tuple[list[tuple], dict[int, int], dict[int, i
     return runs, taken, left
 
 
+def _in_blocks(state: DataFrame) -> DataFrame:
+    """``state`` (kind, id, size) dealt to ranges of descending size of about ``BLOCK_ROWS``
+    rows and sorted there. The ranges come from the counts of each size (at most two rows
+    for each size up to the capacity); a size with more rows is split by id."""
+    spark = state.sparkSession
+    counts = state.groupBy("size", "kind").agg(F.count("*").alias("n")).orderBy(F.desc("size"), "kind").collect()
+    ranges, block, held = [], 0, 0
+    for r in counts:
+        if held and held + r["n"] > BLOCK_ROWS:
+            block, held = block + 1, 0
+        parts = max(1, -(-r["n"] // BLOCK_ROWS))
+        ranges.append((r["size"], r["kind"], block, parts))
+        block, held = block + parts - 1, held + r["n"] if parts == 1 else BLOCK_ROWS
+    ranges = F.broadcast(spark.createDataFrame(ranges, "size long, kind int, first int, parts int"))
+    placed = state.join(ranges, ["size", "kind"]).select(
+        "kind", "id", "size", F.expr("cast(first + pmod(xxhash64(id), parts) as int)").alias("block"))
+    return placed.repartitionById(block + 1, F.col("block")).sortWithinPartitions(F.desc("size"), "kind", "id")
+
+
 def best_fit(items: DataFrame, capacity: int) -> DataFrame:
     """``items`` (uid, length; shorter than ``capacity``) -> (uid, sequence_id, offset)."""
     spark = items.sparkSession
@@ -135,8 +156,7 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
     state = items.select(F.lit(ITEM).alias("kind"), F.col("uid").alias("id"), F.col("length").cast("long").alias("size"))
     opened = max(first["big"], math.ceil(first["v"] / capacity))
     while True:
-        swept = stored(state.repartitionByRange(F.desc("size"), "kind", "id").sortWithinPartitions(F.desc("size"), "kind", "id")
-                       .withColumn("block", F.spark_partition_id()).mapInArrow(_sweep(capacity), _SWEPT), "swept")
+        swept = stored(_in_blocks(state).mapInArrow(_sweep(capacity), _SWEPT), "swept")
         counts = swept.groupBy("block").agg(
             F.count_if(F.col("kind") == ITEM).alias("items"), F.count_if(F.col("kind") == GAP).alias("gaps"),
             F.count_if(F.col("kind") == PLACED).alias("placed"),
@@ -180,7 +200,7 @@ def best_fit(items: DataFrame, capacity: int) -> DataFrame:
         room = gaps[0]
         for g in gaps[1:]:
             room = room.union(g)
-        state = still.union(room.where(F.col("size") >= first["m"]).select(F.lit(GAP).alias("kind"), "id", "size"))
+        state = stored(still.union(room.where(F.col("size") >= first["m"]).select(F.lit(GAP).alias("kind"), "id", "size")), "state")
         opened = None
 
 

@@ -9,14 +9,23 @@ library encodes as it is."""
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from collections import Counter
+from itertools import chain
 
 import numpy as np
+import tiktoken
 from tokenizers import Tokenizer
 
+# Fixed value: how byte-level files cut a text into words.
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 #: Different chunks remembered by a task (about 150 bytes each); the rest is encoded anew per step.
-REMEMBERED = 700_000
+REMEMBERED = 1_000_000
+#: Frequent chunks looked up first, in a table that fits a core's cache.
+HOT = 20_000
 #: Characters encoded as one step.
 STEP_CHARS = 4_000_000
 
@@ -38,9 +47,28 @@ def _literal(chunk: str) -> str:
     return chunk if chunk[0] == "\n" else " " + chunk
 
 
+class ByteEncoder:
+    """A byte-level file (white space belongs to tokens) run by tiktoken, which merges by the
+    ids of the file's own vocabulary and gives the tokenizers library's very ids."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            vocab = json.load(f)["model"]["vocab"]
+        # byte-level files write a byte as a character: printable ones as themselves, the others from 256 on
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in printable]
+        byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+        ranks = {bytes([byte[c] for c in token]): i for token, i in vocab.items() if all(c in byte for c in token) and not token.startswith("<|")}
+        self.bpe = tiktoken.Encoding("file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
+        return [np.array(self.bpe.encode_ordinary(t), "<u4").tobytes() if t else b"" for t in texts]
+
+
 class Encoder:
-    """``blanks_kept``: white space belongs to tokens (byte-level); else it only separates,
-    and the tokenizer takes lower-case letters for capital ones."""
+    """A file run by the tokenizers library. ``blanks_kept``: white space belongs to tokens
+    (byte-level); else it only separates, and capital letters count as lower-case ones."""
 
     def __init__(self, path: str, blanks_kept: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,6 +76,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.blanks_kept = blanks_kept
         self.known: dict[str, bytes] = {}
+        self.hot: dict[str, bytes] = {}
         if blanks_kept:  # a byte-level token's characters stand for one byte each
             size = self.tokenizer.get_vocab_size()
             self.width = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
@@ -57,7 +86,7 @@ class Encoder:
                 raise ValueError("the mark is not a token of its own")
 
     def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, chunks: list[str]) -> None:
         """Encode new chunks, many as one text, and remember each one's ids."""
@@ -109,21 +138,41 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
-        known = self.known
         cut = [self._chunks(t) if t else [] for t in texts]
-        new = set().union(*cut).difference(known)
+        frequent, rare, new = self._look(cut)
         if self.blanks_kept and new:
             odd = {c for c in new if c[:2] != _ITSELF and not _EDGES_OK.fullmatch(c)}
             odd |= {c for c in new if c[:2] == _ITSELF and len(c) > 2 and not _EDGES_OK.fullmatch(c[2:])}
             if odd:
-                for i, chunks in enumerate(cut):
+                for i, chunks in enumerate(rare):
                     if not odd.isdisjoint(chunks):
                         cut[i] = self._safe(texts[i])
-                new = set().union(*cut).difference(known)
-        before = len(known)
+                frequent, rare, new = self._look(cut)
+        known, before = self.known, len(self.known)
         self._learn(list(new))
-        out = [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+        out = []
+        for some, others in zip(frequent, rare):
+            other = map(known.__getitem__, others)
+            out.append(b"".join([x if x is not None else next(other) for x in some]))
+        if not self.hot:
+            self.hot = {c: known[c] for c, _ in Counter(chain.from_iterable(cut)).most_common(HOT)}
         if len(known) > REMEMBERED:
             for c in list(known)[max(before, REMEMBERED):]:
                 del known[c]
         return out
+
+    def _look(self, cut: list[list[str]]):
+        """Ids of each text's frequent chunks, its other chunks, and those never seen."""
+        frequent = [list(map(self.hot.get, chunks)) for chunks in cut]
+        rare = [[c for c, x in zip(chunks, some) if x is None] for chunks, some in zip(cut, frequent)]
+        return frequent, rare, set().union(*rare).difference(self.known)
+
+
+_ENCODERS: dict[tuple[str, bool], Encoder | ByteEncoder] = {}
+
+
+def encoder(path: str, blanks_kept: bool) -> Encoder | ByteEncoder:
+    """The encoder of this worker process; what it remembers serves all its tasks."""
+    if (path, blanks_kept) not in _ENCODERS:
+        _ENCODERS[path, blanks_kept] = ByteEncoder(path) if blanks_kept else Encoder(path, blanks_kept)
+    return _ENCODERS[path, blanks_kept]

@@ -28,12 +28,15 @@ def whole(file, text):
 @given(text=st.lists(st.sampled_from(list("ab Z.,!?'_|\n\t\r\x01\x02\x0b\x1c\x85\xa0  éÉ́İΣ日😀1") + ["  ", "\n\n", " .", "'s", "<|endoftext|>"]), max_size=30).map("".join))
 def test_ids_equal_the_library_on_whole_texts(file, kept, text):
     assert _LOADED[file][1].encode([text]) == [whole(file, text)]
+    assert tokens.encoder(f"{TOK}/{file}", kept).encode([text]) == [whole(file, text)]
 
 
 @pytest.mark.parametrize("file,kept", KINDS)
 def test_ids_of_documents(spark, file, kept):
     texts = [r["text"] for r in documents(spark).collect()]
-    assert tokens.Encoder(f"{TOK}/{file}", kept).encode(texts) == [whole(file, t) for t in texts]
+    texts += [t for t in ODD_TEXTS if t]
+    for e in (tokens.Encoder(f"{TOK}/{file}", kept), tokens.encoder(f"{TOK}/{file}", kept)):
+        assert e.encode(texts) == [whole(file, t) for t in texts]
 
 
 def test_forgotten_chunks_are_encoded_anew(monkeypatch):
@@ -122,7 +125,8 @@ def test_pack_documents(spark):
 
 
 @pytest.mark.parametrize("kind", ["mixed", "tiny", "same", "half"])
-def test_rounds_over_many_blocks(spark, kind):
+def test_rounds_over_many_blocks(spark, monkeypatch, kind):
+    monkeypatch.setattr(K, "BLOCK_ROWS", 150)
     rng = np.random.default_rng(4)
     lengths = {"mixed": rng.integers(1, 100, 1500), "tiny": rng.integers(1, 6, 2000), "same": np.full(900, 33), "half": np.where(rng.random(900) < 0.4, 50, rng.integers(40, 60, 900))}[kind]
     items = spark.createDataFrame([(i, int(x)) for i, x in enumerate(lengths)], "uid long, length long")
