@@ -41,8 +41,8 @@ Fetcher = Callable[[str], bytes | None]
 
 
 def _fetch_rows(fetcher_factory: Callable[[], Fetcher], max_attempts: int, sleep: Callable[[float], None],
-                threads: int):
-    def one(fetch: Fetcher, url: str) -> tuple[str, int, int | None]:
+                threads: int, folder: str | None = None, suffix: str = ""):
+    def one(fetch: Fetcher, key: str, url: str) -> tuple[str, int, int | None]:
         backoff, n, got = K.FETCH_FIRST_BACKOFF_S, 0, None
         while n < max_attempts:
             try:
@@ -54,6 +54,10 @@ def _fetch_rows(fetcher_factory: Callable[[], Fetcher], max_attempts: int, sleep
                 break
             sleep(backoff)
             backoff *= 2
+        if got is not None and folder is not None:
+            from ..sources.files import write_bytes
+
+            write_bytes(f"{folder.rstrip('/')}/{key}{suffix}", got)
         return (K.FETCH_DOWNLOADED if got is not None else K.FETCH_FAILED), n, (len(got) if got is not None else None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -62,7 +66,7 @@ def _fetch_rows(fetcher_factory: Callable[[], Fetcher], max_attempts: int, sleep
         fetch = fetcher_factory()
         with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
             for pdf in batches:
-                res = list(pool.map(lambda u: one(fetch, u), pdf["url"]))
+                res = list(pool.map(lambda k, u: one(fetch, k, u), pdf["key"], pdf["url"]))
                 yield pd.DataFrame({"key": pdf["key"], "status": [r[0] for r in res],
                                     "attempts": [r[1] for r in res], "bytes": [r[2] for r in res]})
 
@@ -72,17 +76,19 @@ def _fetch_rows(fetcher_factory: Callable[[], Fetcher], max_attempts: int, sleep
 def fetch_manifest(manifest: DataFrame, present: DataFrame, fetcher_factory: Callable[[], Fetcher],
                    key: str = "key", url: str = "url", max_attempts: int = K.FETCH_MAX_ATTEMPTS,
                    sleep: Callable[[float], None] = time.sleep, partitions: int | None = None,
-                   threads: int = 5) -> DataFrame:
+                   threads: int = 5, folder: str | None = None, suffix: str = ".jpg") -> DataFrame:
     """O-08: ``Exists`` for keys already present (no request); the rest fetched with up
     to ``max_attempts`` tries and doubling back-off -> ``Downloaded`` or
     ``Failed after max retries``. Output ``(key, status, attempts, bytes)``. Each task
-    fetches with ``threads`` concurrent requests (I/O bound)."""
+    fetches with ``threads`` concurrent requests (I/O bound). With ``folder`` each body is
+    written to ``folder/<key><suffix>`` by the task that fetched it, so that a listing of
+    the folder is the next run's ``present``."""
     m = manifest.select(F.col(key).alias("key"), F.col(url).alias("url"))
     done = m.join(present.select(F.col(key).alias("key")), "key", "left_semi")
     todo = m.join(present.select(F.col(key).alias("key")), "key", "left_anti")
     if partitions:
         todo = todo.repartition(partitions)
-    fetched = todo.mapInPandas(_fetch_rows(fetcher_factory, max_attempts, sleep, threads),
+    fetched = todo.mapInPandas(_fetch_rows(fetcher_factory, max_attempts, sleep, threads, folder, suffix),
                                "key string, status string, attempts int, bytes long")
     exists = done.select("key", F.lit(K.FETCH_EXISTS).alias("status"), F.lit(0).alias("attempts"),
                          F.lit(None).cast("long").alias("bytes"))
@@ -94,31 +100,6 @@ def fetch_manifest(manifest: DataFrame, present: DataFrame, fetcher_factory: Cal
 Engine = Callable[[bytes], str]
 
 
-def _transcribe_rows(engine_factory: Callable[[], Engine]):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        engine = engine_factory()
-        for pdf in batches:
-            texts, errors = [], []
-            for b in pdf["content"]:
-                try:
-                    texts.append(engine(b))
-                    errors.append(None)
-                except Exception as e:  # captured as a message, the job goes on
-                    texts.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame({"id": pdf["id"], "text": texts, "error": errors})
-
-    return run
-
-
-def transcribe(images: DataFrame, done: DataFrame, engine_factory: Callable[[], Engine], key: str = "id",
-               content: str = "content") -> DataFrame:
-    """O-81: run the engine over images without output yet; ``(id, text, error)``."""
-    todo = images.select(F.col(key).alias("id"), F.col(content).alias("content")).join(
-        done.select(F.col(key).alias("id")), "id", "left_anti")
-    return todo.mapInPandas(_transcribe_rows(engine_factory), "id string, text string, error string")
-
-
 def _transcribe_paths(engine_factory: Callable[[], Engine], reader: Callable[[str], bytes]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         engine = engine_factory()
@@ -148,26 +129,10 @@ def transcribe_paths(listing: DataFrame, done: DataFrame, engine_factory: Callab
                             "id string, text string, error string")
 
 
-def _request_rows(prompt: str, model: str, reader: Callable[[str], bytes], key_of: Callable[[str], str]):
-    import base64
-    import json
-
-    text = prompt.strip()
-
+def _read_rows(reader: Callable[[str], bytes]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            lines = []
-            for name, p in zip(pdf["name"], pdf["path"]):
-                data = base64.b64encode(reader(p)).decode("ascii")
-                ext = name.rsplit(".", 1)[-1].lower()
-                mime = "image/jpeg" if ext in ("jpg", "jpeg") else f"image/{ext}"
-                body = {"model": model, "messages": [{"role": "user", "content": [
-                    {"type": "text", "text": text},
-                    {"type": "image_url", "image_url": {"url": f"data:{mime};base64,{data}"}}]}],
-                    "max_tokens": K.REQUEST_MAX_TOKENS}
-                rec = {"custom_id": key_of(name), "method": K.REQUEST_METHOD, "url": K.REQUEST_URL, "body": body}
-                lines.append(json.dumps(rec, separators=(",", ":")))
-            yield pd.DataFrame({"batch": pdf["batch"], "name": pdf["name"], "request": lines})
+            yield pdf.assign(content=[reader(p) for p in pdf["path"]])
 
     return run
 
@@ -176,12 +141,13 @@ def request_lines_from_paths(packed: DataFrame, prompt: str, key: str = "name",
                              batch: str = "batch", model: str = K.REQUEST_MODEL,
                              reader: Callable[[str], bytes] | None = None) -> DataFrame:
     """O-59 for files on storage: ``(batch, name, request)`` lines built in the task that
-    reads each image, after packing (O-40) saw only sizes. ``key`` is the custom id
-    source (slashes become ``|``)."""
+    reads each image, after packing (O-40) saw only sizes; the line is that of
+    :func:`request_lines`. ``key`` is the custom id source (slashes become ``|``)."""
     from ..sources.files import read_bytes
 
     todo = packed.filter(F.col(batch).isNotNull()).select(F.col(batch).cast("string").alias("batch"),
                                                           F.col(key).alias("name"), F.col(path).alias("path"))
-    return todo.mapInPandas(_request_rows(prompt, model, reader or read_bytes,
-                                          lambda n: n.replace("/", "|").replace("\\", "|")),
-                            "batch string, name string, request string")
+    read = todo.mapInPandas(_read_rows(reader or read_bytes), "batch string, name string, path string, content binary")
+    mime = T.mime_type("name")
+    line = R.build_request(T.path_to_key("name"), F.trim(F.lit(prompt)), T.data_url("content", mime), model=model)
+    return read.select("batch", "name", line.alias("request"))

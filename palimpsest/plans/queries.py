@@ -741,6 +741,25 @@ def q_fetch_manifest(spark, sf):
     return RQ.fetch_manifest(manifest, present, ST.stub_fetcher_factory, sleep=ST.no_sleep)
 
 
+@query("fetch_again", """
+WITH m AS (SELECT 'd' || p.page_id AS key, p.url, d.lang <> 'de' AS present
+           FROM pages p JOIN documents d ON d.doc_id = p.page_id)
+SELECT key, CASE WHEN present OR length(url) % 7 < 5 THEN 'Exists' ELSE 'Failed after max retries' END AS status,
+       CASE WHEN NOT present AND length(url) % 7 < 5 THEN strlen(url) END::BIGINT AS kept_bytes
+FROM m""")
+def q_fetch_again(spark, sf):
+    """O-08 twice: bodies are written by the tasks that fetch them; the second run finds them."""
+    folder = scratch_dir(spark, "fetched")
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    manifest = pages.select(F.concat(F.lit("d"), F.col("page_id").cast("string")).alias("key"), "url")
+    present = A.sidecar_texts(FX.engine(spark, sf)).select(F.col("id").alias("key"))
+    first = RQ.fetch_manifest(manifest, present, ST.stub_fetcher_factory, sleep=ST.no_sleep, folder=folder)
+    first.write.format("noop").mode("overwrite").save()
+    kept = RD.scan_listing(spark, folder).select(F.regexp_extract("name", r"^(.*)\.jpg$", 1).alias("key"), "length")
+    again = RQ.fetch_manifest(manifest, present.union(kept.select("key")), ST.stub_fetcher_factory, sleep=ST.no_sleep)
+    return again.select("key", "status").join(kept, "key", "left").select("key", "status", F.col("length").alias("kept_bytes"))
+
+
 @query("transcribe", f"""
 WITH todo AS (SELECT 'd' || doc_id AS id, text FROM documents WHERE lang = 'de')
 SELECT id, CASE WHEN len({S.words('text')}) >= 3 THEN translate(text, 'ilo', '110') END AS text,
@@ -748,10 +767,10 @@ SELECT id, CASE WHEN len({S.words('text')}) >= 3 THEN translate(text, 'ilo', '11
 FROM todo""")
 def q_transcribe(spark, sf):
     """O-81: engine over images without an engine sidecar yet (errors captured)."""
-    images = FX.items(spark, sf).select(
-        F.regexp_extract("path", r"/(d[0-9]+)\.jpg$", 1).alias("id"), "content")
+    listing = RD.scan_listing(spark, _image_folder(spark, sf)).select(
+        F.regexp_extract("name", r"^(d[0-9]+)\.jpg$", 1).alias("id"), "path")
     done = A.sidecar_texts(FX.engine(spark, sf))
-    return RQ.transcribe(images, done, ST.stub_engine_factory)
+    return RQ.transcribe_paths(listing, done, ST.stub_engine_factory)
 
 
 # ====================================================================== sources / sinks round trips
