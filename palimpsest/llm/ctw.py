@@ -35,9 +35,13 @@ from .common import plain_columns, steps, stored
 #: Bytes of context.
 DEPTH = 5
 #: Scores sent to every task: strings (32 bytes each with the table's empty half) and words (about 120 bytes each).
-SENT_STRINGS, SENT_WORDS = 1 << 21, 300_000
+SENT_STRINGS, SENT_WORDS = 1 << 20, 200_000
 #: Different strings or words that a counting task holds before they go on.
-HELD = 2_000_000
+HELD = 1_000_000
+#: Strings whose nodes a task holds at once (a group of equal two nearest bytes is never cut).
+SLICE = 200_000
+#: Text bytes that a task turns into arrays at once (about 100 bytes of memory for each).
+STEP_BYTES = 600_000
 
 _U = np.uint64
 
@@ -89,7 +93,7 @@ def count_strings(docs: DataFrame, depth: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 100_000].astype(np.int64)) for x in (keys, n, every)],
                                                  names=["s", "n", "every"])
 
-        for part in steps(batches):
+        for part in steps(batches, limit=STEP_BYTES):
             texts = part.column(0).to_pylist()
             held = np.array(part.column(1).to_pylist())
             for flag in (False, True):
@@ -150,32 +154,41 @@ class _Subtree:
             unique, inverse = np.unique(short, return_inverse=True)
             place = inverse[self.tables[d + 1][2]]
             self.tables[d] = (unique, np.bincount(inverse, counts, len(unique)).astype(np.int64), place)
-        self.weighted: dict[tuple[int, int], np.ndarray] = {}
-        self.stay: dict[tuple[int, int], np.ndarray] = {}
-        self.level = {(d, b): _nodes(t[0], t[1], b) for d, t in self.tables.items() for b in range(8)}
+
+    def bits(self):
+        """For each bit of the byte in turn: its number, the nodes at depth ``least`` (key,
+        zeros, ones, weighted) and each string's probability of its bit from that depth on.
+        Only one bit's nodes are held at a time."""
         for b in range(8):
-            for d in range(depth, least - 1, -1):
-                node, zeros, ones, _, _ = self.level[d, b]
-                kt = _log_kt(zeros, ones)
-                if d == depth:
-                    self.weighted[d, b] = kt
+            nodes = {d: _nodes(t[0], t[1], b) for d, t in self.tables.items()}
+            p = weighted = None
+            for d in range(self.depth, self.least - 1, -1):
+                node, zeros, ones, of, bit = nodes[d]
+                log_kt = _log_kt(zeros, ones)
+                place = self.tables[d][2]
+                at, which = of[place], bit[place]
+                kt = (np.where(which == 1, ones[at], zeros[at]) + 0.5) / (zeros[at] + ones[at] + 1.0)
+                if p is None:
+                    p, weighted = kt, log_kt
                     continue
-                below = self.level[d + 1, b][0]
+                below = nodes.pop(d + 1)[0]
                 up = (below >> _U(8 + b) << _U(b)) | (below & _U((1 << b) - 1))
-                product = np.bincount(np.searchsorted(node, up), self.weighted[d + 1, b], len(node))
-                self.weighted[d, b] = np.logaddexp(kt, product) - math.log(2)
-                self.stay[d, b] = np.exp(kt - math.log(2) - self.weighted[d, b])
-
-    def bit_probabilities(self, b: int) -> np.ndarray:
-        """Of each string's bit ``b``, mixed over the depths from ``least`` on."""
-        p = None
-        for d in range(self.depth, self.least - 1, -1):
-            _, zeros, ones, of, bit = self.level[d, b]
-            place = self.tables[d][2]
-            node, which = of[place], bit[place]
-            kt = (np.where(which == 1, ones[node], zeros[node]) + 0.5) / (zeros[node] + ones[node] + 1.0)
-            p = kt if p is None else self.stay[d, b][node] * kt + (1 - self.stay[d, b][node]) * p
-        return p
+                weighted = np.logaddexp(log_kt, np.bincount(np.searchsorted(node, up), weighted, len(node))) - math.log(2)
+                stay = np.exp(log_kt - math.log(2) - weighted)[at]
+                p = stay * kt + (1 - stay) * p
+            node, zeros, ones, _, _ = nodes[self.least]
+            yield b, (node, zeros, ones, weighted), p
+
+
+def _slices(near: np.ndarray):
+    """Places that cut sorted groups into runs of whole groups of about ``SLICE`` rows."""
+    starts = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
+    cuts, last = [0], 0
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(near)]):
+        if b - last > SLICE and a > last:
+            cuts.append(a)
+            last = a
+    return list(zip(cuts, [*cuts[1:], len(near)]))
 
 
 def _read(batches, *columns: str) -> list[np.ndarray]:
@@ -195,17 +208,17 @@ def score_strings(counts: DataFrame, depth: int) -> DataFrame:
         if not len(s):
             return
         order = np.argsort(s.view(_U))
-        tree = _Subtree(s.view(_U)[order], n[order], depth, 2)
-        out = []
-        for b in range(8):
-            node, zeros, ones, _, _ = tree.level[2, b]
-            first = (node >> _U(8 + b)).astype(np.int64)
-            path = (1 << b) | (node & _U((1 << b) - 1)).astype(np.int64)
-            both, inverse = np.unique(first << 8 | path, return_inverse=True)
-            out.append((both, *(np.bincount(inverse, x, len(both)) for x in (zeros, ones, tree.weighted[2, b]))))
-        keys, zeros, ones, weighted = (np.concatenate(x) for x in zip(*out))
-        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(zeros.astype(np.int64)), pa.array(ones.astype(np.int64)), pa.array(weighted)],
-                                         names=["node", "zeros", "ones", "weighted"])
+        keys, n = s.view(_U)[order], n[order]
+        for low_, high_ in _slices(keys >> _U(8 * (depth - 1))):
+            out = []
+            for b, (node, zeros, ones, weighted), _ in _Subtree(keys[low_:high_], n[low_:high_], depth, 2).bits():
+                first = (node >> _U(8 + b)).astype(np.int64)
+                path = (1 << b) | (node & _U((1 << b) - 1)).astype(np.int64)
+                both, inverse = np.unique(first << 8 | path, return_inverse=True)
+                out.append((both, *(np.bincount(inverse, x, len(both)) for x in (zeros, ones, weighted))))
+            node, zeros, ones, weighted = (np.concatenate(x) for x in zip(*out))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(zeros.astype(np.int64)), pa.array(ones.astype(np.int64)), pa.array(weighted)],
+                                             names=["node", "zeros", "ones", "weighted"])
 
     sums = (dealt.mapInArrow(low, "node long, zeros long, ones long, weighted double").groupBy("node")
             .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("weighted")))
@@ -229,19 +242,18 @@ def score_strings(counts: DataFrame, depth: int) -> DataFrame:
             return
         order = np.argsort(s.view(_U))
         s, n, every = s[order], n[order], every[order]
-        keys = s.view(_U)
-        tree = _Subtree(keys, n, depth, 2)
-        first, byte = (keys >> _U(8 * depth)).astype(np.int64), (keys & _U(255)).astype(np.int64)
-        total = np.zeros(len(s))
-        for b in range(8):
-            p = tree.bit_probabilities(b)
-            path, bit = (1 << b) | (byte >> (8 - b)), (byte >> (7 - b)) & 1
-            for row in (first, 256):
-                here = one[row, path]
-                p = stay[row, path] * np.where(bit == 1, here, 1 - here) + (1 - stay[row, path]) * p
-            total += np.log10(p)
-        for i in range(0, len(s), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 100_000]) for x in (s, every, total)], names=["s", "every", "score"])
+        whole = s.view(_U)
+        for low_, high_ in _slices(whole >> _U(8 * (depth - 1))):
+            keys = whole[low_:high_]
+            first, byte = (keys >> _U(8 * depth)).astype(np.int64), (keys & _U(255)).astype(np.int64)
+            total = np.zeros(len(keys))
+            for b, _, p in _Subtree(keys, n[low_:high_], depth, 2).bits():
+                path, bit = (1 << b) | (byte >> (8 - b)), (byte >> (7 - b)) & 1
+                for row in (first, 256):
+                    here = one[row, path]
+                    p = stay[row, path] * np.where(bit == 1, here, 1 - here) + (1 - stay[row, path]) * p
+                total += np.log10(p)
+            yield pa.RecordBatch.from_arrays([pa.array(s[low_:high_]), pa.array(every[low_:high_]), pa.array(total)], names=["s", "every", "score"])
 
     return dealt.mapInArrow(high, "s long, every long, score double")
 
@@ -297,7 +309,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             for text in part.column(0).to_pylist():
                 if text:
                     held.update(text.encode().lower().split())
-            if len(held) > HELD // 4:
+            if len(held) > HELD // 3:
                 yield from flush()
                 held = Counter()
         yield from flush()
@@ -337,13 +349,12 @@ def score_documents(docs: DataFrame, held, depth: int = DEPTH, sent_strings: int
     top = scores.where(F.col("every") >= _most_frequent(scores, "every", sent_strings)).select("s", "score").toArrow()
     table = _Table(top.column(0).to_numpy().view(_U), top.column(1).to_numpy())
     known = words.where(F.col("n") >= _most_frequent(words, "n", sent_words)).toArrow()
-    base_of = dict(zip(known.column(0).to_pylist(), known.column(1).to_pylist()))
-    sent = spark.sparkContext.broadcast((table, base_of))
     room = total + distinct + 1
+    log_of = {w: math.log10((c + 1) / room) for w, c in zip(known.column(0).to_pylist(), known.column(1).to_pylist())}
+    sent = spark.sparkContext.broadcast((table, log_of))
 
     def run(batches):
-        table, base_of = sent.value
-        log_of = {w: math.log10((c + 1) / room) for w, c in base_of.items()}
+        table, log_of = sent.value
         rid = TaskContext.get().partitionId() << 40
         end = math.log10((ends + 1) / room)
         types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary(), pa.int64()]
@@ -352,7 +363,7 @@ def score_documents(docs: DataFrame, held, depth: int = DEPTH, sent_strings: int
         def rows(n, **columns):
             return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, t)) for c, t in zip(names, types)], names=names)
 
-        for part in steps(batches):
+        for part in steps(batches, limit=STEP_BYTES):
             lowered = [_lower(t) for t in part.column(1).to_pylist()]
             n = len(lowered)
             rids = np.arange(rid, rid + n)
