@@ -63,7 +63,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()),
                          pa.array([c[w] for w in part], pa.int64())], names=["lang", "word", "n"])
-        for part in steps(batches):
+        for part in steps(batches, limit=3_000_000):
             for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 c = held.setdefault(lang, Counter())
                 before = len(c)
@@ -193,7 +193,7 @@ def predict(docs: DataFrame, model: Model, *keep: str, out: tuple[str, str] = ("
         index = dict(m.index.get(0, {}))  # words seen by this task are added, up to a bound
         table = m.scores.get(0, np.zeros((0, k), np.float32))
         base, room = len(index), max(50_000, min(400_000, 40_000_000 // max(k, 1)))
-        for part in steps(batches):
+        for part in steps(batches, limit=3_000_000):
             words = [words_of(t) if t else [] for t in part.column(at).to_pylist()] if k else [[]] * part.num_rows
             new = list(set().union(*words).difference(index))
             if new:
