@@ -802,6 +802,17 @@ _SPACED = """CASE doc_id % 7 WHEN 0 THEN '  ' || text WHEN 1 THEN text || '  ' W
   WHEN 3 THEN ' ' WHEN 4 THEN '' WHEN 5 THEN NULL ELSE text END"""
 
 
+@query("fill_if_null", """
+SELECT doc_id, coalesce(CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang END, upper(source)) AS label FROM documents""")
+def q_fill_if_null(spark, sf):
+    """O-22: only missing cells are computed, filled ones are kept."""
+    from ..functions import nulls as NU
+
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    held = d.select("doc_id", "source", F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("label"))
+    return NU.fill_if_null(held, "label", F.upper("source")).select("doc_id", "label")
+
+
 @query("csv_white_space", f"SELECT doc_id, {_SPACED} AS text FROM documents")
 def q_csv_white_space(spark, sf):
     """O-10 then O-01: leading, trailing and only white space, empty and null cells survive."""
