@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import plain_columns, steps
-from .tokens import STEP_CHARS, Encoder
+from .common import plain_columns, steps, stored
+from .tokens import STEP_CHARS, encoder
 
 SCHEMA = "block int, pos long, doc_id long, ids array<int>"
 
@@ -28,11 +28,11 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, blanks_kept:
     over ``block`` and ``pos``."""
 
     def run(batches):
-        encoder = Encoder(tokenizer, blanks_kept)
+        encode = encoder(tokenizer, blanks_kept).encode
         end = end_id.to_bytes(4, "little")
         pos = 0
         for part in steps(batches, limit=STEP_CHARS):
-            ids = encoder.encode(part.column(1).to_pylist())
+            ids = encode(part.column(1).to_pylist())
             lengths = np.array([len(x) // 4 + 1 for x in ids])
             flat = np.frombuffer(b"".join([x + end for x in ids]), "<u4").astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(flat))
@@ -78,7 +78,7 @@ def digests(rows: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(lengths), pa.array(crc, pa.int64())],
                 names=["block", "pos", "doc_id", "n_tokens", "ids_crc32"])
 
-    each = rows.mapInArrow(run, "block int, pos long, doc_id long, n_tokens long, ids_crc32 long")
+    each = stored(rows.mapInArrow(run, "block int, pos long, doc_id long, n_tokens long, ids_crc32 long"), "digests")
     # one row for each block: its ids, and the ids of the blocks before it
     blocks = each.groupBy("block").agg(F.sum("n_tokens").alias("n"))
     before = blocks.select("block", (F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before"))
