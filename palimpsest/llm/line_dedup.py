@@ -1,12 +1,13 @@
 """Near-duplicate lines by MinHash, and texts without their repeats.
 
 A line's shingles are its runs of ``SHINGLE`` characters. One permutation hash split over
-``BANDS`` x ``ROWS`` bins gives its signature (an empty bin borrows from the next one that
-is not), and each band of it a bucket; two lines of Jaccard similarity 0.8 share a bucket
+``BANDS`` x ``ROWS`` bins gives its signature (an empty bin borrows from a
+filled one), and each band of it a bucket; two lines of Jaccard similarity 0.8 share a bucket
 with probability 0.998. Inside each bucket the shingle sets themselves are compared: from
 a line the search goes on to all lines of the bucket at similarity ``LEAST`` or more that it
 has not reached, so the bucket's components are exact while only one link for each line
-leaves it. Buckets of the same lines are compared once. The links of all buckets are
+leaves it. Buckets of the same lines are compared once, and buckets with the same smallest
+line in one task, which remembers what it has united. The links of all buckets are
 united, and of each component the first line (smallest doc_id, then line number) stays.
 
 Equal lines are one member of a bucket, however frequent. Lines are told apart by their
@@ -30,6 +31,8 @@ from .components import components
 SHINGLE, LEAST, BANDS, ROWS = 8, 0.8, 12, 4
 #: Different lines that a task remembers to have signed.
 REMEMBERED = 1_000_000
+#: Characters of the lines whose signatures are computed at once.
+STEP_CHARS = 200_000
 _U = np.uint64
 _LAST = (1 << 63) - 1
 _EMPTY = _U((1 << 64) - 1)
@@ -52,26 +55,27 @@ def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int
     bins = bands * rows
     codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(_U)
     lengths = np.array([len(x) for x in lines])
-    # a window's hash is built by doubling; any width as the sum of its binary parts
-    window, done, power, span = np.zeros(len(codes), _U), 0, _mix(codes + _U(1)), 1
+    # a window's hash: the sum of its characters times odd numbers (built by doubling), mixed
+    window, done, power, span = np.zeros(len(codes), _U), 0, codes * _U(0x9E3779B97F4A7C15), 1
     while True:
         if width & span:
             part = np.zeros(len(codes), _U)
             part[:len(codes) - done] = power[done:] if done else power
-            window = _mix(window * _U(0x9E3779B97F4A7C15) + part)
+            window = window * _U(0x165667B19E3779F9) + part
             done += span
         if done == width:
             break
         wider = power.copy()
-        wider[:len(codes) - span] += power[span:] * _U(0xC2B2AE3D27D4EB4F)
-        power, span = wider * _U(0x165667B19E3779F9) ^ (wider >> _U(29)), span * 2
-    of = np.repeat(np.arange(len(lines)), lengths)
-    place = np.arange(len(codes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    inside = place + width <= np.repeat(lengths, lengths)
-    window, of = window[inside], of[inside].astype(_U)
+        wider[:len(codes) - span] += power[span:] * _U((0xC2B2AE3D27D4EB4F + 2 * span) & 0xFFFFFFFFFFFFFFFF)
+        power, span = wider, span * 2
+    of = np.repeat(np.arange(len(lines), dtype=_U), lengths)
+    ends = np.cumsum(lengths)
+    inside = np.ones(len(codes), bool)
+    for i in range(1, width):
+        inside[ends - i] = False
+    window, of = _mix(window[inside]), of[inside]
     # line (20 bits), bin (8), value (36) in one number: sorting brings each bin's least value first
-    bin_ = ((window >> _U(32)) * _U(bins)) >> _U(32)
-    order = (of << _U(44)) | (bin_ << _U(36)) | (_mix(window) >> _U(28))
+    order = (of << _U(44)) | ((((window >> _U(32)) * _U(bins)) >> _U(32)) << _U(36)) | (window & _U((1 << 36) - 1))
     order.sort()
     first = np.concatenate([[True], (order[1:] >> _U(36)) != (order[:-1] >> _U(36))])
     order = order[first]
@@ -79,15 +83,17 @@ def band_keys(lines: list[str], bands: int = BANDS, rows: int = ROWS, width: int
     sketch[(order >> _U(44)).astype(np.int64), ((order >> _U(36)) & _U(255)).astype(np.int64)] = order & _U((1 << 36) - 1)
     thin = np.flatnonzero((sketch == _EMPTY).any(axis=1))
     if len(thin):
+        # an empty bin borrows from the first filled one of a fixed random order of its own
         some = sketch[thin]
         filled = some.copy()
-        for step in range(1, bins):
+        orders = np.random.default_rng(bins).permuted(np.tile(np.arange(bins), (bins, 1)), axis=1)
+        for step in range(bins):
             empty = filled == _EMPTY
             if not empty.any():
                 break
-            lent = np.roll(some, -step, axis=1)
+            lent = some[:, orders[:, step]]
             take = empty & (lent != _EMPTY)
-            filled[take] = lent[take] + _U(step << 36)
+            filled[take] = lent[take]
         sketch[thin] = filled
     keys = np.zeros((len(lines), bands), _U)
     for row in range(rows):
@@ -112,9 +118,9 @@ def _buckets(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 signed.update(new)
             items = list(new.items())
             at = 0
-            while at < len(items):  # lines of about a million characters, one at least
+            while at < len(items):  # lines of about ``STEP_CHARS`` characters, one at least
                 upto, chars = at, 0
-                while upto < len(items) and (upto == at or chars + len(items[upto][1]) <= 1_000_000):
+                while upto < len(items) and (upto == at or chars + len(items[upto][1]) <= STEP_CHARS):
                     chars += len(items[upto][1])
                     upto += 1
                 keys = band_keys([x[1] for x in items[at:upto]], bands, rows)
@@ -126,8 +132,9 @@ def _buckets(docs: DataFrame, bands: int, rows: int) -> DataFrame:
 
 
 def _shared(batches):
-    """Rows of whole buckets -> (bucket, lid) of those with more than one line; a bucket is
-    named by its lines, so that buckets of the same lines become one."""
+    """Rows of whole buckets -> (least, bucket, lid) of those with more than one line; a bucket
+    is named by its lines, so that buckets of the same lines become one; ``least`` is its
+    smallest line."""
     keys, lids = [], []
     for b in batches:
         keys.append(b.column(0).to_numpy())
@@ -144,54 +151,73 @@ def _shared(batches):
     size = np.diff(np.append(start, len(keys)))
     name = _mix(np.add.reduceat(_mix(lids.view(_U)), start) + size.astype(_U)).view(np.int64)
     many = np.repeat(size > 1, size)
-    name, lids = np.repeat(name, size)[many], lids[many]
-    for i in range(0, len(lids), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(name[i:i + 100_000]), pa.array(lids[i:i + 100_000])], names=["bucket", "lid"])
+    columns = [x[many] for x in (np.repeat(lids[start], size), np.repeat(name, size), lids)]
+    for i in range(0, len(columns[0]), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 100_000]) for x in columns], names=["least", "bucket", "lid"])
 
 
 def shingles(line: str, width: int = SHINGLE) -> frozenset:
-    return frozenset(line[i:i + width] for i in range(max(1, len(line) - width + 1)))
-
-
-def _linked(lids: list[int], lines: list[str], least: float) -> list[tuple[int, int]]:
-    """Links (line, first line of its component) of one bucket."""
-    sets = [shingles(x) for x in lines]
-    left, links = list(range(len(lids))), []
-    while left:
-        queue, first = [left.pop()], None
-        first = lids[queue[0]]
-        while queue and left:
-            a = sets[queue.pop()]
-            still = []
-            for i in left:
-                b = sets[i]
-                small, large = (len(a), len(b)) if len(a) < len(b) else (len(b), len(a))
-                both = len(a & b) if small >= least * large else 0
-                if both and both >= least * (small + large - both):
-                    links.append((lids[i], first))
-                    queue.append(i)
-                else:
-                    still.append(i)
-            left = still
-    return links
+    return frozenset([line[i:i + width] for i in range(max(1, len(line) - width + 1))])
+
+
+class _Links:
+    """Components among the lines of buckets that have the same smallest line."""
+
+    def __init__(self, least: float):
+        self.least, self.up, self.sets, self.links = least, {}, {}, []
+
+    def find(self, x: int) -> int:
+        while self.up.setdefault(x, x) != x:
+            self.up[x] = x = self.up[self.up[x]]
+        return x
+
+    def _set(self, lid: int, line: str) -> frozenset:
+        if lid not in self.sets:
+            self.sets[lid] = shingles(line)
+        return self.sets[lid]
+
+    def add(self, bucket: dict[int, str]) -> None:
+        """Unite the bucket's lines: from those known to be one, on to all that are alike."""
+        left: dict[int, list[int]] = {}  # the bucket's lines by what is known of them
+        for lid in bucket:
+            left.setdefault(self.find(lid), []).append(lid)
+        while len(left) > 1:
+            root, queue = left.popitem()
+            while queue and left:
+                a = queue.pop()
+                a = self._set(a, bucket[a])
+                for other in list(left):
+                    for lid in left[other]:
+                        b = self._set(lid, bucket[lid])
+                        small, large = (len(a), len(b)) if len(a) < len(b) else (len(b), len(a))
+                        both = len(a & b) if small >= self.least * large else 0
+                        if both and both >= self.least * (small + large - both):
+                            self.links.append((other, root))
+                            self.up[self.find(other)] = self.find(root)
+                            queue += left.pop(other)
+                            break
 
 
 def _verify(least: float):
     def run(batches):
-        held: list[tuple[int, str]] = []
-        now, links = None, []
+        now, bucket, held, found = None, None, {}, _Links(least)
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found.links], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
         for b in batches:
-            for bucket, lid, line in zip(*(c.to_pylist() for c in b.columns)):
-                if bucket != now:
-                    links += _linked([x[0] for x in held], [x[1] for x in held], least)
-                    held, now = [], bucket
-                held.append((lid, line))
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["u", "v"])
-                links = []
-        links = _linked([x[0] for x in held], [x[1] for x in held], least)
-        if links:
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["u", "v"])
+            for least_, name, lid, line in zip(*(c.to_pylist() for c in b.columns)):
+                if name != bucket or least_ != now:
+                    found.add(held)
+                    held, bucket = {}, name
+                if least_ != now:
+                    if found.links:
+                        yield out()
+                    now, found = least_, _Links(least)
+                held[lid] = line
+        found.add(held)
+        if found.links:
+            yield out()
 
     return run
 
@@ -203,12 +229,12 @@ def _key(docs: DataFrame) -> DataFrame:
 def near_lines(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(node, root): lines (by hash) that have near-duplicates, and their component."""
     texts = plain_columns(docs, "doc_id", "text").where("text is not null").select("text")
-    shared = stored(_buckets(texts, bands, rows).repartition("key").mapInArrow(_shared, "bucket long, lid long").distinct(), "buckets")
+    shared = stored(_buckets(texts, bands, rows).repartition("key").mapInArrow(_shared, "least long, bucket long, lid long").distinct(), "buckets")
     lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length("line") >= SHINGLE)
     wanted = shared.select("lid").distinct()
     found = (lines.select(F.xxhash64("line").alias("lid"), "line").join(wanted.hint("shuffle_hash"), "lid", "left_semi")
              .groupBy("lid").agg(F.first("line").alias("line")))
-    whole = shared.join(found, "lid").select("bucket", "lid", "line").repartition("bucket").sortWithinPartitions("bucket")
+    whole = shared.join(found, "lid").select("least", "bucket", "lid", "line").repartition("least").sortWithinPartitions("least", "bucket")
     return components(whole.mapInArrow(_verify(least), "u long, v long"))
 
 
@@ -217,7 +243,7 @@ def line_classes(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows
     its component (first_doc_id, first_line_no); also the row's keys ``_doc`` and ``_hash``."""
     frame = _key(plain_columns(docs, "doc_id", "text").where("text is not null"))
     lines = (frame.select("_doc", "_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-             .select("_doc", "_hash", "line_no", F.when(F.trim(F.translate("line", "\t\r\x0b\x0c", "    ")) != "", F.xxhash64("line")).alias("lid")))
+             .select("_doc", "_hash", "line_no", F.when(F.trim("line", F.lit(" \t\r\x0b\x0c")) != "", F.xxhash64("line")).alias("lid")))
     lines = stored(lines.dropDuplicates(["_doc", "_hash", "line_no"]) if _repeats(frame) else lines, "lines")
     roots = stored(near_lines(docs, least, bands, rows), "roots")
     firsts = lines.where("lid is not null").groupBy("lid").agg(F.min(F.struct("_doc", "_hash", "line_no")).alias("first"))

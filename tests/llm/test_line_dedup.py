@@ -60,7 +60,9 @@ def test_fuzzy_group_of_a_third_of_all_lines(spark):
 
 def test_links_of_a_bucket_are_its_exact_components():
     lines = ["abcdefghijklmnopqrstuvwxyz0123456789" + x for x in ("", "A", "AB", "ABC", "ABCD", "ABCDE", "ABCDEF", "ABCDEFGHIJKL")] + ["unlike everything else here"]
-    links = L._linked(list(range(len(lines))), lines, 0.8)
+    found = L._Links(0.8)
+    found.add(dict(enumerate(lines)))
+    links = found.links
     u, w = Union(), Union()
     for a, b in links:
         u.join(a, b)
