@@ -28,12 +28,16 @@ REMEMBERED = 1_000_000
 HOT = 20_000
 #: Characters encoded as one step.
 STEP_CHARS = 4_000_000
+#: From this many characters on a run of white space goes to the tokenizers library: tiktoken's
+#: pattern overflows its stack on one of a million.
+LONG_RUN = 100_000
 
 #: What each first character of a chunk stands for is told by _literal.
 _ITSELF, _STOP = "\n\n", "\x02"
 _MARK = "\x01"
 _EDGES_OK = re.compile(r"(?:\n|\x02)?\S(?:[\s\S]*\S)?")
 _CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)")
+_BLANK_RUN = re.compile(r"(?<!\s)\s{%d}" % LONG_RUN)
 #: A full stop or comma after other punctuation; one run of punctuation is one word.
 _GLUED = re.compile(r"[.,](?<=[^\w\s].|_.)")
 
@@ -49,9 +53,11 @@ def _literal(chunk: str) -> str:
 
 class ByteEncoder:
     """A byte-level file (white space belongs to tokens) run by tiktoken, which merges by the
-    ids of the file's own vocabulary and gives the tokenizers library's very ids."""
+    ids of the file's own vocabulary and gives the tokenizers library's very ids. Texts with
+    a run of white space that tiktoken cannot take are encoded by that library itself."""
 
     def __init__(self, path: str):
+        self.path, self.library = path, None
         with open(path, encoding="utf-8") as f:
             vocab = json.load(f)["model"]["vocab"]
         # byte-level files write a byte as a character: printable ones as themselves, the others from 256 on
@@ -63,7 +69,13 @@ class ByteEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
-        return [np.array(self.bpe.encode_ordinary(t), "<u4").tobytes() if t else b"" for t in texts]
+        return [self._one(t) if t else b"" for t in texts]
+
+    def _one(self, text: str) -> bytes:
+        if len(text) >= LONG_RUN and _BLANK_RUN.search(text):
+            self.library = self.library or Encoder(self.path, True)
+            return self.library.whole(text).tobytes()
+        return np.array(self.bpe.encode_ordinary(text), "<u4").tobytes()
 
 
 class Encoder:
@@ -81,11 +93,11 @@ class Encoder:
             size = self.tokenizer.get_vocab_size()
             self.width = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
         else:
-            self.mark = self._whole(_MARK)
+            self.mark = self.whole(_MARK)
             if len(self.mark) != 1:
                 raise ValueError("the mark is not a token of its own")
 
-    def _whole(self, text: str) -> np.ndarray:
+    def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, chunks: list[str]) -> None:
@@ -94,19 +106,19 @@ class Encoder:
         rest = []
         for c in chunks:
             if (c[:2] == _ITSELF or c[:1] == _STOP) if self.blanks_kept else _MARK in c:
-                known[c] = self._whole(_literal(c) if self.blanks_kept else c).tobytes()
+                known[c] = self.whole(_literal(c) if self.blanks_kept else c).tobytes()
             else:
                 rest.append(c)
         for i in range(0, len(rest), 20_000):
             part = rest[i:i + 20_000]
             if self.blanks_kept:
                 literal = [_literal(c) for c in part]
-                ids = self._whole("".join(literal))
+                ids = self.whole("".join(literal))
                 upto = np.cumsum([len(x.encode()) for x in literal])
                 ends = np.searchsorted(np.cumsum(self.width[ids]), upto, side="left") + 1
                 starts = np.concatenate([[0], ends[:-1]])
             else:
-                ids = self._whole(f" {_MARK} ".join([*part, ""]))
+                ids = self.whole(f" {_MARK} ".join([*part, ""]))
                 ends = np.flatnonzero(ids == self.mark[0])
                 starts = np.concatenate([[0], ends[:-1] + 1])
             raw = ids.tobytes()

@@ -39,6 +39,18 @@ def test_ids_of_documents(spark, file, kept):
         assert e.encode(texts) == [whole(file, t) for t in texts]
 
 
+@pytest.mark.parametrize("run", [" " * 1_200_000, "\n" * 1_200_000, "\n  " * 400_001, "\u3000" * 1_100_000])
+def test_white_space_runs_of_over_a_million_characters(run):
+    file, text = "byte_bpe_50k.json", f"one{run}two  three\n\n"
+    assert tokens.encoder(f"{TOK}/{file}", True).encode([text, "four", None]) == [whole(file, text), whole(file, "four"), b""]
+
+
+def test_pack_takes_a_document_of_blanks(spark):
+    rows = [(1, "a" + " " * 1_200_000 + "b"), (2, "short")]
+    got = K.pack(spark.createDataFrame(rows, "doc_id long, text string"), f"{TOK}/byte_bpe_50k.json", 2).collect()
+    assert {i: sum(r["length"] for r in got if r["doc_id"] == i) for i, _ in rows} == {i: len(whole("byte_bpe_50k.json", t)) // 4 + 1 for i, t in rows}
+
+
 def test_forgotten_chunks_are_encoded_anew(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 3)
     encoder = tokens.Encoder(f"{TOK}/byte_bpe_50k.json", True)
