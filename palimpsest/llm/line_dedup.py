@@ -7,8 +7,12 @@ with probability 0.998. Inside each bucket the shingle sets themselves are compa
 a line the search goes on to all lines of the bucket at similarity ``LEAST`` or more that it
 has not reached, so the bucket's components are exact while only one link for each line
 leaves it. Buckets of the same lines are compared once, and buckets with the same smallest
-line in one task, which remembers what it has united. The links of all buckets are
-united, and of each component the first line (smallest doc_id, then line number) stays.
+line (twelve at most) in one task, which remembers what it has united. A bucket of more than
+``BLOCK_ROWS`` lines is split by line into blocks, each united by itself together with a few
+lines that all blocks get; then its lines outside the largest component so far are compared,
+block pair by block pair in tasks of their own, with all lines of other components. The links
+of all buckets are united, and of each component the first line (smallest doc_id, then line
+number) stays.
 
 Equal lines are one member of a bucket, however frequent. Lines are told apart by their
 64-bit hash. Defined results: blank lines are always kept and belong to no component;
@@ -29,6 +33,8 @@ from .components import components
 
 #: Characters of a shingle, least similarity, bands and rows of the signature.
 SHINGLE, LEAST, BANDS, ROWS = 8, 0.8, 12, 4
+#: Lines of a bucket compared in one task, and about how many of a larger one every block gets.
+BLOCK_ROWS, PIVOTS = 2_000, 16
 #: Different lines that a task remembers to have signed.
 REMEMBERED = 1_000_000
 #: Characters of the lines whose signatures are computed at once.
@@ -161,7 +167,7 @@ def shingles(line: str, width: int = SHINGLE) -> frozenset:
 
 
 class _Links:
-    """Components among the lines of buckets that have the same smallest line."""
+    """Components among the lines of one task's buckets."""
 
     def __init__(self, least: float):
         self.least, self.up, self.sets, self.links = least, {}, {}, []
@@ -176,6 +182,11 @@ class _Links:
             self.sets[lid] = shingles(line)
         return self.sets[lid]
 
+    def _alike(self, a: frozenset, b: frozenset) -> bool:
+        small, large = (len(a), len(b)) if len(a) < len(b) else (len(b), len(a))
+        both = len(a & b) if small >= self.least * large else 0
+        return bool(both) and both >= self.least * (small + large - both)
+
     def add(self, bucket: dict[int, str]) -> None:
         """Unite the bucket's lines: from those known to be one, on to all that are alike."""
         left: dict[int, list[int]] = {}  # the bucket's lines by what is known of them
@@ -188,40 +199,116 @@ class _Links:
                 a = self._set(a, bucket[a])
                 for other in list(left):
                     for lid in left[other]:
-                        b = self._set(lid, bucket[lid])
-                        small, large = (len(a), len(b)) if len(a) < len(b) else (len(b), len(a))
-                        both = len(a & b) if small >= self.least * large else 0
-                        if both and both >= self.least * (small + large - both):
+                        if self._alike(a, self._set(lid, bucket[lid])):
                             self.links.append((other, root))
                             self.up[self.find(other)] = self.find(root)
                             queue += left.pop(other)
                             break
 
+    def across(self, some: dict[int, str], others: dict[int, str]) -> None:
+        """Unite lines of ``some`` with lines of ``others`` that are alike."""
+        right: dict[int, list[int]] = {}
+        for lid in others:
+            right.setdefault(self.find(lid), []).append(lid)
+        for x, line in some.items():
+            for known, lids in right.items():
+                root, other = self.find(x), self.find(known)
+                if root == other:
+                    continue
+                if any(self._alike(self._set(x, line), self._set(lid, others[lid])) for lid in lids):
+                    self.links.append((other, root))
+                    self.up[other] = root
+
+
+def _told(found: _Links) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found.links], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
 
 def _verify(least: float):
+    """Rows (least, parts, part, bucket, lid, line) sorted by the first four -> links inside each
+    bucket's lines of a (least, parts, part)."""
+
     def run(batches):
         now, bucket, held, found = None, None, {}, _Links(least)
-
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found.links], pa.int64()) for i in (0, 1)], names=["u", "v"])
-
         for b in batches:
-            for least_, name, lid, line in zip(*(c.to_pylist() for c in b.columns)):
-                if name != bucket or least_ != now:
+            for least_, parts, part, name, lid, line in zip(*(c.to_pylist() for c in b.columns)):
+                task = least_, parts, part
+                if name != bucket or task != now:
                     found.add(held)
                     held, bucket = {}, name
-                if least_ != now:
+                if task != now:
                     if found.links:
-                        yield out()
-                    now, found = least_, _Links(least)
+                        yield _told(found)
+                    now, found = task, _Links(least)
                 held[lid] = line
         found.add(held)
         if found.links:
-            yield out()
+            yield _told(found)
+
+    return run
+
+
+def _cross(least: float):
+    """Rows (least, bucket, kind, i, j, side, lid, root, line) sorted by the first five -> links
+    between the lines of both sides or, where there is one side only, inside it; lines of
+    one root are one already."""
+
+    def run(batches):
+        now, sides, found = None, ({}, {}), _Links(least)
+
+        def unite():
+            if sides[1]:
+                found.across(*sides)
+            else:
+                found.add(sides[0])
+
+        for b in batches:
+            for *task, side, lid, root, line in zip(*(c.to_pylist() for c in b.columns)):
+                if task != now:
+                    unite()
+                    if found.links:
+                        yield _told(found)
+                    now, sides, found = task, ({}, {}), _Links(least)
+                found.up[root] = found.up[lid] = root
+                sides[side][lid] = line
+        unite()
+        if found.links:
+            yield _told(found)
 
     return run
 
 
+def _blocks(shared: DataFrame, large: DataFrame | None) -> DataFrame:
+    """``shared`` with parts and part: a bucket of ``large`` is split by line, and some of its
+    lines are in every part."""
+    if large is None:
+        return shared.withColumn("parts", F.lit(1)).withColumn("part", F.lit(0))
+    rows = shared.join(large, ["least", "bucket"], "left")
+    rows = rows.withColumn("parts", F.expr(f"if(n is null, 1, cast(pow(2, ceil(log2(n / {BLOCK_ROWS}))) as int))"))
+    every = (F.col("lid") == F.col("least")) | (F.expr("pmod(xxhash64(lid, 1), n)") < PIVOTS)
+    one = F.array(F.expr("cast(pmod(xxhash64(lid), parts) as int)"))
+    return rows.withColumn("part", F.explode(F.when(F.col("n").isNotNull() & every, F.expr("sequence(0, parts - 1)")).otherwise(one))).drop("n")
+
+
+def _pairs(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Lines (least, bucket, lid) of large buckets and the components so far -> least, bucket,
+    kind, i, j, side, lid, root: those of the largest component in blocks i against the rest
+    in blocks j (kind 0), and the rest's blocks against one another (kind 1)."""
+    known = stored(rows.join(roots, F.col("lid") == F.col("node"), "left")
+                   .select("least", "bucket", "lid", F.coalesce("root", "lid").alias("root")), "known")
+    sizes = known.groupBy("least", "bucket", "root").agg(F.count("*").alias("n"))
+    main = (sizes.groupBy("least", "bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("n"))
+            .where("n > m.n")
+            .select("least", "bucket", F.col("m.root").alias("main"),
+                    F.expr(f"cast(ceil(m.n / {BLOCK_ROWS}) as int)").alias("mains"), F.expr(f"cast(ceil((n - m.n) / {BLOCK_ROWS}) as int)").alias("rests")))
+    both = known.join(main, ["least", "bucket"])
+    inside, outside = both.where("root = main"), both.where("root <> main").withColumn("at", F.expr("cast(pmod(xxhash64(lid), rests) as int)"))
+    out = inside.selectExpr("least", "bucket", "0 as kind", "cast(pmod(xxhash64(lid), mains) as int) as i", "explode(sequence(0, rests - 1)) as j", "0 as side", "lid", "root")
+    out = out.union(outside.selectExpr("least", "bucket", "0 as kind", "explode(sequence(0, mains - 1)) as i", "at as j", "1 as side", "lid", "root"))
+    rest = outside.selectExpr("*", "explode(sequence(0, rests - 1)) as to")
+    return out.union(rest.selectExpr("least", "bucket", "1 as kind", "least(at, to) as i", "greatest(at, to) as j", "if(at <= to, 0, 1) as side", "lid", "root"))
+
+
 def _key(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_doc", F.coalesce("doc_id", F.lit(_LAST))).withColumn("_hash", F.xxhash64("text"))
 
@@ -234,8 +321,22 @@ def near_lines(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows:
     wanted = shared.select("lid").distinct()
     found = (lines.select(F.xxhash64("line").alias("lid"), "line").join(wanted.hint("shuffle_hash"), "lid", "left_semi")
              .groupBy("lid").agg(F.first("line").alias("line")))
-    whole = shared.join(found, "lid").select("least", "bucket", "lid", "line").repartition("least").sortWithinPartitions("least", "bucket")
-    return components(whole.mapInArrow(_verify(least), "u long, v long"))
+    large = stored(shared.groupBy("least", "bucket").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_ROWS), "large")
+    if large.isEmpty():
+        return components(_links(_blocks(shared, None), found, least))
+    found = stored(found, "lines")
+    links = stored(_links(_blocks(shared, large), found, least), "links")
+    pairs = _pairs(shared.join(large.drop("n"), ["least", "bucket"], "left_semi"), stored(components(links), "united"))
+    task = ["least", "bucket", "kind", "i", "j"]
+    crossed = (pairs.join(found, "lid").select(*task, "side", "lid", "root", "line")
+               .repartition(*task).sortWithinPartitions(*task).mapInArrow(_cross(least), "u long, v long"))
+    return components(links.union(crossed))
+
+
+def _links(blocks: DataFrame, found: DataFrame, least: float) -> DataFrame:
+    task = ["least", "parts", "part"]
+    whole = blocks.join(found, "lid").select(*task, "bucket", "lid", "line").repartition(*task).sortWithinPartitions(*task, "bucket")
+    return whole.mapInArrow(_verify(least), "u long, v long")
 
 
 def line_classes(docs: DataFrame, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

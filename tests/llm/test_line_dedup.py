@@ -58,6 +58,49 @@ def test_fuzzy_group_of_a_third_of_all_lines(spark):
     assert got == want
 
 
+def test_large_buckets_are_split_and_stay_exact(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(L, "PIVOTS", 2)
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    head, others = " ".join(word() for _ in range(40)), [" ".join(word() for _ in range(9)) for _ in range(6)]
+    rows = [(i, f"{head} {rng.choice(others)} number {i}" if i % 3 == 0 else " ".join(word() for _ in range(rng.randint(1, 30)))) for i in range(900)]
+    want = brute(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["line_no"]): r["kept"] for r in L.line_classes(docs).collect()}
+    assert got == want
+
+
+def test_no_task_takes_a_large_bucket_whole(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK_ROWS", 50)
+    rows = [(0, 7, x) for x in range(2000)] + [(5, 8, x) for x in range(5, 25)]
+    shared = spark.createDataFrame(rows, "least long, bucket long, lid long")
+    large = shared.groupBy("least", "bucket").count().where("count > 50").withColumnRenamed("count", "n")
+    blocks = L._blocks(shared, large)
+    assert blocks.select("least", "bucket", "lid").distinct().count() == len(rows)
+    assert max(r["count"] for r in blocks.groupBy("least", "parts", "part").count().collect()) < 4 * 50
+    # what is left after the blocks: two halves, and lines that are alone
+    roots = spark.createDataFrame([(x, x % 2) for x in range(1900)], "node long, root long")
+    pairs = L._pairs(shared.where("bucket = 7"), roots).collect()
+    tasks = {}
+    for r in pairs:
+        tasks.setdefault((r["kind"], r["i"], r["j"]), []).append((r["side"], r["lid"], r["root"]))
+    assert max(map(len, tasks.values())) < 4 * 50
+    met = set()
+    for lines in tasks.values():
+        a, b = [x for x in lines if not x[0]], [x for x in lines if x[0]] or [x for x in lines if not x[0]]
+        met |= {(min(x[1], y[1]), max(x[1], y[1])) for x in a for y in b if x[2] != y[2]}
+    root = lambda x: x % 2 if x < 1900 else x
+    assert met == {(x, y) for y in range(2000) for x in range(y) if root(x) != root(y)}
+
+
+def test_lines_across_blocks_are_united():
+    base = "abcdefghijklmnopqrstuvwxyz0123456789"
+    found = L._Links(0.8)
+    found.across({1: base, 2: "unlike everything else here"}, {3: base + "A", 4: base + "AB", 5: "some other line that is unlike"})
+    assert len({found.find(x) for x in (1, 3, 4)}) == 1 and len({found.find(x) for x in (1, 2, 5)}) == 3
+
+
 def test_links_of_a_bucket_are_its_exact_components():
     lines = ["abcdefghijklmnopqrstuvwxyz0123456789" + x for x in ("", "A", "AB", "ABC", "ABCD", "ABCDE", "ABCDEF", "ABCDEFGHIJKL")] + ["unlike everything else here"]
     found = L._Links(0.8)
