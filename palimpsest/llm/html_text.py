@@ -8,7 +8,10 @@ a further part (an element outside the core) must reach, along with a quarter of
 score. Where the core lies in an ``article`` or ``main`` element, that whole element counts.
 Elements that are never article text by their tag, role, class or id (menus, headers,
 footers, sidebars, notices, adverts, forms, reader comments, scripts, styles) are left out
-before densities are computed.
+before densities are computed. A word counts where it is a whole class or id or the last part
+of one (digits after it aside) without a modifier (``no-sidebar``, ``has-comments``); an
+element with such a word that holds most of the body's unlinked characters is left to the
+density, unless there is text in an ``article`` or ``main`` element outside it.
 
 The text: character references decoded, white space inside a block turned into one space,
 blocks trimmed and joined by one space in page order. Defined results: null or empty html
@@ -38,6 +41,8 @@ NOT_TEXT_WORDS = set("""nav navbar navigation menu breadcrumb breadcrumbs header
 adverts advertisement advertising banner promo promotion promoted sponsor sponsored notice notices cookie cookies consent gdpr
 popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus reply replies respond
 share sharing social related recommended pagination pager widget toolbar search form""".split())
+NOT_ARTICLE_WORDS = {"comment", "comments", "ad", "ads", "advert"}
+MODIFIERS = set("no not non has have with without hide hides".split())
 NOT_TEXT_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 KEEP_WHOLE = {"article", "main", "body", "html"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"},
@@ -51,23 +56,37 @@ _MARKS = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s
 _WORDS = re.compile(r"[^a-z0-9]+")
 
 
-def _left_out(name: str, attrs: str) -> bool:
+def _told(value: str, words: set[str]) -> bool:
+    """Whether a class or id tells of ``words``: as a whole token or its last part, without a modifier."""
+    for token in value.split():
+        if token in words:
+            return True
+        parts = [x for x in _WORDS.split(token) if x]
+        while parts and parts[-1].isdigit():
+            parts.pop()
+        if parts and parts[-1] in words and MODIFIERS.isdisjoint(parts[:-1]):
+            return True
+    return False
+
+
+def _left_out(name: str, attrs: str) -> int:
+    """0: no; 1: by a word of its class or id; 2: by its tag or role, or hidden."""
     if name in NOT_TEXT:
-        return True
+        return 2
     if not attrs or name in ("body", "html"):
-        return False
+        return 0
+    left = 0
     for key, value in _MARKS.findall(attrs):
         key, value = key.lower(), value.strip("\"' ").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return 2
         if key == "role" and value in NOT_TEXT_ROLES:
-            return True
+            return 2
         if key in ("class", "id") and name not in ("article", "main"):
-            if not NOT_TEXT_WORDS.isdisjoint(_WORDS.split(value)):
-                return True
-        elif key == "class" and not {"comment", "comments", "ad", "ads", "advert"}.isdisjoint(_WORDS.split(value)):
-            return True
-    return False
+            left = left or int(_told(value, NOT_TEXT_WORDS))
+        elif key == "class":
+            left = left or int(_told(value, NOT_ARTICLE_WORDS))
+    return left
 
 
 class _Page:
@@ -75,10 +94,9 @@ class _Page:
     link tags of the whole subtree; ``blocks``: (element, text)."""
 
     def __init__(self, source: str):
-        self.tag, self.parent = ["body"], [-1]
-        self.chars, self.links, self.tags, self.link_tags = [0], [0], [0], [0]
-        self.blocks: list[tuple[int, str]] = []
-        self._read(source)
+        most = self._read(source, set())
+        if most:
+            self._read(source, most)
         for i in range(len(self.tag) - 1, 0, -1):
             up = self.parent[i]
             self.chars[up] += self.chars[i]
@@ -86,10 +104,17 @@ class _Page:
             self.tags[up] += self.tags[i] + 1
             self.link_tags[up] += self.link_tags[i]
 
-    def _read(self, source: str) -> None:
-        open_: list[tuple[str, int, bool]] = []  # name, block element, inside what is left out
+    def _read(self, source: str, spared: set[int]) -> set[int]:
+        """Read the page; returns where elements start that a word leaves out although they
+        hold most of the unlinked characters, and no article or main element outside them has
+        text (those of ``spared`` are not left out)."""
+        self.tag, self.parent = ["body"], [-1]
+        self.chars, self.links, self.tags, self.link_tags = [0], [0], [0], [0]
+        self.blocks: list[tuple[int, str]] = []
+        open_: list[tuple[str, int, int, int | None]] = []  # name, block element, inside what is left out, number in ``worded``
+        worded: list[list[int]] = []  # start of an element left out by a word, unlinked characters before and up to its end, element around it
         held: list[str] = []
-        node, out, links = 0, False, 0
+        node, out, links, free = 0, 0, 0, 0
 
         def flush():
             if held:
@@ -102,22 +127,27 @@ class _Page:
         def shut(to: int):
             nonlocal node, out, links
             while len(open_) > to:
-                name, _, _ = open_.pop()
+                name, _, _, number = open_.pop()
+                if number is not None:
+                    worded[number][2] = free
                 if name == "a":
                     links -= 1
                 if name in BLOCK:
                     flush()
-                _, node, out = open_[-1] if open_ else ("", 0, False)
+                _, node, out, _ = open_[-1] if open_ else ("", 0, 0, None)
 
         at, end = 0, len(source)
         while at < end:
             m = _TAG.search(source, at)
             text = source[at:m.start() if m else end]
-            if text and not out:
+            if text and out < 2:
                 text = htmllib.unescape(text) if "&" in text else text
-                held.append(text)
-                if links:
-                    self.links[node] += len(text.strip())
+                if not links:
+                    free += len(text.strip())
+                if not out:
+                    held.append(text)
+                    if links:
+                        self.links[node] += len(text.strip())
             if not m:
                 break
             at = m.end()
@@ -144,7 +174,8 @@ class _Page:
                         break
                     if open_[k][0] in SCOPE and open_[k][0] not in closes:
                         break
-            left = out or _left_out(name, m.group("attrs"))
+            own = 0 if out == 2 else _left_out(name, m.group("attrs"))
+            left = max(out, 0 if own == 1 and m.start() in spared else own)
             if name in BLOCK:
                 flush()
             if name in RAW:
@@ -168,8 +199,18 @@ class _Page:
             if name == "a":
                 links += 1
             out = left
-            open_.append((name, node, out))
+            open_.append((name, node, out, len(worded) if own == 1 else None))
+            if own == 1:
+                worded.append([m.start(), free, -1, node])
         flush()
+        most = [(start, at) for start, before, upto, at in worded if 2 * ((free if upto < 0 else upto) - before) > free]
+        if not most:
+            return set()
+        home = [0] * len(self.tag)  # the outermost article or main element around each
+        for i in range(1, len(home)):
+            home[i] = home[self.parent[i]] or (i if self.tag[i] in ("article", "main") else 0)
+        articles = {home[i] for i, _ in self.blocks} - {0}
+        return {start for start, at in most if articles <= {home[at]}}
 
     def main(self) -> str:
         if not self.blocks:

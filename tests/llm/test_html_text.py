@@ -49,6 +49,14 @@ def test_what_is_not_the_article_is_left_out(junk):
     assert H.main_text(f"<body>{junk}<article>{LONG * 3}</article></body>") == want
 
 
+@pytest.mark.parametrize("mark", ["class='content no-sidebar'", "id='page-with-header'", "class='post has-comments'", "class='wrap' id='sidebar-none'", "class='widget'"])
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_a_wrapper_of_the_article_stays(tag, mark):
+    want = " ".join(re.sub("<[^>]*>", " ", LONG * 3).split())
+    junk = "<div class='cookie-notice'>We use cookies</div><div class='sidebar' id='ad-2'><p>Recent posts</p></div>"
+    assert H.main_text(f"<body>{junk}<{tag} {mark}>{LONG * 3}</{tag}>{junk}</body>") == want
+
+
 def test_links_outside_the_core_lose():
     menu = "<div>" + "".join(f"<div><a href='/{i}'>some other story number {i}</a></div>" for i in range(20)) + "</div>"
     assert "other story" not in H.main_text(page(LONG * 4, before=menu, after=menu))
