@@ -55,12 +55,16 @@ def _run_parts(factory: GeneratorFactory, key: str, arm: str):
     return run
 
 
-def _run_arm_lists(factory: GeneratorFactory, key: str, arms_col: str, input_col: str):
+#: Column with a unique row number; ``apply_arms`` carries it to the outputs of the row if it is given.
+ROW = "input_row"
+
+
+def _run_arm_lists(factory: GeneratorFactory, key: str, arms_col: str, input_col: str, carried: Sequence[str] = ()):
     """Each row arrives once with its list of arms; one output row per (row, arm)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            long = pdf[[key, input_col, arms_col]].explode(arms_col, ignore_index=True)
+            long = pdf[[key, *carried, input_col, arms_col]].explode(arms_col, ignore_index=True)
             long = long[long[arms_col].notna()]
             out = pd.Series([None] * len(long), index=long.index, dtype=object)
             error = pd.Series([None] * len(long), index=long.index, dtype=object)
@@ -74,7 +78,7 @@ def _run_arm_lists(factory: GeneratorFactory, key: str, arms_col: str, input_col
                 if present.any():
                     res = model(inputs[present].astype(str))
                     out.loc[res.index] = res.values
-            yield pd.DataFrame({key: long[key], "arm": long[arms_col], "has_input": long[input_col].notna(),
+            yield pd.DataFrame({key: long[key], **{c: long[c] for c in carried}, "arm": long[arms_col], "has_input": long[input_col].notna(),
                                 "raw_output": out, "load_error": error})
 
     return run
@@ -92,25 +96,28 @@ def apply_arms(df: DataFrame, arms: Sequence[str], factory: GeneratorFactory, ke
     load error upstream, see :func:`latest_checkpoint`) are not run. Null input -> null
     output, status ``no_input``; blank output -> error text, status ``blank`` (O-65). An arm
     whose loader raises is skipped: its rows are not in the output; ``load_errors=True``
-    returns them too, with null output and status ``load_error: <error>``.
+    returns them too, with null output and status ``load_error: <error>``. If ``df`` has the
+    column ``ROW``, the outputs have it too, and ``done`` is matched by it in place of the key.
     """
+    carried = [ROW] if ROW in df.columns else []
     prompt = T.correction_prompt(input_col, prompt_template) if prompt_template else F.col(input_col)
     todo = F.array(*[F.lit(a) for a in arms])
-    rows = df.select(F.col(key), prompt.alias("_prompt"))
+    rows = df.select(F.col(key), *carried, prompt.alias("_prompt"))
     if done is not None:
-        finished = done.groupBy(key).agg(F.collect_set("arm").alias("_done"))
-        rows = rows.join(finished, key, "left")
+        by = ROW if carried else key
+        finished = done.groupBy(by).agg(F.collect_set("arm").alias("_done"))
+        rows = rows.join(finished, by, "left")
         pending = F.when(F.col("_done").isNull(), todo).otherwise(F.array_except(todo, F.col("_done")))
-        rows = rows.select(key, "_prompt", pending.alias("_arms")).filter(F.size("_arms") > 0)
+        rows = rows.select(key, *carried, "_prompt", pending.alias("_arms")).filter(F.size("_arms") > 0)
     else:
         rows = rows.withColumn("_arms", todo)
-    schema = f"{key} {dict(df.dtypes)[key]}, arm string, has_input boolean, raw_output string, load_error string"
-    gen = rows.mapInPandas(_run_arm_lists(factory, key, "_arms", "_prompt"), schema)
+    schema = f"{key} {dict(df.dtypes)[key]}, {''.join(f'{c} long, ' for c in carried)}arm string, has_input boolean, raw_output string, load_error string"
+    gen = rows.mapInPandas(_run_arm_lists(factory, key, "_arms", "_prompt", carried), schema)
     g = T.blank_guard("raw_output", has_input=F.col("has_input"))
     if not load_errors:
         gen = gen.filter(F.col("load_error").isNull())
     failed = F.col("load_error").isNotNull()
-    return gen.select(key, "arm", F.when(~failed, g["output"]).alias("output"),
+    return gen.select(key, *carried, "arm", F.when(~failed, g["output"]).alias("output"),
                       F.when(failed, F.concat(F.lit("load_error: "), "load_error")).otherwise(g["status"]).alias("status"))
 
 
