@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import plain_columns, steps, stored
-from .tokens import STEP_CHARS, encoder
+from .tokens import STEP_CHARS, document_encoder
 
 #: Pieces and gaps of a block.
 BLOCK_ROWS = 100_000
@@ -38,7 +38,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, blanks_kept: bool, capa
     first piece are full."""
 
     def run(batches):
-        encode = encoder(tokenizer, blanks_kept).encode
+        encode = document_encoder(tokenizer, blanks_kept).encode
         end = end_id.to_bytes(4, "little")
         uid = TaskContext.get().partitionId() << 40
         for part in steps(batches, limit=STEP_CHARS):

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import plain_columns, steps, stored
-from .tokens import STEP_CHARS, encoder
+from .tokens import STEP_CHARS, document_encoder
 
 SCHEMA = "block int, pos long, doc_id long, ids array<int>"
 
@@ -28,7 +28,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, blanks_kept:
     over ``block`` and ``pos``."""
 
     def run(batches):
-        encode = encoder(tokenizer, blanks_kept).encode
+        encode = document_encoder(tokenizer, blanks_kept).encode
         end = end_id.to_bytes(4, "little")
         pos = 0
         for part in steps(batches, limit=STEP_CHARS):

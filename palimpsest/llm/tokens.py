@@ -188,3 +188,31 @@ def encoder(path: str, blanks_kept: bool) -> Encoder | ByteEncoder:
     if (path, blanks_kept) not in _ENCODERS:
         _ENCODERS[path, blanks_kept] = ByteEncoder(path) if blanks_kept else Encoder(path, blanks_kept)
     return _ENCODERS[path, blanks_kept]
+
+
+class _Whole:
+    """``encoder`` with the file's added tokens (as ``<|endoftext|>``) read as the library reads
+    them by default: texts that hold one are encoded by the unchanged library."""
+
+    def __init__(self, path: str, blanks_kept: bool):
+        self.plain, self.library = encoder(path, blanks_kept), Tokenizer.from_file(path)
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
+        holds = [bool(t) and any(x in t for x in self.added) for t in texts]
+        out = self.plain.encode([None if h else t for t, h in zip(texts, holds)])
+        for i, h in enumerate(holds):
+            if h:
+                out[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
+        return out
+
+
+_DOCUMENTS: dict[tuple[str, bool], _Whole] = {}
+
+
+def document_encoder(path: str, blanks_kept: bool) -> _Whole:
+    """As ``encoder``, with added tokens as the library reads them by default."""
+    if (path, blanks_kept) not in _DOCUMENTS:
+        _DOCUMENTS[path, blanks_kept] = _Whole(path, blanks_kept)
+    return _DOCUMENTS[path, blanks_kept]

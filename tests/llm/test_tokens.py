@@ -59,6 +59,14 @@ def test_forgotten_chunks_are_encoded_anew(monkeypatch):
         assert len(encoder.known) <= 3
 
 
+@pytest.mark.parametrize("file,kept", KINDS)
+def test_added_tokens_as_the_unchanged_library(file, kept):
+    library = Tokenizer.from_file(f"{TOK}/{file}")
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "a <|startoftext|>", "plain text", "a <|ENDOFTEXT|> b", "", None]
+    want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert tokens.document_encoder(f"{TOK}/{file}", kept).encode(texts) == want
+
+
 def test_token_files_round_trip(spark):
     for docs in (documents(spark), odd_documents(spark)):
         path = shared_dir(spark, "t")
