@@ -11,8 +11,8 @@ import os
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import ctw, fingerprints, html_text, langid, line_dedup, lsh_forest, near_dedup, packing, sentencepieces, token_files
-from .common import held_out, shared_dir
+from . import bottom_k, ctw, fill_middle, fingerprints, html_text, langid, line_dedup, lsh_forest, near_dedup, packing, pivot_codes, sentencepieces, token_files
+from .common import held_out, shared_dir, stored
 
 QUERIES: dict = {}
 
@@ -84,3 +84,36 @@ def op9(spark, sf):
 def op10(spark, sf):
     found = line_dedup.line_classes(table(spark, sf, "documents"))
     return found.select("doc_id", "line_no", "kept", "first_doc_id", "first_line_no")
+
+
+_FORM = "CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END"
+
+
+@query("op11_fill_in_middle", f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || doc_id) AS h FROM documents),
+h AS (SELECT doc_id, t, n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+             ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b, {_FORM} AS form FROM h),
+p AS (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p""")
+def op11(spark, sf):
+    made = fill_middle.transform(table(spark, sf, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query("op12_pivot_codes")
+def op12(spark, sf):
+    coded, books = pivot_codes.encode(table(spark, sf, "embeddings"))
+    found = pivot_codes.with_label_error(stored(coded, "coded"))
+    return found.select("vec_id", pivot_codes.code_string(F.col("codes")).alias("code"), "error", "label_error",
+                        F.lit(books.digest() if books else None).alias("codebooks_sha256"))
+
+
+@query("op13_bottom_k_dedup")
+def op13(spark, sf):
+    return bottom_k.near_duplicates(table(spark, sf, "documents"))
