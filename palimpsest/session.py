@@ -3,7 +3,9 @@ checkpoint folder, and reading the driver tables."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -98,15 +100,17 @@ def ship_package(spark: SparkSession) -> None:
     if getattr(sc, "_palimpsest_shipped", False):
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    with tempfile.TemporaryDirectory() as folder:
-        archive = os.path.join(folder, "palimpsest.zip")
-        with zipfile.ZipFile(archive, "w") as z:
-            for parent, _, names in os.walk(root):
-                for n in names:
-                    if n.endswith(".py"):
-                        path = os.path.join(parent, n)
-                        z.write(path, os.path.relpath(path, os.path.dirname(root)))
-        sc.addPyFile(archive)
+    # executors fetch the file from the driver when their first task starts: it stays until the end
+    folder = tempfile.mkdtemp(prefix="palimpsest-ship-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "palimpsest.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for parent, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    path = os.path.join(parent, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
     sc._palimpsest_shipped = True
 
 
