@@ -11,9 +11,9 @@ class with that many values of its own has no partner at all.
 What the lists bring together is compared in tasks. A class meets the overlaps that the task's
 own inverted lists count; the sketch of a pair's union estimates its similarity, and what
 passes is confirmed on the full sets. No list is written out as pairs of its members: first
-every member meets the list's smallest one; then, of lists whose members are not yet one
-component, those outside the list's largest component meet the others, block by block, and
-what becomes one in a task is not compared again. All links are united by ``components``.
+every member meets the list's smallest one; then lists whose members are not yet one component
+are taken together by their smallest member, and those outside the largest component meet the
+others, block by block; what becomes one in a task is not compared again. All links are united by ``components``.
 
 Defined results: null or blank text has an empty set, links with nothing and is its own
 component; fewer words than a shingle are one shingle; rows of equal id and different text are
@@ -35,12 +35,13 @@ from .components import components
 #: Words of a shingle, least similarity in percent, values of a sketch, and by how many
 #: hundredths the estimate of a pair that passes may be lower.
 WIDTH, LEAST, K, SLACK = 4, 80, 64, 30
-#: About how many shingles one side of a task holds.
-SIDE = 1_000_000
+#: About how many shingles one side of a task holds, and how many members are met at once.
+SIDE, TOGETHER = 1_000_000, 64
 #: A value in more than this share of the sketches' values (a thousandth) is met by broadcast.
 HOT_SHARE = 1_000
 
-_TASK = ["list", "kind", "i", "j"]
+_TASK = ["least", "kind", "i", "j"]
+_NONE = np.uint64((1 << 64) - 1)
 
 
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -115,54 +116,71 @@ def _different_lists(values: DataFrame) -> DataFrame:
     return stored(values.join(chosen.select("list", "least", "members"), F.col("value") == F.col("list")).select("list", "least", "members", "node"), "lists")
 
 
+def estimates(sketch: np.ndarray, others: list[np.ndarray], k: int) -> np.ndarray:
+    """Similarity of one sketch to each of others, from the ``k`` smallest values of their unions."""
+    rows = np.full((len(others), 2 * k), _NONE)
+    rows[:, :len(sketch)] = sketch
+    for i, other in enumerate(others):
+        rows[i, k:k + len(other)] = other
+    rows.sort(axis=1)
+    twice = (rows[:, 1:] == rows[:, :-1]) & (rows[:, 1:] != _NONE)  # the value before is in both
+    new = np.concatenate([np.ones((len(rows), 1), bool), ~twice], axis=1) & (rows != _NONE)
+    place = np.cumsum(new, axis=1)
+    return (twice & (place[:, 1:] <= k)).sum(axis=1) / np.minimum(place[:, -1], k)
+
+
 def compare(sides: list[list[tuple]], k: int, least: int, slack: int) -> list[tuple[int, int]]:
     """Members (node, root, set) of two sides, or of one side if the second is empty -> links that
     join the same nodes as all pairs at the asked similarity would (members of one root are one)."""
-    up: dict[int, int] = {}
-
-    def find(x):
-        while up.setdefault(x, x) != x:
-            up[x] = x = up[up[x]]
-        return x
-
     members = sides[0] + sides[1]
-    for node, root, _ in members:
-        up[find(node)] = find(root)
     one = not sides[1]
-    others = range(len(members)) if one else range(len(sides[0]), len(members))
-    retained = [members[i][2][:k] for i in others]
+    from_ = 0 if one else len(sides[0])
+    sets = [m[2] for m in members]
+    label = np.unique([m[1] for m in members], return_inverse=True)[1]
+    retained = [x[:k] for x in sets[from_:]]
     sizes = np.array([len(x) for x in retained])
+    whole_sizes = np.array([len(x) for x in sets])
     needs = np.array([need(n, k, least, slack) for n in sizes.tolist()])
-    flat = np.concatenate(retained) if len(retained) else np.zeros(0, np.uint64)
+    flat = np.concatenate(retained)
     owner = np.repeat(np.arange(len(retained)), sizes)
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]  # inverted lists: a value's owners lie together
     links = []
     for a in range(len(members) if one else len(sides[0])):
-        node, _, whole = members[a]
-        sketch = whole[:k]
+        others = label[from_:] != label[a]
+        if one:
+            others[:a + 1] = False
+        if not others.any():
+            continue
+        whole, sketch = sets[a], sets[a][:k]
         low, high = np.searchsorted(flat, sketch, "left"), np.searchsorted(flat, sketch, "right")
         run = high - low
         at = np.arange(run.sum()) + np.repeat(low - np.concatenate([[0], np.cumsum(run)[:-1]]), run)
         overlap = np.bincount(owner[at], minlength=len(retained))
-        for b in np.flatnonzero((overlap >= needs) & (overlap >= need(len(sketch), k, least, slack))).tolist():
-            b_at = others[b]
-            if one and b_at <= a or find(node) == find(members[b_at][0]):
+        small, large = np.minimum(whole_sizes[from_:], len(whole)), np.maximum(whole_sizes[from_:], len(whole))
+        near = np.flatnonzero(others & (overlap >= np.maximum(needs, need(len(sketch), k, least, slack))) & (100 * small >= least * large))
+        for i in range(0, len(near), TOGETHER):
+            some = near[i:i + TOGETHER]
+            some = some[label[from_ + some] != label[a]]
+            if not len(some):
                 continue
-            other = members[b_at][2]
-            union = np.union1d(sketch, retained[b])[:k]
-            both = np.isin(union, sketch, assume_unique=True) & np.isin(union, retained[b], assume_unique=True)
-            if 100 * int(both.sum()) < (least - slack) * len(union):
+            some = some[100 * estimates(sketch, [retained[b] for b in some], k) >= least - slack - 1e-6]
+            if not len(some):
                 continue
-            same = len(np.intersect1d(whole, other, assume_unique=True))
-            if 100 * same >= least * (len(whole) + len(other) - same):
-                links.append((node, members[b_at][0]))
-                up[find(node)] = find(members[b_at][0])
+            sets_of = [sets[from_ + b] for b in some]
+            values = np.concatenate(sets_of)
+            found = np.minimum(np.searchsorted(whole, values), len(whole) - 1)
+            counts = whole_sizes[from_ + some]
+            same = np.add.reduceat((whole[found] == values).astype(np.int64), np.concatenate([[0], np.cumsum(counts)[:-1]]))
+            for b in (from_ + some[100 * same >= least * (len(whole) + counts - same)]).tolist():
+                if label[b] != label[a]:
+                    links.append((members[a][0], members[b][0]))
+                    label[label == label[b]] = label[a]
     return links
 
 
 def _links(rows: DataFrame, sets: DataFrame, k: int, least: int, slack: int) -> DataFrame:
-    """Tasks' members (list, kind, i, j, side, node, root) -> their links (u, v)."""
+    """Tasks' members (least, kind, i, j, side, node, root) -> their links (u, v)."""
 
     def run(batches):
         now, sides = None, [[], []]
@@ -190,7 +208,7 @@ def _stars(lists: DataFrame, sizes: DataFrame) -> DataFrame:
     of all lists that have the same smallest one."""
     pairs = lists.where("node <> least").select("least", "node").distinct().join(sizes, "node")
     blocks = stored(pairs.groupBy("least").agg(F.ceil(F.sum("n") / SIDE).cast("int").alias("blocks")), "blocks")
-    same = [F.col("least").alias("list"), F.lit(0).alias("kind")]
+    same = [F.col("least"), F.lit(0).alias("kind")]
     met = pairs.join(blocks, "least").select(*same, F.expr("cast(pmod(xxhash64(node), blocks) as int)").alias("i"), F.lit(0).alias("j"),
                                              F.lit(1).alias("side"), "node", F.col("node").alias("root"))
     # a block may have got no member: its smallest one then stays alone
@@ -199,19 +217,22 @@ def _stars(lists: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _rest(lists: DataFrame, sizes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Of lists of three members or more that are not yet one component: the largest component's
-    blocks against the others' (kind 1), and the others' against one another (kind 2)."""
-    known = lists.where("members > 2").join(roots, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root")).join(sizes, "node")
-    about = known.groupBy("list", "root").agg(F.count("*").alias("members"), F.sum("n").alias("n"))
-    main = (about.groupBy("list").agg(F.max(F.struct("members", "root", "n")).alias("m"), F.sum("n").alias("n"), F.count("*").alias("roots")).where("roots > 1")
-            .select("list", F.col("m.root").alias("main"), F.ceil(F.col("m.n") / SIDE).cast("int").alias("mains"),
+    """Of lists of three members or more that are not yet one component, all with the same smallest
+    member together: the largest component's blocks against the others' (kind 1), and the others'
+    against one another (kind 2)."""
+    known = lists.where("members > 2").join(roots, "node", "left").select("list", "least", "node", F.coalesce("root", "node").alias("root"))
+    open_ = known.groupBy("list").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("list")
+    known = stored(known.join(open_, "list", "left_semi").select("least", "node", "root").distinct().join(sizes, "node"), "open")
+    about = known.groupBy("least", "root").agg(F.count("*").alias("members"), F.sum("n").alias("n"))
+    main = (about.groupBy("least").agg(F.max(F.struct("members", "root", "n")).alias("m"), F.sum("n").alias("n"))
+            .select("least", F.col("m.root").alias("main"), F.ceil(F.col("m.n") / SIDE).cast("int").alias("mains"),
                     F.ceil((F.col("n") - F.col("m.n")) / SIDE).cast("int").alias("rests")))
-    both = known.join(main, "list").withColumn("at", F.expr("cast(pmod(xxhash64(node), if(root = main, mains, rests)) as int)"))
+    both = known.join(main, "least").withColumn("at", F.expr("cast(pmod(xxhash64(node), if(root = main, mains, rests)) as int)"))
     inside, outside = both.where("root = main"), both.where("root <> main")
-    out = inside.selectExpr("list", "1 as kind", "at as i", "explode(sequence(0, rests - 1)) as j", "0 as side", "node", "root")
-    out = out.union(outside.selectExpr("list", "1 as kind", "explode(sequence(0, mains - 1)) as i", "at as j", "1 as side", "node", "root"))
-    return out.union(outside.selectExpr("list", "root", "node", "at", "explode(sequence(0, rests - 1)) as to").selectExpr(
-        "list", "2 as kind", "least(at, to) as i", "greatest(at, to) as j", "if(at <= to, 0, 1) as side", "node", "root"))
+    out = inside.selectExpr("least", "1 as kind", "at as i", "explode(sequence(0, rests - 1)) as j", "0 as side", "node", "root")
+    out = out.union(outside.selectExpr("least", "1 as kind", "explode(sequence(0, mains - 1)) as i", "at as j", "1 as side", "node", "root"))
+    return out.union(outside.selectExpr("least as l", "root", "node", "at", "explode(sequence(0, rests - 1)) as to").selectExpr(
+        "l as least", "2 as kind", "least(at, to) as i", "greatest(at, to) as j", "if(at <= to, 0, 1) as side", "node", "root"))
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, least: int = LEAST, k: int = K, slack: int = SLACK) -> DataFrame:
