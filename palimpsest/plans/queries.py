@@ -1111,3 +1111,79 @@ def q_image_listing(spark, sf):
     metadata only (``content`` is pruned from the binaryFile scan)."""
     folder = _image_folder(spark, sf)
     return RD.scan_listing(spark, folder).select("name", "length")
+
+
+# ====================================================================== image arms and the guard inside generation
+
+from ..operators import guarded as GD  # noqa: E402
+
+_BEFORE, _AFTER = GN.K.IMAGE_PROMPT.split("{text}")
+_IMAGE_SQL = f"""
+WITH items AS (SELECT 'd' || doc_id AS id, text AS gold, CASE WHEN lang <> 'de' THEN translate(text, 'ilo', '110') END AS pyte FROM documents),
+n AS (SELECT id, gold, pyte, row_number() OVER (ORDER BY id) AS place, {S.q(_BEFORE)} || pyte || {S.q(_AFTER)} AS prompt, strlen(html) AS bytes
+      FROM items LEFT JOIN (SELECT 'd' || page_id AS id, html FROM pages) USING (id)),
+arms(arm, step) AS (VALUES ('untuned', 0), {", ".join(f"('{a}', {m})" for a, m in ST.IMAGE_ARM_STEP.items())}),
+r AS (SELECT id, gold, pyte, place, arm, bytes, prompt, CASE WHEN length(prompt) % 11 = 0 THEN ''
+        ELSE translate(prompt, 'aeiou', 'AEIOU') || ' #' || bytes || CASE WHEN step > 0 AND length(prompt) % step = 0 THEN ' [' || arm || ']' ELSE '' END END AS raw
+      FROM n, arms),
+out AS (SELECT id, gold, pyte, place, arm, CASE WHEN bytes IS NULL THEN {S.q(GN.K.NO_IMAGE_ERROR)} WHEN raw IS NOT NULL AND {S.strip('raw')} = '' THEN {S.q(GN.K.BLANK_ERROR)} ELSE raw END AS output,
+               CASE WHEN bytes IS NULL THEN 'no_image' WHEN prompt IS NULL THEN 'no_input' WHEN {S.strip('raw')} = '' THEN 'blank' ELSE 'ok' END AS status FROM r),
+cmp AS (SELECT o.arm, o.place, o.output = b.output AS same FROM out o JOIN (SELECT place, output FROM out WHERE arm = 'untuned') b USING (place)
+        WHERE o.arm <> 'untuned' AND o.status IN ('ok', 'blank')),
+cs AS (SELECT *, sum(same::INT) OVER w AS cs FROM cmp WINDOW w AS (PARTITION BY arm ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+st AS (SELECT *, CASE WHEN same THEN cs - coalesce(max(CASE WHEN NOT same THEN cs END) OVER w, 0) ELSE 0 END AS streak
+       FROM cs WINDOW w AS (PARTITION BY arm ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+stops AS (SELECT arm, min(place) FILTER (WHERE streak >= {NOOP_K}) AS stop FROM st GROUP BY arm)
+"""
+FIRST_ROUND = 32
+
+
+def _image_items(spark, sf) -> tuple[DataFrame, str]:
+    """(id, transcription, pyte_ocr, image) for every document, and the folder of the images that are there (one for each page)."""
+    folder = scratch_dir(spark, "page_images")
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    files = pages.select(F.concat(F.lit("d"), F.col("page_id").cast("string"), F.lit(".jpg")).alias("path"), F.encode("html", "UTF-8").alias("content"))
+    WR.write_files(files, folder).write.format("noop").mode("overwrite").save()
+    gold = FX.gold(spark, sf).select(F.col("Asset").alias("id"), F.col("Transcription").alias("transcription"))
+    items = A.join_sidecar_text(gold, A.sidecar_texts(FX.engine(spark, sf), out="pyte_ocr"))
+    return items.withColumn("image", F.concat(F.lit(folder + "/"), "id", F.lit(".jpg"))), folder
+
+
+def _guarded(spark, sf) -> GD.Guarded:
+    items, _ = _image_items(spark, sf)
+    return GD.run_guarded(items, list(ST.IMAGE_ARM_STEP), ST.image_stub_factory, "id", ["id"], "pyte_ocr", scratch_dir(spark, "guarded"),
+                          image="image", k=NOOP_K, first=FIRST_ROUND)
+
+
+@query("image_arms", _IMAGE_SQL + "SELECT id, arm, output, status FROM out")
+def q_image_arms(spark, sf):
+    """O-80 + O-64 + O-65 over text and image: every arm over every document, the bytes read by the
+    task that needs them; most documents have no image."""
+    items, _ = _image_items(spark, sf)
+    return GD.apply_image_arms(items, ["untuned", *ST.IMAGE_ARM_STEP], ST.image_stub_factory, "id", "pyte_ocr", "image")
+
+
+@query("image_arms_wide", _IMAGE_SQL + "SELECT id, any_value(gold) AS transcription, any_value(pyte) AS pyte_ocr, "
+       + ", ".join(f"max(output) FILTER (WHERE arm = '{a}') AS \"LLAVA_{a}\"" for a in ["untuned", *ST.IMAGE_ARM_STEP]) + " FROM out GROUP BY id")
+def q_image_arms_wide(spark, sf):
+    """O-30 for the seven image columns of the testing template."""
+    items, _ = _image_items(spark, sf)
+    arms = ["untuned", *ST.IMAGE_ARM_STEP]
+    long = GD.apply_image_arms(items, arms, ST.image_stub_factory, "id", "pyte_ocr", "image")
+    return GN.arms_wide(items.drop("image"), long, "id", arms, prefix="LLAVA_")
+
+
+@query("guarded_arms", _IMAGE_SQL + """SELECT id, arm, output, status FROM out LEFT JOIN stops USING (arm)
+WHERE stop IS NULL OR place < stop""")
+def q_guarded_arms(spark, sf):
+    """O-41 + O-80: arms in rounds, stopped at the fifth output in a row that equals the untuned one;
+    that output and all later ones of the arm are absent."""
+    return _guarded(spark, sf).outputs.select("id", "arm", "output", "status")
+
+
+@query("guarded_calls", _IMAGE_SQL + f"""SELECT arm, count(*) FILTER (WHERE s.stop IS NULL OR rnd <= (length(bin((s.stop - 1) // {FIRST_ROUND} + 1)) - 1))::BIGINT AS generated,
+       any_value(s.stop)::BIGINT AS stopped_at
+FROM (SELECT *, length(bin((place - 1) // {FIRST_ROUND} + 1)) - 1 AS rnd FROM cmp) JOIN stops s USING (arm) GROUP BY arm""")
+def q_guarded_calls(spark, sf):
+    """O-41 + O-80: how often each arm's generator ran (no round after its stop) and where it stopped."""
+    return _guarded(spark, sf).report.select("arm", "generated", "stopped_at")

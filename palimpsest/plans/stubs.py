@@ -74,3 +74,22 @@ class _PartStub:
 
 def part_stub_factory(blank: int | None = None):
     return _PartStub(blank)
+
+
+#: An image arm's output differs from the untuned one where the prompt's length is a multiple of this.
+IMAGE_ARM_STEP = {"gold_100": 7, "gold_1000": 5, "gold_10000": 3, "silver_100": 2, "silver_1000": 1, "silver_10000": 1}
+
+
+def image_stub_factory(arm: str):
+    """Stand-in for a model of two inputs, mirrored by the oracle SQL: the prompt with its vowels
+    upper-cased and the size of the image, for a tuned arm tagged with its name now and then.
+    Prompts whose length is a multiple of 11 give a blank answer."""
+
+    def gen(prompts, images):
+        n = prompts.str.len()
+        out = prompts.str.translate(_VOWELS) + " #" + images.map(len).astype(str)
+        if arm in IMAGE_ARM_STEP:
+            out = out.where(n % IMAGE_ARM_STEP[arm] != 0, out + " [" + arm + "]")
+        return out.where(n % 11 != 0, "")
+
+    return gen
