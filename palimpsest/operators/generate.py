@@ -55,8 +55,10 @@ def _run_parts(factory: GeneratorFactory, key: str, arm: str):
     return run
 
 
-#: Column with a unique row number; ``apply_arms`` carries it to the outputs of the row if it is given.
+#: Column with a row's identity; ``apply_arms`` carries it to the outputs of the row if it is given.
 ROW = "input_row"
+#: Column with the arms that a row still needs; ``apply_arms`` runs no others if it is given.
+PENDING = "pending_arms"
 
 
 def _run_arm_lists(factory: GeneratorFactory, key: str, arms_col: str, input_col: str, carried: Sequence[str] = ()):
@@ -97,12 +99,15 @@ def apply_arms(df: DataFrame, arms: Sequence[str], factory: GeneratorFactory, ke
     output, status ``no_input``; blank output -> error text, status ``blank`` (O-65). An arm
     whose loader raises is skipped: its rows are not in the output; ``load_errors=True``
     returns them too, with null output and status ``load_error: <error>``. If ``df`` has the
-    column ``ROW``, the outputs have it too, and ``done`` is matched by it in place of the key.
+    column ``ROW``, the outputs have it too, and ``done`` is matched by it in place of the key;
+    if it has the column ``PENDING``, a row's arms are those of ``arms`` in it.
     """
     carried = [ROW] if ROW in df.columns else []
     prompt = T.correction_prompt(input_col, prompt_template) if prompt_template else F.col(input_col)
     todo = F.array(*[F.lit(a) for a in arms])
-    rows = df.select(F.col(key), *carried, prompt.alias("_prompt"))
+    rows = df.select(F.col(key), *carried, prompt.alias("_prompt"), *([PENDING] if PENDING in df.columns else []))
+    if PENDING in df.columns:
+        todo = F.array_intersect(todo, PENDING)
     if done is not None:
         by = ROW if carried else key
         finished = done.groupBy(by).agg(F.collect_set("arm").alias("_done"))
@@ -111,7 +116,7 @@ def apply_arms(df: DataFrame, arms: Sequence[str], factory: GeneratorFactory, ke
         rows = rows.select(key, *carried, "_prompt", pending.alias("_arms")).filter(F.size("_arms") > 0)
     else:
         rows = rows.withColumn("_arms", todo)
-    schema = f"{key} {dict(df.dtypes)[key]}, {''.join(f'{c} long, ' for c in carried)}arm string, has_input boolean, raw_output string, load_error string"
+    schema = f"{key} {dict(df.dtypes)[key]}, {''.join(f'{c} {dict(df.dtypes)[c]}, ' for c in carried)}arm string, has_input boolean, raw_output string, load_error string"
     gen = rows.mapInPandas(_run_arm_lists(factory, key, "_arms", "_prompt", carried), schema)
     g = T.blank_guard("raw_output", has_input=F.col("has_input"))
     if not load_errors:

@@ -776,6 +776,7 @@ def q_transcribe(spark, sf):
 # ====================================================================== sources / sinks round trips
 
 from ..session import scratch_dir  # noqa: E402
+from ..sinks import progress as PG  # noqa: E402
 from ..sinks import writers as WR  # noqa: E402
 from ..sources import readers as RD  # noqa: E402
 
@@ -921,15 +922,39 @@ def q_conversation_files(spark, sf):
                        F.get("conversations", 1)["value"].alias("answer"))
 
 
+def _arms_of(arms):
+    return lambda rows: GN.apply_arms(rows, arms, ST.stub_factory, "id", "pyte")
+
+
 @query("progress_resume", _ARM_OUT_SQL + "SELECT id, arm, output, status FROM arm_out")
 def q_progress_resume(spark, sf):
-    """O-16 + O-22 / O-27: an interrupted run (untuned arm only) appended by chunk, then
-    the rerun skips what is written and appends the rest; the table holds every output once."""
+    """O-16 + O-22 / O-27: a first run over two thirds of the rows and the untuned arm only, then the
+    run over all rows and arms adds the rest; the table holds every output once."""
     out = scratch_dir(spark, "progress")
     t = training(spark, sf)
-    WR.append_progress(t, out, lambda rows, done: GN.apply_arms(rows, ARMS[:1], ST.stub_factory, "id", "pyte", done=done), "id", every=100)
-    WR.append_progress(t, out, lambda rows, done: GN.apply_arms(rows, ARMS, ST.stub_factory, "id", "pyte", done=done), "id", every=100)
-    return spark.read.parquet(out).select("id", "arm", "output", "status")
+    PG.append_progress(t.where(F.crc32("id") % 3 != 0), out, _arms_of(ARMS[:1]), ARMS[:1])
+    PG.append_progress(t, out, _arms_of(ARMS), ARMS)
+    return PG.read_progress(spark, out).select("id", "arm", "output", "status")
+
+
+_AGAIN_SQL = _ARM_OUT_SQL + """, twice AS (SELECT CASE WHEN id LIKE '%7' THEN NULL WHEN id LIKE '%3' THEN 'hot' ELSE id END AS id, arm, output, status
+  FROM arm_out, (VALUES (1), (2)) AS n(copy) WHERE arm IN ('untuned', 'gold_100'))
+"""
+
+
+@query("progress_changed_rows", _AGAIN_SQL + "SELECT id, arm, output, status FROM twice")
+def q_progress_changed_rows(spark, sf):
+    """O-16 over rows with null and repeated keys, each twice: a run over some rows that are later
+    changed or removed, one over more rows, then all; outputs of the rows that are there, each once."""
+    out, arms = scratch_dir(spark, "progress"), ["untuned", "gold_100"]
+    t = training(spark, sf)
+    key = F.when(F.col("id").endswith("7"), None).when(F.col("id").endswith("3"), "hot").otherwise(F.col("id"))
+    rows = t.union(t).withColumn("id", key)
+    old = rows.where(F.crc32("pyte") % 4 == 0).withColumn("gold", F.concat("gold", F.lit("?")))
+    PG.append_progress(rows.where(F.crc32("pyte") % 4 == 1).union(old), out, _arms_of(arms), arms, every=100)
+    PG.append_progress(rows.where(F.crc32("pyte") % 4 < 2), out, _arms_of(arms[:1]), arms[:1], every=100)
+    PG.append_progress(rows, out, _arms_of(arms), arms, every=100)
+    return PG.read_progress(spark, out, rows).select("id", "arm", "output", "status")
 
 
 @query("csv_null_tokens", _testing_sql("""

@@ -1,18 +1,13 @@
-"""Writers (O-10..O-16). Parquet is the working format; CSV / JSON / text are written
+"""Writers (O-10..O-15; O-16 is in ``progress.py``). Parquet is the working format; CSV / JSON / text are written
 for the tools that need them. Every writer is a DataFrame write (one file per task),
 partitioned by the columns that the readers prune on."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators.generate import ROW
-from ..operators.ladder import chunk_id
 
 #: Most rows of one written file.
 FILE_ROWS = 1_000_000
@@ -87,33 +82,3 @@ def write_files(df: DataFrame, base: str, path: str = "path", content: str = "co
 def write_quarantine(bad: DataFrame, path: str, mode: str = "append") -> None:
     """O-15: rows that failed parsing, kept with their reason."""
     bad.write.mode(mode).parquet(path)
-
-
-def append_progress(inputs: DataFrame, path: str, generate, key: str, every: int = 100, chunks: int = 50) -> None:
-    """O-16: run ``generate(rows, done)`` over the inputs and append its outputs, saving as it goes.
-
-    The inputs are ranked (by key, then by all their values) and cut into chunks of ``every``
-    rows before anything is generated, so no scan ever runs over a generator. Each row's
-    number goes through the generator as ``generate.ROW`` and is written with the outputs, so
-    rows with null or repeated keys are rows like any other; ``generate`` must return that
-    column. ``chunks`` chunks at a time are generated once and written as one append; what
-    a stopped run has written is read as ``done`` (``key, arm, ROW``) and not generated
-    again. Numbers come from the inputs: they are the same in every run."""
-    spark = inputs.sparkSession
-    tie = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in inputs.columns])))
-    ranked = chunk_id(inputs.withColumn("_tie", tie), [key, "_tie"], every)
-    ranked = ranked.withColumnRenamed("rn", ROW).drop("_tie", "save_point")
-    last = ranked.agg(F.max("chunk")).first()[0]
-    for low in range(0, 0 if last is None else last + 1, chunks):
-        part = ranked.filter(F.col("chunk").between(low, low + chunks - 1)).drop("chunk")
-        try:
-            written = spark.read.parquet(path)
-        except AnalysisException:  # nothing written yet
-            done = None
-        else:
-            done = written.filter(F.col("chunk").between(low, low + chunks - 1)).select(key, "arm", ROW)
-        outputs = generate(part, done)
-        if ROW not in outputs.columns:
-            raise ValueError(f"the outputs lack the column {ROW}")
-        numbered = outputs.withColumn("chunk", F.floor((F.col(ROW) - 1) / every).cast("long"))
-        numbered.write.mode("append").partitionBy("arm", "chunk").parquet(path)

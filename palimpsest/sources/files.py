@@ -8,6 +8,7 @@ read once, only for pending items, and never shuffled.
 from __future__ import annotations
 
 import functools
+import uuid
 from urllib.parse import urlparse
 
 
@@ -20,24 +21,40 @@ def _filesystem(scheme: str, netloc: str):
     return fs.FileSystem.from_uri(f"{scheme}://{netloc}/")[0]
 
 
-def read_bytes(path: str) -> bytes:
-    """Bytes of a file named by a Spark path (``file:/...``, ``hdfs://...``, ``s3a://...``)."""
+def _place(path: str):
+    """File system and path in it of a Spark path (``file:/...``, ``hdfs://...``, ``s3a://...``)."""
     u = urlparse(path)
     scheme = {"s3a": "s3", "s3n": "s3"}.get(u.scheme, u.scheme)
     fs = _filesystem(scheme, u.netloc)
-    target = u.path if scheme in ("", "file") else f"{u.netloc}{u.path}" if scheme == "s3" else u.path
+    return fs, u.path if scheme in ("", "file") else f"{u.netloc}{u.path}" if scheme == "s3" else u.path
+
+
+def read_bytes(path: str) -> bytes:
+    """Bytes of a file named by a Spark path."""
+    fs, target = _place(path)
     with fs.open_input_stream(target) as f:
         return f.read()
 
 
 def write_bytes(path: str, data: bytes) -> None:
     """Write one file (parents created), through the same filesystem layer as ``read_bytes``."""
-    u = urlparse(path)
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(u.scheme, u.scheme)
-    fs = _filesystem(scheme, u.netloc)
-    target = u.path if scheme in ("", "file") else f"{u.netloc}{u.path}" if scheme == "s3" else u.path
+    fs, target = _place(path)
     parent = target.rsplit("/", 1)[0]
     if parent:
         fs.create_dir(parent, recursive=True)
     with fs.open_output_stream(target) as f:
         f.write(data)
+
+
+def write_once(path: str, data: bytes) -> None:
+    """Write one file so that readers see it whole or not at all; one that is there stays. The
+    name it has until then begins with ``_``, which Spark's readers pass over."""
+    from pyarrow import fs as pafs
+
+    fs, target = _place(path)
+    if fs.get_file_info(target).type != pafs.FileType.NotFound:
+        return
+    folder, name = path.rsplit("/", 1)
+    early = f"{folder}/_{uuid.uuid4().hex}-{name}"
+    write_bytes(early, data)
+    fs.move(_place(early)[1], target)

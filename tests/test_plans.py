@@ -28,7 +28,7 @@ def test_no_row_python_udfs(plans):
 def test_python_only_where_a_generator_runs(plans):
     with_python = {n for n, p in plans.items() if "MapInPandas" in p or "FlatMapGroupsInPandas" in p}
     assert with_python <= {"arm_outputs", "arms_wide", "blank_by_arm", "long_text_corrected", "fetch_manifest", "fetch_again",
-                           "transcribe", "progress_resume"}
+                           "transcribe", "image_arms", "image_arms_wide"}
 
 
 def test_no_cross_joins(plans):
