@@ -10,8 +10,9 @@ Elements that are never article text by their tag, role, class or id (menus, hea
 footers, sidebars, notices, adverts, forms, reader comments, scripts, styles) are left out
 before densities are computed. A word counts where it is a whole class or id or the last part
 of one (digits after it aside) without a modifier (``no-sidebar``, ``has-comments``); an
-element with such a word that holds most of the body's unlinked characters is left to the
-density, unless there is text in an ``article`` or ``main`` element outside it.
+element with such a word, and a form, dialog or object, that holds most of the body's unlinked
+characters is left to the density, unless there is text in an ``article`` or ``main`` element
+outside it. Labels, buttons and fields of a form are never text.
 
 The text: character references decoded, white space inside a block turned into one space,
 blocks trimmed and joined by one space in page order. Defined results: null or empty html
@@ -36,7 +37,8 @@ BLOCK = set("""address article aside blockquote body br center dd details dialog
 footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section summary table tbody td
 tfoot th thead tr ul video""".split())
 NOT_TEXT = set("""script style title textarea xmp iframe noembed noframes noscript template head nav header footer aside
-form menu dialog select button svg canvas audio video object datalist""".split())
+menu select button svg canvas audio video datalist label legend""".split())
+NOT_TEXT_UNLESS_MOST = set("form dialog object".split())
 NOT_TEXT_WORDS = set("""nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside ad ads advert
 adverts advertisement advertising banner promo promotion promoted sponsor sponsored notice notices cookie cookies consent gdpr
 popup modal overlay newsletter subscribe subscription signup login comment comments commentlist disqus reply replies respond
@@ -70,12 +72,13 @@ def _told(value: str, words: set[str]) -> bool:
 
 
 def _left_out(name: str, attrs: str) -> int:
-    """0: no; 1: by a word of its class or id; 2: by its tag or role, or hidden."""
+    """0: no; 1: by a word of its class or id, or a tag that may hold the whole page; 2: by
+    another tag, its role, or hidden."""
     if name in NOT_TEXT:
         return 2
+    left = int(name in NOT_TEXT_UNLESS_MOST)
     if not attrs or name in ("body", "html"):
-        return 0
-    left = 0
+        return left
     for key, value in _MARKS.findall(attrs):
         key, value = key.lower(), value.strip("\"' ").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true":
@@ -112,6 +115,8 @@ class _Page:
         self.chars, self.links, self.tags, self.link_tags = [0], [0], [0], [0]
         self.blocks: list[tuple[int, str]] = []
         open_: list[tuple[str, int, int, int | None]] = []  # name, block element, inside what is left out, number in ``worded``
+        where: dict[str, list[int]] = {}  # places of each name in ``open_``: no tag has to walk over the others
+        blocks_at: list[int] = []  # places of block elements in ``open_``
         worded: list[list[int]] = []  # start of an element left out by a word, unlinked characters before and up to its end, element around it
         held: list[str] = []
         node, out, links, free = 0, 0, 0, 0
@@ -128,14 +133,19 @@ class _Page:
             nonlocal node, out, links
             while len(open_) > to:
                 name, _, _, number = open_.pop()
+                where[name].pop()
                 if number is not None:
                     worded[number][2] = free
                 if name == "a":
                     links -= 1
                 if name in BLOCK:
+                    blocks_at.pop()
                     flush()
                 _, node, out, _ = open_[-1] if open_ else ("", 0, 0, None)
 
+        def last(names) -> int:
+            return max((where[x][-1] for x in names if where.get(x)), default=-1)
+
         at, end = 0, len(source)
         while at < end:
             m = _TAG.search(source, at)
@@ -156,24 +166,17 @@ class _Page:
                 continue
             name = name.lower()
             if m.group("close"):
-                for k in range(len(open_) - 1, -1, -1):
-                    if open_[k][0] == name:
-                        shut(k)
-                        break
-                    if name not in BLOCK and open_[k][0] in BLOCK:
-                        break
-                else:
-                    if name in BLOCK:
-                        flush()
+                k = last([name])
+                if k >= 0 and (name in BLOCK or not blocks_at or blocks_at[-1] < k):
+                    shut(k)
+                elif name in BLOCK:
+                    flush()
                 continue
             closes = CLOSED_BY.get(name) or ({"p"} if name in BLOCK and name != "br" else None)
             if closes:
-                for k in range(len(open_) - 1, -1, -1):
-                    if open_[k][0] in closes:
-                        shut(k)
-                        break
-                    if open_[k][0] in SCOPE and open_[k][0] not in closes:
-                        break
+                k = last(closes)
+                if k >= 0 and k > last(SCOPE - closes):
+                    shut(k)
             own = 0 if out == 2 else _left_out(name, m.group("attrs"))
             left = max(out, 0 if own == 1 and m.start() in spared else own)
             if name in BLOCK:
@@ -199,6 +202,9 @@ class _Page:
             if name == "a":
                 links += 1
             out = left
+            where.setdefault(name, []).append(len(open_))
+            if name in BLOCK:
+                blocks_at.append(len(open_))
             open_.append((name, node, out, len(worded) if own == 1 else None))
             if own == 1:
                 worded.append([m.start(), free, -1, node])

@@ -57,6 +57,35 @@ def test_a_wrapper_of_the_article_stays(tag, mark):
     assert H.main_text(f"<body>{junk}<{tag} {mark}>{LONG * 3}</{tag}>{junk}</body>") == want
 
 
+@pytest.mark.parametrize("tag", ["form", "dialog", "object"])
+def test_a_form_around_the_page_does_not_take_the_article_along(tag):
+    want = " ".join(re.sub("<[^>]*>", " ", LONG * 3).split())
+    control = "<label>Name</label><input name='a'><select><option>one</select><textarea>write</textarea><button>Send</button>"
+    login = "<form><p>Sign in to your account here</p></form>" if tag != "form" else ""
+    for article in (f"<div>{LONG * 3}</div>", f"<article>{LONG * 3}</article>"):
+        assert H.main_text(f"<body><{tag} action='x'>{login}<nav><a href='/'>Home</a></nav>{article}{control}</{tag}></body>") == want
+    # the article outside it: then it goes, however long
+    assert H.main_text(f"<body><{tag}>{'<p>terms and conditions apply to all</p>' * 90}</{tag}><article>{LONG * 3}</article></body>") == want
+
+
+@pytest.mark.parametrize("source", ["<b>" * 60_000 + "</i>" * 60_000 + "x", "<i><div>" + "<b>" * 60_000 + "</i>" * 60_000 + "x", "<b>" * 60_000 + "<hr>" * 60_000 + "x",
+                                    "<p>" + "<b>" * 60_000 + "<li>" * 60_000 + "x", "</p>" * 60_000 + "x"])
+def test_unmatched_tags_take_linear_time(source):
+    import time
+
+    start = time.process_time()
+    assert H.main_text(source) == "x"
+    assert time.process_time() - start < 10
+
+
+def test_pages_without_article_elements_by_density():
+    """Columns of links around a column of text: the text wins."""
+    links = "<div>" + "".join(f"<p><a href='/{i}'>story {i} about something else</a> today</p>" for i in range(12)) + "</div>"
+    want = " ".join(re.sub("<[^>]*>", " ", LONG * 5).split())
+    got = H.main_text(f"<body><div id='wrap'>{links}<div id='text'>{LONG * 5}</div>{links}</div></body>")
+    assert got == want
+
+
 def test_links_outside_the_core_lose():
     menu = "<div>" + "".join(f"<div><a href='/{i}'>some other story number {i}</a></div>" for i in range(20)) + "</div>"
     assert "other story" not in H.main_text(page(LONG * 4, before=menu, after=menu))
