@@ -38,8 +38,9 @@ _MARK = "\x01"
 _EDGES_OK = re.compile(r"(?:\n|\x02)?\S(?:[\s\S]*\S)?")
 _CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)")
 _BLANK_RUN = re.compile(r"(?<!\s)\s{%d}" % LONG_RUN)
-#: A full stop or comma after other punctuation; one run of punctuation is one word.
-_GLUED = re.compile(r"[.,](?<=[^\w\s].|_.)")
+#: A full stop or comma after other punctuation; one run of punctuation is one word. Four control
+#: characters are white space for Python but not for the library.
+_GLUED = re.compile(r"[.,](?<=[^\w\s].|_.|[\x1c-\x1f].)")
 
 
 def _literal(chunk: str) -> str:

@@ -158,3 +158,17 @@ def test_rounds_over_many_blocks(spark, monkeypatch, kind):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert sorted(r["uid"] for r in got) == list(range(len(lengths)))
     assert valid(got, 100) <= 1.06 * best_fit_decreasing(lengths.tolist(), 100) + 1
+
+
+def test_every_character_beside_full_stop_comma_blank_and_line_feed():
+    """Word file: ids equal the library's for each code point next to the characters cut at."""
+    from tokenizers import Tokenizer
+
+    from palimpsest.llm.tokens import Encoder
+
+    library = Tokenizer.from_file(f"{TOK}/word_bpe_49k.json")
+    ours = Encoder(f"{TOK}/word_bpe_49k.json", False)
+    points = [*range(1, 0x180), 0x2028, 0x2029, 0x200b, 0x3000, 0xfeff, 0x301, 0x1680]
+    texts = [x.replace("C", chr(c)) for c in points for x in ("a C. b", "aC, b", "C.b C,", "a.C ,C", "C\n.C\n,", " C ,. C")]
+    for text, got in zip(texts, ours.encode(texts)):
+        assert list(memoryview(got).cast("I")) == library.encode(text, add_special_tokens=False).ids, repr(text)
