@@ -373,9 +373,11 @@ def drop_repeated_lines(docs: DataFrame, least: float = LEAST, bands: int = BAND
     gone = classes.where("not kept").groupBy("_doc", "_hash").agg(F.collect_set("line_no").alias("gone"))
     key, text, every = place_of(docs, "doc_id"), place_of(docs, "text"), numbered(docs)
     keyed = every.withColumn("_doc", F.coalesce(key, F.lit(_LAST))).withColumn("_hash", F.xxhash64(text))
-    out = keyed.join(gone, ["_doc", "_hash"], "left")
-    left = F.concat_ws("\n", F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("gone"), i)))
-    out = out.withColumn(text, F.when(F.col("gone").isNull(), F.col(text)).otherwise(left))
+    # lines instead of the text: split once, and any number of them removed in one pass
+    out = keyed.withColumn(text, F.split(text, "\n")).join(gone, ["_doc", "_hash"], "left")
+    numbers = F.array_except(F.sequence(F.lit(0), F.size(text) - 1), F.col("gone"))
+    left = F.transform(numbers, lambda i: F.get(F.col(text), i))
+    out = out.withColumn(text, F.array_join(F.when(F.col("gone").isNull(), F.col(text)).otherwise(left), "\n"))
     if "n_chars" in docs.columns:
         count = place_of(docs, "n_chars")
         kind = every.schema[count].dataType

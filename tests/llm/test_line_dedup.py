@@ -143,3 +143,14 @@ def test_odd_rows(spark):
     assert sum(r["text"] is None for r in rows) == 2
     assert any(r["text"] == "no id here at all" for r in rows)
     assert L.line_classes(empty_documents(spark)).count() == 0 and L.drop_repeated_lines(empty_documents(spark)).count() == 0
+
+
+def test_very_many_equal_lines_of_one_document_go_in_one_pass(spark):
+    import time
+
+    n = 800_000
+    docs = spark.createDataFrame([(1, "first line of text\n" * n + "another last line"), (2, "first line of text"), (3, None)], "doc_id long, text string")
+    start = time.time()
+    got = {r["doc_id"]: r["text"] for r in L.drop_repeated_lines(docs).collect()}
+    assert got == {1: "first line of text\nanother last line", 2: "", 3: None}
+    assert time.time() - start < 120
