@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ..functions import constants as K
 from ..functions import responses as R
 from ..functions.nulls import normalise_null_tokens
+from .lines import numbered_lines
 
 CONVERSATION_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -83,23 +84,11 @@ def scan_images(spark: SparkSession, directory: str, suffixes: Sequence[str] = K
     return df.select("path", name.alias("name"), "length", "content").filter(cond)
 
 
-def file_lines(files: DataFrame, file: str = "file", value: str = "value") -> DataFrame:
-    """Exact line numbers: each file (one row, read whole) exploded into
-    ``(file, line_no, line)``; empty lines are skipped. A result file is bounded by the
-    batch limits of the service, so one file per row is a bounded row."""
-    return (files.select(F.col(file).alias("file"), F.posexplode(F.split(F.col(value), "\n")).alias("line_no", "line"))
-            .filter(F.btrim(F.col("line")) != "").withColumn("line_no", F.col("line_no").cast("long")))
-
-
 def scan_result_jsonl(spark: SparkSession, path: str, batch_id: str | None = None, suffix: str = ".jsonl") -> DataFrame:
     """O-04: result lines ``(file, line_no, line)``; files chosen by ``.jsonl`` suffix and,
-    if given, ``batch_<id>`` in the name. Parse with ``operators.results``; the last line
-    per key in ``(file, line_no)`` order wins (O-46)."""
-    df = spark.read.option("pathGlobFilter", f"*{suffix}").text(path, wholetext=True)
-    df = df.select(F.col("_metadata.file_name").alias("file"), "value")
-    if batch_id is not None:
-        df = df.filter(F.col("file").contains(f"batch_{batch_id}"))
-    return file_lines(df)
+    if given, ``batch_<id>`` in the name. A large file is read by many tasks. Parse with
+    ``operators.results``; the last line per key in ``(file, line_no)`` order wins (O-46)."""
+    return numbered_lines(spark, path, suffix, None if batch_id is None else f"batch_{batch_id}")
 
 
 def scan_conversation_json(spark: SparkSession, path: str) -> DataFrame:

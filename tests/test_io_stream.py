@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from palimpsest.functions import constants as K
@@ -93,7 +95,75 @@ def test_result_stream_equals_batch(spark, scratch):
     # restart from the checkpoint adds nothing
     q2 = ST.ingest_results_stream(spark, src, table, os.path.join(scratch, "ckpt"))
     q2.awaitTermination()
-    assert spark.read.parquet(table).select("epoch").distinct().count() == 2
+    assert spark.read.parquet(table + "/places").select("epoch").distinct().count() == 2
+    plan = ST.current_rows(spark, table)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "Exchange" not in plan and "Aggregate" not in plan
+
+
+def test_merged_epochs_rewrite_only_touched_buckets_and_may_run_again(spark, scratch):
+    import json
+
+    from palimpsest.sources.lines import numbered_lines
+
+    def lines(name, keys):
+        path = os.path.join(scratch, name)
+        with open(path, "w") as f:
+            for k, v in keys:
+                f.write(json.dumps({"custom_id": k, "response": {"body": {"choices": [{"message": {"content": v}}]}}}) + "\n")
+            f.write("broken\n")
+        return numbered_lines(spark, path)
+
+    table = os.path.join(scratch, "t")
+    now = lambda: {r.custom_id: r.content for r in ST.current_rows(spark, table).collect()}
+    assert ST.current_rows(spark, table).count() == 0
+    ST.merge_results(spark, lines("a.jsonl", [(f"k{i}", "old") for i in range(50)] + [("k1", "later line")]), table, 0, buckets=8)
+    first = {f"k{i}": "old" for i in range(50)} | {"k1": "later line"}
+    assert now() == first
+    for _ in range(2):  # the second time is a rerun
+        ST.merge_results(spark, lines("b.jsonl", [("k2", "new"), ("fresh", "x")]), table, 1, buckets=8)
+        assert now() == first | {"k2": "new", "fresh": "x"}
+        assert len([d for d in os.listdir(table + "/data/epoch=1") if d.startswith("bucket=")]) <= 2
+        assert spark.read.parquet(table + "_quarantine").count() == 2
+    # a rerun that was stopped before its last step leaves the table as it was
+    ST.RS.parse_result_lines(lines("c.jsonl", [("k3", "never")])).write.parquet(table + "/parsed/epoch=2")
+    assert now() == first | {"k2": "new", "fresh": "x"}
+
+
+def test_one_large_file_is_numbered_by_many_tasks(spark, scratch):
+    from palimpsest.sources import lines as LN
+
+    d = os.path.join(scratch, "large")
+    os.makedirs(d)
+    texts = [[f"{'x' * (i * 7 % 400)} line {i}" if i % 11 else "" for i in range(n)] for n in (5_000, 3, 1_200)]
+    for k, t in enumerate(texts):
+        with open(os.path.join(d, f"f{k}.jsonl"), "w") as f:
+            f.write("\n".join(t) + ("\n" if k else ""))
+    want = sorted((f"f{k}.jsonl", i, x) for k, t in enumerate(texts) for i, x in enumerate(t) if x)
+    for size in ("20000", "7777", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = RD.scan_result_jsonl(spark, d)
+            assert rows(got, "file", "line_no", "line") == want
+            if size != "128m":
+                assert got.rdd.getNumPartitions() > 20
+            # the join taken with very many blocks gives the same
+            sent, LN.BLOCKS_SENT = LN.BLOCKS_SENT, 0
+            assert rows(RD.scan_result_jsonl(spark, d), "file", "line_no", "line") == want
+            LN.BLOCKS_SENT = sent
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_file_that_changes_between_the_passes_stops_the_read(spark, scratch):
+    path = os.path.join(scratch, "one.jsonl")
+    with open(path, "w") as f:
+        f.write("a\nb\n")
+    got = RD.scan_result_jsonl(spark, scratch, suffix="one.jsonl")
+    with open(path, "w") as f:
+        f.write("a\nb\nc\nd\n")
+    spark.catalog.refreshByPath(path)
+    with pytest.raises(Exception, match="blocks changed"):
+        got.collect()
 
 
 def test_ledger_stream_equals_batch(spark, scratch):
