@@ -68,6 +68,7 @@ IMAGE_TOKEN = "<image>"
 IMAGE_START_TOKEN = "<im_start>"
 IMAGE_END_TOKEN = "<im_end>"
 IGNORE_INDEX = -100
+IMAGE_TOKEN_INDEX = -200
 SIGNAL_BEGIN = "### "
 SIGNAL_END = "\n"
 IMAGE_LENGTH_BONUS = 128

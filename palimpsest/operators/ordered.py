@@ -41,7 +41,7 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _default_blocks(spark) -> int:
+def default_blocks(spark) -> int:
     """Blocks for a scan: the session's shuffle partition count, else the default parallelism."""
     v = spark.conf.get("spark.sql.shuffle.partitions", None)
     try:
@@ -71,7 +71,7 @@ def prefix_scan(
     keys = list(keys)
     order = [_sort_col(o) for o in order]
     spark = df.sparkSession
-    n = blocks or _default_blocks(spark)
+    n = blocks or default_blocks(spark)
 
     src = df.withColumns({f"_v_{k}": e for k, (_, e) in values.items()})
     ranged = src.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn("_blk", F.spark_partition_id())

@@ -2,41 +2,167 @@
 
 Reference rule, per shard, items in order: a batch takes items while the running byte
 total stays within ``budget``; the first item that does not fit closes it and opens the
-next batch. If that item alone exceeds the budget the batch is empty and packing stops
-(all later items stay unassigned). At most ``max_batches`` batches.
-
-The walk looks sequential, but each batch start determines the next one:
-with inclusive prefix sums ``E``, a batch starting at item ``i`` ends before the first
-``j`` with ``E[j] > E[i] - size[i] + budget``, so ``next(i)`` is a count of prefix sums
-at or under a bound - an as-of count, computed for all items at once with a
-distributed ordered scan. The batch starts are the orbit of item 0 under ``next``;
-binary lifting (``next^(2^t)`` tables, one self-join and checkpoint per round, about
-log2(max_batches) rounds) expands that orbit without walking it. A final scan gives
-each item the latest batch start at or before it.
-
-Only ``(shard, order, size)`` enter the shuffles; payload bytes are joined back last.
-No shard is ever collected into one task, so a shard holding a third of all items is
-still spread over many blocks. Under a batch cap, items whose prefix sum exceeds
-``max_batches * budget`` can never be assigned and are pruned (exactly) before the
-as-of count and the lifting joins (600k lineitem items in three shards: 18.9 s -> 10.8 s
-on local[8], identical to a sequential walk).
+next batch. An item that alone exceeds the budget stops the packing of its shard (all
+later items stay unassigned). At most ``max_batches`` batches, if given.
+
+The walk looks sequential, but what a stretch of items does depends on one number only: the
+bytes in the open batch where the stretch begins. Items are range-partitioned by (shard,
+order) into blocks. A block's task turns the stretch of a shard at its edge into a map from
+entry bytes to exit bytes and opened batches: the entry decides which item is the first that
+does not fit, and from there on all is fixed, so the map has one piece for each item of a
+first batch at most, and fewer once walks have met. The maps of a shard, one a block, are
+then read in order, one lookup each, which gives every block's entry; with it each block
+numbers its own items. A shard inside one block needs no map.
+
+Only ``(shard, order, size)`` enter the exchange; payload bytes never do. The blocks are written
+once (reliable checkpoint), a shard may be spread over any number of them, and the driver
+sees one entry for each block edge.
 """
 
 from __future__ import annotations
 
-import math
+from bisect import bisect_left
 from collections.abc import Sequence
+from typing import NamedTuple
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from .ordered import materialize, prefix_scan
+from .ordered import default_blocks, materialize
+
+#: Entry or exit of a shard that an oversized item has stopped.
+STOPPED = -1
+
+
+class StretchMap(NamedTuple):
+    """Entry bytes up to ``upto[i]`` (and above those before) leave with ``exit[i]`` bytes after
+    ``opened[i]`` new batches; a piece without new batches adds its ``exit`` to the entry."""
+
+    upto: list[int]
+    exit: list[int]
+    opened: list[int]
+
+    def follow(self, fill: int) -> tuple[int, int]:
+        if fill == STOPPED:
+            return STOPPED, 0
+        i = bisect_left(self.upto, fill)
+        return (self.exit[i] if self.opened[i] or self.exit[i] == STOPPED else fill + self.exit[i]), self.opened[i]
+
+
+def stretch_map(sizes: np.ndarray, budget: int) -> StretchMap:
+    """What items of ``sizes`` in a row do to the open batch."""
+    if (sizes > budget).any():
+        return StretchMap([budget], [STOPPED], [0])
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    n = len(sizes)
+    after = (np.searchsorted(ends, ends[:-1] + budget, "right") - 1).tolist()  # a batch from item i ends before it
+    total = ends.tolist()
+    left, opened = [0] * n, [0] * n
+    for i in range(n - 1, -1, -1):
+        j = after[i]
+        left[i], opened[i] = (total[n] - total[i], 1) if j == n else (left[j], opened[j] + 1)
+    first = int(np.searchsorted(ends, budget, "right")) - 1  # items that fit an empty batch
+    pieces = [(budget - total[n], total[n], 0)] if first == n else []
+    # the more bytes there are already, the earlier the first item that does not fit
+    pieces += [(budget - total[i], left[i], opened[i]) for i in range(min(first, n - 1), -1, -1)]
+    kept = [p for p, q in zip(pieces, [*pieces[1:], None]) if q is None or p[1:] != q[1:] or not p[2]]
+    return StretchMap(*map(list, zip(*kept)))
+
+
+def _edges(budget: int):
+    """A block's rows in order -> the maps of its first and its last shard's stretch."""
+
+    def run(batches):
+        now, held, first = None, [], True
+
+        def told():
+            m = stretch_map(np.concatenate(held), budget)
+            return pd.DataFrame({"_key": [now[1]], "_blk": [now[0]], "upto": [m.upto], "exit": [m.exit], "opened": [m.opened]})
+
+        for pdf in batches:
+            for key, part in _runs(pdf):
+                if key != now:
+                    if now is not None and first:
+                        yield told()
+                    first, now, held = now is None, key, []
+                held.append(part["_size"].to_numpy())
+        if now is not None:
+            yield told()
+
+    return run
+
+
+def _runs(pdf: pd.DataFrame):
+    """Stretches of one block and shard: ((block, shard), rows)."""
+    if not len(pdf):
+        return
+    new = (pdf["_blk"] != pdf["_blk"].shift()) | (pdf["_key"] != pdf["_key"].shift())
+    starts = np.flatnonzero(new.to_numpy())
+    for a, b in zip(starts, [*starts[1:], len(pdf)]):
+        yield (int(pdf["_blk"].iloc[a]), pdf["_key"].iloc[a]), pdf.iloc[a:b]
+
+
+def _entries(batches):
+    """Maps of a shard in block order -> the entry of each of its blocks but the first."""
+    now, fill, batch = None, 0, 0
+    for pdf in batches:
+        out = []
+        for row in pdf.itertuples(index=False):
+            if row.key != now:
+                now, fill, batch = row.key, 0, 0
+            else:
+                out.append((row.key, row.block, fill, batch))
+            m = StretchMap(list(row.upto), list(row.exit), list(row.opened))
+            fill, more = m.follow(fill)
+            batch += more
+        yield pd.DataFrame(out, columns=["key", "block", "fill", "batch"])
+
+
+def _number(budget: int, entries: dict, max_batches: int | None):
+    """Rows of blocks in order -> their batch and, for those without one, why."""
+
+    def run(batches):
+        now, fill, batch = None, 0, 0
+        for pdf in batches:
+            numbers, reasons = np.full(len(pdf), -1, np.int64), np.full(len(pdf), None, object)
+            at = 0
+            for key, part in _runs(pdf):
+                if key != now:
+                    fill, batch = entries.get(key, (0, 0))
+                    now = key
+                sizes = part["_size"].to_numpy()
+                large = np.flatnonzero(sizes > budget)
+                end = 0 if fill == STOPPED else int(large[0]) if len(large) else len(sizes)
+                ends = np.cumsum(sizes[:end])
+                i, before = 0, 0
+                while i < end:
+                    j = int(np.searchsorted(ends, before + budget - fill, "right"))
+                    numbers[at + i:at + j] = batch
+                    if j < end:
+                        batch, fill = batch + 1, 0
+                    else:
+                        fill += int(ends[-1]) - before
+                    i, before = j, int(ends[j - 1]) if j else 0
+                if end < len(sizes):
+                    fill = STOPPED
+                    reasons[at + end:at + len(sizes)] = "after_oversize"
+                    reasons[at + large] = "oversize"
+                at += len(part)
+            if max_batches is not None:
+                reasons[numbers >= max_batches] = "batch_limit"
+                numbers[numbers >= max_batches] = -1
+            given = pd.Series(numbers, index=pdf.index, dtype="Int64").mask(numbers < 0)
+            yield pdf.drop(columns=["_blk", "_key"]).assign(batch=given, reason=reasons)
+
+    return run
 
 
 def pack_batches(items: DataFrame, order: Sequence[str], size: str, budget: int = K.BATCH_BUDGET_BYTES,
                  max_batches: int | None = None, shard: str | None = None,
-                 oversize: str = "stop") -> DataFrame:
+                 oversize: str = "stop", blocks: int | None = None) -> DataFrame:
     """Assign ``batch`` (0-based, null = not sent) to every item.
 
     ``oversize='stop'`` is the original rule; ``'skip'`` packs the rest and returns items
@@ -45,90 +171,26 @@ def pack_batches(items: DataFrame, order: Sequence[str], size: str, budget: int
     Output: ``shard`` (if given), ``order`` columns, ``size``, ``batch``, ``reason`` (null if
     sent, else ``oversize``, ``after_oversize`` or ``batch_limit``).
     """
-    order = list(order)
-    keys = [shard] if shard else []
-    base = items.select(*keys, *order, F.col(size).cast("long").alias("_size"))
+    if oversize not in ("stop", "skip"):
+        raise ValueError(f"unknown oversize policy {oversize!r}")
+    order, keys = list(order), [shard] if shard else []
+    # nulls are a shard of their own: as text, a null and any value differ
+    key = F.when(F.col(shard).isNull(), "n").otherwise(F.concat(F.lit("v"), F.col(shard).cast("string"))) if shard else F.lit("v")
+    base = items.select(*keys, *order, F.col(size).cast("long").alias("_size"), key.alias("_key"))
     too_large = base.filter(F.col("_size") > budget)
     if oversize == "skip":
         base = base.filter(F.col("_size") <= budget)
-    elif oversize != "stop":
-        raise ValueError(f"unknown oversize policy {oversize!r}")
-
-    # 1. position and inclusive prefix sum per shard
-    s = prefix_scan(base, keys, order, {"_pos1": ("sum", F.lit(1).cast("long")), "_E": ("sum", F.col("_size"))})
-    s = s.withColumn("_pos", F.col("_pos1") - 1).drop("_pos1")
-    s = materialize(s)
-    # Exact pruning under the batch cap: the first ``max_batches`` batches hold at most
-    # ``max_batches * budget`` bytes, so an item whose inclusive prefix sum is larger is
-    # never assigned, and the next-start of every batch below the cap lies at or before
-    # the first such item. Only candidates enter the as-of count and the lifting joins.
-    everything = s
-    if max_batches is not None:
-        s = s.filter(F.col("_E") <= F.lit(max_batches) * F.lit(budget))
-
-    # 2. next(i) = #{j : E[j] <= E[i] - size[i] + budget}  (as-of count)
-    pts = s.select(*keys, F.col("_E").alias("_val"), F.lit(0).alias("_kind"), F.col("_pos").alias("_p"))
-    qs = s.select(*keys, (F.col("_E") - F.col("_size") + F.lit(budget)).alias("_val"), F.lit(1).alias("_kind"),
-                  F.col("_pos").alias("_p"))
-    cnt = prefix_scan(pts.unionByName(qs), keys, ["_val", "_kind", "_p"],
-                      {"_cnt": ("sum", (F.lit(1) - F.col("_kind")).cast("long"))})
-    nxt = cnt.filter(F.col("_kind") == 1).select(*keys, F.col("_p").alias("_pos"), F.col("_cnt").alias("_next"))
-    j0 = s.join(nxt, [*keys, "_pos"]).select(
-        *keys, "_pos", (F.col("_size") <= budget).alias("_alive"),
-        F.when(F.col("_size") <= budget, F.col("_next")).otherwise(F.col("_pos")).alias("_to"))
-    j0 = materialize(j0)
-
-    # 3. batch starts: orbit of position 0 under next, by binary lifting
-    if max_batches is None:
-        longest = s.agg(F.max("_pos")).first()[0]
-        rounds = max(1, math.ceil(math.log2((longest or 0) + 2)))
-    else:
-        rounds = max(1, math.ceil(math.log2(max(max_batches, 2))))
-    jumps = [j0.select(*keys, "_pos", "_to")]
-    for _ in range(1, rounds):
-        j = jumps[-1]
-        a = j.alias("a")
-        b = j.alias("b")
-        cond = [F.col("a._to") == F.col("b._pos")] + [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-        nj = a.join(b, cond, "left").select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a._pos").alias("_pos"),
-                                            F.coalesce(F.col("b._to"), F.col("a._to")).alias("_to"))
-        jumps.append(materialize(nj))
-
-    span = 2 ** rounds if max_batches is None else min(2 ** rounds, max_batches)
-    orbit = j0.filter(F.col("_pos") == 0).select(*keys, F.lit(0).cast("long").alias("_v"),
-                                                  F.explode(F.sequence(F.lit(0), F.lit(span - 1))).alias("_k"))
-    for t, j in enumerate(jumps):
-        o, jj = orbit.alias("o"), j.alias("j")
-        cond = [F.col("o._v") == F.col("j._pos")] + [F.col(f"o.{k}").eqNullSafe(F.col(f"j.{k}")) for k in keys]
-        bit_set = F.col("o._k").bitwiseAND(F.lit(1 << t)) != 0
-        moved = F.when(bit_set & F.col("j._to").isNotNull(), F.col("j._to")).otherwise(F.col("o._v"))
-        orbit = o.join(jj, cond, "left").select(*[F.col(f"o.{k}").alias(k) for k in keys], moved.alias("_v"),
-                                                 F.col("o._k").alias("_k"))
-    first = orbit.groupBy(*keys, "_v").agg(F.min("_k").alias("_batch"))
-    starts = first.join(j0.select(*keys, F.col("_pos").alias("_v"), "_alive", "_to"), [*keys, "_v"]).filter("_alive")
-    starts = starts.select(*keys, F.col("_v").alias("_p"), F.lit(0).alias("_kind"),
-                           F.struct(F.col("_batch"), F.col("_to").alias("_end")).alias("_b"))
-
-    # 4. each item takes the latest batch start at or before it, if inside that batch
-    its = s.select(*keys, F.col("_pos").alias("_p"), F.lit(1).alias("_kind"),
-                   F.lit(None).cast("struct<_batch:bigint,_end:bigint>").alias("_b"))
-    sc = prefix_scan(starts.unionByName(its), keys, ["_p", "_kind"], {"_cur": ("max", F.col("_b"))})
-    assigned = sc.filter(F.col("_kind") == 1).select(
-        *keys, F.col("_p").alias("_pos"),
-        F.when(F.col("_p") < F.col("_cur._end"), F.col("_cur._batch")).alias("batch"))
-    # what was not sent, and why: the first too large item of a shard stops it ("stop")
-    first_large = everything.filter(F.col("_size") > budget).groupBy(*keys).agg(F.min("_pos").alias("_stop"))
-    out = everything.join(assigned, [*keys, "_pos"], "left")
-    if keys:
-        out = out.join(first_large, keys, "left")
-    else:
-        found = first_large.first()
-        out = out.withColumn("_stop", F.lit(found["_stop"] if found else None).cast("long"))
-    reason = (F.when(F.col("batch").isNotNull(), F.lit(None)).when(F.col("_size") > budget, F.lit("oversize"))
-              .when(F.col("_pos") > F.col("_stop"), F.lit("after_oversize")).otherwise(F.lit("batch_limit")))
-    out = out.select(*keys, *order, F.col("_size").alias(size), "batch", reason.alias("reason"))
+    n = blocks or default_blocks(items.sparkSession)
+    ranged = base.repartitionByRange(n, "_key", *order).withColumn("_blk", F.spark_partition_id()).sortWithinPartitions("_key", *order)
+    placed = materialize(ranged)  # blocks stay what they are for both passes
+    maps = placed.select("_key", "_blk", "_size").mapInPandas(_edges(budget), "_key string, _blk int, upto array<long>, exit array<long>, opened array<long>")
+    chains = maps.select(F.col("_key").alias("key"), F.col("_blk").alias("block"), "upto", "exit", "opened").repartition("key").sortWithinPartitions("key", "block")
+    # one entry for each block edge at most
+    known = {(r["block"], r["key"]): (r["fill"], r["batch"]) for r in chains.mapInPandas(_entries, "key string, block int, fill long, batch long").collect()}
+    schema = ", ".join(f"`{c}` {t}" for c, t in base.dtypes if c != "_key") + ", batch long, reason string"
+    out = placed.mapInPandas(_number(budget, known, max_batches), schema)
+    kept = [*keys, *order, F.col("_size").alias(size)]
+    out = out.select(*kept, "batch", "reason")
     if oversize == "skip":
-        out = out.unionByName(too_large.select(*keys, *order, F.col("_size").alias(size),
-                                               F.lit(None).cast("long").alias("batch"), F.lit("oversize").alias("reason")))
+        out = out.unionByName(too_large.select(*kept, F.lit(None).cast("long").alias("batch"), F.lit("oversize").alias("reason")))
     return out
-

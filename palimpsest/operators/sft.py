@@ -28,6 +28,10 @@ SIGNAL_ROLES = ("Human", "Assistant")
 TEMPLATE_ROLES = ("USER", "ASSISTANT")
 
 
+#: One-separator prompts: what opens the system text and the roles, and what ends a message.
+ROUND_SYSTEM, ROUND_ROLES, ROUND_SEP = "<|im_start|>system\n", ("<|im_start|>user\n", "<|im_start|>assistant\n"), "<|im_end|>"
+
+
 def gather_turns(turns: DataFrame, key: str = "conv_id") -> DataFrame:
     """One row per conversation with ``turns: array<struct<turn, from, value>>`` in order."""
     return turns.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("turn", "from", "value"))).alias("turns"))
@@ -133,6 +137,23 @@ def plain_pair(dialog: Column, sep: str = "\n") -> Column:
                     F.when(ok, F.size(tokens(F.lit(K.IMAGE_TOKEN)))).alias("masked_tokens"))
 
 
+def image_token_ids(text: Column, image_id: int = K.IMAGE_TOKEN_INDEX) -> Column:
+    """Token ids of a text in which the image token is one token, also where it touches a word."""
+    pieces = F.transform(F.split(text, _re_escape(K.IMAGE_TOKEN)), lambda x: token_ids(tokens(x)))
+    mark = F.array(F.lit(image_id))
+    return F.concat(F.get(pieces, 0), F.flatten(F.transform(F.slice(pieces, 2, F.size(pieces)), lambda p: F.concat(mark, p))))
+
+
+def plain_pair_ids(dialog: Column, sep: str = "\n", first_tokens: int = 0, image_id: int = K.IMAGE_TOKEN_INDEX) -> Column:
+    """O-74: struct(ok, input_ids, labels) of a plain pair: ids of token + answer + ``sep``, the
+    image token (and ``first_tokens`` that a tokeniser puts before it) masked; null if not ok."""
+    p = plain_pair(dialog, sep)
+    ids = image_token_ids(p["text"], image_id)
+    masked = 1 + first_tokens
+    labels = F.concat(F.array_repeat(F.lit(K.IGNORE_INDEX), masked), F.slice(ids, masked + 1, F.size(ids)))
+    return F.struct(p["ok"].alias("ok"), F.when(p["ok"], ids).alias("input_ids"), F.when(p["ok"], labels).alias("labels"))
+
+
 # ------------------------------------------------------------------ tokens, O-75..O-77
 
 
@@ -160,7 +181,7 @@ def label_mask(dialog: Column, header: Column, max_length: int = 1024, roles: Se
     closing = token_ids(tokens(F.lit(K.SIGNAL_BEGIN)))
     ids = F.concat(head_ids, F.flatten(F.transform(per_turn, lambda p: p["ids"])), closing)
     masked_turn = lambda p: F.when(
-        F.lower(p["f"]) == "human",
+        p["f"] == "human",
         F.concat(F.slice(p["ids"], 1, keep_head),
                  F.array_repeat(F.lit(K.IGNORE_INDEX), F.greatest(F.size(p["ids"]) - keep_head, F.lit(0)))),
     ).otherwise(p["ids"])
@@ -201,6 +222,13 @@ def label_mask_template(dialog: Column, system: Column, roles: Sequence[str] = T
     rlen = F.transform(rounds, lambda r: n_tok(r) + 1)
     ilen = F.transform(rounds, lambda r: n_tok(F.concat(F.get(F.split(r, _re_escape(assist)), 0), F.lit(assist)))
                        - instruction_offset)
+    return _walk_labels(ids, rounds, valid, rlen, ilen, start, max_length)
+
+
+def _walk_labels(ids: Column, rounds: Column, valid: Column, rlen: Column, ilen: Column, start: int, max_length: int) -> Column:
+    """struct(input_ids, labels) of a walk over rounds: up to the first one that is not ``valid``, the
+    first ``ilen`` of a round's ``rlen`` tokens are masked."""
+    n = F.size(ids)
     first_bad = F.array_position(valid, False)
     k = F.when(first_bad == 0, F.size(rounds)).otherwise(first_bad - 1).cast("int")
     cur = F.lit(start) + F.aggregate(F.slice(rlen, 1, k), F.lit(0), lambda a, b: a + b)
@@ -218,6 +246,48 @@ def label_mask_template(dialog: Column, system: Column, roles: Sequence[str] = T
     return F.struct(F.slice(ids, 1, max_length).alias("input_ids"), F.slice(labels, 1, max_length).alias("labels"))
 
 
+def render_rounds(dialog: Column, system: Column, roles: Sequence[str] = ROUND_ROLES, sep: str = ROUND_SEP) -> Column:
+    """One-separator prompt: the system text and every message end with ``sep``; a message is its
+    role's opening and the text (an empty one the opening only, without ``sep``)."""
+    def one(x):
+        role = map_role(x["from"], "strict", roles)
+        return F.when(x["value"].isNull() | (x["value"] == ""), role).otherwise(F.concat(role, x["value"], F.lit(sep)))
+
+    return F.concat(F.lit(ROUND_SYSTEM), F.coalesce(system, F.lit(DEFAULT_SYSTEM)), F.lit(sep), F.array_join(F.transform(dialog, one), ""))
+
+
+def label_mask_rounds(dialog: Column, system: Column, roles: Sequence[str] = ROUND_ROLES, sep: str = ROUND_SEP, max_length: int = 1024,
+                      instruction_offset: int = 0, later_offset: int = 0) -> Column:
+    """O-75 (one-separator prompt): struct(input_ids, labels).
+
+    The prompt is cut at ``sep`` and put together again in rounds: system, first question and
+    first answer are the first one, every further question and its answer another. A round must
+    split in exactly two at ``sep + roles[1]``, else the walk stops, as does an empty one. Its part
+    up to the answer (less ``instruction_offset`` tokens) is masked; it advances by its tokens,
+    the separators inside it and the one after it. ``later_offset`` is added to both lengths of
+    every round but the first (tokenisers that begin each piece with a token of their own).
+    What follows the walk is masked, and all of it if the walk does not end at the token count.
+    """
+    prompt = render_rounds(dialog, system, roles, sep)
+    ids = token_ids(template_tokens(prompt, sep))
+    pieces = F.split(prompt, _re_escape(sep))
+    later = F.when(F.size(pieces) > 3, F.transform(F.sequence(F.lit(4), F.greatest(F.size(pieces), F.lit(4)), F.lit(2)),
+                                                   lambda i: F.array_join(F.slice(pieces, i, 2), sep))).otherwise(F.array().cast("array<string>"))
+    rounds = F.concat(F.array(F.array_join(F.slice(pieces, 1, 3), sep)), later)
+    answer = sep + roles[1]
+
+    def n_tok(x):
+        return F.size(template_tokens(x, sep))
+
+    def extra(i):
+        return F.when(i > 0, F.lit(later_offset)).otherwise(F.lit(0))
+
+    valid = F.transform(rounds, lambda r: (r != "") & (F.size(F.split(r, _re_escape(answer))) == 2))
+    rlen = F.transform(rounds, lambda r, i: n_tok(r) + 1 + extra(i))
+    ilen = F.transform(rounds, lambda r, i: n_tok(F.concat(F.get(F.split(r, _re_escape(answer)), 0), F.lit(answer))) - instruction_offset + extra(i))
+    return _walk_labels(ids, rounds, valid, rlen, ilen, 0, max_length)
+
+
 def _re_escape(s: str) -> str:
     import re
 

@@ -338,37 +338,46 @@ def q_clean_fenced(spark, sf):
 from ..operators import packing as PK  # noqa: E402
 
 
-def _pack_sql(budget: int, max_batches: int) -> str:
+def _pack_sql(budget: int, max_batches: int | None = None, skip: bool = False, one: bool = False) -> str:
+    shard = "0" if one else "lang"
     return f"""WITH RECURSIVE items AS (
-  SELECT lang || '/' || source || '/d' || doc_id || '.jpg' AS path, lang AS shard,
+  SELECT lang || '/' || source || '/d' || doc_id || '.jpg' AS path, {shard} AS shard,
          (4 * ((strlen(text) + 2) // 3))::BIGINT AS size FROM documents),
-pos AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY path) - 1 AS p FROM items),
+pos AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY path) - 1 AS p FROM items {f'WHERE size <= {budget}' if skip else ''}),
 walk AS (
-  SELECT shard, p, 0::BIGINT AS batch, size AS fill, size <= {budget} AS alive FROM pos WHERE p = 0
+  SELECT path, shard, p, 0::BIGINT AS batch, size AS fill, size <= {budget} AS alive FROM pos WHERE p = 0
   UNION ALL
-  SELECT w.shard, n.p,
+  SELECT n.path, w.shard, n.p,
          CASE WHEN w.fill + n.size <= {budget} THEN w.batch ELSE w.batch + 1 END,
          CASE WHEN w.fill + n.size <= {budget} THEN w.fill + n.size ELSE n.size END,
-         (w.fill + n.size <= {budget}) OR (n.size <= {budget} AND w.batch + 1 < {max_batches})
+         (w.fill + n.size <= {budget}) OR (n.size <= {budget} AND {'true' if max_batches is None else f'w.batch + 1 < {max_batches}'})
   FROM walk w JOIN pos n ON n.shard = w.shard AND n.p = w.p + 1
-  WHERE w.alive)
-SELECT i.path, i.shard, i.size, CASE WHEN w.alive THEN w.batch END AS batch
-FROM pos i LEFT JOIN walk w USING (shard, p)"""
+  WHERE w.alive),
+stops AS (SELECT shard, min(path) AS stop FROM items WHERE size > {budget} GROUP BY shard),
+packed AS (SELECT i.path, i.shard, i.size, CASE WHEN w.alive THEN w.batch END AS batch,
+  CASE WHEN w.alive THEN NULL WHEN i.size > {budget} THEN 'oversize' WHEN i.path > s.stop THEN 'after_oversize' ELSE 'batch_limit' END AS reason
+  FROM items i LEFT JOIN walk w ON w.path = i.path LEFT JOIN stops s ON s.shard = i.shard)
+"""
 
 
-def _pack_query(budget: int):
-    def fn(spark, sf):
-        from ..functions import text as T
+def _request_items(spark, sf):
+    from ..functions import text as T
 
-        it = FX.items(spark, sf).select("path", "shard", T.b64_size("length").alias("size"))
-        return PK.pack_batches(it, ["path"], "size", budget=budget, max_batches=PK.K.MAX_BATCHES, shard="shard").drop("reason")
+    return FX.items(spark, sf).select("path", "shard", T.b64_size("length").alias("size"))
 
-    fn.__doc__ = f"O-40 (+ O-58 size): next-fit batches of base64 size per language, budget {budget}."
+
+def _pack_query(budget: int, oversize: str):
+    def fn(spark, sf):
+        return PK.pack_batches(_request_items(spark, sf), ["path"], "size", budget=budget, shard="shard", oversize=oversize)
+
+    fn.__doc__ = f"O-40 (+ O-58 size): next-fit batches of base64 size per language, budget {budget}, every row with its batch or the reason why not."
     return fn
 
 
-query("request_batches", _pack_sql(60000, 200))(_pack_query(60000))
-query("request_batches_tight", _pack_sql(20000, 200))(_pack_query(20000))
+_PACKED = "SELECT path, shard, size, batch, reason FROM packed"
+query("request_batches", _pack_sql(60000, skip=True) + _PACKED)(_pack_query(60000, "skip"))
+query("request_batches_tight", _pack_sql(20000) + _PACKED)(_pack_query(20000, "stop"))
+query("request_batches_original", _pack_sql(PK.K.BATCH_BUDGET_BYTES, skip=True) + _PACKED)(_pack_query(PK.K.BATCH_BUDGET_BYTES, "skip"))
 
 
 # ====================================================================== streaks / ledger
@@ -885,25 +894,20 @@ def q_result_lines_roundtrip(spark, sf):
     return a.select("custom_id", "has_choices", "ocr_text", "summary", "date", "is_printed", "is_legible")
 
 
-@query("request_files", _pack_sql(60000, 200).replace("SELECT i.path, i.shard, i.size, CASE WHEN w.alive THEN w.batch END AS batch",
-       "SELECT w.batch AS batch, replace(i.path, '/', '|') AS custom_id") + " WHERE w.alive")
+@query("request_files", _pack_sql(60000, skip=True) + "SELECT shard, batch, replace(path, '/', '|') AS custom_id, reason FROM packed")
 def q_request_files(spark, sf):
-    """O-11: request JSONL written one folder per batch (O-40 assignment, budget 60000),
-    read back: (batch, custom_id) of every line."""
-    from ..functions import text as T
-
-    it = FX.items(spark, sf)
-    packed = PK.pack_batches(it.select("path", "shard", T.b64_size("length").alias("size")), ["path"], "size",
-                             budget=60000, max_batches=PK.K.MAX_BATCHES, shard="shard")
-    req = RQ.request_lines(it, REQUEST_PROMPT).join(packed.select("path", "shard", "batch"), "path")
-    req = req.withColumn("batch", F.when(F.col("batch").isNotNull(),
-                                         F.concat_ws("-", "shard", F.col("batch").cast("string"))))
+    """O-11: request JSONL written one folder per batch (O-40 assignment, budget 60000) and read
+    back, and the requests that no batch could take, with the reason."""
+    packed = PK.pack_batches(_request_items(spark, sf), ["path"], "size", budget=60000, shard="shard", oversize="skip")
+    req = RQ.request_lines(FX.items(spark, sf), REQUEST_PROMPT).join(packed, "path")
+    name = F.when(F.col("batch").isNotNull(), F.concat_ws("-", "shard", F.col("batch").cast("string")))
     out = scratch_dir(spark, "requests")
-    WR.write_request_jsonl(req, out)
+    WR.write_request_jsonl(req.select("request", name.alias("batch")), out)
     back = spark.read.text(out)
-    parsed = F.from_json("value", RQ.R.REQUEST_SCHEMA)
-    return back.select(F.substring_index(F.col("batch"), "-", -1).cast("long").alias("batch"),
-                       parsed["custom_id"].alias("custom_id"))
+    sent = back.select(F.substring_index("batch", "-", 1).alias("shard"), F.substring_index(F.col("batch"), "-", -1).cast("long").alias("batch"),
+                       F.from_json("value", RQ.R.REQUEST_SCHEMA)["custom_id"].alias("custom_id"), F.lit(None).cast("string").alias("reason"))
+    left = packed.filter(F.col("batch").isNull()).select("shard", "batch", TX.path_to_key("path").alias("custom_id"), "reason")
+    return sent.unionByName(left)
 
 
 @query("conversation_files", _training_with("""
@@ -916,8 +920,7 @@ def q_conversation_files(spark, sf):
                                keep=["arm"])
     out = scratch_dir(spark, "conversations")
     WR.write_conversations(docs, out)
-    back = spark.read.schema("id string, image string, conversations array<struct<from:string,value:string>>, "
-                             "arm string").json(out)
+    back = RD.scan_conversation_lines(spark, out)
     return back.select("arm", "id", F.get("conversations", 0)["value"].alias("question"),
                        F.get("conversations", 1)["value"].alias("answer"))
 
@@ -1018,30 +1021,92 @@ def q_label_mask_template(spark, sf):
                     F.array_join("m.input_ids", " ").alias("input_ids"), F.array_join("m.labels", " ").alias("labels"))
 
 
+_ANSWER = f"'<|im_end|><|im_start|>assistant' || {S.NL}"
+
+
+@query("label_mask_rounds", S.with_ctes(["checked"], f"""
+, t AS (SELECT conv_id, {S.rounds_prompt('dialog', 'system')} AS prompt FROM checked WHERE status = 'ok')
+, c AS (SELECT conv_id, {S.rounds_tokens('prompt')} AS toks, string_split(prompt, '<|im_end|>') AS pieces FROM t)
+, r AS (SELECT conv_id, toks, list_concat([array_to_string(pieces[1:3], '<|im_end|>')],
+          list_transform(range(4, len(pieces) + 1, 2), lambda i: array_to_string(pieces[i:i + 1], '<|im_end|>'))) AS rounds FROM c)
+, f AS (SELECT *, {S.token_ids('toks')} AS ids,
+          list_transform(rounds, lambda x: x <> '' AND len(string_split(x, {_ANSWER})) = 2) AS valid,
+          list_transform(rounds, lambda x: len({S.rounds_tokens('x')}) + 1) AS rlen,
+          list_transform(rounds, lambda x: len({S.rounds_tokens(f"string_split(x, {_ANSWER})[1] || {_ANSWER}")})) AS ilen FROM r)
+, g AS (SELECT *, CASE WHEN list_position(valid, false) IS NULL THEN len(rounds) ELSE list_position(valid, false) - 1 END AS k FROM f)
+, h AS (SELECT *, coalesce(list_sum(rlen[1:k]), 0) AS cur, least(len(toks), {SFT_MAX}) AS total FROM g)
+, m AS (SELECT conv_id, ids[1:{SFT_MAX}] AS ids, list_transform(ids, lambda tk, p:
+          CASE WHEN (cur < {SFT_MAX} AND cur <> total) OR (p - 1) >= cur
+                 OR len(list_filter(range(1, k + 1), lambda i: (p - 1) >= coalesce(list_sum(rlen[1:i - 1]), 0)
+                        AND (p - 1) < coalesce(list_sum(rlen[1:i - 1]), 0) + ilen[i])) > 0
+               THEN -100 ELSE tk END)[1:{SFT_MAX}] AS labels FROM h)
+SELECT conv_id, len(ids)::BIGINT AS n_tokens, len(list_filter(labels, lambda v: v <> -100))::BIGINT AS n_trained,
+       array_to_string(ids, ' ') AS input_ids, array_to_string(labels, ' ') AS labels FROM m"""))
+def q_label_mask_rounds(spark, sf):
+    """O-75 for the one-separator prompt: rounds of system + question + answer, then pairs."""
+    p = prepared_convs(spark, sf).filter(F.col("status") == "ok")
+    m = p.select("conv_id", SF.label_mask_rounds(F.col("dialog"), F.col("system"), max_length=SFT_MAX).alias("m"))
+    return m.select("conv_id", F.size("m.input_ids").cast("long").alias("n_tokens"),
+                    F.size(F.filter("m.labels", lambda v: v != K_IGNORE)).cast("long").alias("n_trained"),
+                    F.array_join("m.input_ids", " ").alias("input_ids"), F.array_join("m.labels", " ").alias("labels"))
+
+
+@query("plain_pair_ids", _DOCS_SQL + f"""
+, p AS (SELECT id, {S.token_ids(S.words('answer'))} AS ids FROM docs)
+SELECT id, (len(ids) + 1)::BIGINT AS n_tokens, array_to_string(list_concat([-200], ids), ' ') AS input_ids,
+       array_to_string(list_concat([-100], ids), ' ') AS labels FROM p""")
+def q_plain_pair_ids(spark, sf):
+    """O-74: token ids and labels of plain pairs; the image mark touches the answer's first word and
+    is a token of its own."""
+    t = training(spark, sf)
+    present = A.keep_existing(t, FX.listing(spark, sf), F.concat(F.col("id"), F.lit(".jpg")))
+    d = SF.to_conversations(present, "id", F.lit(None).cast("string"), "gold", question=SF.K.OCR_QUESTION + " " + SF.K.IMAGE_TOKEN)
+    p = d.select("id", SF.plain_pair_ids(F.col("conversations")).alias("p"))
+    return p.select("id", F.size("p.input_ids").cast("long").alias("n_tokens"), F.array_join("p.input_ids", " ").alias("input_ids"),
+                    F.array_join("p.labels", " ").alias("labels"))
+
+
+_BROKEN_TURNS = """turns AS (SELECT conv_id, turn, CASE WHEN conv_id % 11 = 2 AND turn = 2 THEN 'tool' ELSE "from" END AS "from", value FROM all_turns
+  WHERE NOT (conv_id % 7 = 3 AND turn = 1))"""
+
+
+@query("rejected_conversations", f"""WITH all_turns AS ({S.CTE['turns']}), {_BROKEN_TURNS}, convs AS ({S.CTE['convs']}), prepared AS ({S.CTE['prepared']}), checked AS ({S.CTE['checked']})
+SELECT conv_id, status, len(dialog)::BIGINT AS n_turns, array_to_string(list_transform(dialog, lambda x: x['from'] || ': ' || x['value']), chr(10)) AS dialog
+FROM checked WHERE status <> 'ok'""")
+def q_rejected_conversations(spark, sf):
+    """O-15 + O-70: conversations that no walk takes (a turn lost, a role unknown), written to
+    quarantine with their turns and the reason, and read back."""
+    out = scratch_dir(spark, "rejected")
+    lost = (F.col("conv_id") % 7 == 3) & (F.col("turn") == 1)
+    role = F.when((F.col("conv_id") % 11 == 2) & (F.col("turn") == 2), "tool").otherwise(F.col("from"))
+    turns = FX.turns(spark, sf).where(~lost).withColumn("from", role)
+    bad = SF.prepare_turns(SF.gather_turns(turns)).filter(F.col("status") != "ok")
+    WR.write_quarantine(bad.select("conv_id", "status", "dialog"), out)
+    text = F.array_join(F.transform("dialog", lambda x: F.concat(x["from"], F.lit(": "), x["value"])), "\n")
+    return spark.read.parquet(out).select("conv_id", "status", F.size("dialog").cast("long").alias("n_turns"), text.alias("dialog"))
+
+
+@query("quarantined_sidecars", """
+SELECT 'd' || doc_id || '.jpg.txt' AS name, 'error' AS outcome FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def q_quarantined_sidecars(spark, sf):
+    """O-15: sidecars that could not be read (here of documents without labels) go to quarantine with
+    their outcome, the others on."""
+    out = scratch_dir(spark, "quarantine")
+    names = FX.gold(spark, sf).select(F.concat("Asset", F.lit(".jpg.txt")).alias("name"))
+    side = names.join(FX.tagged(spark, sf), "name", "left")
+    _, bad = A.quarantine(A.parse_sidecars(side))
+    WR.write_quarantine(bad.select("name", "outcome"), out)
+    return spark.read.schema("name string, outcome string").parquet(out)
+
+
 GLOBAL_BUDGET = 100000
 
 
-@query("request_batches_single", f"""WITH RECURSIVE items AS (
-  SELECT lang || '/' || source || '/d' || doc_id || '.jpg' AS path,
-         (4 * ((strlen(text) + 2) // 3))::BIGINT AS size FROM documents),
-pos AS (SELECT *, row_number() OVER (ORDER BY path) - 1 AS p FROM items),
-walk AS (
-  SELECT p, 0::BIGINT AS batch, size AS fill, size <= {GLOBAL_BUDGET} AS alive FROM pos WHERE p = 0
-  UNION ALL
-  SELECT n.p,
-         CASE WHEN w.fill + n.size <= {GLOBAL_BUDGET} THEN w.batch ELSE w.batch + 1 END,
-         CASE WHEN w.fill + n.size <= {GLOBAL_BUDGET} THEN w.fill + n.size ELSE n.size END,
-         (w.fill + n.size <= {GLOBAL_BUDGET}) OR (n.size <= {GLOBAL_BUDGET} AND w.batch + 1 < 200)
-  FROM walk w JOIN pos n ON n.p = w.p + 1
-  WHERE w.alive)
-SELECT i.path, i.size, CASE WHEN w.alive THEN w.batch END AS batch
-FROM pos i LEFT JOIN walk w USING (p)""")
+@query("request_batches_single", _pack_sql(GLOBAL_BUDGET, PK.K.MAX_BATCHES, one=True) + "SELECT path, size, batch, reason FROM packed")
 def q_request_batches_single(spark, sf):
-    """O-40 in the original's form: one listing, no shards, at most 200 batches."""
-    from ..functions import text as T
-
-    it = FX.items(spark, sf).select("path", T.b64_size("length").alias("size"))
-    return PK.pack_batches(it, ["path"], "size", budget=GLOBAL_BUDGET, max_batches=PK.K.MAX_BATCHES).drop("reason")
+    """O-40 for parity with the original's form: one listing, no shards, its limit of 200 batches."""
+    items = _request_items(spark, sf).drop("shard")
+    return PK.pack_batches(items, ["path"], "size", budget=GLOBAL_BUDGET, max_batches=PK.K.MAX_BATCHES)
 
 
 # ====================================================================== streams

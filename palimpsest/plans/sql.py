@@ -263,7 +263,7 @@ def label_mask_ids(dialog: str, system: str, max_len: int) -> tuple[str, str]:
     per = f"list_transform({dialog}, lambda x: {{'f': x['from'], 'ids': {token_ids(words(signal_sentence('x')))}}})"
     closing = token_ids(words("'### '"))
     ids = f"list_concat(list_concat({head}, flatten(list_transform({per}, lambda p: p['ids']))), {closing})"
-    masked = (f"list_transform({per}, lambda p: CASE WHEN lower(p['f']) = 'human' THEN "
+    masked = (f"list_transform({per}, lambda p: CASE WHEN p['f'] = 'human' THEN "
               f"list_concat(p['ids'][1:2], {repeat_list('-100', 'len(p[' + chr(39) + 'ids' + chr(39) + ']) - 2')}) "
               f"ELSE p['ids'] END)")
     labels = f"list_concat(list_concat({repeat_list('-100', 'len(' + head + ')')}, flatten({masked})), {closing})"
@@ -280,3 +280,13 @@ def template_prompt(dialog: str, system: str) -> str:
 
 def template_tokens(x: str) -> str:
     return words(f"replace({x}, '</s>', ' </s> ')")
+
+
+def rounds_prompt(dialog: str, system: str) -> str:
+    return (f"('<|im_start|>system' || {NL} || coalesce({system}, {q(SFT_DEFAULT_SYSTEM)}) || '<|im_end|>' || array_to_string(list_transform({dialog}, "
+            f"lambda x: CASE x['from'] WHEN 'human' THEN '<|im_start|>user' ELSE '<|im_start|>assistant' END || {NL} || "
+            "CASE WHEN x['value'] IS NULL OR x['value'] = '' THEN '' ELSE x['value'] || '<|im_end|>' END), ''))")
+
+
+def rounds_tokens(x: str) -> str:
+    return words(f"replace({x}, '<|im_end|>', ' <|im_end|> ')")
