@@ -13,7 +13,10 @@ import functools
 import inspect
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,21 +39,24 @@ def _loaded(factory: GeneratorFactory, arm: str) -> Generator | Exception:
         return e
 
 
-def _run_parts(factory: GeneratorFactory, key: str, arm: str):
-    """Each row brings a document's parts; one call for all parts of a batch, regrouped by row."""
+def _run_parts(factory: GeneratorFactory, arm: str):
+    """Each row brings a document's parts; one call for all parts of an Arrow batch, as one flat
+    series, and its outputs back in the same rows."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            sizes = pdf["_parts"].map(len)
-            flat = pd.Series([x for parts in pdf["_parts"] for x in parts], dtype=object)
-            number = pd.Series([i for n in sizes for i in range(n)])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = batch.column(1)
+            sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(sizes)
+            flat = parts.flatten().to_pandas()
+            number = pd.Series(np.arange(len(flat)) - np.repeat(ends - sizes, sizes))
             model = _loaded(factory, arm)
             if isinstance(model, Exception):
                 raise model
             given = model(flat, number) if "part" in inspect.signature(model).parameters else model(flat)
-            ends = sizes.cumsum().tolist()
-            out = given.tolist()
-            yield pd.DataFrame({key: pdf[key], "_outputs": [out[b - n:b] for b, n in zip(ends, sizes)]})
+            texts = pa.array(given.tolist(), pa.string())
+            outputs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), texts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), outputs], names=[batch.schema.names[0], "_outputs"])
 
     return run
 
@@ -196,21 +202,29 @@ def reassemble_parts(parts: DataFrame, key: str, text: str = "part_output", note
                       F.array_join(F.transform("_ps", lambda x: x["n"]), " | ").alias("notes"))
 
 
+def _spread(source: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` over all cores where their source (a small file, say) is read by fewer tasks."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if source.rdd.getNumPartitions() < cores else rows
+
+
 def correct_long_text(df: DataFrame, key: str, text_col: str, factory: GeneratorFactory, arm: str = "long",
                       max_tokens: int = 1024) -> DataFrame:
     """O-82: split (O-43) -> generate per part -> notes (O-65) -> reassemble (O-37).
 
     A document's parts stay in its row: they are cut, generated (all parts of an Arrow batch
-    in one call) and joined again in one task, without a shuffle. A generator with a
-    parameter ``part`` also gets the part numbers.
+    in one call) and joined again in one task, without a shuffle; only rows read by fewer
+    tasks than there are cores are dealt out first. A generator with a parameter ``part``
+    also gets the part numbers.
     """
-    toks = df.select(key, text_col, T.words(text_col).alias("_toks"))
+    # null texts go here: a filter on the parts would be pushed down and cut every text again
+    toks = df.filter(F.col(text_col).isNotNull()).select(key, text_col, T.words(text_col).alias("_toks"))
     n = F.size("_toks")
     cut = F.transform(F.sequence(F.lit(0), F.ceil(n / F.lit(max_tokens)).cast("int") - 1),
                       lambda i: F.array_join(F.slice("_toks", i * max_tokens + 1, max_tokens), " "))
-    rows = toks.select(key, F.when(n <= max_tokens, F.array(F.coalesce(text_col, F.lit("")))).otherwise(cut).alias("_parts"))
+    rows = toks.select(key, F.when(n <= max_tokens, F.array(F.col(text_col))).otherwise(cut).alias("_parts"))
     schema = f"{key} {dict(df.dtypes)[key]}, _outputs array<string>"
-    gen = rows.filter(F.col("_parts").isNotNull()).mapInPandas(_run_parts(factory, key, arm), schema)
+    gen = _spread(df, rows).mapInArrow(_run_parts(factory, arm), schema)
     notes = F.transform("_outputs", lambda x: F.when(T.pystrip(x) == "", F.lit(K.NOTE_EMPTY)).otherwise(F.lit(K.NOTE_VALID)))
     return gen.select(key, F.size("_outputs").cast("long").alias("n_parts"),
                       F.array_join(F.transform("_outputs", lambda x: F.coalesce(x, F.lit(""))), " ").alias("model_corrected"),

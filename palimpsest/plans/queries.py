@@ -920,7 +920,7 @@ def q_conversation_files(spark, sf):
                                keep=["arm"])
     out = scratch_dir(spark, "conversations")
     WR.write_conversations(docs, out)
-    back = RD.scan_conversation_lines(spark, out)
+    back = RD.scan_conversation_lines(spark, out, arm="arm")
     return back.select("arm", "id", F.get("conversations", 0)["value"].alias("question"),
                        F.get("conversations", 1)["value"].alias("answer"))
 
@@ -1131,7 +1131,7 @@ def q_result_stream(spark, sf):
                       "sidecar_path")
 
 
-LEDGER_FILES = 5
+LEDGER_SLICES, LEDGER_FILES = 5, 4
 
 
 @query("ledger_stream", f"""
@@ -1153,15 +1153,15 @@ def q_ledger_stream(spark, sf):
     each batch's outcome is emitted once when it ends (pending batches stay in state)."""
     base = scratch_dir(spark, "ledger_stream")
     polls = FX.status_events(spark, sf).select("batch_id", "ts", "event_id", "status")
-    # polls in order of time over several files, one file a trigger: a batch's polls are spread
-    # over micro-batches, and some come after its end
+    # polls in order of time, a slice of several files a trigger: a batch's polls are spread over
+    # micro-batches, and some come after its end
     days = polls.select(F.to_date("ts").alias("day")).distinct().count()
-    step = max(1, -(-days // LEDGER_FILES))
+    step = max(1, -(-days // LEDGER_SLICES))
     first = polls.agg(F.min(F.to_date("ts"))).first()[0]
     part = F.floor(F.datediff(F.to_date("ts"), F.lit(first)) / step)
-    for k in range(LEDGER_FILES):
-        (polls.filter(part == k if k < LEDGER_FILES - 1 else part >= k).coalesce(1).write.mode("append").parquet(f"{base}/polls"))
-    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/polls")
+    for k in range(LEDGER_SLICES):
+        (polls.filter(part == k if k < LEDGER_SLICES - 1 else part >= k).repartition(LEDGER_FILES).write.mode("append").parquet(f"{base}/polls"))
+    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", LEDGER_FILES).parquet(f"{base}/polls")
     out = STR.batch_ledger_stream(stream, retry_limit=LEDGER_RETRY)
     q = (out.writeStream.format("parquet").option("path", f"{base}/out")
          .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start())

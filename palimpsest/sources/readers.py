@@ -96,9 +96,11 @@ def scan_conversation_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).schema(CONVERSATION_SCHEMA).json(path)
 
 
-def scan_conversation_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Conversation documents written one per line (the sink's format)."""
-    return spark.read.schema(CONVERSATION_SCHEMA).json(path)
+def scan_conversation_lines(spark: SparkSession, path: str, arm: str | None = None) -> DataFrame:
+    """Conversation documents written one per line (the sink's format); ``arm`` names the column
+    of the folders, which is there also if no arm was written."""
+    schema = CONVERSATION_SCHEMA if arm is None else T.StructType([*CONVERSATION_SCHEMA.fields, T.StructField(arm, T.StringType())])
+    return spark.read.schema(schema).json(path)
 
 
 def scan_splits(spark: SparkSession, base: str, split: str | None = None, arm: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ line of a key (O-46) wins over all epochs, so stream and batch give the same ans
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import pandas as pd
@@ -129,8 +130,9 @@ def _ledger_fn(retry_limit: int, terminal: tuple[str, ...], forget_after_ms: int
             return
         attempts, polls, ended = state.get if state.exists else (0, 0, False)
         if not ended:
-            waiting = sorted((ts, event, status) for pdf in pdfs for ts, event, status in zip(pdf["ts"], pdf["event_id"], pdf["status"]))
-            for _, _, status in waiting:
+            # a batch ends at its first terminal poll or one after the limit: no later one can matter
+            arriving = ((ts, event, status) for pdf in pdfs for ts, event, status in zip(pdf["ts"], pdf["event_id"], pdf["status"]))
+            for _, _, status in heapq.nsmallest(retry_limit - attempts + 1, arriving):
                 polls += 1
                 outcome = status if status in terminal else "given_up" if attempts >= retry_limit else None
                 if outcome:

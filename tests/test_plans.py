@@ -26,7 +26,7 @@ def test_no_row_python_udfs(plans):
 
 
 def test_python_only_where_a_generator_runs(plans):
-    with_python = {n for n, p in plans.items() if "MapInPandas" in p or "FlatMapGroupsInPandas" in p}
+    with_python = {n for n, p in plans.items() if "MapInPandas" in p or "MapInArrow" in p or "FlatMapGroupsInPandas" in p}
     assert with_python <= {"arm_outputs", "arms_wide", "blank_by_arm", "long_text_corrected", "fetch_manifest", "fetch_again",
                            "transcribe", "image_arms", "image_arms_wide", "request_batches", "request_batches_tight", "request_batches_original",
                            "request_batches_single", "request_files"}
