@@ -2,25 +2,31 @@
 
 Training counts, over all labelled rows, how often each word occurs in each language (lower
 case, runs of letters). A language's models are the relative frequencies of its words and of
-the character n-grams of its words (a blank at each end), for n from ``max_n`` down to 1;
-they are cut to the ``size`` most frequent words and n-grams of each length per language,
-the documented bound of what is sent to the tasks.
+the character n-grams of its words (a blank at each end), for n from ``max_n`` down to 1.
+All of them count: the models are tables, however many words and languages there are.
 
-A word of a text scores, for each language, -log10 of its frequency there, ``penalty``
-where the language lacks it. If no language knows the word, the same is done with its
+A word of a text scores, for each language, -log10 of its frequency there, ``PENALTY`` at
+most and where the language lacks it. If no language knows the word, the same is done with its
 n-grams of the longest length that any language knows, averaged over them. A text's score
-in a language is the mean over its words; the smallest wins.
+in a language is the mean over its words; the smallest wins. Sums are of what a language saves
+against ``PENALTY``, so that only the languages that know a word have a row.
 
-Defined results: null texts and texts without a letter are ``und`` with score 0; ties go to
-the language that sorts first; rows without label or with null text teach nothing; without
-any labelled row all texts are ``und``; an empty table gives no rows; other columns are
-ignored. ``score`` is the share of the winner when the word scores' sum is read as odds
-(1 / number of languages to 1)."""
+The most frequent words, ``FREQUENT`` (word, language) counts at most, go to the tasks and
+score there; a text's other words are joined with the tables, each different word once. Where
+one frequency has more words than that, fewer go to the tasks and more are joined: the bound moves
+work, not results. Texts are known by their md5, so that copies are scored once.
+
+Defined results: null texts and texts without a letter are ``und`` with score 0; ties (sums
+equal to nine decimals) go to the language that sorts first; rows without label or with null
+text teach nothing; without any labelled row with a letter all texts are ``und``; an empty
+table gives no rows; other columns are ignored. ``score`` is the share of the winner when the word
+scores' sum is read as odds (1 / number of languages to 1)."""
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
@@ -31,10 +37,12 @@ from pyspark.sql.window import Window
 
 from .common import numbered, place_of, plain_columns, steps, stored
 
-#: Words and n-grams kept per language and length; longest n-gram; most languages learned.
-SIZE, MAX_N, MAX_LANGS = 30_000, 6, 500
+#: Longest n-gram; most (word, language) counts that are sent to the tasks.
+MAX_N, FREQUENT = 6, 200_000
 #: Score of a word or n-gram that a language lacks; different words held by a task before they go on.
 PENALTY, HELD_WORDS = 7.0, 400_000
+#: Rows of a table that is broadcast whole; a larger one is joined by shuffling. Sums held at once by a task.
+SMALL, HELD_SUMS = 10_000, 4_000_000
 #: Longest word looked at whole; longer runs of letters are taken in pieces of this length.
 MAX_WORD = 64
 
@@ -111,110 +119,144 @@ def gram_counts(counts: DataFrame, max_n: int) -> DataFrame:
             .groupBy("lang", "k", "key").agg(F.sum("n").alias("n")))
 
 
+@dataclass
 class Model:
-    """Languages in order, and for n = 0 (words), 1 .. max_n: {key: row} and scores[row, language]."""
-
-    def __init__(self, langs: list[str], tables: dict[int, tuple[list[str], np.ndarray]], max_n: int):
-        self.langs, self.max_n = langs, max_n
-        self.index = {n: dict(zip(keys, range(len(keys)))) for n, (keys, _) in tables.items()}
-        self.scores = {n: s for n, (_, s) in tables.items()}
-
-    def unseen(self, words: list[str]) -> np.ndarray:
-        """Scores (words, languages) of words that no language knows: the mean over their
-        n-grams of the longest length that any language knows."""
-        out = np.full((len(words), len(self.langs)), PENALTY, np.float32)
-        left = range(len(words))
-        padded = [f" {w} " for w in words]
-        for n in range(self.max_n, 0, -1):
-            index = self.index.get(n)
-            if not index:
-                continue
-            rows, starts, whose, still = [], [], [], []
-            for i in left:
-                p = padded[i]
-                found = [r for r in [index.get(p[j:j + n]) for j in range(len(p) - n + 1)] if r is not None]
-                if found:
-                    starts.append(len(rows))
-                    rows += found
-                    whose.append(i)
-                else:
-                    still.append(i)
-            if whose:
-                sums = np.add.reduceat(self.scores[n][rows], starts, axis=0)
-                out[whose] = sums / np.diff([*starts, len(rows)])[:, None]
-            left = still
-        return out
-
-
-def train(docs: DataFrame, size: int = SIZE, max_n: int = MAX_N) -> Model:
-    """The models of all labelled rows. What comes to the driver is at most
-    ``size`` x (1 + max_n) rows for each of at most ``MAX_LANGS`` languages."""
-    counts = stored(word_counts(docs), "words")
-    every = (counts.select("lang", F.lit(0).alias("k"), F.col("word").alias("key"), "n")
-             .union(gram_counts(counts, max_n).select("lang", "k", "key", "n")))
-    every = stored(every, "grams")
-    total = every.groupBy("lang", "k").agg(F.sum("n").alias("total"))
-    if total.select("lang").distinct().count() > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    # the size-th largest count of each model, from a histogram of counts: no group is ranked whole in one task
-    steps_of = F.when(F.col("n") < 1024, F.col("n")).otherwise(1024 + F.floor(64 * F.log2(F.col("n") / 1024)))
-    hist = every.withColumn("b", steps_of.cast("long")).groupBy("lang", "k", "b").agg(F.count("*").alias("c"))
-    above = Window.partitionBy("lang", "k").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, 0)
-    cut = (hist.withColumn("upto", F.sum("c").over(above)).where(F.col("upto") <= size)
-           .groupBy("lang", "k").agg(F.min("b").alias("least")))
-    kept = (every.withColumn("b", steps_of.cast("long")).join(F.broadcast(cut), ["lang", "k"], "left")
-            .where("b >= coalesce(least, 1)").where("least is not null or b >= 1")
-            .join(F.broadcast(total), ["lang", "k"])
-            .select("lang", "k", "key", (-F.log10(F.col("n") / F.col("total"))).alias("score")))
-    rows = kept.toArrow().to_pandas()
-    langs = sorted(rows["lang"].unique())
-    at = {x: i for i, x in enumerate(langs)}
-    tables = {}
-    for k, part in rows.groupby("k"):
-        keys = sorted(part["key"].unique())
-        place = dict(zip(keys, range(len(keys))))
-        scores = np.full((len(keys), len(langs)), PENALTY, np.float32)
-        scores[part["key"].map(place).to_numpy(), part["lang"].map(at).to_numpy()] = np.minimum(part["score"].to_numpy(), PENALTY)
-        tables[int(k)] = (keys, scores)
-    return Model(langs, tables, max_n)
+    """words (key, n, langs), grams (k, key, langs), totals (lang, k, total), where langs holds
+    (lang, n); the number of languages and the first of them; the least n of a word that goes to
+    the tasks (None: no word does); the longest n-gram."""
 
+    words: DataFrame
+    grams: DataFrame
+    totals: DataFrame
+    languages: int
+    first: str | None
+    least: int | None
+    max_n: int
+
+    def saved(self, rows: DataFrame) -> DataFrame:
+        """(lang, k, n, ..) with one more column: what the language saves against ``PENALTY``."""
+        totals = F.broadcast(self.totals) if self.languages * (self.max_n + 1) <= SMALL else self.totals
+        return rows.join(totals, ["lang", "k"]).withColumn("saved", F.greatest(F.lit(0.0), F.log10(F.col("n") / F.col("total")) + PENALTY))
+
+    def frequent(self) -> DataFrame:
+        """(key, lang, saved) of the words that go to the tasks."""
+        words = self.words.where(F.col("n") >= self.least) if self.least is not None else self.words.limit(0)
+        return self.saved(words.select("key", F.lit(0).alias("k"), F.inline("langs"))).select("key", "lang", "saved")
 
-def predict(docs: DataFrame, model: Model, *keep: str, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """Each row's ``keep`` columns with two more, named by ``out``, from the whole text."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # bounded by SIZE and MAX_LANGS
-    kept = numbered(docs).select(*[F.col(place_of(docs, c)) for c in keep], F.col(place_of(docs, "text")).alias("text"))
-    at = n = len(keep)
-    schema = ", ".join(f"`{c}` {f.dataType.simpleString()}" for c, f in zip(keep, kept.schema.fields))
+
+def train(docs: DataFrame, max_n: int = MAX_N, frequent: int = FREQUENT) -> Model:
+    """The models of all labelled rows, as tables; ``frequent`` (word, language) counts at most
+    are sent to the tasks by ``predict``."""
+    counts = stored(word_counts(docs), "counts")
+    langs = F.collect_list(F.struct("lang", "n")).alias("langs")  # one entry a language
+    words = stored(counts.groupBy(F.col("word").alias("key")).agg(F.sum("n").alias("n"), langs), "words")
+    spread = counts.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
+    grams = stored(gram_counts(spread, max_n).groupBy("k", "key").agg(langs), "grams")
+    # a word of m characters between blanks has m + 3 - k n-grams of length k
+    sizes = counts.groupBy("lang", F.char_length("word").alias("m")).agg(F.sum("n").alias("n"))
+    totals = stored(sizes.select("lang", F.explode(F.sequence(F.lit(0), F.lit(max_n))).alias("k"), "m", "n")
+                    .groupBy("lang", "k").agg(F.sum(F.expr("if(k = 0, n, n * greatest(m + 3 - k, 0))")).alias("total")), "totals")
+    languages, first = totals.where("k = 0").agg(F.count("*"), F.min("lang")).first()
+    # the least count whose words are few enough, from a histogram of counts: nothing is ranked whole
+    bins = F.when(F.col("n") < 1024, F.col("n")).otherwise(1024 + F.floor(64 * F.log2(F.col("n") / 1024))).cast("long")
+    hist = words.groupBy(bins.alias("b")).agg(F.sum(F.size("langs")).alias("c"), F.min("n").alias("n"))
+    upto = F.sum("c").over(Window.orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, 0))  # about 3,600 bins at most
+    least = hist.withColumn("upto", upto).where(F.col("upto") <= frequent).agg(F.min("n")).first()[0]
+    return Model(words, grams, totals, languages, first, least, max_n)
+
+
+def _partial(texts: DataFrame, model: Model) -> DataFrame:
+    """(id, text) -> id, langs and their sums by frequent words, and the other words with their
+    times; one row for each id with a word."""
+    rows = model.frequent().toArrow()  # bounded by ``frequent`` rows
+    keys, langs = rows.column("key").to_pylist(), rows.column("lang").to_pylist()
+    names = sorted(set(langs))
+    number = {x: i for i, x in enumerate(names)}
+    order = sorted(range(len(keys)), key=keys.__getitem__)
+    index: dict[str, int] = {}
+    starts = []
+    for at, i in enumerate(order):
+        if keys[i] not in index:
+            index[keys[i]] = len(index)
+            starts.append(at)
+    starts = np.array([*starts, len(order)], np.int64)
+    lang_of = np.array([number[langs[i]] for i in order], np.int64)
+    saved = rows.column("saved").to_numpy()[order] if order else np.zeros(0)
+    sent = texts.sparkSession.sparkContext.broadcast((names, index, starts, lang_of, saved))
 
     def run(batches):
-        m = sent.value
-        k = len(m.langs)
-        index = dict(m.index.get(0, {}))  # words seen by this task are added, up to a bound
-        table = m.scores.get(0, np.zeros((0, k), np.float32))
-        base, room = len(index), max(50_000, min(400_000, 40_000_000 // max(k, 1)))
+        names, index, starts, lang_of, saved = sent.value
+        width = max(1, len(names))
         for part in steps(batches, limit=3_000_000):
-            words = [words_of(t) if t else [] for t in part.column(at).to_pylist()] if k else [[]] * part.num_rows
-            new = list(set().union(*words).difference(index))
-            if new:
-                index.update(zip(new, range(len(table), len(table) + len(new))))
-                table = np.vstack([table, m.unseen(new)])
-            lengths = np.array([len(w) for w in words])
-            some = np.flatnonzero(lengths)
-            langs, shares = ["und"] * part.num_rows, np.zeros(part.num_rows)
-            if len(some):
-                rows = np.fromiter(map(index.__getitem__, chain.from_iterable(words)), np.int64, int(lengths.sum()))
-                starts = (np.cumsum(lengths) - lengths)[some]
-                sums = np.add.reduceat(table[rows], starts, axis=0, dtype=np.float64)
-                best = sums.argmin(axis=1)
-                least = sums[np.arange(len(some)), best][:, None]
-                shares[some] = 1.0 / np.power(10.0, np.minimum(least - sums, 0)).sum(axis=1)
-                for i, x in zip(some.tolist(), best.tolist()):
-                    langs[i] = m.langs[x]
-            yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(langs, pa.string()), pa.array(shares)], names=[*keep, *out])
-            if len(table) > base + room:
-                for w in list(index)[base:]:
-                    del index[w]
-                table = table[:base]
-
-    return kept.mapInArrow(run, f"{schema}{', ' if schema else ''}{out[0]} string, {out[1]} double")
+            ids = part.column(0).to_pylist()
+            words = [words_of(t) for t in part.column(1).to_pylist()]
+            at = 0
+            while at < len(ids):  # texts of about ``HELD_SUMS`` sums
+                upto = min(len(ids), at + max(1, HELD_SUMS // width))
+                some = [i for i in range(at, upto) if words[i]]
+                lengths = np.array([len(words[i]) for i in some], np.int64)
+                found = np.array([index.get(w, -1) for w in chain.from_iterable(words[i] for i in some)], np.int64)
+                whose = np.repeat(np.arange(len(some)), lengths)
+                known = found >= 0
+                first = starts[found[known]]
+                many = starts[found[known] + 1] - first
+                place = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+                cell = np.repeat(whose[known], many) * width + lang_of[place]
+                sums = np.bincount(cell, saved[place], minlength=len(some) * width).reshape(len(some), width)
+                ends = np.cumsum(lengths)
+                unknown = np.flatnonzero(~known)
+                bounds = np.searchsorted(unknown, np.concatenate([[0], ends]))
+                told = []
+                for j, i in enumerate(some):
+                    rest = Counter(words[i][x - ends[j] + lengths[j]] for x in unknown[bounds[j]:bounds[j + 1]].tolist())
+                    having = np.flatnonzero(sums[j])
+                    told.append((ids[i], [names[x] for x in having.tolist()], sums[j, having].tolist(), list(rest), list(rest.values())))
+                if told:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*told), _PARTIAL)], names=["id", "langs", "sums", "words", "times"])
+                at = upto
+
+    return texts.mapInArrow(run, "id string, langs array<string>, sums array<double>, words array<string>, times array<long>")
+
+
+_PARTIAL = [pa.string(), pa.list_(pa.string()), pa.list_(pa.float64()), pa.list_(pa.string()), pa.list_(pa.int64())]
+
+
+def _word_sums(rest: DataFrame, model: Model) -> DataFrame:
+    """(word) -> word, lang, saved: of a word that some language knows its own, of any other the
+    mean over its longest known n-grams."""
+    wanted = rest.select("word").distinct()
+    known = wanted.join(model.words, F.col("word") == F.col("key"), "left")
+    own = known.where("key is not null").select("word", F.lit(0).alias("k"), F.lit(1).alias("found"), F.inline("langs"))
+    grams = known.where("key is null").select("word", F.concat(F.lit(" "), "word", F.lit(" ")).alias("p")).select("word", F.inline(F.expr(
+        f"flatten(transform(sequence(1, least({model.max_n}, char_length(p))), k -> "
+        "transform(sequence(1, char_length(p) + 1 - k), i -> named_struct('k', k, 'key', substring(p, i, k)))))")))
+    lists = (grams.join(model.grams, ["k", "key"]).repartition("word").groupBy("word", "k")
+             .agg(F.count("*").alias("found"), F.flatten(F.collect_list("langs")).alias("langs")))  # at most ``MAX_WORD`` n-grams
+    longest = lists.groupBy("word").agg(F.max_by(F.struct("k", "found", "langs"), "k").alias("m"))
+    backed = longest.select("word", "m.k", "m.found", F.inline("m.langs"))
+    return model.saved(own.union(backed)).groupBy("word", "lang").agg((F.sum("saved") / F.first("found")).alias("saved"))
+
+
+def _decided(partial: DataFrame, model: Model) -> DataFrame:
+    """(id, lang, share) of the texts that have a word."""
+    rest = partial.select("id", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("times").alias("times"))))
+    scored = rest.join(_word_sums(rest, model), "word").select("id", "lang", (F.col("times") * F.col("saved")).alias("saved"))
+    whole = partial.select("id", F.inline_outer(F.arrays_zip(F.col("langs").alias("lang"), F.col("sums").alias("saved"))))
+    sums = whole.union(scored).groupBy("id", "lang").agg(F.round(F.sum("saved"), 9).alias("saved")).where("lang is null or saved > 0")
+    best = sums.groupBy("id").agg(F.max("saved").alias("best"), F.collect_list(F.when(F.col("lang").isNotNull(), F.struct("lang", "saved"))).alias("all"))
+    best = best.withColumn("best", F.coalesce("best", F.lit(0.0)))
+    winner = F.when(F.col("best") > 0, F.expr("array_min(transform(filter(all, x -> x.saved = best), x -> x.lang))")).otherwise(F.lit(model.first))
+    odds = F.expr("aggregate(all, 0D, (a, x) -> a + pow(10D, x.saved - best))") + (F.lit(model.languages) - F.size("all")) * F.pow(F.lit(10.0), -F.col("best"))
+    return best.select("id", winner.alias("lang"), (1.0 / odds).alias("share"))
+
+
+def predict(docs: DataFrame, model: Model, *keep: str, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Each row's ``keep`` columns with two more, named by ``out``, from the whole text."""
+    kept = numbered(docs).select(*[F.col(place_of(docs, c)).alias(f"k{i}") for i, c in enumerate(keep)], F.md5(place_of(docs, "text")).alias("id"))
+    if not model.languages:
+        return kept.drop("id").withColumns({"lang": F.lit("und"), "share": F.lit(0.0)}).toDF(*keep, *out)
+    texts = plain_columns(docs, "text").where("text is not null").select(F.md5("text").alias("id"), "text")
+    partial = stored(_partial(texts, model).dropDuplicates(["id"]), "partial")
+    rows = kept.join(_decided(partial, model), "id", "left")
+    return rows.select(*kept.columns[:-1], F.coalesce("lang", F.lit("und")), F.coalesce("share", F.lit(0.0))).toDF(*keep, *out)

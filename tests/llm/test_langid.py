@@ -74,10 +74,41 @@ def test_label_source_and_id_are_no_inputs(spark):
     assert a == b
 
 
-def test_bound_keeps_the_most_frequent(spark):
-    rows = [(" ".join(["often"] * 9 + ["rare"]), "en"), ("autre autre autre", "fr")]
-    model = L.train(spark.createDataFrame(rows, "text string, lang string"), size=1, max_n=2)
-    assert set(model.index[0]) == {"often", "autre"}
+def same_as_plain(spark, train, texts, max_n, **bound):
+    model = L.train(spark.createDataFrame(train, "text string, lang string"), max_n=max_n, **bound)
+    counts = plain_model(train, max_n)
+    got = L.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, "doc_id").collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r["lang_pred"] == plain_predict(texts[r["doc_id"]], counts, max_n), texts[r["doc_id"]]
+    return model, {r["doc_id"]: r["score"] for r in got}
+
+
+@pytest.mark.parametrize("frequent", [0, 3, 60, 10**6])
+def test_the_bound_of_what_is_sent_moves_no_result(spark, frequent):
+    docs = documents(spark).where("text is not null").select("text", "lang").limit(40).collect()
+    train = [(r["text"][:400], r["lang"]) for r in docs[:25]] + [("same same counts counts", "aa"), ("same counts", "bb")]
+    texts = [r["text"][400:900] for r in docs] + ["same", "counts same", "qqq zzz", "", None, "same counts"]
+    model, scores = same_as_plain(spark, train, texts, 4, frequent=frequent)
+    assert model.frequent().count() <= frequent
+    _, all_sent = same_as_plain(spark, train, texts, 4)
+    assert scores == pytest.approx(all_sent, abs=1e-9)
+
+
+def test_all_counts_equal(spark):
+    rows = [("one two three", "en"), ("un deux trois", "fr"), ("eins zwei drei", "de")]
+    model, _ = same_as_plain(spark, rows, ["two", "deux trois", "zwei", "drei une"], 3, frequent=4)
+    assert model.least is None and model.frequent().count() == 0  # nine words of one frequency: all are joined
+
+
+def test_more_words_and_languages_than_any_list(spark):
+    rows = [(f"word{'abcdefghij'[i % 10]}{chr(0x4e00 + i)}x shared", f"l{i:04d}") for i in range(1200)]
+    rows += [(" ".join(f"{chr(0x4e00 + i)}{chr(0x4e00 + j)}" for j in range(200)), "many") for i in range(200)]
+    texts = [rows[i][0] for i in (0, 7, 600, 1199)] + [f"{chr(0x4e00 + 150)}{chr(0x4e00 + 199)}", "shared", "unseen"]
+    model = L.train(spark.createDataFrame(rows, "text string, lang string"), max_n=2, frequent=500)
+    assert model.languages == 1201
+    got = L.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, "doc_id").collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got if r["doc_id"] < 6} == {0: "l0000", 1: "l0007", 2: "l0600", 3: "l1199", 4: "many", 5: "l0000"}
 
 
 def test_odd_rows(spark):
