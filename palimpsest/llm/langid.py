@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -83,7 +84,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
         yield from flush()
 
     known = plain_columns(docs, "text", "lang").where("text is not null and lang is not null")
-    return known.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    # the tasks have counted: one exchange by word serves this count and the one by word that follows
+    return known.mapInArrow(run, "lang string, word string, n long").repartition("word").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def gram_counts(counts: DataFrame, max_n: int) -> DataFrame:
@@ -116,7 +118,7 @@ def gram_counts(counts: DataFrame, max_n: int) -> DataFrame:
         yield from flush()
 
     return (counts.select("lang", "word", "n").mapInArrow(run, "lang string, k int, key string, n long")
-            .groupBy("lang", "k", "key").agg(F.sum("n").alias("n")))
+            .repartition("k", "key").groupBy("lang", "k", "key").agg(F.sum("n").alias("n")))
 
 
 @dataclass
@@ -147,10 +149,11 @@ class Model:
 def train(docs: DataFrame, max_n: int = MAX_N, frequent: int = FREQUENT) -> Model:
     """The models of all labelled rows, as tables; ``frequent`` (word, language) counts at most
     are sent to the tasks by ``predict``."""
-    counts = stored(word_counts(docs), "counts")
     langs = F.collect_list(F.struct("lang", "n")).alias("langs")  # one entry a language
-    words = stored(counts.groupBy(F.col("word").alias("key")).agg(F.sum("n").alias("n"), langs), "words")
-    spread = counts.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
+    words = stored(word_counts(docs).groupBy("word").agg(F.sum("n").alias("n"), langs).withColumnRenamed("word", "key"), "words")
+    counts = words.select(F.col("key").alias("word"), F.inline("langs"))
+    # neighbouring words of a language share most n-grams: few are counted by two tasks
+    spread = counts.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lang", "word")
     grams = stored(gram_counts(spread, max_n).groupBy("k", "key").agg(langs), "grams")
     # a word of m characters between blanks has m + 3 - k n-grams of length k
     sizes = counts.groupBy("lang", F.char_length("word").alias("m")).agg(F.sum("n").alias("n"))
@@ -216,47 +219,51 @@ def _partial(texts: DataFrame, model: Model) -> DataFrame:
                         [pa.array(c, t) for c, t in zip(zip(*told), _PARTIAL)], names=["id", "langs", "sums", "words", "times"])
                 at = upto
 
-    return texts.mapInArrow(run, "id string, langs array<string>, sums array<double>, words array<string>, times array<long>")
+    return texts.mapInArrow(run, "id binary, langs array<string>, sums array<double>, words array<string>, times array<long>")
 
 
-_PARTIAL = [pa.string(), pa.list_(pa.string()), pa.list_(pa.float64()), pa.list_(pa.string()), pa.list_(pa.int64())]
+_PARTIAL = [pa.binary(), pa.list_(pa.string()), pa.list_(pa.float64()), pa.list_(pa.string()), pa.list_(pa.int64())]
 
 
 def _word_sums(rest: DataFrame, model: Model) -> DataFrame:
     """(word) -> word, lang, saved: of a word that some language knows its own, of any other the
     mean over its longest known n-grams."""
-    wanted = rest.select("word").distinct()
-    known = wanted.join(model.words, F.col("word") == F.col("key"), "left")
-    own = known.where("key is not null").select("word", F.lit(0).alias("k"), F.lit(1).alias("found"), F.inline("langs"))
-    grams = known.where("key is null").select("word", F.concat(F.lit(" "), "word", F.lit(" ")).alias("p")).select("word", F.inline(F.expr(
-        f"flatten(transform(sequence(1, least({model.max_n}, char_length(p))), k -> "
-        "transform(sequence(1, char_length(p) + 1 - k), i -> named_struct('k', k, 'key', substring(p, i, k)))))")))
-    lists = (grams.join(model.grams, ["k", "key"]).repartition("word").groupBy("word", "k")
-             .agg(F.count("*").alias("found"), F.flatten(F.collect_list("langs")).alias("langs")))  # at most ``MAX_WORD`` n-grams
-    longest = lists.groupBy("word").agg(F.max_by(F.struct("k", "found", "langs"), "k").alias("m"))
-    backed = longest.select("word", "m.k", "m.found", F.inline("m.langs"))
-    return model.saved(own.union(backed)).groupBy("word", "lang").agg((F.sum("saved") / F.first("found")).alias("saved"))
+    wanted = stored(rest.select("word").distinct().join(model.words, F.col("word") == F.col("key"), "left").select("word", "langs"), "wanted")
+    own = wanted.where("langs is not null").select("word", F.lit(0).alias("k"), F.lit(1).alias("found"), F.inline("langs"))
+    lists, left = [own], wanted.where("langs is null").select("word", F.concat(F.lit(" "), "word", F.lit(" ")).alias("p"))
+    for k in range(model.max_n, 0, -1):  # few words go on to the next length
+        pieces = left.select("word", "p", F.explode(F.expr(f"transform(sequence(0, greatest(char_length(p) - {k}, 0)), i -> substring(p, i + 1, {k}))")).alias("key"))
+        found = pieces.join(model.grams.where(F.col("k") == k), "key", "left")
+        level = stored(found.repartition("word").groupBy("word", "p").agg(
+            F.count("langs").alias("found"), F.flatten(F.collect_list("langs")).alias("langs")), "level")  # at most ``MAX_WORD`` + 2 n-grams
+        lists.append(level.where("found > 0").select("word", F.lit(k).alias("k"), "found", F.inline("langs")))
+        left = level.where("found = 0").select("word", "p")
+        if left.isEmpty():
+            break
+    return model.saved(reduce(DataFrame.union, lists)).groupBy("word", "lang").agg((F.sum("saved") / F.first("found")).alias("saved"))
 
 
 def _decided(partial: DataFrame, model: Model) -> DataFrame:
-    """(id, lang, share) of the texts that have a word."""
-    rest = partial.select("id", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("times").alias("times"))))
-    scored = rest.join(_word_sums(rest, model), "word").select("id", "lang", (F.col("times") * F.col("saved")).alias("saved"))
-    whole = partial.select("id", F.inline_outer(F.arrays_zip(F.col("langs").alias("lang"), F.col("sums").alias("saved"))))
-    sums = whole.union(scored).groupBy("id", "lang").agg(F.round(F.sum("saved"), 9).alias("saved")).where("lang is null or saved > 0")
-    best = sums.groupBy("id").agg(F.max("saved").alias("best"), F.collect_list(F.when(F.col("lang").isNotNull(), F.struct("lang", "saved"))).alias("all"))
+    """(no, lang, share) of the texts that have a word."""
+    rest = partial.select("no", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("times").alias("times"))))
+    scored = rest.join(_word_sums(rest, model), "word").select("no", "lang", (F.col("times") * F.col("saved")).alias("saved"))
+    whole = partial.select("no", F.inline_outer(F.arrays_zip(F.col("langs").alias("lang"), F.col("sums").alias("saved"))))
+    sums = whole.union(scored).groupBy("no", "lang").agg(F.round(F.sum("saved"), 9).alias("saved"))
+    best = sums.groupBy("no").agg(F.max("saved").alias("best"), F.collect_list(F.when(F.col("lang").isNotNull(), F.struct("lang", "saved"))).alias("all"))
     best = best.withColumn("best", F.coalesce("best", F.lit(0.0)))
     winner = F.when(F.col("best") > 0, F.expr("array_min(transform(filter(all, x -> x.saved = best), x -> x.lang))")).otherwise(F.lit(model.first))
     odds = F.expr("aggregate(all, 0D, (a, x) -> a + pow(10D, x.saved - best))") + (F.lit(model.languages) - F.size("all")) * F.pow(F.lit(10.0), -F.col("best"))
-    return best.select("id", winner.alias("lang"), (1.0 / odds).alias("share"))
+    return best.select("no", winner.alias("lang"), (1.0 / odds).alias("share"))
 
 
 def predict(docs: DataFrame, model: Model, *keep: str, out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Each row's ``keep`` columns with two more, named by ``out``, from the whole text."""
-    kept = numbered(docs).select(*[F.col(place_of(docs, c)).alias(f"k{i}") for i, c in enumerate(keep)], F.md5(place_of(docs, "text")).alias("id"))
+    kept = numbered(docs).select(*[F.col(place_of(docs, c)).alias(f"k{i}") for i, c in enumerate(keep)], F.unhex(F.md5(place_of(docs, "text"))).alias("id"))
     if not model.languages:
         return kept.drop("id").withColumns({"lang": F.lit("und"), "share": F.lit(0.0)}).toDF(*keep, *out)
-    texts = plain_columns(docs, "text").where("text is not null").select(F.md5("text").alias("id"), "text")
-    partial = stored(_partial(texts, model).dropDuplicates(["id"]), "partial")
-    rows = kept.join(_decided(partial, model), "id", "left")
+    texts = plain_columns(docs, "text").where("text is not null").select(F.unhex(F.md5("text")).alias("id"), "text")
+    # numbers are written once with the table: shorter than the texts' md5 in the shuffles that follow
+    partial = stored(_partial(texts, model).dropDuplicates(["id"]).withColumn("no", F.monotonically_increasing_id()), "partial")
+    found = partial.select("id", "no").join(_decided(partial, model), "no").drop("no")
+    rows = kept.join(found, "id", "left")
     return rows.select(*kept.columns[:-1], F.coalesce("lang", F.lit("und")), F.coalesce("share", F.lit(0.0))).toDF(*keep, *out)
