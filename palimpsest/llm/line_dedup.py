@@ -39,7 +39,10 @@ BLOCK_ROWS, PIVOTS = 2_000, 16
 REMEMBERED = 1_000_000
 #: Characters of the lines whose signatures are computed at once.
 STEP_CHARS = 200_000
+#: Links that a task holds before it tells them.
+TOLD = 10_000
 _U = np.uint64
+_WORD = np.dtype("<u8")
 _LAST = (1 << 63) - 1
 _EMPTY = _U((1 << 64) - 1)
 
@@ -166,6 +169,35 @@ def shingles(line: str, width: int = SHINGLE) -> frozenset:
     return frozenset([line[i:i + width] for i in range(max(1, len(line) - width + 1))])
 
 
+def shingle_set(line: str) -> np.ndarray | frozenset:
+    """The shingles of a line: where each character is one byte (Latin-1) a shingle is exactly one
+    64-bit number, and the set a sorted array of them; else the strings."""
+    try:
+        raw = line.encode("latin-1")
+    except UnicodeEncodeError:
+        return shingles(line)
+    if SHINGLE != _WORD.itemsize or len(raw) < SHINGLE:
+        return shingles(line)
+    words = np.sort(np.ndarray(len(raw) - SHINGLE + 1, _WORD, raw, strides=(1,)))
+    return words[np.concatenate(([True], words[1:] != words[:-1]))]
+
+
+def _as_strings(found: np.ndarray | frozenset) -> frozenset:
+    if isinstance(found, frozenset):
+        return found
+    text = found.tobytes().decode("latin-1")
+    return frozenset([text[i:i + SHINGLE] for i in range(0, len(text), SHINGLE)])
+
+
+def in_both(a: np.ndarray | frozenset, b: np.ndarray | frozenset) -> int:
+    """Size of the intersection of two results of :func:`shingle_set`."""
+    if isinstance(a, frozenset) or isinstance(b, frozenset):
+        return len(_as_strings(a) & _as_strings(b))
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")  # merges the two ascending runs
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
 class _Links:
     """Components among the lines of one task's buckets."""
 
@@ -177,14 +209,14 @@ class _Links:
             self.up[x] = x = self.up[self.up[x]]
         return x
 
-    def _set(self, lid: int, line: str) -> frozenset:
+    def _set(self, lid: int, line: str) -> np.ndarray | frozenset:
         if lid not in self.sets:
-            self.sets[lid] = shingles(line)
+            self.sets[lid] = shingle_set(line)
         return self.sets[lid]
 
-    def _alike(self, a: frozenset, b: frozenset) -> bool:
+    def _alike(self, a: np.ndarray | frozenset, b: np.ndarray | frozenset) -> bool:
         small, large = (len(a), len(b)) if len(a) < len(b) else (len(b), len(a))
-        both = len(a & b) if small >= self.least * large else 0
+        both = in_both(a, b) if small >= self.least * large else 0
         return bool(both) and both >= self.least * (small + large - both)
 
     def add(self, bucket: dict[int, str]) -> None:
@@ -220,8 +252,8 @@ class _Links:
                     self.up[other] = root
 
 
-def _told(found: _Links) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found.links], pa.int64()) for i in (0, 1)], names=["u", "v"])
+def _told(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
 
 def _verify(least: float):
@@ -229,7 +261,7 @@ def _verify(least: float):
     bucket's lines of a (least, parts, part)."""
 
     def run(batches):
-        now, bucket, held, found = None, None, {}, _Links(least)
+        now, bucket, held, found, links = None, None, {}, _Links(least), []
         for b in batches:
             for least_, parts, part, name, lid, line in zip(*(c.to_pylist() for c in b.columns)):
                 task = least_, parts, part
@@ -237,13 +269,16 @@ def _verify(least: float):
                     found.add(held)
                     held, bucket = {}, name
                 if task != now:
-                    if found.links:
-                        yield _told(found)
+                    links += found.links
+                    if len(links) >= TOLD:
+                        yield _told(links)
+                        links = []
                     now, found = task, _Links(least)
                 held[lid] = line
         found.add(held)
-        if found.links:
-            yield _told(found)
+        links += found.links
+        if links:
+            yield _told(links)
 
     return run
 
@@ -267,13 +302,13 @@ def _cross(least: float):
                 if task != now:
                     unite()
                     if found.links:
-                        yield _told(found)
+                        yield _told(found.links)
                     now, sides, found = task, ({}, {}), _Links(least)
                 found.up[root] = found.up[lid] = root
                 sides[side][lid] = line
         unite()
         if found.links:
-            yield _told(found)
+            yield _told(found.links)
 
     return run
 

@@ -154,3 +154,14 @@ def test_very_many_equal_lines_of_one_document_go_in_one_pass(spark):
     got = {r["doc_id"]: r["text"] for r in L.drop_repeated_lines(docs).collect()}
     assert got == {1: "first line of text\nanother last line", 2: "", 3: None}
     assert time.time() - start < 120
+
+
+def test_shingle_sets_in_numbers_and_strings():
+    rng = random.Random(11)
+    lines = ["abc", "abcdefgh", "a" * 40, "naïve café größer", "naïve “café” größer", "x" * 7 + "é", "\x00" * 9, "日本語のテキストです、長い"]
+    lines += ["".join(rng.choice("abé \x00ÿ" if i % 3 else "ab日 ") for _ in range(rng.randint(1, 60))) for i in range(60)]
+    for a in lines:
+        one = L.shingle_set(a)
+        assert isinstance(one, frozenset) == (len(a) < L.SHINGLE or max(map(ord, a)) > 255) and len(one) == len(L.shingles(a))
+        for b in lines:
+            assert L.in_both(one, L.shingle_set(b)) == len(L.shingles(a) & L.shingles(b))
