@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions import text as T
 from ..functions.nulls import coerce_text
+from .ordered import materialize
 
 # ----------------------------------------------------------------- O-52 / O-21 / O-34
 
@@ -128,27 +129,39 @@ def attrition_report(gold_manifest: DataFrame, silver: DataFrame, engine_sidecar
     """O-31: rows in gold, silver, merged, final, rows lost in the gold-silver merge, and
     gold keys that occur more than once (they fan out in the merge).
 
-    One aggregation over a stage-tagged union of narrow (id only) frames.
+    Each input is read once, as keys and flags: counts per key are summed in one exchange
+    and multiplied as the joins would fan out. Null keys match nothing.
     """
-    g = project_rename(gold_manifest, {"Asset": "id", "Transcription": "gold"})
-    left = join_gold_silver(g, silver).drop("_matched")
-    final = training_table(gold_manifest, silver, engine_sidecars, silver_checked=silver_checked)
-    dup = g.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    tagged = (
-        g.select(F.lit("gold").alias("stage"), F.lit(True).alias("hit"))
-        .unionByName(dup.select(F.lit("dup").alias("stage"), F.lit(True).alias("hit")))
-        .unionByName(silver.select(F.lit("silver").alias("stage"), F.lit(True).alias("hit")))
-        .unionByName(left.select(F.lit("merge").alias("stage"), F.col("silver").isNotNull().alias("hit")))
-        .unionByName(final.select(F.lit("final").alias("stage"), F.lit(True).alias("hit")))
-    )
-    st = F.col("stage")
-    return tagged.agg(
-        F.count_if(st == "gold").cast("long").alias("gold_rows"),
-        F.count_if(st == "silver").cast("long").alias("silver_rows"),
-        F.count_if((st == "merge") & F.col("hit")).cast("long").alias("merged_rows"),
-        F.count_if(st == "final").cast("long").alias("final_rows"),
-        F.count_if((st == "merge") & ~F.col("hit")).cast("long").alias("dropped_failed_merge"),
-        F.count_if(st == "dup").cast("long").alias("duplicate_gold_keys"),
+    def rows(df: DataFrame, key: Column, **flags: Column) -> DataFrame:
+        return df.select(key.alias("id"), *[c.cast("long").alias(n) for n, c in flags.items()])
+
+    yes, ocr = F.lit(True), F.col("ocr")
+    sid = F.replace(F.col("ID"), F.lit(".jpg"), F.lit(""))
+    parts = [
+        rows(gold_manifest, F.col("Asset"), g=yes, g_full=coerce_text("Transcription") != ""),
+        rows(silver, sid, s=yes, s_text=yes if silver_checked else ocr.isNotNull(),
+             s_full=yes if silver_checked else F.coalesce(ocr != "", F.lit(False))),
+        rows(sidecar_texts(engine_sidecars), F.col("id"), e_full=coerce_text("pyte") != ""),
+    ]
+    tagged = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    names = ("g", "g_full", "s", "s_text", "s_full", "e_full")
+    keyed = tagged.groupBy("id").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+    g, g_full, s, s_text, s_full, e_full = (F.col(n) for n in names)
+    known = F.col("id").isNotNull()
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+
+    def matched(c: Column) -> Column:
+        return F.when(known, c).otherwise(F.lit(0))
+
+    return keyed.agg(
+        total(g).alias("gold_rows"),
+        total(s).alias("silver_rows"),
+        total(matched(g * s_text)).alias("merged_rows"),
+        total(matched(g_full * s_full * e_full)).alias("final_rows"),
+        total(g * F.greatest(F.lit(1), matched(s)) - matched(g * s_text)).alias("dropped_failed_merge"),
+        F.count_if(g > 1).cast("long").alias("duplicate_gold_keys"),
     )
 
 
@@ -199,10 +212,11 @@ def missing_report(testing: DataFrame, k: int = 5, key: str = "id") -> DataFrame
 
     An id missing both kinds counts (and may be listed) twice. The examples come from
     a top-k (TakeOrderedAndProject), never from collecting every missing id; the count
-    row and the ``k`` example rows are combined by one aggregation (no join).
+    row and the ``k`` example rows are combined by one aggregation (no join). ``testing`` is
+    read once: its missing ids are checkpointed, and both are taken from those.
     """
-    long = (testing.filter("_miss_pyte").select(F.col(key).alias("id"), F.lit(0).alias("kind"))
-            .unionByName(testing.filter("_miss_chatgpt").select(F.col(key).alias("id"), F.lit(1).alias("kind"))))
+    kinds = F.array(F.when(F.col("_miss_pyte"), F.lit(0)), F.when(F.col("_miss_chatgpt"), F.lit(1)))
+    long = materialize(testing.select(F.col(key).alias("id"), F.explode(F.array_compact(kinds)).alias("kind")))
     counts = long.agg(F.count(F.lit(1)).cast("long").alias("missing_total"),
                       F.count_if(F.col("kind") == 0).cast("long").alias("missing_pyte"),
                       F.count_if(F.col("kind") == 1).cast("long").alias("missing_chatgpt"))
@@ -218,16 +232,16 @@ def missing_report(testing: DataFrame, k: int = 5, key: str = "id") -> DataFrame
 def blank_report(testing: DataFrame, cols: Sequence[str] = ("pyte_ocr", "chatgpt_ocr"), k: int = 5,
                  key: str = "id") -> DataFrame:
     """O-33: per column, rows that are null or ``''`` and the first ``k`` such ids
-    (one aggregation over the count row and the top-k rows of each column)."""
-    parts = None
+    (one aggregation over the count rows and the top-k rows of each column). ``testing`` is read
+    once: its blank cells are checkpointed as (column, id), all else is taken from those."""
+    blanks = F.array(*[F.when(F.col(c).isNull() | (F.col(c) == ""), F.lit(c)) for c in cols])
+    blank = materialize(testing.select(F.col(key).alias("_ex"), F.explode(F.array_compact(blanks)).alias("column")))
+    asked = testing.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
+    none = asked.select("column", F.lit(0).cast("long").alias("n_blank"), F.lit(None).cast("string").alias("_ex"))
+    parts = none.unionByName(blank.groupBy("column").agg(F.count(F.lit(1)).cast("long").alias("n_blank")), allowMissingColumns=True)
     for c in cols:
-        blank = testing.filter(F.col(c).isNull() | (F.col(c) == ""))
-        n = blank.agg(F.count(F.lit(1)).cast("long").alias("n_blank")).select(
-            F.lit(c).alias("column"), "n_blank", F.lit(None).cast("string").alias("_ex"))
-        ex = blank.select(F.col(key).alias("_ex")).orderBy("_ex").limit(k).select(
-            F.lit(c).alias("column"), F.lit(None).cast("long").alias("n_blank"), "_ex")
-        part = n.unionByName(ex)
-        parts = part if parts is None else parts.unionByName(part)
+        top = blank.filter(F.col("column") == c).orderBy("_ex").limit(k)
+        parts = parts.unionByName(top.select("column", F.lit(None).cast("long").alias("n_blank"), F.col("_ex").cast("string").alias("_ex")))
     return parts.groupBy("column").agg(F.max("n_blank").alias("n_blank"),
                                        F.array_join(F.array_sort(F.collect_list("_ex")), ",").alias("examples"))
 

@@ -19,6 +19,10 @@ the summary is taken: two independently planned range exchanges may sample diffe
 bounds for skewed input, and a checkpoint also survives lost executors. Pass narrow
 frames (keys, order, values, an id) when rows are wide.
 
+A global row number (:func:`row_number` without keys) needs no window: the rows are range
+partitioned and sorted once, a row's place in its partition is counted as the sorted rows
+pass, and a table of one row per partition holds the offsets.
+
 ``order`` must be a total order within each key (add a unique tie-breaker), as for any
 ROWS-framed window.
 """
@@ -126,10 +130,37 @@ def prefix_scan(
     return result.drop(*[c for c in drop if c in result.columns])
 
 
+#: Bits of ``monotonically_increasing_id`` that hold the row's place in its partition.
+_PLACE_BITS = 33
+
+
+def sorted_blocks(df: DataFrame, order: Sequence, blocks: int | None = None) -> DataFrame:
+    """``df`` in contiguous sorted partitions, with ``_m``: partition and place of the row in it."""
+    order = [_sort_col(o) for o in order]
+    n = blocks or default_blocks(df.sparkSession)
+    return df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_m", F.monotonically_increasing_id())
+
+
+def _global_row_number(df: DataFrame, order: Sequence, name: str, totals: bool, blocks: int | None) -> DataFrame:
+    rows = materialize(sorted_blocks(df, order, blocks)).withColumn("_blk", F.shiftright("_m", _PLACE_BITS))
+    counts = rows.groupBy("_blk").agg(F.count(F.lit(1)).alias("_n"))
+    # one row for each partition, in both windows and in the broadcast
+    before = Window.partitionBy().orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_blk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    place = F.col("_m").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    out = rows.join(F.broadcast(offsets), "_blk").withColumn(name, F.col("_off") + place + 1)
+    if totals:
+        out = out.withColumn(f"{name}_total", F.col("_all"))
+    return out.drop("_m", "_blk", "_off", "_all")
+
+
 def row_number(df: DataFrame, order: Sequence, keys: Sequence[str] = (), name: str = "rn",
                totals: bool = False, blocks: int | None = None) -> DataFrame:
     """1-based row number in ``order`` (per ``keys``), distributed; see :func:`prefix_scan`.
 
     With ``totals=True`` adds ``<name>_total``, the row count of the key.
     """
+    if not keys:
+        return _global_row_number(df, order, name, totals, blocks)
     return prefix_scan(df, keys, order, {name: ("sum", F.lit(1).cast("long"))}, totals=totals, blocks=blocks)

@@ -58,20 +58,29 @@ def scan_text_sidecars(spark: SparkSession, directory: str, suffix: str = ".txt"
                      F.col("value").alias("content"))
 
 
+def _suffix_glob(suffixes: Sequence[str], lower: bool) -> str:
+    """Path pattern of names that end in one of ``suffixes``, in any case if ``lower``."""
+    def one(c: str) -> str:
+        if lower and c.isascii() and c.isalpha():
+            return f"[{c.lower()}{c.upper()}]"
+        return "\\" + c if c in "\\*?[]{},^" else c
+
+    return "*{" + ",".join("".join(one(c) for c in s) for s in suffixes) + "}"
+
+
 def scan_listing(spark: SparkSession, directory: str, suffixes: Sequence[str] = K.VALID_IMAGE_SUFFIXES,
                  lower: bool = False, recursive: bool = False) -> DataFrame:
     """O-03: file names filtered by suffix (case-sensitive unless ``lower``).
 
     ``binaryFile`` with only ``path``/``length``/``modificationTime`` selected: Spark prunes
-    the ``content`` column, so no bytes are read.
+    the ``content`` column, so no bytes are read. Other files are left out while the folder
+    is listed; they become neither rows nor splits. No suffixes: no rows.
     """
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(directory)
+    df = (spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+          .option("pathGlobFilter", _suffix_glob(suffixes, lower)).load(directory))
     name = F.substring_index(F.col("path"), "/", -1)
-    test = F.lower(name) if lower else name
-    cond = F.lit(False)
-    for s in suffixes:
-        cond = cond | test.endswith(s.lower() if lower else s)
-    return df.select(F.col("path"), name.alias("name"), F.col("length"), F.col("modificationTime")).filter(cond)
+    out = df.select(F.col("path"), name.alias("name"), F.col("length"), F.col("modificationTime"))
+    return out if suffixes else out.filter(F.lit(False))
 
 
 def scan_images(spark: SparkSession, directory: str, suffixes: Sequence[str] = K.VALID_IMAGE_SUFFIXES) -> DataFrame:
