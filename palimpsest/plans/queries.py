@@ -1111,7 +1111,8 @@ def q_request_batches_single(spark, sf):
 
 # ====================================================================== streams
 
-from ..streaming import ingest as STR  # noqa: E402
+from ..streaming import ingest as STR
+from ..streaming import ledger as LG  # noqa: E402
 
 
 @query("result_stream", S.with_ctes(["answer_fields"], """
@@ -1134,7 +1135,7 @@ def q_result_stream(spark, sf):
 LEDGER_SLICES, LEDGER_FILES = 5, 4
 
 
-@query("ledger_stream", f"""
+_LEDGER_SQL = f"""
 WITH p AS (SELECT 'batch_' || user_id AS batch_id, ts, event_id,
                   CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed'
                                   WHEN 'signup' THEN 'expired' ELSE 'in_progress' END AS status FROM events),
@@ -1147,7 +1148,10 @@ e AS (SELECT batch_id, arg_min(status, (ts, event_id)) AS st, arg_min(nt, (ts, e
       FROM s WHERE term OR nt > {LEDGER_RETRY} GROUP BY batch_id)
 SELECT batch_id, CASE WHEN gave_up THEN 'given_up' ELSE st END AS outcome,
        (CASE WHEN gave_up THEN {LEDGER_RETRY} ELSE nt END)::BIGINT AS attempts, rn::BIGINT AS polls FROM e
-""")
+"""
+
+
+@query("ledger_stream", _LEDGER_SQL)
 def q_ledger_stream(spark, sf):
     """O-79 (stream): polls read as a stream, per-batch state with applyInPandasWithState;
     each batch's outcome is emitted once when it ends (pending batches stay in state)."""
@@ -1169,6 +1173,30 @@ def q_ledger_stream(spark, sf):
     return spark.read.parquet(f"{base}/out").select("batch_id", "outcome", "attempts", "polls")
 
 
+@query("ledger_stream_late", _LEDGER_SQL)
+def q_ledger_stream_late(spark, sf):
+    """O-79 (stream): polls that arrive up to two days late and out of order, applied in the order of
+    their time by timers behind the watermark; a closing poll moves the watermark past the last one."""
+    base = scratch_dir(spark, "ledger_stream_late")
+    polls = FX.status_events(spark, sf).select("batch_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "status")
+    arrival = F.date_add(F.to_date("ts"), F.expr("cast(pmod(xxhash64(event_id), 3) as int)"))
+    first, last, end = polls.agg(F.min(F.to_date("ts")), F.max(arrival), F.max("ts")).first()
+    step = max(1, -(-((last - first).days + 1) // LEDGER_SLICES)) if first else 1
+    part = F.floor(F.datediff(arrival, F.lit(first)) / step)
+    closing = spark.range(1).select(F.lit("closing").alias("batch_id"), (F.lit(end) + F.expr("interval 10 days")).cast("timestamp").alias("ts"),
+                                    F.lit(-1).cast("long").alias("event_id"), F.lit("in_progress").alias("status"))
+    for k in range(LEDGER_SLICES):
+        polls.filter(part == k).repartition(LEDGER_FILES).write.mode("append").parquet(f"{base}/polls")
+    closing.write.mode("append").parquet(f"{base}/polls")
+    stream = spark.readStream.schema(polls.schema).option("maxFilesPerTrigger", LEDGER_FILES).parquet(f"{base}/polls")
+    out = LG.batch_ledger_in_time(stream, "4 days", retry_limit=LEDGER_RETRY)
+    with LG.timers_store(spark):
+        q = (out.writeStream.format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{base}/out").select("batch_id", "outcome", "attempts", "polls")
+
+
 # ====================================================================== sidecar folders and listings
 
 
