@@ -776,7 +776,7 @@ SELECT id, CASE WHEN len({S.words('text')}) >= 3 THEN translate(text, 'ilo', '11
 FROM todo""")
 def q_transcribe(spark, sf):
     """O-81: engine over images without an engine sidecar yet (errors captured)."""
-    listing = RD.scan_listing(spark, _image_folder(spark, sf)).select(
+    listing = RD.scan_listing(spark, _image_folder(spark, sf), recursive=True).select(
         F.regexp_extract("name", r"^(d[0-9]+)\.jpg$", 1).alias("id"), "path")
     done = A.sidecar_texts(FX.engine(spark, sf))
     return RQ.transcribe_paths(listing, done, ST.stub_engine_factory)
@@ -1201,7 +1201,16 @@ def q_ledger_stream_late(spark, sf):
 
 
 def _image_folder(spark, sf) -> str:
-    """A folder of image files (the document bytes), tagged sidecars and engine sidecars."""
+#: Folders that files are dealt over: tasks that make files in one folder wait for each other.
+FOLDERS = 256
+
+
+def _folder_of(key):
+    return F.format_string("%03d", F.pmod(F.crc32(key), F.lit(FOLDERS)))
+
+
+    """A folder of image files (the document bytes), tagged sidecars and engine sidecars, all
+    files of a document side by side in one of its folders."""
     base = scratch_dir(spark, "images")
     d = spark.read.parquet(f"{sf}/documents.parquet")
     images = d.select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".jpg")).alias("path"),
@@ -1210,7 +1219,8 @@ def _image_folder(spark, sf) -> str:
                                                            F.encode("content", "UTF-8").alias("content")))
     files = files.unionByName(FX.engine(spark, sf).select(F.col("name").alias("path"),
                                                           F.encode("content", "UTF-8").alias("content")))
-    WR.write_files(files, base).write.format("noop").mode("overwrite").save()
+    dealt = files.withColumn("path", F.concat(_folder_of(F.substring_index("path", ".", 1)), F.lit("/"), "path"))
+    WR.write_files(dealt, base).write.format("noop").mode("overwrite").save()
     return base
 
 
@@ -1219,7 +1229,7 @@ def q_sidecar_files(spark, sf):
     """O-14 files, then O-02: tagged sidecars written one file per key next to the images,
     read back whole from the folder (``*.txt``) and cleaned into the silver table."""
     folder = _image_folder(spark, sf)
-    return A.clean_silver(RD.scan_text_sidecars(spark, folder, ".txt"))
+    return A.clean_silver(RD.scan_text_sidecars(spark, folder, ".txt", recursive=True))
 
 
 @query("image_listing", """
@@ -1228,7 +1238,7 @@ def q_image_listing(spark, sf):
     """O-03: image files of a mixed folder (images and both sidecar kinds) by suffix,
     metadata only (``content`` is pruned from the binaryFile scan)."""
     folder = _image_folder(spark, sf)
-    return RD.scan_listing(spark, folder).select("name", "length")
+    return RD.scan_listing(spark, folder, recursive=True).select("name", "length")
 
 
 # ====================================================================== image arms and the guard inside generation

@@ -37,12 +37,19 @@ def read_bytes(path: str) -> bytes:
 
 
 def write_bytes(path: str, data: bytes) -> None:
-    """Write one file (parents created), through the same filesystem layer as ``read_bytes``."""
+    """Write one file (parents created), through the same filesystem layer as ``read_bytes``.
+    Parents are looked at only if the file cannot be opened: tasks that fill one folder would
+    wait for each other there at every file."""
     fs, target = _place(path)
-    parent = target.rsplit("/", 1)[0]
-    if parent:
+    try:
+        out = fs.open_output_stream(target)
+    except OSError:
+        parent = target.rsplit("/", 1)[0]
+        if not parent:
+            raise
         fs.create_dir(parent, recursive=True)
-    with fs.open_output_stream(target) as f:
+        out = fs.open_output_stream(target)
+    with out as f:
         f.write(data)
 
 

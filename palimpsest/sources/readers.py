@@ -46,6 +46,17 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, null_to
     return df
 
 
+#: Spark's splits of many small files that one task takes: of names and sizes only, of whole texts.
+SPLITS_LISTED, SPLITS_READ = 250, 16
+
+
+def _fewer_tasks(files: DataFrame, splits: int) -> DataFrame:
+    """``files`` by a task for ``splits`` of its splits, but all cores. Spark counts every file as
+    some megabytes more than it has, so that a folder of small files is a task for every few files."""
+    n = files.rdd.getNumPartitions()
+    return files.coalesce(max(-(-n // splits), 4 * files.sparkSession.sparkContext.defaultParallelism))
+
+
 def scan_text_sidecars(spark: SparkSession, directory: str, suffix: str = ".txt", recursive: bool = False) -> DataFrame:
     """O-02: one row per file ending in ``suffix``: ``(name, path, content)``.
 
@@ -80,7 +91,7 @@ def scan_listing(spark: SparkSession, directory: str, suffixes: Sequence[str] =
           .option("pathGlobFilter", _suffix_glob(suffixes, lower)).load(directory))
     name = F.substring_index(F.col("path"), "/", -1)
     out = df.select(F.col("path"), name.alias("name"), F.col("length"), F.col("modificationTime"))
-    return out if suffixes else out.filter(F.lit(False))
+    return _fewer_tasks(out, SPLITS_LISTED) if suffixes else out.filter(F.lit(False))
 
 
 def scan_images(spark: SparkSession, directory: str, suffixes: Sequence[str] = K.VALID_IMAGE_SUFFIXES) -> DataFrame:

@@ -84,3 +84,55 @@ def test_listing_by_pattern(spark, scratch):
 
     assert names(".jpg", ".png") == ["a.jpg", "c.png"] and names(".jpg", lower=True) == ["a.jpg", "b.JpG"]
     assert names(".p[n]g") == ["d.p[n]g"] and names(".gif") == [] and names() == []
+
+
+def test_small_files_are_few_tasks(spark, scratch):
+    for k in range(400):
+        os.makedirs(os.path.join(scratch, "many", str(k % 40)), exist_ok=True)
+        for suffix in (".jpg", ".jpg.txt"):
+            with open(os.path.join(scratch, "many", str(k % 40), f"{k}{suffix}"), "w") as f:
+                f.write(f"text {k}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # a split for each file
+    try:
+        listed = RD.scan_listing(spark, os.path.join(scratch, "many"), recursive=True)
+        texts = RD.scan_text_sidecars(spark, os.path.join(scratch, "many"), recursive=True)
+        most = 4 * spark.sparkContext.defaultParallelism
+        assert all(df.rdd.getNumPartitions() <= most < 400 for df in (listed, texts))
+        assert {(r["name"], r["length"]) for r in listed.collect()} == {(f"{k}.jpg", len(f"text {k}")) for k in range(400)}
+        assert sorted(r["content"] for r in texts.collect()) == sorted(f"text {k}" for k in range(400))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_folders_are_made_once(monkeypatch):
+    import io
+
+    from palimpsest.sources import files
+
+    class Store:
+        made, there = [], set()
+
+        def create_dir(self, path, recursive):
+            self.made.append(path)
+            self.there.add(path)
+
+        def open_output_stream(self, path):
+            if path.rsplit("/", 1)[0] not in self.there:
+                raise FileNotFoundError(path)
+            return io.BytesIO()
+
+    store = Store()
+    monkeypatch.setattr(files, "_place", lambda path: (store, path))
+    for k in range(10):
+        files.write_bytes(f"/a/b/{k}", b"x")
+    assert store.made == ["/a/b"]
+
+
+def test_pending_images_are_dealt_out(spark, scratch):
+    from palimpsest.operators import requests as RQ
+    from palimpsest.plans import stubs
+
+    listing = spark.createDataFrame([(f"i{k}", os.path.join(scratch, f"i{k}")) for k in range(200)], "id string, path string")
+    done = spark.createDataFrame([("i0",)], "id string")
+    found = RQ.transcribe_paths(listing, done, stubs.stub_engine_factory, reader=lambda path: b"one two three")
+    assert found.rdd.getNumPartitions() >= 8 and found.count() == 199
