@@ -1,7 +1,7 @@
 """Arms over text and image, run in rounds with the no-op guard inside (O-41, O-64, O-65, O-80).
 
 A generator of an image arm takes two inputs: ``model(prompts, images)``, both pandas series.
-Rows carry paths; the task that generates reads the bytes, a few rows at a time, once for all
+Rows carry paths; the task that generates reads the bytes, some megabytes at a time, once for all
 arms of the row. An image that is not there has a status of its own (``no_image``).
 
 :func:`run_guarded` numbers the rows in order and cuts them into rounds of growing size. The
@@ -35,8 +35,8 @@ from ..functions import text as T
 from .generate import GeneratorFactory, _loaded
 from .ordered import row_number
 
-#: Rows whose images a task holds at once, and rows of the first round.
-ROWS_AT_ONCE, FIRST_ROUND = 32, 1024
+#: Rows that a task holds at once, bytes of images and prompts after which it takes no more, and rows of the first round.
+ROWS_AT_ONCE, BYTES_AT_ONCE, FIRST_ROUND = 1024, 16_000_000, 1024
 LOAD_ERROR = "load_error: "
 
 
@@ -49,16 +49,24 @@ def _read(reader: Callable[[str], bytes], path) -> bytes | None:
         return None
 
 
+def _stretches(whole: pd.DataFrame, reader, rows_at_once: int) -> Iterator[tuple[pd.DataFrame, pd.Series | None]]:
+    """Rows in turn, with their images, until they are ``rows_at_once`` or hold ``BYTES_AT_ONCE``."""
+    start, images, held = 0, [], 0
+    for i, (prompt, path, arms) in enumerate(zip(whole["_prompt"], whole["_path"], whole["_arms"]), 1):
+        image = _read(reader, path) if reader is not None and len(arms) else None
+        images.append(image)
+        held += (len(image) if image is not None else 0) + (len(prompt) if isinstance(prompt, str) else 0)
+        if i == len(whole) or i - start >= rows_at_once or held >= BYTES_AT_ONCE:
+            yield whole.iloc[start:i].reset_index(drop=True), pd.Series(images, dtype=object) if reader is not None else None
+            start, images, held = i, [], 0
+
+
 def _run(factory: GeneratorFactory, carried: Sequence[str], reader, rows_at_once: int):
     """Rows (carried.., _prompt, _path, _arms) -> one row for each (row, arm)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
-            for start in range(0, len(whole), rows_at_once):
-                pdf = whole.iloc[start:start + rows_at_once].reset_index(drop=True)
-                images = None
-                if reader is not None:
-                    images = pd.Series([_read(reader, p) if len(arms) else None for p, arms in zip(pdf["_path"], pdf["_arms"])], dtype=object)
+            for pdf, images in _stretches(whole, reader, rows_at_once):
                 arms = pdf["_arms"].map(list)
                 for arm in dict.fromkeys(a for row in arms for a in row):
                     rows = pdf[arms.map(lambda x: arm in x)]  # noqa: B023

@@ -1270,11 +1270,12 @@ def _image_items(spark, sf) -> tuple[DataFrame, str]:
     """(id, transcription, pyte_ocr, image) for every document, and the folder of the images that are there (one for each page)."""
     folder = scratch_dir(spark, "page_images")
     pages = spark.read.parquet(f"{sf}/pages.parquet")
-    files = pages.select(F.concat(F.lit("d"), F.col("page_id").cast("string"), F.lit(".jpg")).alias("path"), F.encode("html", "UTF-8").alias("content"))
+    key = F.concat(F.lit("d"), F.col("page_id").cast("string"))
+    files = pages.select(F.concat(_folder_of(key), F.lit("/"), key, F.lit(".jpg")).alias("path"), F.encode("html", "UTF-8").alias("content"))
     WR.write_files(files, folder).write.format("noop").mode("overwrite").save()
     gold = FX.gold(spark, sf).select(F.col("Asset").alias("id"), F.col("Transcription").alias("transcription"))
     items = A.join_sidecar_text(gold, A.sidecar_texts(FX.engine(spark, sf), out="pyte_ocr"))
-    return items.withColumn("image", F.concat(F.lit(folder + "/"), "id", F.lit(".jpg"))), folder
+    return items.withColumn("image", F.concat(F.lit(folder + "/"), _folder_of(F.col("id")), F.lit("/"), "id", F.lit(".jpg"))), folder
 
 
 def _guarded(spark, sf) -> GD.Guarded:

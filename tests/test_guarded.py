@@ -180,3 +180,27 @@ def test_state_is_readable(spark, scratch):
     G.run_guarded(df, ["same"], _text, "id", ["id"], "text", scratch + "/t", first=2, k=4, template="{text}")
     states = {r["round"]: json.loads(r["state"]) for r in spark.read.parquet(scratch + "/t/state").collect()}
     assert states[0]["same"]["streak"] == 2 and states[1]["same"]["stopped_at"] == 4 and states[3] == states[1]
+
+
+def test_rows_without_image_are_taken_together(monkeypatch):
+    import pandas as pd
+
+    images = {f"p{i}": b"x" * 10 for i in range(0, 300, 3)}
+
+    def read(path):
+        if path not in images:
+            raise FileNotFoundError(path)
+        return images[path]
+
+    whole = pd.DataFrame({"_prompt": [None if i % 7 == 0 else "ab" for i in range(300)], "_path": [f"p{i}" for i in range(300)], "_arms": [["a"]] * 300})
+
+    def cut(rows_at_once=G.ROWS_AT_ONCE):
+        return [(len(pdf), list(found)) for pdf, found in G._stretches(whole, read, rows_at_once)]
+
+    want = [images.get(f"p{i}") for i in range(300)]
+    assert [n for n, _ in cut()] == [300] and cut()[0][1] == want
+    assert {n for n, _ in cut(50)} == {50}
+    monkeypatch.setattr(G, "BYTES_AT_ONCE", 100)
+    parts = cut()
+    assert len(parts) > 10 and [x for _, found in parts for x in found] == want
+    assert all(sum(len(x or b"") for x in found) <= 110 for _, found in parts)
