@@ -67,12 +67,26 @@ ROW = "input_row"
 PENDING = "pending_arms"
 
 
+#: Characters of inputs, each counted for all its arms, after which a task generates and gives its outputs away.
+CHARS_AT_ONCE = 8_000_000
+
+
+def _stretches(inputs: pd.Series, arms: pd.Series) -> Iterator[slice]:
+    """Consecutive rows of ``CHARS_AT_ONCE``, or one row more."""
+    start, held = 0, 0
+    for i, (x, some) in enumerate(zip(inputs, arms), 1):
+        held += len(x) * len(some) if isinstance(x, str) and some is not None else 0
+        if held >= CHARS_AT_ONCE or i == len(inputs):
+            yield slice(start, i)
+            start, held = i, 0
+
+
 def _run_arm_lists(factory: GeneratorFactory, key: str, arms_col: str, input_col: str, carried: Sequence[str] = ()):
     """Each row arrives once with its list of arms; one output row per (row, arm)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            long = pdf[[key, *carried, input_col, arms_col]].explode(arms_col, ignore_index=True)
+        for whole, part in ((x, s) for x in batches for s in _stretches(x[input_col], x[arms_col])):
+            long = whole.iloc[part][[key, *carried, input_col, arms_col]].explode(arms_col, ignore_index=True)
             long = long[long[arms_col].notna()]
             out = pd.Series([None] * len(long), index=long.index, dtype=object)
             error = pd.Series([None] * len(long), index=long.index, dtype=object)
@@ -98,7 +112,7 @@ def apply_arms(df: DataFrame, arms: Sequence[str], factory: GeneratorFactory, ke
     """O-80: run every arm over every row; long output ``(key, arm, output, status)``.
 
     Each row crosses into Python once, with the list of arms still to run for it, and
-    the generator of an arm sees all of that arm's rows of a batch at once. ``done``
+    the generator of an arm sees many of that arm's rows at once (``CHARS_AT_ONCE``). ``done``
     (``key, arm``) holds outputs already written: those arms are removed per key
     (null-only fill, O-22 / resume, O-27). Arms left out of ``arms`` (no checkpoint or a
     load error upstream, see :func:`latest_checkpoint`) are not run. Null input -> null
