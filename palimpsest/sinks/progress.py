@@ -20,7 +20,9 @@ import hashlib
 import io
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
@@ -30,8 +32,8 @@ from ..operators.generate import PENDING, ROW
 from ..operators.ordered import row_number
 from ..sources.files import write_once
 
-#: Outputs of one file.
-EVERY = 10_000
+#: Outputs of one file, and the bytes (in memory) after which a file has fewer.
+EVERY, FILE_BYTES = 10_000, 32_000_000
 
 
 def identified(rows: DataFrame) -> DataFrame:
@@ -55,6 +57,12 @@ def read_progress(spark, path: str, rows: DataFrame | None = None) -> DataFrame
     return found if rows is None else found.join(identified(rows).select(ROW), ROW, "left_semi")
 
 
+def _bytes(batch: pa.RecordBatch) -> list[int]:
+    """Bytes of each row's texts."""
+    texts = [c for c in batch.columns if pa.types.is_string(c.type) or pa.types.is_large_string(c.type)]
+    return np.sum([pc.fill_null(pc.binary_length(c), 0).to_numpy() for c in texts], axis=0, dtype=np.int64).tolist()
+
+
 def _save(path: str, every: int):
     """Outputs -> the files written from them (file, outputs)."""
 
@@ -67,16 +75,17 @@ def _save(path: str, every: int):
         return pa.RecordBatch.from_pydict({"file": [name], "outputs": [table.num_rows]})
 
     def run(batches):
-        held, rows = [], 0
+        held, rows, size = [], 0, 0
         for batch in batches:
-            while batch.num_rows:
-                part = batch.slice(0, every - rows)
-                held.append(part)
-                rows += part.num_rows
-                batch = batch.slice(part.num_rows)
-                if rows == every:
-                    yield save(held)
-                    held, rows = [], 0
+            # cuts depend on the rows alone, so a task that runs twice makes the same ones
+            start = 0
+            for i, n in enumerate(_bytes(batch), 1):
+                rows, size = rows + 1, size + n
+                if rows == every or size >= FILE_BYTES:
+                    yield save([*held, batch.slice(start, i - start)])
+                    held, rows, size, start = [], 0, 0, i
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
         if held:
             yield save(held)
 
