@@ -65,8 +65,9 @@ def scan_text_sidecars(spark: SparkSession, directory: str, suffix: str = ".txt"
     """
     df = (spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", recursive)
           .text(directory, wholetext=True))
-    return df.select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_path").alias("path"),
-                     F.col("value").alias("content"))
+    out = df.select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_path").alias("path"),
+                    F.col("value").alias("content"))
+    return _fewer_tasks(out, SPLITS_READ)
 
 
 def _suffix_glob(suffixes: Sequence[str], lower: bool) -> str:
