@@ -1176,7 +1176,7 @@ def q_ledger_stream(spark, sf):
 @query("ledger_stream_late", _LEDGER_SQL)
 def q_ledger_stream_late(spark, sf):
     """O-79 (stream): polls that arrive up to two days late and out of order, applied in the order of
-    their time by timers behind the watermark; a closing poll moves the watermark past the last one."""
+    their time behind the watermark; a closing poll moves the watermark past the last one."""
     base = scratch_dir(spark, "ledger_stream_late")
     polls = FX.status_events(spark, sf).select("batch_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "status")
     arrival = F.date_add(F.to_date("ts"), F.expr("cast(pmod(xxhash64(event_id), 3) as int)"))
