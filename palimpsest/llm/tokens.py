@@ -3,7 +3,8 @@
 Both kinds of pre-tokenisation used here never join a word to the next one across a single
 blank or line feed, nor to a full stop or comma after it. So a text is cut there, each
 different chunk is encoded once per task by the tokenizers library, and a text's ids are its
-chunks' ids in order. Chunks are cut only where that is exact; anything else (runs of
+chunks' ids in order. Cutting, telling the different chunks of a step and putting ids in order
+are done by Arrow: Python meets each different chunk of a step once. Chunks are cut only where that is exact; anything else (runs of
 blanks, odd white space at an edge, runs of punctuation) stays inside one chunk that the
 library encodes as it is."""
 
@@ -12,10 +13,10 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import Counter
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -24,8 +25,6 @@ BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 
 #: Different chunks remembered by a task (about 150 bytes each); the rest is encoded anew per step.
 REMEMBERED = 1_000_000
-#: Frequent chunks looked up first, in a table that fits a core's cache.
-HOT = 20_000
 #: Characters encoded as one step.
 STEP_CHARS = 4_000_000
 #: From this many characters on a run of white space goes to the tokenizers library: tiktoken's
@@ -41,6 +40,8 @@ _BLANK_RUN = re.compile(r"(?<!\s)\s{%d}" % LONG_RUN)
 #: A full stop or comma after other punctuation; one run of punctuation is one word. Four control
 #: characters are white space for Python but not for the library.
 _GLUED = re.compile(r"[.,](?<=[^\w\s].|_.|[\x1c-\x1f].)")
+#: One word to the library and to any Unicode version, alone or between blanks; no letter here joins another.
+_LETTERS = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ÿ]+")
 
 
 def _literal(chunk: str) -> str:
@@ -89,7 +90,6 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.blanks_kept = blanks_kept
         self.known: dict[str, bytes] = {}
-        self.hot: dict[str, bytes] = {}
         if blanks_kept:  # a byte-level token's characters stand for one byte each
             size = self.tokenizer.get_vocab_size()
             self.width = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
@@ -97,6 +97,9 @@ class Encoder:
             self.mark = self.whole(_MARK)
             if len(self.mark) != 1:
                 raise ValueError("the mark is not a token of its own")
+            suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+            size = self.tokenizer.get_vocab_size()
+            self.ends_word = np.array([bool(suffix) and (self.tokenizer.id_to_token(i) or "").endswith(suffix) for i in range(size)])
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -105,6 +108,19 @@ class Encoder:
         """Encode new chunks, many as one text, and remember each one's ids."""
         known = self.known
         rest = []
+        if not self.blanks_kept:
+            words, others = [], []
+            for c in chunks:
+                (words if _LETTERS.fullmatch(c) else others).append(c)
+            chunks = others
+            for i in range(0, len(words), 20_000):
+                part = words[i:i + 20_000]
+                ids = self.whole(" ".join(part))
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(ends) != len(part):  # the file does not tell where words end
+                    chunks += part
+                    continue
+                self._remember(part, ids, np.concatenate([[0], ends[:-1]]), ends)
         for c in chunks:
             if (c[:2] == _ITSELF or c[:1] == _STOP) if self.blanks_kept else _MARK in c:
                 known[c] = self.whole(_literal(c) if self.blanks_kept else c).tobytes()
@@ -122,63 +138,67 @@ class Encoder:
                 ids = self.whole(f" {_MARK} ".join([*part, ""]))
                 ends = np.flatnonzero(ids == self.mark[0])
                 starts = np.concatenate([[0], ends[:-1] + 1])
-            raw = ids.tobytes()
-            for c, a, b in zip(part, (4 * starts).tolist(), (4 * ends).tolist()):
-                known[c] = raw[a:b]
+            self._remember(part, ids, starts, ends)
+
+    def _remember(self, chunks: list[str], ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        raw = ids.tobytes()
+        for c, a, b in zip(chunks, (4 * starts).tolist(), (4 * ends).tolist()):
+            self.known[c] = raw[a:b]
 
-    def _chunks(self, text: str) -> list[str]:
+    def _spaced(self, text: str) -> str:
+        """``text`` with its chunks between single blanks."""
         apart = _GLUED.search(text) is None
         if self.blanks_kept:
-            if _STOP in text:
-                return self._safe(text)
             text = text.replace("\n", " \n")
             if apart:
                 text = text.replace(".", " \x02.").replace(",", " \x02,")
-            chunks = text.split(" ")
-            chunks[0] = _ITSELF + chunks[0]
-            return chunks
+            return _ITSELF + text
         try:
             text.encode("latin-1")  # no marks that join a letter or that a letter turns into
         except UnicodeEncodeError:
-            return text.replace("\n", " ").split(" ")
+            return text.replace("\n", " ")
         text = text.lower().replace("\n", " ")
         if apart:
             text = text.replace(".", " .").replace(",", " ,")
-        return text.split(" ")
+        return text
 
     def _safe(self, text: str) -> list[str]:
         return [_ITSELF + c for c in _CUTS.split(text)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null counts as empty."""
-        cut = [self._chunks(t) if t else [] for t in texts]
-        frequent, rare, new = self._look(cut)
+        safe = [self.blanks_kept and bool(t) and _STOP in t for t in texts]
+        counts, chunks, different = self._cut(texts, safe)
+        known, before = self.known, len(self.known)
+        new = [c for c in different if c not in known]
         if self.blanks_kept and new:
             odd = {c for c in new if c[:2] != _ITSELF and not _EDGES_OK.fullmatch(c)}
             odd |= {c for c in new if c[:2] == _ITSELF and len(c) > 2 and not _EDGES_OK.fullmatch(c[2:])}
             if odd:
-                for i, chunks in enumerate(rare):
-                    if not odd.isdisjoint(chunks):
-                        cut[i] = self._safe(texts[i])
-                frequent, rare, new = self._look(cut)
-        known, before = self.known, len(self.known)
-        self._learn(list(new))
-        out = []
-        for some, others in zip(frequent, rare):
-            other = map(known.__getitem__, others)
-            out.append(b"".join([x if x is not None else next(other) for x in some]))
-        if not self.hot:
-            self.hot = {c: known[c] for c, _ in Counter(chain.from_iterable(cut)).most_common(HOT)}
+                safe = [s or bool(t) and not odd.isdisjoint(self._spaced(t).split(" ")) for t, s in zip(texts, safe)]
+                counts, chunks, different = self._cut(texts, safe)
+                new = [c for c in different if c not in known]
+        self._learn(new)
+        ids = pa.array([known[c] for c in different], pa.large_binary()).take(chunks.indices)
         if len(known) > REMEMBERED:
             for c in list(known)[max(before, REMEMBERED):]:
                 del known[c]
-        return out
-
-    def _look(self, cut: list[list[str]]):
-        """Ids of each text's frequent chunks, its other chunks, and those never seen."""
-        frequent = [list(map(self.hot.get, chunks)) for chunks in cut]
-        rare = [[c for c, x in zip(chunks, some) if x is None] for chunks, some in zip(cut, frequent)]
-        return frequent, rare, set().union(*rare).difference(self.known)
+        if not len(ids):
+            return [b""] * len(texts)
+        _, offsets, data = ids.buffers()  # of all ids in order, and where each chunk's begin
+        ends = np.frombuffer(offsets, np.int64)[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
+
+    def _cut(self, texts: list[str | None], safe: list[bool]):
+        """The number of each text's chunks, all chunks in order as places among the different ones, and these."""
+        spaced = pa.array([self._spaced(t) if t and not s else None for t, s in zip(texts, safe)], pa.large_string())
+        lists = pc.split_pattern(spaced, " ")
+        if any(safe):
+            lists = pa.array([self._safe(t) if s else x for t, s, x in zip(texts, safe, lists.to_pylist())], lists.type)
+        chunks = lists.flatten().dictionary_encode()
+        counts = pc.fill_null(lists.value_lengths(), 0).to_numpy(zero_copy_only=False)
+        return counts, chunks, chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder | ByteEncoder] = {}

@@ -59,6 +59,33 @@ def test_forgotten_chunks_are_encoded_anew(monkeypatch):
         assert len(encoder.known) <= 3
 
 
+@pytest.mark.parametrize("file,kept", KINDS)
+def test_python_meets_each_different_chunk_of_a_step_once(file, kept):
+    class Counted(dict):
+        asked = 0
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    encoder, text = tokens.Encoder(f"{TOK}/{file}", kept), "one two three four " * 2000
+    encoder.known = Counted()
+    assert encoder.encode([text, None, " ", text + "five", ""]) == [whole(file, t) for t in (text, None, " ", text + "five", "")]
+    assert encoder.known.asked <= 20  # before: each chunk of the texts
+
+
+def test_words_are_encoded_without_marks_between_them():
+    encoder, seen = tokens.Encoder(f"{TOK}/word_bpe_49k.json", False), []
+    whole_text = encoder.whole
+    encoder.whole = lambda text: seen.append(text) or whole_text(text)
+    text = "Größe naïve CAFÉ µm word don't 3rd x_y"
+    assert encoder.encode([text]) == [whole("word_bpe_49k.json", text)]
+    assert sum(tokens._MARK in x for x in seen) == 1 and sorted(next(x for x in seen if tokens._MARK not in x).split()) == sorted("größe naïve café µm word".split())
+    encoder = tokens.Encoder(f"{TOK}/word_bpe_49k.json", False)
+    encoder.ends_word[:] = False  # a file that does not tell where words end
+    assert encoder.encode([text]) == [whole("word_bpe_49k.json", text)]
+
+
 @pytest.mark.parametrize("file,kept", KINDS)
 def test_added_tokens_as_the_unchanged_library(file, kept):
     library = Tokenizer.from_file(f"{TOK}/{file}")
