@@ -32,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -42,6 +43,8 @@ from .common import numbered, place_of, plain_columns, steps, stored
 MAX_N, FREQUENT = 6, 200_000
 #: Score of a word or n-gram that a language lacks; different words held by a task before they go on.
 PENALTY, HELD_WORDS = 7.0, 400_000
+#: Bytes of text looked at as one step; characters of words whose n-grams are counted as one step.
+STEP_BYTES, STEP_WORDS = 3_000_000, 1_000_000
 #: Rows of a table that is broadcast whole; a larger one is joined by shuffling. Sums held at once by a task.
 SMALL, HELD_SUMS = 10_000, 4_000_000
 #: Longest word looked at whole; longer runs of letters are taken in pieces of this length.
@@ -58,6 +61,32 @@ def words_of(text: str) -> list[str]:
     return words
 
 
+def words_in_order(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The number of each text's ``words_of``, all these words in order as places among the
+    different ones, and these. Texts are cut at blanks by Arrow; each different piece is
+    looked at once."""
+    spaced = [t.lower().replace("\n", " ").replace(".", " ").replace(",", " ") for t in texts]
+    lists = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
+    pieces = lists.flatten().dictionary_encode()
+    words = [[p] if len(p) <= MAX_WORD and p.isalpha() else _WORDS.findall(p) for p in pieces.dictionary.to_numpy(zero_copy_only=False)]
+    many = np.fromiter(map(len, words), np.int64, len(words))
+    flat = list(chain.from_iterable(words))
+    place = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+    places = np.fromiter(map(place.__getitem__, flat), np.int64, len(flat))
+    piece = pieces.indices.to_numpy(zero_copy_only=False)
+    n = many[piece]
+    upto = np.cumsum(n)
+    ends = np.concatenate([[0], upto])[np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))]
+    found = places[np.repeat((np.cumsum(many) - many)[piece] - (upto - n), n) + np.arange(n.sum())]
+    counts = np.diff(ends, prepend=0)
+    letter = np.fromiter((w.isalpha() or any(c.isalpha() for c in w) for w in place), bool, len(place))
+    if not letter.all():  # a text without a letter has no word
+        whose = np.repeat(np.arange(len(texts)), counts)
+        with_letter = np.bincount(whose, letter[found], minlength=len(texts)) > 0
+        found, counts = found[with_letter[whose]], np.where(with_letter, counts, 0)
+    return counts, found, list(place)
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """``docs`` (text, lang) -> (lang, word, n) over all rows with both."""
 
@@ -72,15 +101,23 @@ def word_counts(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(part), pa.string()), pa.array(part, pa.string()),
                          pa.array([c[w] for w in part], pa.int64())], names=["lang", "word", "n"])
-        for part in steps(batches, limit=3_000_000):
-            for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+        for part in steps(batches, limit=STEP_BYTES):
+            counts, places, words = words_in_order(part.column(0).to_pylist())
+            langs = part.column(1).dictionary_encode()
+            width = max(1, len(words))
+            keys, times = np.unique(np.repeat(langs.indices.to_numpy().astype(np.int64), counts) * width + places, return_counts=True)
+            which, keys = np.divmod(keys, width)
+            for i, lang in enumerate(langs.dictionary.to_pylist()):
+                a, b = np.searchsorted(which, [i, i + 1])
                 c = held.setdefault(lang, Counter())
-                before = len(c)
-                c.update(words_of(text))
-                size += len(c) - before
-                if size > HELD_WORDS:
-                    yield from flush()
-                    held, size = {}, 0
+                size -= len(c)
+                for at, n in zip(keys[a:b].tolist(), times[a:b].tolist()):
+                    w = words[at]
+                    c[w] = c.get(w, 0) + n
+                size += len(c)
+            if size > HELD_WORDS:
+                yield from flush()
+                held, size = {}, 0
         yield from flush()
 
     known = plain_columns(docs, "text", "lang").where("text is not null and lang is not null")
@@ -91,31 +128,48 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def gram_counts(counts: DataFrame, max_n: int) -> DataFrame:
     """(lang, word, n) -> (lang, k, key, n): the words' character n-grams of length k."""
 
-    def run(batches):
-        held: dict[tuple[str, int], dict[str, int]] = {}
-
-        def flush():
-            for (lang, k), c in held.items():
-                keys = list(c)
-                for i in range(0, len(keys), 50_000):
-                    part = keys[i:i + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(part), pa.string()), pa.array([k] * len(part), pa.int32()), pa.array(part, pa.string()),
-                         pa.array([c[x] for x in part], pa.int64())], names=["lang", "k", "key", "n"])
+    def step(held):
+        words = pa.chunked_array([b.column(1) for b in held]).to_pylist()
+        langs = pa.chunked_array([b.column(0) for b in held]).combine_chunks().dictionary_encode()
+        times = np.concatenate([b.column(2).to_numpy() for b in held])
+        chars = np.frombuffer("".join([f" {w} " for w in words]).encode("utf-32-le"), "<u4")
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        whose = np.repeat(np.arange(len(words)), sizes)
+        left = np.cumsum(sizes)[whose] - np.arange(len(chars))  # characters from here to the word's end
+        alphabet, char = np.unique(chars, return_inverse=True)
+        # n-grams of a length are numbered by those one shorter and their last characters, the shortest ones by language
+        at, number = np.arange(len(chars)), langs.indices.to_numpy().astype(np.int64)[whose]
+        for k in range(1, max_n + 1):
+            inside = left[at] >= k
+            at = at[inside]
+            if not len(at):
+                break
+            grams = pa.array(number[inside] * len(alphabet) + char[at + k - 1]).dictionary_encode()
+            number = grams.indices.to_numpy().astype(np.int64)
+            first = np.empty(len(grams.dictionary), np.int64)
+            first[number[::-1]] = at[::-1]
+            n = np.zeros(len(first), np.int64)
+            np.add.at(n, number, times[whose[at]])
+            keys = np.ascontiguousarray(chars[first[:, None] + np.arange(k)]).view(f"<U{k}").ravel()
+            lang = langs.dictionary.take(langs.indices.take(pa.array(whose[first])))
+            for i in range(0, len(first), 50_000):
+                part = slice(i, i + 50_000)
+                yield pa.RecordBatch.from_arrays(
+                    [lang[part], pa.array(np.full(len(n[part]), k, np.int32)), pa.array(keys[part], pa.string()), pa.array(n[part])],
+                    names=["lang", "k", "key", "n"])
 
+    def run(batches):
+        held, size = [], 0
         for batch in batches:
-            for lang, word, n in zip(*(c.to_pylist() for c in batch.columns)):
-                padded = f" {word} "
-                size = len(padded)
-                for k in range(1, min(max_n, size) + 1):
-                    c = held.setdefault((lang, k), {})
-                    for i in range(size - k + 1):
-                        key = padded[i:i + k]
-                        c[key] = c.get(key, 0) + n
-            if sum(map(len, held.values())) > HELD_WORDS:
-                yield from flush()
-                held = {}
-        yield from flush()
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += pc.sum(pc.utf8_length(batch.column(1))).as_py()
+            if size > STEP_WORDS:
+                yield from step(held)
+                held, size = [], 0
+        if held:
+            yield from step(held)
 
     return (counts.select("lang", "word", "n").mapInArrow(run, "lang string, k int, key string, n long")
             .repartition("k", "key").groupBy("lang", "k", "key").agg(F.sum("n").alias("n")))
@@ -168,6 +222,11 @@ def train(docs: DataFrame, max_n: int = MAX_N, frequent: int = FREQUENT) -> Mode
     return Model(words, grams, totals, languages, first, least, max_n)
 
 
+def _listed(row: np.ndarray, rows: int, values: pa.Array) -> pa.Array:
+    """Lists of ``values``, whose rows are told in ascending order."""
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(rows + 1)), pa.int32()), values)
+
+
 def _partial(texts: DataFrame, model: Model) -> DataFrame:
     """(id, text) -> id, langs and their sums by frequent words, and the other words with their
     times; one row for each id with a word."""
@@ -189,42 +248,37 @@ def _partial(texts: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         names, index, starts, lang_of, saved = sent.value
-        width = max(1, len(names))
-        for part in steps(batches, limit=3_000_000):
-            ids = part.column(0).to_pylist()
-            words = [words_of(t) for t in part.column(1).to_pylist()]
+        named, width = pa.array(names, pa.string()), max(1, len(names))
+        for part in steps(batches, limit=STEP_BYTES):
+            counts, places, words = words_in_order(part.column(1).to_pylist())
+            of_word = np.fromiter((index.get(w, -1) for w in words), np.int64, len(words))
+            listed, bounds = pa.array(words, pa.string()), np.concatenate([[0], np.cumsum(counts)])
             at = 0
-            while at < len(ids):  # texts of about ``HELD_SUMS`` sums
-                upto = min(len(ids), at + max(1, HELD_SUMS // width))
-                some = [i for i in range(at, upto) if words[i]]
-                lengths = np.array([len(words[i]) for i in some], np.int64)
-                found = np.array([index.get(w, -1) for w in chain.from_iterable(words[i] for i in some)], np.int64)
-                whose = np.repeat(np.arange(len(some)), lengths)
+            while at < len(counts):  # texts of about ``HELD_SUMS`` sums
+                upto = min(len(counts), at + max(1, HELD_SUMS // width))
+                some = at + np.flatnonzero(counts[at:upto])
+                here = places[bounds[at]:bounds[upto]]
+                found = of_word[here]
+                whose = np.repeat(np.arange(len(some)), counts[some])
                 known = found >= 0
                 first = starts[found[known]]
                 many = starts[found[known] + 1] - first
                 place = np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
                 cell = np.repeat(whose[known], many) * width + lang_of[place]
                 sums = np.bincount(cell, saved[place], minlength=len(some) * width).reshape(len(some), width)
-                ends = np.cumsum(lengths)
-                unknown = np.flatnonzero(~known)
-                bounds = np.searchsorted(unknown, np.concatenate([[0], ends]))
-                told = []
-                for j, i in enumerate(some):
-                    rest = Counter(words[i][x - ends[j] + lengths[j]] for x in unknown[bounds[j]:bounds[j + 1]].tolist())
-                    having = np.flatnonzero(sums[j])
-                    told.append((ids[i], [names[x] for x in having.tolist()], sums[j, having].tolist(), list(rest), list(rest.values())))
-                if told:
+                row, having = np.nonzero(sums)
+                rest, times = np.unique(whose[~known] * max(1, len(words)) + here[~known], return_counts=True)
+                text, rest = np.divmod(rest, max(1, len(words)))
+                if len(some):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*told), _PARTIAL)], names=["id", "langs", "sums", "words", "times"])
+                        [part.column(0).take(pa.array(some)), _listed(row, len(some), named.take(pa.array(having))),
+                         _listed(row, len(some), pa.array(sums[row, having])), _listed(text, len(some), listed.take(pa.array(rest))),
+                         _listed(text, len(some), pa.array(times.astype(np.int64)))], names=["id", "langs", "sums", "words", "times"])
                 at = upto
 
     return texts.mapInArrow(run, "id binary, langs array<string>, sums array<double>, words array<string>, times array<long>")
 
 
-_PARTIAL = [pa.binary(), pa.list_(pa.string()), pa.list_(pa.float64()), pa.list_(pa.string()), pa.list_(pa.int64())]
-
-
 def _word_sums(rest: DataFrame, model: Model) -> DataFrame:
     """(word) -> word, lang, saved: of a word that some language knows its own, of any other the
     mean over its longest known n-grams."""

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -125,3 +126,26 @@ def test_odd_rows(spark):
 @pytest.mark.parametrize("text,words", [("Don't 12 stop", ["don", "t", "stop"]), ("", []), ("ÀÉ日本", ["àé日本"])])
 def test_words(text, words):
     assert L.words_of(text) == words
+
+
+def test_words_in_order_are_the_words_of_each_text():
+    rng = random.Random(3)
+    signs = [*"ab Z.,!?'_|\n\t\r\x01\x1c\x85\xa0éÉ́İΣσς日😀1²½Ⅷ٣ªßǅK\u3000", "  ", "ΑΣ", "x" * 65, "é" * 130, "²" * 70]
+    texts = ["", " ", "²", "½ .", "a²", *["".join(rng.choices(signs, k=rng.randrange(12))) for _ in range(3000)]]
+    for some in (texts, *[[t] for t in texts[:40]]):
+        counts, places, words = L.words_in_order(some)
+        ends = counts.cumsum()
+        assert [[words[i] for i in places[b - n:b]] for n, b in zip(counts, ends)] == [L.words_of(t) for t in some]
+        assert len(set(words)) == len(words)
+
+
+def test_each_different_piece_of_a_step_is_cut_once(monkeypatch):
+    cut = []
+
+    class Words:
+        findall = staticmethod(lambda text, plain=L._WORDS: cut.append(text) or plain.findall(text))
+
+    monkeypatch.setattr(L, "_WORDS", Words)
+    counts, places, words = L.words_in_order(["it's one-two three. " * 500] * 4)
+    assert counts.tolist() == [2500] * 4 and len(words) == 5
+    assert sorted(cut) == ["", "it's", "one-two"]  # before: each text whole
