@@ -1227,9 +1227,10 @@ def _image_folder(spark, sf) -> str:
 @query("sidecar_files", S.with_ctes(["silver"], "SELECT ID, ocr FROM silver"))
 def q_sidecar_files(spark, sf):
     """O-14 files, then O-02: tagged sidecars written one file per key next to the images,
-    read back whole from the folder (``*.txt``) and cleaned into the silver table."""
-    folder = _image_folder(spark, sf)
-    return A.clean_silver(RD.scan_text_sidecars(spark, folder, ".txt", recursive=True))
+    read back whole from the folder (``*.txt``), once, and cleaned into the silver table."""
+    folder, texts = _image_folder(spark, sf), scratch_dir(spark, "sidecar_texts")
+    RD.scan_text_sidecars(spark, folder, ".txt", recursive=True).write.mode("overwrite").option("compression", "zstd").parquet(texts)
+    return A.clean_silver(spark.read.parquet(texts))
 
 
 @query("image_listing", """

@@ -8,8 +8,12 @@ read once, only for pending items, and never shuffled.
 from __future__ import annotations
 
 import functools
+import os
+import re
 import uuid
-from urllib.parse import urlparse
+from collections.abc import Callable, Iterator
+
+_URI = re.compile(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/]*))?(.*)", re.DOTALL)
 
 
 @functools.lru_cache(maxsize=16)
@@ -22,11 +26,12 @@ def _filesystem(scheme: str, netloc: str):
 
 
 def _place(path: str):
-    """File system and path in it of a Spark path (``file:/...``, ``hdfs://...``, ``s3a://...``)."""
-    u = urlparse(path)
-    scheme = {"s3a": "s3", "s3n": "s3"}.get(u.scheme, u.scheme)
-    fs = _filesystem(scheme, u.netloc)
-    return fs, u.path if scheme in ("", "file") else f"{u.netloc}{u.path}" if scheme == "s3" else u.path
+    """File system and path in it of a Spark path (``file:/...``, ``hdfs://...``, ``s3a://...``).
+    Spark writes names as they are: a ``#`` or ``?`` belongs to them."""
+    scheme, netloc, inner = (part or "" for part in _URI.fullmatch(path).groups())
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme.lower(), scheme.lower())
+    fs = _filesystem(scheme, netloc)
+    return fs, f"{netloc}{inner}" if scheme == "s3" else inner
 
 
 def read_bytes(path: str) -> bytes:
@@ -65,3 +70,36 @@ def write_once(path: str, data: bytes) -> None:
     early = f"{folder}/_{uuid.uuid4().hex}-{name}"
     write_bytes(early, data)
     fs.move(_place(early)[1], target)
+
+
+def kind_of(path: str) -> str | None:
+    """``folder``, ``file`` or None (nothing there)."""
+    from pyarrow import fs as pafs
+
+    fs, target = _place(path)
+    return {pafs.FileType.Directory: "folder", pafs.FileType.NotFound: None}.get(fs.get_file_info(target).type, "file")
+
+
+def list_folder(path: str, wanted: Callable[[str], bool]) -> Iterator[tuple[str, bool, int, int]]:
+    """(name, is a folder, bytes, milliseconds of the last change) of the folders and the ``wanted``
+    files right in a folder; on local storage one at a time, however many there are."""
+    from pyarrow import fs as pafs
+
+    fs, target = _place(path)
+    if not isinstance(fs, pafs.LocalFileSystem):
+        for i in fs.get_file_info(pafs.FileSelector(target)):
+            if i.type == pafs.FileType.Directory:
+                yield i.base_name, True, 0, 0
+            elif wanted(i.base_name):
+                yield i.base_name, False, i.size, i.mtime_ns // 1_000_000
+        return
+    with os.scandir(target) as entries:
+        for e in entries:
+            try:
+                e.name.encode()
+                if e.is_dir():
+                    yield e.name, True, 0, 0
+                elif wanted(e.name):
+                    yield e.name, False, e.stat().st_size, e.stat().st_mtime_ns // 1_000_000
+            except (FileNotFoundError, UnicodeEncodeError):  # gone since, or no name that Spark can hold
+                continue

@@ -1,5 +1,6 @@
 """Readers (O-01..O-07, O-09). Every reader takes an explicit schema; nothing is
-inferred. Listings read file metadata only (``binaryFile`` with ``content`` pruned)."""
+inferred. Listings read file metadata only (``binaryFile`` with ``content`` pruned);
+texts of folders are listed and read by tasks (``folders.py``)."""
 
 from __future__ import annotations
 
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions import constants as K
 from ..functions import responses as R
 from ..functions.nulls import normalise_null_tokens
+from .folders import qualified, texts_below
 from .lines import numbered_lines
 
 CONVERSATION_SCHEMA = T.StructType([
@@ -46,6 +48,9 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str, null_to
     return df
 
 
+#: Characters with a meaning in path patterns.
+GLOB = "\\*?[]{},^"
+
 #: Spark's splits of many small files that one task takes: of names and sizes only, of whole texts.
 SPLITS_LISTED, SPLITS_READ = 250, 16
 
@@ -60,9 +65,12 @@ def _fewer_tasks(files: DataFrame, splits: int) -> DataFrame:
 def scan_text_sidecars(spark: SparkSession, directory: str, suffix: str = ".txt", recursive: bool = False) -> DataFrame:
     """O-02: one row per file ending in ``suffix``: ``(name, path, content)``.
 
-    Whole files (``wholetext``); the name comes from the file metadata column. Keys are
-    derived by the caller with ``text.doc_key``.
+    Whole files, listed now and read by the tasks that give them out; name and path are those of
+    the file metadata column. Keys are derived by the caller with ``text.doc_key``.
     """
+    base = None if any(c in suffix for c in GLOB) else qualified(spark, directory)
+    if base is not None:
+        return texts_below(spark, base, suffix, recursive)
     df = (spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", recursive)
           .text(directory, wholetext=True))
     out = df.select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_path").alias("path"),
@@ -75,7 +83,7 @@ def _suffix_glob(suffixes: Sequence[str], lower: bool) -> str:
     def one(c: str) -> str:
         if lower and c.isascii() and c.isalpha():
             return f"[{c.lower()}{c.upper()}]"
-        return "\\" + c if c in "\\*?[]{},^" else c
+        return "\\" + c if c in GLOB else c
 
     return "*{" + ",".join("".join(one(c) for c in s) for s in suffixes) + "}"
 
