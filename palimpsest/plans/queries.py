@@ -1236,8 +1236,7 @@ def q_sidecar_files(spark, sf):
 @query("image_listing", """
 SELECT 'd' || doc_id || '.jpg' AS name, strlen(text)::BIGINT AS length FROM documents""")
 def q_image_listing(spark, sf):
-    """O-03: image files of a mixed folder (images and both sidecar kinds) by suffix,
-    metadata only (``content`` is pruned from the binaryFile scan)."""
+    """O-03: image files of a mixed folder (images and both sidecar kinds) by suffix, metadata only."""
     folder = _image_folder(spark, sf)
     return RD.scan_listing(spark, folder, recursive=True).select("name", "length")
 

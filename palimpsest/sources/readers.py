@@ -1,6 +1,5 @@
 """Readers (O-01..O-07, O-09). Every reader takes an explicit schema; nothing is
-inferred. Listings read file metadata only (``binaryFile`` with ``content`` pruned);
-texts of folders are listed and read by tasks (``folders.py``)."""
+inferred. Listings read file metadata only; tasks list the folders (``folders.py``)."""
 
 from __future__ import annotations
 
@@ -13,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions import constants as K
 from ..functions import responses as R
 from ..functions.nulls import normalise_null_tokens
-from .folders import qualified, texts_below
+from .folders import files_below, qualified, texts_below
 from .lines import numbered_lines
 
 CONVERSATION_SCHEMA = T.StructType([
@@ -92,10 +91,14 @@ def scan_listing(spark: SparkSession, directory: str, suffixes: Sequence[str] =
                  lower: bool = False, recursive: bool = False) -> DataFrame:
     """O-03: file names filtered by suffix (case-sensitive unless ``lower``).
 
-    ``binaryFile`` with only ``path``/``length``/``modificationTime`` selected: Spark prunes
-    the ``content`` column, so no bytes are read. Other files are left out while the folder
-    is listed; they become neither rows nor splits. No suffixes: no rows.
+    The folder is listed now, by tasks; no bytes are read, and other files are left out where they
+    are found. No suffixes: no rows. A path pattern, or a store that tasks cannot list, goes
+    to ``binaryFile`` with ``content`` pruned; the driver then holds all files of the folder.
     """
+    base = qualified(spark, directory) if suffixes else None
+    if base is not None:
+        files, _ = files_below(spark, base, suffixes, lower, recursive)
+        return files.select("path", F.substring_index("path", "/", -1).alias("name"), "length", "modificationTime")
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
           .option("pathGlobFilter", _suffix_glob(suffixes, lower)).load(directory))
     name = F.substring_index(F.col("path"), "/", -1)

@@ -49,3 +49,28 @@ def test_texts_are_those_of_sparks_reader(spark, scratch):
     assert [r["content"] for r in one.collect()] == ["s"]
 
 
+def test_files_are_listed_by_tasks(spark, scratch):
+    folder = many(os.path.join(scratch, "many"))
+    listed = RD.scan_listing(spark, folder, recursive=True)
+    assert held(listed, folder) == []
+    assert {(r["name"], r["length"]) for r in listed.collect()} == {(f"{k}.jpg", len(f"text {k}")) for k in range(120)}
+
+
+def test_listing_is_that_of_sparks_reader(spark, scratch):
+    folder = put(scratch, **{"a b.jpg": b"x", "h#1.jpg": b"hh", "p%20q.jpg": b"p", "e.jpg": b"", "_h.jpg": b"h", ".d.jpg": b"d", "B.JPG": b"b",
+                             "sub/k.jpg": b"k", "_hid/i.jpg": b"i", "other.txt": b"o", "sub.jpg/t.jpg": b"t"})
+    cols = ["path", "length", "modificationTime"]
+    for recursive in (True, False):
+        for pattern, lower in (("*.jpg", False), ("*.[jJ][pP][gG]", True)):
+            plain = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).load(folder).select(cols)
+            got = RD.scan_listing(spark, folder, [".jpg"], lower, recursive).select(cols)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    pattern = RD.scan_listing(spark, os.path.join(scratch, "su*"), [".jpg"])
+    assert sorted(r["name"] for r in pattern.collect()) == ["k.jpg", "t.jpg"]
+
+
+def test_folders_of_a_partition_column_are_entered(spark, scratch):
+    put(scratch, **{"k=1/a.jpg": b"a", "k=2/b.jpg": b"b"})
+    assert sorted(r["name"] for r in RD.scan_listing(spark, scratch).collect()) == ["a.jpg", "b.jpg"]
+
+
