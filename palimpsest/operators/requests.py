@@ -121,12 +121,13 @@ def transcribe_paths(listing: DataFrame, done: DataFrame, engine_factory: Callab
                      key: str = "id", path: str = "path", reader: Callable[[str], bytes] | None = None) -> DataFrame:
     """O-81 over a file listing: only ``(id, path)`` go through the anti-join; each task
     reads the bytes of its pending images and runs the engine. Output ``(id, text, error)``.
-    Pending paths are dealt out by number: by their own size they would be few tasks."""
+    Pending paths are dealt out by number: by their own size they would be few tasks. The ids that
+    are done are met in a merge; a broadcast would take them all through the driver."""
     from ..sources.files import read_bytes
     from .ordered import default_blocks
 
     todo = listing.select(F.col(key).alias("id"), F.col(path).alias("path")).join(
-        done.select(F.col(key).alias("id")), "id", "left_anti")
+        done.select(F.col(key).alias("id")).hint("merge"), "id", "left_anti")
     todo = todo.repartition(max(default_blocks(listing.sparkSession), listing.sparkSession.sparkContext.defaultParallelism))
     return todo.mapInPandas(_transcribe_paths(engine_factory, reader or read_bytes),
                             "id string, text string, error string")

@@ -74,3 +74,13 @@ def test_folders_of_a_partition_column_are_entered(spark, scratch):
     assert sorted(r["name"] for r in RD.scan_listing(spark, scratch).collect()) == ["a.jpg", "b.jpg"]
 
 
+def test_what_is_transcribed_is_not_sent_through_the_driver(spark, scratch):
+    from palimpsest.operators import requests as RQ
+    from palimpsest.plans import stubs
+
+    folder = many(os.path.join(scratch, "many"))
+    listing = RD.scan_listing(spark, folder, recursive=True).select(F.regexp_extract("name", r"^([0-9]+)\.jpg$", 1).alias("id"), "path")
+    done = spark.range(100).select(F.col("id").cast("string").alias("id"))
+    found = RQ.transcribe_paths(listing, done, stubs.stub_engine_factory)
+    assert sorted((r["id"], r["error"]) for r in found.collect()) == [(str(k), "ValueError: unreadable image") for k in range(100, 120)]
+    assert held(found, folder) == [] and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
